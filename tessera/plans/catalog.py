@@ -131,3 +131,135 @@ def line_total_rule(spark, sf_dir):
     lines = staged.where(F.col("item_price").isNotNull()).select("claim_id", "item_price")
     out = line_total_offenders(docs, lines, "claim_id", "estimated_damage_usd", "item_price")
     return out.select("claim_id", "total", F.col("line_sum").cast("decimal(38,2)").alias("line_sum"))
+
+
+# ----------------------------------------------------------------------------------------------
+# Data quality (Q1-Q12)
+# ----------------------------------------------------------------------------------------------
+from tessera.operators import quality as Q  # noqa: E402
+
+
+def _counts_of(spark, sf_dir, prefix: tuple[str, ...]) -> DataFrame:
+    t = SI.reader(spark, sf_dir)
+    rules = [r for r in SI.standin_rules() if r.name.startswith(prefix)]
+    return Q.rule_counts(t, rules)
+
+
+def _sql_pk_null(t, pk):
+    cond = " OR ".join(f"{k} IS NULL" for k in pk)
+    return f"SELECT 'pk_not_null[{t}]' AS name, count(*) FILTER (WHERE {cond}) AS n FROM {t}"
+
+
+def _sql_unique(t, keys, name=None):
+    k = ", ".join(keys)
+    return (f"SELECT '{name or f'pk_unique[{t}]'}' AS name, count(*) AS n FROM "
+            f"(SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)")
+
+
+def _sql_orphans(name, child, fk, parent, pk):
+    return (f"SELECT '{name}' AS name, count(*) AS n FROM {child} c WHERE c.{fk} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
+
+
+def _sql_not_empty(t):
+    return f"SELECT 'not_empty[{t}]' AS name, CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS n FROM {t}"
+
+
+def _report_sql(parts):
+    body = "\nUNION ALL ".join(parts)
+    return f"SELECT name, n = 0 AS ok, CAST(n AS BIGINT) AS n_offenders FROM ({body})"
+
+
+_PK_NULL_SQL = [_sql_pk_null(t, pk) for t, (pk, _) in SI.KEYS.items()]
+_UNIQUE_SQL = [_sql_unique(t, pk) for t, (pk, _) in SI.KEYS.items()]
+_ORPHAN_SQL = ([_sql_orphans(f"no_orphans[{t}.{fk}]", t, fk, parent, pk)
+                for t, (_, fks) in SI.KEYS.items() for fk, parent, pk in fks]
+               + [_sql_orphans(*r) for r in SI.REVERSE])
+_NOT_EMPTY_SQL = [_sql_not_empty(t) for t in SI.KEYS]
+_EXTRA_SQL = [
+    _sql_unique("customer", ("c_name",), "unique[customer.c_name]"),
+    "SELECT 'max_length[customer.c_name]' AS name, count(*) FILTER (WHERE length(c_name) > 20) AS n FROM customer",
+    "SELECT 'date_order[lineitem]' AS name, count(*) AS n FROM lineitem l JOIN orders o "
+    "ON o.o_orderkey = l.l_orderkey WHERE l.l_shipdate < o.o_orderdate",
+    "SELECT 'paid_zero_balance[orders]' AS name, count(*) FILTER (WHERE upper(o_orderstatus) = 'F' "
+    "AND coalesce(o_totalprice, 0) <> 0) AS n FROM orders",
+]
+
+
+@query("dq_pk_null", _report_sql(_PK_NULL_SQL))
+def dq_pk_null(spark, sf_dir):
+    """Q2: key columns must not be NULL (fused per table)."""
+    return _counts_of(spark, sf_dir, ("pk_not_null",))
+
+
+@query("dq_pk_unique", """
+SELECT l_orderkey, l_linenumber, count(*) AS times FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def dq_pk_unique(spark, sf_dir):
+    """Q3/A2: duplicate keys with their multiplicity (a real failing case)."""
+    t = SI.reader(spark, sf_dir)
+    return Q.unique("lineitem", ("l_orderkey", "l_linenumber")).offenders(t)
+
+
+@query("dq_unique_report", _report_sql(_UNIQUE_SQL))
+def dq_unique_report(spark, sf_dir):
+    """Q3 over every table: number of duplicated keys per table."""
+    return _counts_of(spark, sf_dir, ("pk_unique",))
+
+
+@query("dq_orphans", _report_sql(_ORPHAN_SQL))
+def dq_orphans(spark, sf_dir):
+    """Orphan counts per relation, incl. parents without children."""
+    t = SI.reader(spark, sf_dir)
+    rules = [r for r in SI.standin_rules()
+             if r.name.startswith("no_orphans") or r.name in {x[0] for x in SI.REVERSE}]
+    return Q.rule_counts(t, rules)
+
+
+@query("dq_orphan_rows", """
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def dq_orphan_rows(spark, sf_dir):
+    """Q4 offender rows (left anti join): claims without any item."""
+    t = SI.reader(spark, sf_dir)
+    return Q.no_orphans("orders", ("o_orderkey",), "lineitem", ("l_orderkey",),
+                        child_columns=("o_orderkey", "o_custkey", "o_orderdate")).offenders(t)
+
+
+@query("dq_date_order", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate, o.o_orderdate FROM lineitem l
+JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_shipdate < o.o_orderdate""")
+def dq_date_order(spark, sf_dir):
+    """Q5/P5: column-vs-column order (NULL on either side is not an offence)."""
+    return SI.date_order_offenders(SI.reader(spark, sf_dir))
+
+
+@query("dq_paid_balance", """
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+WHERE upper(o_orderstatus) = 'F' AND coalesce(o_totalprice, 0) <> 0""")
+def dq_paid_balance(spark, sf_dir):
+    """Settled rows must carry a zero balance."""
+    t = SI.reader(spark, sf_dir)
+    rule = next(r for r in SI.standin_rules() if r.name == "paid_zero_balance[orders]")
+    return rule.offenders(t)
+
+
+@query("dq_not_empty", _report_sql(_NOT_EMPTY_SQL))
+def dq_not_empty(spark, sf_dir):
+    """Q7: every table has at least one row (count fused with the table's row rules)."""
+    return _counts_of(spark, sf_dir, ("not_empty",))
+
+
+@query("dq_report", _report_sql(_PK_NULL_SQL + _UNIQUE_SQL + _ORPHAN_SQL + _NOT_EMPTY_SQL + _EXTRA_SQL))
+def dq_report(spark, sf_dir):
+    """Q8: the whole rule set, one row per rule (name, ok, n_offenders)."""
+    return Q.rule_counts(SI.reader(spark, sf_dir), SI.standin_rules())
+
+
+@query("dq_summary", f"""
+SELECT count(*) FILTER (WHERE ok) AS passed, count(*) FILTER (WHERE NOT ok) AS failed,
+       count(*) AS total
+FROM ({_report_sql(_PK_NULL_SQL + _UNIQUE_SQL + _ORPHAN_SQL + _NOT_EMPTY_SQL + _EXTRA_SQL)})""")
+def dq_summary(spark, sf_dir):
+    """Passed / failed / total of the rule report."""
+    return Q.summary(Q.rule_counts(SI.reader(spark, sf_dir), SI.standin_rules()))

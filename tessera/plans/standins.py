@@ -95,3 +95,61 @@ def land_claim_documents(spark: SparkSession, t, name: str = "claims-landing") -
     path = work_path(spark, name)
     claim_documents(t("orders"), t("lineitem")).write.mode("error").text(path)
     return path
+
+
+# Keys of the driver tables: table -> (primary key, ((fk, parent, parent key), ...)).
+KEYS = {
+    "region": (("r_regionkey",), ()),
+    "nation": (("n_nationkey",), (("n_regionkey", "region", "r_regionkey"),)),
+    "customer": (("c_custkey",), (("c_nationkey", "nation", "n_nationkey"),)),
+    "supplier": (("s_suppkey",), (("s_nationkey", "nation", "n_nationkey"),)),
+    "part": (("p_partkey",), ()),
+    "orders": (("o_orderkey",), (("o_custkey", "customer", "c_custkey"),)),
+    "lineitem": (("l_orderkey", "l_linenumber"), (("l_orderkey", "orders", "o_orderkey"),
+                                                  ("l_partkey", "part", "p_partkey"),
+                                                  ("l_suppkey", "supplier", "s_suppkey"))),
+    "events": (("event_id",), ()),
+    "documents": (("doc_id",), ()),
+    "labels": (("doc_id",), (("doc_id", "documents", "doc_id"),)),
+    "conversations": (("conv_id", "turn"), ()),
+    "pages": (("page_id",), ()),
+    "benchmark": (("item_id",), ()),
+    "embeddings": (("vec_id",), ()),
+}
+# Coverage checks in the other direction (parent rows with no child row).
+REVERSE = (("claims_without_items", "orders", "o_orderkey", "lineitem", "l_orderkey"),
+           ("documents_without_label", "documents", "doc_id", "labels", "doc_id"))
+
+
+def standin_rules():
+    """The rule set over the driver tables (same families as the relational load check)."""
+    from tessera.operators import quality as Q
+
+    rules = [Q.pk_not_null(t, pk) for t, (pk, _) in KEYS.items()]
+    rules += [Q.unique(t, pk) for t, (pk, _) in KEYS.items()]
+    rules += [Q.no_orphans(t, (fk,), parent, (pk,)) for t, (_, fks) in KEYS.items()
+              for fk, parent, pk in fks]
+    rules += [Q.no_orphans(child, (fk,), parent, (pk,), name=name)
+              for name, child, fk, parent, pk in REVERSE]
+    rules += [Q.not_empty(t) for t in KEYS]
+    rules.append(Q.unique("customer", ("c_name",), name="unique[customer.c_name]"))
+    rules.append(Q.max_length("customer", "c_name", 20))
+    rules.append(Q.custom("date_order[lineitem]", "lineitem", date_order_offenders,
+                          "an item must not ship before its order date",
+                          order_by=("l_orderkey", "l_linenumber")))
+    rules.append(Q.row_rule("paid_zero_balance[orders]", "orders", paid_predicate,
+                            "a fulfilled order must have zero balance",
+                            ("o_orderkey", "o_orderstatus", "o_totalprice"),
+                            order_by=("o_orderkey",)))
+    return rules
+
+
+def paid_predicate():
+    return (F.upper("o_orderstatus") == "F") & (F.coalesce(F.col("o_totalprice"), F.lit(0)) != 0)
+
+
+def date_order_offenders(t) -> DataFrame:
+    """Items shipped before their order date (a cross-table column-order rule)."""
+    o = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    return (t("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(o, "l_orderkey")
+            .where(F.col("l_shipdate") < F.col("o_orderdate")))
