@@ -135,8 +135,12 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
 
 def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
                   pay_cols: list[str], max_fold: int = DEFAULT_MAX_FOLD,
-                  hot_partitions: int | None = None) -> DataFrame:
-    """One row per valid payment with seq, surcharge and new_balance (both paths exact)."""
+                  hot_partitions: int | None = None, has_hot: bool = True) -> DataFrame:
+    """One row per valid payment with seq, surcharge and new_balance (both paths exact).
+    ``has_hot=False`` (no bill above ``max_fold`` payments) leaves the streamed path out of
+    the plan."""
+    if not has_hot:
+        return _fold_small(valid, bill_key, order_cols, pay_cols)
     counts = valid.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
     tagged = valid.join(counts, bill_key, "inner")
     small = _fold_small(tagged.where(F.col("_n") <= max_fold), bill_key, order_cols, pay_cols)
@@ -146,6 +150,12 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     return small.unionByName(hot)
 
 
+def has_hot_bills(payments: DataFrame, bill_key: str, max_fold: int) -> bool:
+    """Any bill with more than ``max_fold`` payments? (partial counts, at most one row back)"""
+    return bool(payments.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > max_fold).limit(1).collect())
+
+
 def _log_text(amount: Column, method: Column, surcharge: Column, days: Column,
               new_balance: Column) -> Column:
     return F.format_string(LOG_TEMPLATE, amount.cast("string"),
@@ -176,14 +186,77 @@ def assign_ids(spark: SparkSession, rows: DataFrame, order_cols: list[str], base
             .drop("_pid", "_local", "_off"))
 
 
+class PaymentRun:
+    """Result of ``apply_payments``. The applied payments are staged once (Parquet in the work
+    folder), so the bills, the log and any retry read the same rows; ``log`` is built on first
+    use (it needs one extra pass to number the rows)."""
+
+    def __init__(self, spark, bills, payments, edit_log, rejects, applied, bill_key, order_cols,
+                 as_of_col, edited, set_paid_date, stage_path):
+        self._spark, self._bills, self._edit_log = spark, bills, edit_log
+        self.rejects = rejects
+        self.applied = applied
+        self._bill_key, self._order = bill_key, order_cols
+        self._as_of, self._edited, self._set_paid = as_of_col, edited, set_paid_date
+        self._stage = stage_path
+        self._log = None
+
+    @property
+    def bills(self) -> DataFrame:
+        k, bills = self._bill_key, self._bills
+        final = self.applied.groupBy(k).agg(
+            F.max_by(F.struct(F.col("new_balance").alias("_nb"),
+                              F.col("payment_method").alias("_pm")), F.col("seq")).alias("_last"))
+        b = bills.join(final.withColumnRenamed(k, "id"), "id", "left")
+        touched = F.col("_last").isNotNull()
+        paid_now = F.col("_last._nb") == 0
+        updates = {
+            "balance": F.when(touched, F.col("_last._nb").cast(bills.schema["balance"].dataType))
+                        .otherwise(F.col("balance")),
+            "status": F.when(touched & paid_now, F.lit(PAID_STATUS)).otherwise(F.col("status")),
+            "payment_method": F.when(touched, F.col("_last._pm")).otherwise(F.col("payment_method")),
+        }
+        if self._set_paid and "paid_date" in bills.columns:
+            updates["paid_date"] = F.when(touched & paid_now & F.col("paid_date").isNull(),
+                                          self._as_of).otherwise(F.col("paid_date"))
+        return b.select(*[updates.get(c, F.col(c)).alias(c) for c in bills.columns])
+
+    @property
+    def log_with_keys(self) -> DataFrame:
+        if self._log is None:
+            k = self._bill_key
+            rows = self.applied.select(
+                F.col(k), F.col("seq"), F.col("policy_id"),
+                F.lit(LOG_TABLE_NAME).alias("edited_table_name"), self._edited.alias("edited_date"),
+                _log_text(F.col("amount"), F.col("payment_method"), F.col("surcharge"),
+                          F.col("days_late"), F.col("new_balance")).alias("additional_info"),
+                F.col("edited_by"))
+            base = self._edit_log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+            self._log = assign_ids(self._spark, rows, [k, "seq"], int(base),
+                                   stage_path=f"{self._stage}/log")
+        return self._log
+
+    @property
+    def log(self) -> DataFrame:
+        return self.log_with_keys.select(*self._edit_log.columns)
+
+    @property
+    def edit_log(self) -> DataFrame:
+        return self._edit_log.unionByName(self.log)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+
 def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
                    edit_log: DataFrame, *, as_of: _dt.date | str,
                    edited_at: _dt.datetime | str | None = None,
                    order_cols: tuple[str, ...] = ("payment_id",), bill_key: str = "bill_id",
                    set_paid_date: bool = False, max_fold: int = DEFAULT_MAX_FOLD,
-                   stage_path: str | None = None) -> dict[str, DataFrame]:
-    """Returns {'bills': new bills, 'log': new log rows, 'edit_log': old + new log rows,
-    'rejects': rejected payments with reason, 'applied': one row per applied payment}."""
+                   stage_path: str | None = None) -> PaymentRun:
+    """Apply a batch of payments. Returns a ``PaymentRun`` with ``bills`` (rebuilt bills),
+    ``log`` (new edit-log rows), ``edit_log`` (old + new), ``rejects`` and ``applied``."""
+    stage = stage_path or work_path(spark, "payments")
     as_of_col = F.lit(str(as_of)).cast("date")
     edited = (F.lit(str(edited_at)).cast("timestamp_ntz") if edited_at is not None
               else F.current_timestamp().cast("timestamp_ntz"))
@@ -196,35 +269,10 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     order = list(order_cols)
     # Bill context travels with each payment, so no second join is needed after the fold.
     pay_cols = [c for c in payments.columns if c != bill_key] + ["policy_id", "days_late"]
+    hot = has_hot_bills(payments, bill_key, max_fold)
     applied = fold_payments(valid, bill_key=bill_key, order_cols=order, pay_cols=pay_cols,
-                            max_fold=max_fold)
-
-    final = applied.groupBy(bill_key).agg(
-        F.max_by(F.struct(F.col("new_balance").alias("_nb"),
-                          F.col("payment_method").alias("_pm")), F.col("seq")).alias("_last"))
-    b = bills.join(final.withColumnRenamed(bill_key, "id"), "id", "left")
-    paid_now = F.col("_last._nb") == 0
-    updates = {
-        "balance": F.when(F.col("_last").isNotNull(), F.col("_last._nb").cast(
-            bills.schema["balance"].dataType)).otherwise(F.col("balance")),
-        "status": F.when(F.col("_last").isNotNull() & paid_now, F.lit(PAID_STATUS))
-                   .otherwise(F.col("status")),
-        "payment_method": F.when(F.col("_last").isNotNull(), F.col("_last._pm"))
-                           .otherwise(F.col("payment_method")),
-    }
-    if set_paid_date and "paid_date" in bills.columns:
-        updates["paid_date"] = F.when(F.col("_last").isNotNull() & paid_now & F.col(
-            "paid_date").isNull(), as_of_col).otherwise(F.col("paid_date"))
-    new_bills = b.select(*[updates.get(c, F.col(c)).alias(c) for c in bills.columns])
-
-    log_rows = applied.select(
-        F.col(bill_key), F.col("seq"), F.col("policy_id"),
-        F.lit(LOG_TABLE_NAME).alias("edited_table_name"), edited.alias("edited_date"),
-        _log_text(F.col("amount"), F.col("payment_method"), F.col("surcharge"),
-                  F.col("days_late"), F.col("new_balance")).alias("additional_info"),
-        F.col("edited_by"))
-    base = edit_log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    with_ids = assign_ids(spark, log_rows, [bill_key, "seq"], int(base), stage_path=stage_path)
-    log = with_ids.select(*edit_log.columns)
-    return {"bills": new_bills, "log": log, "edit_log": edit_log.unionByName(log),
-            "rejects": rejects, "applied": applied, "log_with_keys": with_ids}
+                            max_fold=max_fold, has_hot=hot)
+    applied.write.mode("overwrite").parquet(f"{stage}/applied")
+    applied = spark.read.parquet(f"{stage}/applied")
+    return PaymentRun(spark, bills, payments, edit_log, rejects, applied, bill_key, order,
+                      as_of_col, edited, set_paid_date, stage)

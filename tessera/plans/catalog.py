@@ -263,3 +263,162 @@ FROM ({_report_sql(_PK_NULL_SQL + _UNIQUE_SQL + _ORPHAN_SQL + _NOT_EMPTY_SQL + _
 def dq_summary(spark, sf_dir):
     """Passed / failed / total of the rule report."""
     return Q.summary(Q.rule_counts(SI.reader(spark, sf_dir), SI.standin_rules()))
+
+
+# ----------------------------------------------------------------------------------------------
+# Late fee and payments
+# ----------------------------------------------------------------------------------------------
+from tessera.functions.scalars import late_fee_rate, register_sql_functions  # noqa: E402
+from tessera.operators.payments import apply_payments  # noqa: E402
+
+_RATE_SQL = """CASE WHEN {d} IS NULL OR {b} IS NULL THEN NULL
+            WHEN {d} <= 0 THEN CAST(0.000 AS DECIMAL(4,3)) WHEN {d} <= 15 THEN CAST(0.020 AS DECIMAL(4,3))
+            WHEN {d} <= 30 THEN CAST(0.050 AS DECIMAL(4,3)) ELSE CAST(0.100 AS DECIMAL(4,3)) END"""
+
+_LATE_FEE_SQL = f"""
+WITH x AS (
+  SELECT l.l_orderkey, l.l_linenumber, CAST(date_diff('day', o.o_orderdate, l.l_shipdate) AS INTEGER) AS days_late,
+         CAST(o.o_totalprice AS DECIMAL(10,2)) AS balance
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)
+SELECT l_orderkey, l_linenumber, days_late, balance, {_RATE_SQL.format(d='days_late', b='balance')} AS rate,
+       CAST(round(balance * ({_RATE_SQL.format(d='days_late', b='balance')}), 2) AS DECIMAL(12,2)) AS surcharge
+FROM x"""
+
+
+def _late_fee_input(spark, sf_dir):
+    t = SI.reader(spark, sf_dir)
+    o = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_totalprice")
+    return (t("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(o, "l_orderkey")
+            .select("l_orderkey", "l_linenumber",
+                    F.datediff("l_shipdate", "o_orderdate").alias("days_late"),
+                    F.col("o_totalprice").cast("decimal(10,2)").alias("balance")))
+
+
+@query("late_fee", _LATE_FEE_SQL)
+def late_fee(spark, sf_dir):
+    """U1 as a column expression: rate by days late (NULL-in -> NULL; negative balance raises)."""
+    x = _late_fee_input(spark, sf_dir)
+    rate = late_fee_rate("days_late", "balance")
+    return x.select("l_orderkey", "l_linenumber", "days_late", "balance", rate.alias("rate"),
+                    F.round(F.col("balance") * rate, 2).cast("decimal(12,2)").alias("surcharge"))
+
+
+@query("late_fee_sql_function", _LATE_FEE_SQL)
+def late_fee_sql_function(spark, sf_dir):
+    """U1 as a SQL function (inlined SQL body, no Python)."""
+    register_sql_functions(spark)
+    _late_fee_input(spark, sf_dir).createOrReplaceTempView("late_fee_input")
+    return spark.sql("""
+        SELECT l_orderkey, l_linenumber, days_late, balance,
+               fn_calculate_late_fee(days_late, balance) AS rate,
+               CAST(round(balance * fn_calculate_late_fee(days_late, balance), 2) AS DECIMAL(12,2)) AS surcharge
+        FROM late_fee_input""")
+
+
+_PAY_SQL_BASE = f"""
+WITH RECURSIVE
+b AS (SELECT o_orderkey AS id, o_custkey AS policy_id, CAST(o_orderdate AS DATE) + 30 AS due_date,
+             CAST(o_totalprice AS DECIMAL(10,2)) AS balance,
+             CASE o_orderstatus WHEN 'F' THEN 'Paid' WHEN 'O' THEN 'Pending' ELSE 'Overdue' END AS status
+      FROM orders),
+pay AS (SELECT l_orderkey AS bill_id, l_linenumber AS pay_line, l_partkey AS pay_part,
+               l_suppkey AS pay_supplier,
+               CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) - 2000, 2) AS DECIMAL(10,2)) AS amount,
+               CASE WHEN l_returnflag = 'R' THEN 'credit_card' WHEN l_returnflag = 'A' THEN 'bank_transfer'
+                    WHEN l_linestatus = 'O' THEN 'international_wire_transfer' ELSE 'cash' END AS payment_method,
+               'supplier-' || CAST(l_suppkey AS VARCHAR) AS edited_by
+        FROM lineitem),
+chk AS (SELECT pay.*, b.policy_id, b.balance AS start_balance, b.id IS NOT NULL AS found,
+               greatest(DATE '{SI.PAYMENTS_AS_OF}' - b.due_date, 0) AS days_late,
+               CASE WHEN b.id IS NULL THEN 'bill ' || CAST(pay.bill_id AS VARCHAR) || ' does not exist'
+                    WHEN pay.amount IS NULL OR pay.amount <= 0 THEN 'amount must be greater than zero'
+                    WHEN b.balance IS NULL THEN 'bill balance is NULL'
+                    WHEN b.balance < 0 THEN 'bill balance cannot be negative (got ' || CAST(b.balance AS VARCHAR) || ')'
+                    WHEN length(pay.payment_method) > 20 THEN 'payment_method longer than 20 characters'
+               END AS reject_reason
+        FROM pay LEFT JOIN b ON b.id = pay.bill_id),
+v AS (SELECT *, {_RATE_SQL.format(d='days_late', b='start_balance')} AS rate,
+             row_number() OVER (PARTITION BY bill_id ORDER BY pay_line, pay_part, pay_supplier, amount, payment_method) AS seq
+      FROM chk WHERE reject_reason IS NULL),
+r AS (SELECT bill_id, CAST(0 AS BIGINT) AS seq, CAST(max(start_balance) AS DECIMAL(12,2)) AS bal,
+             CAST(NULL AS DECIMAL(12,2)) AS surcharge
+      FROM v GROUP BY bill_id
+      UNION ALL
+      SELECT r.bill_id, v.seq,
+             CAST(greatest(r.bal + CAST(round(r.bal * v.rate, 2) AS DECIMAL(12,2)) - v.amount, 0) AS DECIMAL(12,2)),
+             CAST(round(r.bal * v.rate, 2) AS DECIMAL(12,2))
+      FROM r JOIN v ON v.bill_id = r.bill_id AND v.seq = r.seq + 1),
+applied AS (SELECT v.*, r.bal AS new_balance, r.surcharge FROM v JOIN r ON r.bill_id = v.bill_id AND r.seq = v.seq)
+"""
+
+
+@query("apply_payments_bills", _PAY_SQL_BASE + """
+, last AS (SELECT bill_id, arg_max(new_balance, seq) AS nb, arg_max(payment_method, seq) AS pm
+           FROM applied GROUP BY bill_id)
+SELECT b.id, b.policy_id, b.due_date,
+       CASE WHEN last.bill_id IS NULL THEN b.balance ELSE CAST(last.nb AS DECIMAL(10,2)) END AS balance,
+       CASE WHEN last.bill_id IS NOT NULL AND last.nb = 0 THEN 'Paid' ELSE b.status END AS status,
+       last.pm AS payment_method
+FROM b LEFT JOIN last ON last.bill_id = b.id""")
+def apply_payments_bills(spark, sf_dir):
+    """U2 set-based: bills after applying a batch of ordered payments."""
+    return _apply(spark, sf_dir)["bills"].select("id", "policy_id", "due_date", "balance", "status",
+                                                 "payment_method")
+
+
+@query("apply_payments_log", _PAY_SQL_BASE + f"""
+SELECT (SELECT max(o_orderkey) + 1 FROM orders) + row_number() OVER (ORDER BY bill_id, seq) AS id,
+       policy_id, 'Bill' AS edited_table_name, TIMESTAMP '{SI.PAYMENTS_EDITED_AT}' AS edited_date,
+       'Pago de ' || CAST(amount AS VARCHAR) || ' registrado vía ' || payment_method ||
+       '. Recargo por mora: ' || CAST(surcharge AS VARCHAR) || ' (' || CAST(days_late AS VARCHAR) ||
+       ' dias). Nuevo saldo: ' || CAST(new_balance AS VARCHAR) AS additional_info,
+       edited_by
+FROM applied""")
+def apply_payments_log(spark, sf_dir):
+    """U2 set-based: one edit-log row per applied payment, ids continuing the existing log."""
+    return _apply(spark, sf_dir)["log"]
+
+
+@query("payment_rejects", _PAY_SQL_BASE + """
+SELECT bill_id, pay_line, pay_part, pay_supplier, amount, payment_method, edited_by, reject_reason
+FROM chk WHERE reject_reason IS NOT NULL""")
+def payment_rejects(spark, sf_dir):
+    """Payments refused (unknown bill, amount <= 0, bad balance, method too long)."""
+    return _apply(spark, sf_dir)["rejects"]
+
+
+def _apply(spark, sf_dir, max_fold: int | None = None):
+    t = SI.reader(spark, sf_dir)
+    kw = {"max_fold": max_fold} if max_fold else {}
+    return apply_payments(spark, SI.bills(t), SI.payments(t), SI.edit_log(t),
+                          as_of=SI.PAYMENTS_AS_OF, edited_at=SI.PAYMENTS_EDITED_AT,
+                          order_cols=SI.PAYMENT_ORDER, **kw)
+
+
+@query("bills_of_policy", """
+SELECT o_orderkey AS id, o_custkey AS policy_id, CAST(o_orderdate AS DATE) + 30 AS due_date,
+       CAST(o_totalprice AS DECIMAL(10,2)) AS balance
+FROM orders WHERE o_custkey = 7""")
+def bills_of_policy(spark, sf_dir, policy_id: int = 7):
+    """P10: the access path 'bills of one policy ordered by due date' (a point lookup is the
+    feature; min/max statistics let the scan skip row groups)."""
+    b = SI.bills(SI.reader(spark, sf_dir))
+    return (b.where(F.col("policy_id") == policy_id)
+            .select("id", "policy_id", "due_date", "balance").orderBy("due_date", "id"))
+
+
+@query("time_to_pay", """
+WITH paid AS (SELECT l_orderkey, max(l_shipdate) AS paid_at FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey AS id, CAST(o.o_orderdate AS DATE) + 30 AS due_date,
+       CAST(p.paid_at AS DATE) AS paid_date,
+       CAST(CAST(p.paid_at AS DATE) - (CAST(o.o_orderdate AS DATE) + 30) AS INTEGER) AS days_to_pay
+FROM orders o LEFT JOIN paid p ON p.l_orderkey = o.o_orderkey
+WHERE o.o_orderstatus = 'F'""")
+def time_to_pay(spark, sf_dir):
+    """Days between due date and paid date for settled bills; unknown stays NULL."""
+    t = SI.reader(spark, sf_dir)
+    paid = t("lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("paid_at"))
+    b = SI.bills(t).where(F.col("status") == "Paid")
+    j = b.join(paid, b.id == paid.l_orderkey, "left")
+    return j.select("id", "due_date", F.col("paid_at").cast("date").alias("paid_date"),
+                    F.datediff(F.col("paid_at").cast("date"), F.col("due_date")).alias("days_to_pay"))

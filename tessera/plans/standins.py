@@ -153,3 +153,45 @@ def date_order_offenders(t) -> DataFrame:
     o = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     return (t("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(o, "l_orderkey")
             .where(F.col("l_shipdate") < F.col("o_orderdate")))
+
+
+# Payments stand-in: orders are bills, line items are payments made against them.
+PAYMENTS_AS_OF = "1998-08-02"
+PAYMENTS_EDITED_AT = "1998-08-02 12:00:00"
+PAYMENT_ORDER = ("pay_line", "pay_part", "pay_supplier", "amount", "payment_method")
+
+
+def bills(t) -> DataFrame:
+    o = t("orders")
+    return o.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("policy_id"),
+        F.date_add(F.col("o_orderdate").cast("date"), 30).alias("due_date"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("balance"),
+        F.when(F.col("o_orderstatus") == "F", "Paid").when(F.col("o_orderstatus") == "O", "Pending")
+        .otherwise("Overdue").alias("status"),
+        F.lit(None).cast("string").alias("payment_method"),
+        F.col("o_orderdate").alias("created_date"))
+
+
+def payments(t) -> DataFrame:
+    li = t("lineitem")
+    method = (F.when(F.col("l_returnflag") == "R", "credit_card")
+              .when(F.col("l_returnflag") == "A", "bank_transfer")
+              .when(F.col("l_linestatus") == "O", "international_wire_transfer")
+              .otherwise("cash"))
+    return li.select(
+        F.col("l_orderkey").alias("bill_id"), F.col("l_linenumber").alias("pay_line"),
+        F.col("l_partkey").alias("pay_part"), F.col("l_suppkey").alias("pay_supplier"),
+        F.round(F.col("l_extendedprice").cast("decimal(12,2)")
+                * (1 - F.col("l_discount").cast("decimal(4,2)")) - 2000, 2).cast("decimal(10,2)")
+        .alias("amount"),
+        method.alias("payment_method"),
+        F.concat(F.lit("supplier-"), F.col("l_suppkey").cast("string")).alias("edited_by"))
+
+
+def edit_log(t) -> DataFrame:
+    """Existing log: one creation entry per bill, ids 1..n."""
+    o = t("orders")
+    return o.select((F.col("o_orderkey") + 1).alias("id"), F.col("o_custkey").alias("policy_id"),
+                    F.lit("Bill").alias("edited_table_name"), F.col("o_orderdate").alias("edited_date"),
+                    F.lit("created").alias("additional_info"), F.lit("seed").alias("edited_by"))
