@@ -109,7 +109,7 @@ def lenient_cast(spec: ColumnSpec, c: Column) -> Column:
     """CSV field -> declared type, NULL when the text does not parse (for on_error=continue)."""
     if spec.kind in ("text", "varchar20"):
         return c
-    return F.try_cast(c, spec.spark_type) if hasattr(F, "try_cast") else c.try_cast(spec.spark_type)
+    return c.try_cast(spec.spark_type)
 
 
 def _c(name, kind, nn=False, type_=None):
