@@ -56,14 +56,9 @@ def masked(df: DataFrame, table: str, role: str | Column | None = None,
 
 
 def declare_role(spark: SparkSession, role: str) -> None:
-    """Set the session role used by views created with role=None."""
+    """Set the session role used by views and projections created with role=None."""
     spark.sql("DECLARE OR REPLACE VARIABLE active_role STRING DEFAULT NULL")
-    spark.sql("SET VAR active_role = ?", args=[role]) if _supports_args(spark) else \
-        spark.sql(f"SET VAR active_role = '{role.replace(chr(39), '')}'")
-
-
-def _supports_args(spark: SparkSession) -> bool:
-    return True
+    spark.sql("SET VAR active_role = :role", args={"role": role})
 
 
 def register_views_for(spark: SparkSession, role: str, tables: dict[str, DataFrame]) -> list[str]:

@@ -623,3 +623,117 @@ def variant_schema_report(spark, sf_dir):
     from tessera.operators.drift import variant_schema_report as report
     e = SI.reader(spark, sf_dir)("events")
     return report(e.select(F.parse_json("props").alias("raw")))
+
+
+# ----------------------------------------------------------------------------------------------
+# Masking (G1-G3, U3, U4)
+# ----------------------------------------------------------------------------------------------
+from tessera.functions.scalars import ROLE_ANALYST, ROLE_MANAGER  # noqa: E402
+from tessera.operators import masking as M  # noqa: E402
+
+_PERSON_SQL = """
+WITH p AS (SELECT c_custkey, c_name AS party_name,
+                  '+57-3' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS party_phone,
+                  c_mktsegment || ' district ' || CAST(c_nationkey AS VARCHAR) AS party_address
+           FROM customer)
+SELECT c_custkey, party_name, {phone} AS party_phone, {address} AS party_address FROM p"""
+
+
+def _masked_persons(spark, sf_dir, role):
+    p = SI.persons(SI.reader(spark, sf_dir))
+    return M.masked(p, M.STAGING, role)
+
+
+@query("mask_analyst", _PERSON_SQL.format(phone="party_phone", address="party_address"))
+def mask_analyst(spark, sf_dir):
+    """G1: the analyst role sees phone and address in full."""
+    return _masked_persons(spark, sf_dir, ROLE_ANALYST)
+
+
+@query("mask_manager", _PERSON_SQL.format(phone="left(party_phone, 7) || '-***-****'",
+                                          address="'*** direccion protegida ***'"))
+def mask_manager(spark, sf_dir):
+    """The manager sees a 7-character phone prefix (NULL stays NULL), no address."""
+    return _masked_persons(spark, sf_dir, ROLE_MANAGER)
+
+
+@query("mask_other", _PERSON_SQL.format(phone="'+**-***-***-****'",
+                                        address="'*** direccion protegida ***'"))
+def mask_other(spark, sf_dir):
+    """G1 closed default: any other role (administrators included) gets constants."""
+    return _masked_persons(spark, sf_dir, "ACCOUNTADMIN")
+
+
+@query("masked_view_session_role", _PERSON_SQL.format(phone="left(party_phone, 7) || '-***-****'",
+                                                      address="'*** direccion protegida ***'"))
+def masked_view_session_role(spark, sf_dir):
+    """A masked temp view driven by the session variable ``active_role``; only views
+    the role may read are registered."""
+    p = SI.persons(SI.reader(spark, sf_dir))
+    M.declare_role(spark, ROLE_MANAGER)
+    view = f"persons_{uuid.uuid4().hex[:8]}"
+    M.masked(p, M.STAGING, None).createOrReplaceTempView(view)
+    return spark.table(view)
+
+
+# ----------------------------------------------------------------------------------------------
+# Incremental ingest
+# ----------------------------------------------------------------------------------------------
+from tessera.streaming.ingest import read_landing, run_ingest  # noqa: E402
+from tessera.plans.audit import run_history as _run_history  # noqa: E402
+
+
+def _two_runs(spark, sf_dir, extra_empty_run=False):
+    """Land all claims but those of the last year, run; land the last year, run again."""
+    t = SI.reader(spark, sf_dir)
+    root = work_path(spark, "ingest")
+    o, li = t("orders"), t("lineitem")
+    last = o.agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
+    SI.claim_documents(o.where(F.year("o_orderdate") < last), li).write.text(f"{root}/src/run1")
+    schema = _schema_name("raw_json")
+    from tessera.plans.publish import ensure_database
+    ensure_database(spark, schema, root)
+    staging = f"{schema}.stg_claims_flattened"
+
+    def rebuild(landing):
+        return flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True, keep=("batch_id",))
+
+    glob = f"{root}/src/*/"
+    r1 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging)
+    SI.claim_documents(o.where(F.year("o_orderdate") == last), li).write.text(f"{root}/src/run2")
+    r2 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging)
+    if extra_empty_run:
+        run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging)
+    if not (r1.ok and r2.ok):
+        raise RuntimeError(r1.error or r2.error)
+    return root, staging
+
+
+@query("incremental_ingest", """
+SELECT o.o_orderkey AS claim_id, l.l_partkey AS item_part, l.l_linenumber AS item_line,
+       CAST(CASE WHEN year(o.o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) THEN 1 ELSE 0 END AS BIGINT) AS batch_id
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey""")
+def incremental_ingest(spark, sf_dir):
+    """S20+W1+W2: two stream runs; each file lands once, in the batch of the run that found it;
+    the staging table is rebuilt after each successful root run."""
+    _, staging = _two_runs(spark, sf_dir)
+    return spark.table(staging).select("claim_id", "item_part", "item_line", "batch_id")
+
+
+@query("landing_batches", """
+SELECT CAST(CASE WHEN year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) THEN 1 ELSE 0 END AS BIGINT) AS batch_id,
+       count(*) AS claims
+FROM orders GROUP BY 1""")
+def landing_batches(spark, sf_dir):
+    """Claims landed per micro-batch (documents of one claim counted once)."""
+    root, _ = _two_runs(spark, sf_dir)
+    land = read_landing(spark, f"{root}/landing/claims")
+    return (land.select("batch_id", F.variant_get("raw", "$.claim_id", "bigint").alias("claim_id"))
+            .groupBy("batch_id").agg(F.count_distinct("claim_id").alias("claims")))
+
+
+@query("run_history")
+def run_history(spark, sf_dir):
+    """Run history of the last 6 hours, newest first, top 10 (rows-only: times vary)."""
+    root, _ = _two_runs(spark, sf_dir, extra_empty_run=True)
+    return _run_history(spark, root).select("name", "state", "error_message")

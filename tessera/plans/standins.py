@@ -195,3 +195,13 @@ def edit_log(t) -> DataFrame:
     return o.select((F.col("o_orderkey") + 1).alias("id"), F.col("o_custkey").alias("policy_id"),
                     F.lit("Bill").alias("edited_table_name"), F.col("o_orderdate").alias("edited_date"),
                     F.lit("created").alias("additional_info"), F.lit("seed").alias("edited_by"))
+
+
+def persons(t) -> DataFrame:
+    """Customers as involved persons with a phone and an address derived from their keys."""
+    c = t("customer")
+    phone = F.concat(F.lit("+57-3"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("-"),
+                     F.lpad(F.col("c_custkey").cast("string"), 7, "0"))
+    address = F.concat(F.col("c_mktsegment"), F.lit(" district "), F.col("c_nationkey").cast("string"))
+    return c.select("c_custkey", F.col("c_name").alias("party_name"), phone.alias("party_phone"),
+                    address.alias("party_address"))
