@@ -31,8 +31,7 @@ def query(key: str, oracle: str | None = None):
 
 
 def _staged_claims(spark: SparkSession, sf_dir: str, outer: bool = True) -> DataFrame:
-    t = SI.reader(spark, sf_dir)
-    landing = read_json_documents(spark, SI.land_claim_documents(spark, t), outer_array=False)
+    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
     return flatten(landing, SI.ORDER_CLAIM_SPEC, outer=outer)
 
 
@@ -111,8 +110,7 @@ SELECT count(*) AS claims, sum(greatest(n, 1)) AS staged_rows,
 FROM f""")
 def flatten_reconcile(spark, sf_dir):
     """landing vs staging: staged rows = sum(max(1, items)) and no claim missing."""
-    t = SI.reader(spark, sf_dir)
-    landing = read_json_documents(spark, SI.land_claim_documents(spark, t), outer_array=False)
+    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
     staged = flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True)
     return reconcile(landing, staged, SI.ORDER_CLAIM_SPEC, "claim_id").drop("documents")
 
@@ -612,8 +610,7 @@ def backfill_dimension(spark, sf_dir):
 @query("stage_listing")
 def stage_listing(spark, sf_dir):
     """Staged files with size and modification time (rows-only: sizes are not SQL)."""
-    t = SI.reader(spark, sf_dir)
-    path = SI.land_claim_documents(spark, t, "listing")
+    path = SI.land_claim_documents(spark, sf_dir)
     return list_files(spark, path, "*.txt").select("name", "size", "last_modified")
 
 

@@ -90,11 +90,20 @@ def claim_documents(orders: DataFrame, lineitem: DataFrame,
     return docs.select(F.to_json(doc, JSON_OPTIONS).alias("value"))
 
 
-def land_claim_documents(spark: SparkSession, t, name: str = "claims-landing") -> str:
-    """Write the stand-in claim documents as NDJSON files; returns the folder."""
-    path = work_path(spark, name)
-    claim_documents(t("orders"), t("lineitem")).write.mode("error").text(path)
-    return path
+_LANDED: dict[tuple, str] = {}
+
+
+def land_claim_documents(spark: SparkSession, sf_dir: str, name: str = "claims-landing") -> str:
+    """Write the stand-in claim documents as NDJSON files once per application and input
+    folder (the inputs are read-only, so the landing is reused like any landed file set);
+    returns the folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _LANDED:
+        t = reader(spark, sf_dir)
+        path = work_path(spark, name)
+        claim_documents(t("orders"), t("lineitem")).write.mode("error").text(path)
+        _LANDED[key] = path
+    return _LANDED[key]
 
 
 # Keys of the driver tables: table -> (primary key, ((fk, parent, parent key), ...)).
