@@ -734,3 +734,156 @@ def run_history(spark, sf_dir):
     """Run history of the last 6 hours, newest first, top 10 (rows-only: times vary)."""
     root, _ = _two_runs(spark, sf_dir, extra_empty_run=True)
     return _run_history(spark, root).select("name", "state", "error_message")
+
+
+# ----------------------------------------------------------------------------------------------
+# Seeds, presence, schema evolution, lookups, second document source (S3-S6, S17, D7, D8, F1,
+# F6, F7, J5, P11)
+# ----------------------------------------------------------------------------------------------
+from tessera.operators.flatten import REPAIR_SPEC, one_row_per_key, project_document  # noqa: E402
+from tessera.plans.migrate import add_columns, change_column_type  # noqa: E402
+from tessera.plans.seed import presence_report, rebuild_from_seeds  # noqa: E402
+from tessera.sources.readers import preview  # noqa: E402
+
+
+def _write_seeds(spark, t, names, root):
+    paths = {}
+    for n in names:
+        cols = t(n).columns
+        path = f"{root}/seed/{n}"
+        t(n).select(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in cols]))
+                    .alias("value")).write.text(path)
+        paths[n] = path
+    return paths
+
+
+@query("seed_rebuild_counts", " UNION ALL ".join(
+    f"SELECT 'raw_seed.{n}' AS table_name, count(*) AS expected_rows, count(*) AS rows FROM {n}"
+    for n in RELATIONAL_STANDINS))
+def seed_rebuild_counts(spark, sf_dir):
+    """S3+S4: rebuild all seven tables from all-string seed files in one unit (parents first,
+    every write verified against the expected count before any table is swapped)."""
+    t = SI.reader(spark, sf_dir)
+    root = work_path(spark, "seed-rebuild")
+    seeds = _write_seeds(spark, t, RELATIONAL_STANDINS, root)
+    expected = {n: r["n"] for n in RELATIONAL_STANDINS
+                for r in [t(n).agg(F.count(F.lit(1)).alias("n")).first()]}
+    schema = _schema_name("raw_seed")
+    out = rebuild_from_seeds(spark, {n: _contract(t, n) for n in RELATIONAL_STANDINS}, seeds,
+                             root, schema=schema, expected=expected, multi_line=False)
+    return out.withColumn("table_name", F.regexp_replace("table_name", f"^{schema}", "raw_seed"))
+
+
+@query("table_presence", " UNION ALL ".join(
+    [f"SELECT 'raw_p.{n}' AS table_name, count(*) AS rows FROM {n}" for n in RELATIONAL_STANDINS]
+    + ["SELECT 'raw_p.vehicle' AS table_name, CAST(-1 AS BIGINT) AS rows"]))
+def table_presence(spark, sf_dir):
+    """Presence and row count per expected table without writing; -1 when missing."""
+    t = SI.reader(spark, sf_dir)
+    root = work_path(spark, "presence")
+    schema = _schema_name("raw_p")
+    from tessera.plans.publish import ensure_database
+    ensure_database(spark, schema, root)
+    for n in RELATIONAL_STANDINS:
+        t(n).createOrReplaceTempView(f"src_{n}")
+        spark.sql(f"CREATE TABLE {schema}.{n} USING parquet LOCATION '{root}/{n}' "
+                  f"AS SELECT * FROM src_{n}")
+    rep = presence_report(spark, [f"{schema}.{n}" for n in RELATIONAL_STANDINS + ("vehicle",)])
+    return rep.withColumn("table_name", F.regexp_replace("table_name", f"^{schema}", "raw_p"))
+
+
+@query("schema_evolution", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CAST(CASE WHEN o_orderpriority IS NULL THEN NULL ELSE CAST(left(o_orderpriority, 1) AS INTEGER) END AS VARCHAR) AS priority_code,
+       CAST(NULL AS VARCHAR) AS payment_method
+FROM orders""")
+def schema_evolution(spark, sf_dir):
+    """D7+D8: add a nullable column (old rows read NULL, nothing rewritten), then change a
+    column's type by writing a new version with the cast and swapping it in."""
+    t = SI.reader(spark, sf_dir)
+    root = work_path(spark, "evolve")
+    name = f"{_schema_name()}.orders"
+    from tessera.plans.publish import ensure_database
+    ensure_database(spark, name.split(".")[0], root)
+    publish(spark, t("orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority_code")), name, root)
+    add_columns(spark, name, {"payment_method": "STRING"})
+    change_column_type(spark, name, "priority_code", "string", root)
+    return spark.table(name)
+
+
+@query("claim_headers", """
+SELECT o_orderkey AS claim_id, o_custkey AS policy_number, o_orderstatus AS claim_status,
+       o_totalprice AS estimated_damage_usd, o_orderdate AS reported_at, o_orderpriority AS incident_type
+FROM orders""")
+def claim_headers(spark, sf_dir):
+    """Document-level typed paths, one row per claim."""
+    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
+    heads = project_document(landing, SI.ORDER_CLAIM_SPEC)
+    cols = [f.name for f in SI.ORDER_CLAIM_SPEC.doc_fields if f.name != "claim_id"]
+    return one_row_per_key(heads, "claim_id", cols)
+
+
+@query("claims_with_vehicle", """
+SELECT o.o_orderkey AS claim_id, l.l_partkey AS item_part, p.p_brand AS vehicle_brand
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey""")
+def claims_with_vehicle(spark, sf_dir):
+    """Flattened claims joined to the vehicle dimension on its business key."""
+    t = SI.reader(spark, sf_dir)
+    staged = _staged_claims(spark, sf_dir, outer=False)
+    vehicles = t("part").select(F.col("p_partkey").alias("item_part"),
+                                F.col("p_brand").alias("vehicle_brand"))
+    return staged.join(vehicles, "item_part").select("claim_id", "item_part", "vehicle_brand")
+
+
+@query("policy_lookup", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_name = 'Customer#000000007'""")
+def policy_lookup(spark, sf_dir, policy_number: str = "Customer#000000007"):
+    """Point lookup by business key (pushed to the scan; min/max statistics prune)."""
+    c = SI.reader(spark, sf_dir)("customer")
+    return c.where(F.col("c_name") == policy_number).select("c_custkey", "c_name", "c_mktsegment")
+
+
+def _repair_landing(spark, sf_dir):
+    t = SI.reader(spark, sf_dir)
+    path = work_path(spark, "repair")
+    SI.repair_documents(t("orders"), t("lineitem")).write.text(path)
+    return read_json_documents(spark, path, outer_array=False)
+
+
+@query("repair_flatten", """
+SELECT CAST(o.o_orderkey AS VARCHAR) AS claim_id, CAST(o.o_custkey AS VARCHAR) AS policy_number,
+       o.o_orderdate AS reported_at, o.o_orderpriority AS claim_type, o.o_orderstatus AS status,
+       'adjuster' || CAST(o.o_custkey AS VARCHAR) || '@example.com' AS adjuster_email,
+       CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'AG-' || CAST(o.o_custkey AS VARCHAR) END AS adjuster_agency,
+       CAST(coalesce(s.total, 0) AS DECIMAL(12,2)) AS estimated_total_cost,
+       CAST(l.l_partkey AS VARCHAR) AS part, l.l_returnflag AS damage_severity,
+       l.l_quantity AS labor_hours, CAST(l.l_extendedprice AS DECIMAL(12,2)) AS estimated_cost
+FROM orders o
+LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+LEFT JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS total FROM lineitem GROUP BY 1) s
+  ON s.l_orderkey = o.o_orderkey""")
+def repair_flatten(spark, sf_dir):
+    """second nested source; optional nested key gives NULL, 'Z' timestamps as NTZ."""
+    return flatten(_repair_landing(spark, sf_dir), REPAIR_SPEC, outer=True).drop(
+        "_source_file", "_source_path", "_loaded_at")
+
+
+@query("repair_total_rule", """
+SELECT CAST(NULL AS VARCHAR) AS claim_id, CAST(NULL AS DECIMAL(18,2)) AS total,
+       CAST(NULL AS DECIMAL(38,2)) AS line_sum WHERE false""")
+def repair_total_rule(spark, sf_dir):
+    """declared total = sum of line costs holds for every repair document (0 offenders)."""
+    landing = _repair_landing(spark, sf_dir)
+    heads = project_document(landing, REPAIR_SPEC)
+    lines = flatten(landing, REPAIR_SPEC, outer=False)
+    out = line_total_offenders(heads, lines, "claim_id", "estimated_total_cost", "estimated_cost")
+    return out.select("claim_id", "total", F.col("line_sum").cast("decimal(38,2)").alias("line_sum"))
+
+
+@query("landing_preview")
+def landing_preview(spark, sf_dir):
+    """Look at landed files in place before loading (any 3 rows; rows-only)."""
+    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
+    return preview(landing.select(F.col("raw").cast("string").alias("doc")), 3)

@@ -55,12 +55,18 @@ def stage_version(df: DataFrame, table: str, root: str, version: str | None = No
 
 
 def swap(spark: SparkSession, v: Version) -> None:
-    """Point the catalog table at the new version (create it on first publish)."""
+    """Point the catalog table at the new version (create it on first publish). Same schema:
+    ``SET LOCATION``. Changed schema (a type change): the external table definition is
+    replaced (drop + create; the data folders are not touched)."""
     if spark.catalog.tableExists(v.table):
-        spark.sql(f"ALTER TABLE {v.table} SET LOCATION '{v.path}'")
-        spark.sql(f"REFRESH TABLE {v.table}")
-    else:
-        spark.sql(f"CREATE TABLE {v.table} USING parquet LOCATION '{v.path}'")
+        new_schema = spark.read.parquet(v.path).schema
+        if [(f.name, f.dataType) for f in spark.table(v.table).schema] == \
+                [(f.name, f.dataType) for f in new_schema]:
+            spark.sql(f"ALTER TABLE {v.table} SET LOCATION '{v.path}'")
+            spark.sql(f"REFRESH TABLE {v.table}")
+            return
+        spark.sql(f"DROP TABLE {v.table}")
+    spark.sql(f"CREATE TABLE {v.table} USING parquet LOCATION '{v.path}'")
 
 
 def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,

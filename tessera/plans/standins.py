@@ -214,3 +214,30 @@ def persons(t) -> DataFrame:
     address = F.concat(F.col("c_mktsegment"), F.lit(" district "), F.col("c_nationkey").cast("string"))
     return c.select("c_custkey", F.col("c_name").alias("party_name"), phone.alias("party_phone"),
                     address.alias("party_address"))
+
+
+def repair_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Repair-claim documents: nested ``adjuster`` struct whose ``agency`` key is present only
+    for urgent claims (NULL fields are left out of the JSON), timestamps with a 'Z' suffix,
+    a declared total equal to the sum of the line costs, and the repair lines."""
+    lines = lineitem.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(
+            F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("damage_severity"),
+            F.col("l_quantity").alias("labor_hours"),
+            F.col("l_extendedprice").cast("decimal(12,2)").alias("estimated_cost"))).alias("items"),
+        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("total"))
+    d = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    doc = F.struct(
+        F.col("o_orderkey").cast("string").alias("claim_id"),
+        F.col("o_custkey").cast("string").alias("policy_number"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("reported_at"),
+        F.col("o_orderpriority").alias("claim_type"), F.col("o_orderstatus").alias("status"),
+        F.struct(F.concat(F.lit("adjuster"), F.col("o_custkey").cast("string"),
+                          F.lit("@example.com")).alias("email"),
+                 F.when(F.col("o_orderpriority") == "1-URGENT",
+                        F.concat(F.lit("AG-"), F.col("o_custkey").cast("string"))).alias("agency"))
+        .alias("adjuster"),
+        F.coalesce(F.col("total"), F.lit(0).cast("decimal(22,2)")).alias("estimated_total_cost"),
+        F.coalesce(F.col("items"), F.array().cast(lines.schema["items"].dataType))
+        .alias("repair_line_items"))
+    return d.select(F.to_json(doc).alias("value"))
