@@ -100,6 +100,17 @@ def mask_address(c, role) -> Column:
     return F.when(r == ROLE_ANALYST, v).otherwise(F.lit(ADDRESS_HIDDEN))
 
 
+def mask_phone_sql(c: str, role: str) -> str:
+    """SQL text of ``mask_phone`` (for views that must re-read a session variable)."""
+    return (f"CASE WHEN {role} = '{ROLE_ANALYST}' THEN {c} "
+            f"WHEN {role} = '{ROLE_MANAGER}' THEN concat(substring({c}, 1, {PHONE_PREFIX_CHARS}), "
+            f"'{PHONE_MANAGER_SUFFIX}') ELSE '{PHONE_HIDDEN}' END")
+
+
+def mask_address_sql(c: str, role: str) -> str:
+    return f"CASE WHEN {role} = '{ROLE_ANALYST}' THEN {c} ELSE '{ADDRESS_HIDDEN}' END"
+
+
 def late_fee_sql_body() -> str:
     bands = " ".join(f"WHEN days <= {bound} THEN CAST({rate} AS {RATE_TYPE})"
                      for bound, rate in LATE_FEE_BANDS)

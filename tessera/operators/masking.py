@@ -13,7 +13,9 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import ROLE_ANALYST, ROLE_MANAGER, mask_address, mask_phone
+from tessera.functions.scalars import (
+    ROLE_ANALYST, ROLE_MANAGER, mask_address, mask_address_sql, mask_phone, mask_phone_sql,
+)
 
 STAGING = "stg_claims_flattened"
 LANDING = "raw_claims"
@@ -24,6 +26,12 @@ POLICIES: dict[tuple[str, str], Callable[[Column, Column], Column]] = {
     (STAGING, "party_address"): mask_address,
 }
 
+# Same policies as SQL text, for views that re-read the session role on every query.
+SQL_POLICIES: dict[tuple[str, str], Callable[[str, str], str]] = {
+    (STAGING, "party_phone"): mask_phone_sql,
+    (STAGING, "party_address"): mask_address_sql,
+}
+
 # role -> tables it may read (closed default: unknown roles read nothing).
 ACCESS: dict[str, frozenset[str]] = {
     ROLE_ANALYST: frozenset({STAGING}),
@@ -56,9 +64,24 @@ def masked(df: DataFrame, table: str, role: str | Column | None = None,
 
 
 def declare_role(spark: SparkSession, role: str) -> None:
-    """Set the session role used by views and projections created with role=None."""
-    spark.sql("DECLARE OR REPLACE VARIABLE active_role STRING DEFAULT NULL")
-    spark.sql("SET VAR active_role = :role", args={"role": role})
+    """Set the session role read by masked views (declared on first use)."""
+    try:
+        spark.sql("SET VAR active_role = :role", args={"role": role})
+    except Exception:  # noqa: BLE001 - not declared yet in this session
+        spark.sql("DECLARE VARIABLE active_role STRING DEFAULT NULL")
+        spark.sql("SET VAR active_role = :role", args={"role": role})
+
+
+def create_masked_view(spark: SparkSession, source_view: str, view: str, table: str,
+                       columns: list[str]) -> None:
+    """A SQL temp view over ``source_view`` whose masks read ``active_role`` at query time,
+    so the same view shows different values after ``SET VAR active_role``."""
+    exprs = []
+    for c in columns:
+        mask = SQL_POLICIES.get((table, c))
+        exprs.append(f"{mask(f'`{c}`', 'active_role')} AS `{c}`" if mask else f"`{c}`")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT {', '.join(exprs)} "
+              f"FROM {source_view}")
 
 
 def register_views_for(spark: SparkSession, role: str, tables: dict[str, DataFrame]) -> list[str]:

@@ -667,9 +667,11 @@ def masked_view_session_role(spark, sf_dir):
     """A masked temp view driven by the session variable ``active_role``; only views
     the role may read are registered."""
     p = SI.persons(SI.reader(spark, sf_dir))
-    M.declare_role(spark, ROLE_MANAGER)
-    view = f"persons_{uuid.uuid4().hex[:8]}"
-    M.masked(p, M.STAGING, None).createOrReplaceTempView(view)
+    M.declare_role(spark, ROLE_ANALYST)
+    src, view = f"persons_src_{uuid.uuid4().hex[:8]}", f"persons_{uuid.uuid4().hex[:8]}"
+    p.createOrReplaceTempView(src)
+    M.create_masked_view(spark, src, view, M.STAGING, p.columns)
+    M.declare_role(spark, ROLE_MANAGER)  # the view re-reads the role at query time
     return spark.table(view)
 
 
