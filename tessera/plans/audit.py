@@ -26,6 +26,16 @@ def record(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     spark.createDataFrame(data, AUDIT_SCHEMA).write.mode("append").parquet(audit_path(root))
 
 
+def record_frame(root: str, df: DataFrame) -> None:
+    """Append audit rows computed by Spark (table_name, file, rows, status, error): per-file
+    rows never pass through the driver."""
+    df.select(F.expr("uuid()").alias("id"), F.upper("table_name").alias("table_name"),
+              F.col("file").cast("string"), F.col("rows").cast("bigint"),
+              F.col("status").cast("string"), F.col("error").cast("string"),
+              F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")) \
+        .write.mode("append").parquet(audit_path(root))
+
+
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path(root))
 

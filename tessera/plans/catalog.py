@@ -878,7 +878,8 @@ SELECT CAST(NULL AS VARCHAR) AS claim_id, CAST(NULL AS DECIMAL(18,2)) AS total,
 def repair_total_rule(spark, sf_dir):
     """declared total = sum of line costs holds for every repair document (0 offenders)."""
     landing = _repair_landing(spark, sf_dir)
-    heads = project_document(landing, REPAIR_SPEC)
+    heads = one_row_per_key(project_document(landing, REPAIR_SPEC), "claim_id",
+                            ["estimated_total_cost"])
     lines = flatten(landing, REPAIR_SPEC, outer=False)
     out = line_total_offenders(heads, lines, "claim_id", "estimated_total_cost", "estimated_cost")
     return out.select("claim_id", "total", F.col("line_sum").cast("decimal(38,2)").alias("line_sum"))

@@ -119,28 +119,39 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
                                                keep=(LINEAGE,)), contract)
             rej = None
         v = stage_version(good, table, root, expected_rows=expected_rows)
-        per_file = {r[LINEAGE]: r["rows"] for r in
-                    A.per_file_counts(spark.read.parquet(v.path).select(LINEAGE)).collect()}
-        rej_files = ({r["file"]: r["rows"] for r in A.per_file_counts(
-            spark.read.parquet(rej.path), "file").collect()} if rej and rej.rows else {})
         swap(spark, v)
     except Exception as e:  # noqa: BLE001 - every load error is reported, never raised
         msg = str(e).split("\n")[0][:2000]
         A.record(spark, root, [(contract.name, f"{file_label}.gz" if source_path.endswith(".gz")
                                 else file_label, 0, A.LOAD_FAILED, msg)])
         return LoadResult(table, False, A.LOAD_FAILED, 0, msg)
-    files = sorted(set(per_file) | set(rej_files))
-    if not files:  # header-only source: the load succeeded with zero rows
-        files = [file_label]
-    A.record(spark, root, [
-        (contract.name, f, per_file.get(f, 0),
-         A.PARTIALLY_LOADED if rej_files.get(f) else A.LOADED,
-         f"{rej_files[f]} row(s) rejected" if rej_files.get(f) else None) for f in files])
     n_rej = rej.rows if rej else 0
+    _audit_files(spark, root, contract.name, v, rej, file_label)
     status = A.PARTIALLY_LOADED if n_rej else A.LOADED
     return LoadResult(table, True, status, v.rows, None, v.path, n_rej)
 
 
+def _audit_files(spark: SparkSession, root: str, name: str, v, rej, file_label: str) -> None:
+    """One audit row per source file: rows loaded from the version's lineage column, rows
+    rejected from the rejects version; computed and appended by Spark."""
+    if v.rows == 0 and not (rej and rej.rows):  # header-only source: one row for the table
+        A.record(spark, root, [(name, file_label, 0, A.LOADED, None)])
+        return
+    loaded = (spark.read.parquet(v.path).groupBy(F.col(LINEAGE).alias("file"))
+              .agg(F.count(F.lit(1)).alias("rows")))
+    if rej and rej.rows:
+        rejected = (spark.read.parquet(rej.path).groupBy("file")
+                    .agg(F.count(F.lit(1)).alias("rejected")))
+        per_file = loaded.join(rejected, "file", "full")
+    else:
+        per_file = loaded.withColumn("rejected", F.lit(None).cast("bigint"))
+    partial = F.coalesce(F.col("rejected"), F.lit(0)) > 0
+    A.record_frame(root, per_file.select(
+        F.lit(name).alias("table_name"), "file", F.coalesce(F.col("rows"), F.lit(0)).alias("rows"),
+        F.when(partial, F.lit(A.PARTIALLY_LOADED)).otherwise(F.lit(A.LOADED)).alias("status"),
+        F.when(partial, F.format_string("%d row(s) rejected", F.col("rejected"))).alias("error")))
+
+
 def load_all(spark: SparkSession, contracts: dict[str, TableContract], sources: dict[str, str],
              root: str, *, only: str | None = None, **kw) -> DataFrame:
     """Load every table (parents first, as listed) or one; returns one result row per table.

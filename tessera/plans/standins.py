@@ -60,25 +60,30 @@ ORDER_CLAIM_SPEC = DocumentSpec(
 )
 
 
+def chunked_lists(rows: DataFrame, key: str, item, max_items: int = MAX_ITEMS_PER_DOCUMENT,
+                  name: str = "items") -> DataFrame:
+    """(key, chunk, list of items): the items of one key spread over ceil(n/max_items) chunks
+    by a hash of a per-row id, so no list (and no grouping task) is unbounded. The row id is
+    taken right at the scan, so a retried task recomputes the same ids."""
+    li = rows.select(key, F.monotonically_increasing_id().alias("_uid"), item.alias("_item"))
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
+    return (li.join(sizes, key)
+            .withColumn("_chunk", F.pmod(F.xxhash64("_uid"), chunks))
+            .groupBy(key, "_chunk").agg(F.collect_list("_item").alias(name)))
+
+
 def claim_documents(orders: DataFrame, lineitem: DataFrame,
                     max_items: int = MAX_ITEMS_PER_DOCUMENT) -> DataFrame:
     """One JSON text per (claim, item chunk); claims without items get one document with an
-    empty array. Chunks: items of a claim are spread by a hash of a per-row id over
-    ceil(n/max_items) chunks (the row id is taken right at the scan, so a retried task
-    recomputes the same ids)."""
-    li = lineitem.select(
-        "l_orderkey", F.monotonically_increasing_id().alias("_uid"),
-        F.struct(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"),
-                 F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity"),
-                 F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"),
-                 F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("return_flag"),
-                 F.col("l_linestatus").alias("line_status"),
-                 F.col("l_shipdate").alias("shipped_at")).alias("item"))
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
-    items = (li.join(sizes, "l_orderkey")
-             .withColumn("_chunk", F.pmod(F.xxhash64("_uid"), chunks))
-             .groupBy("l_orderkey", "_chunk").agg(F.collect_list("item").alias("items")))
+    empty array."""
+    item = F.struct(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"),
+                    F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity"),
+                    F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"),
+                    F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("return_flag"),
+                    F.col("l_linestatus").alias("line_status"),
+                    F.col("l_shipdate").alias("shipped_at"))
+    items = chunked_lists(lineitem, "l_orderkey", item, max_items)
     docs = orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
     doc = F.struct(
         F.col("o_orderkey").alias("claim_id"), F.col("o_custkey").alias("policy_number"),
@@ -216,17 +221,20 @@ def persons(t) -> DataFrame:
                     address.alias("party_address"))
 
 
-def repair_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def repair_documents(orders: DataFrame, lineitem: DataFrame,
+                     max_items: int = MAX_ITEMS_PER_DOCUMENT) -> DataFrame:
     """Repair-claim documents: nested ``adjuster`` struct whose ``agency`` key is present only
     for urgent claims (NULL fields are left out of the JSON), timestamps with a 'Z' suffix,
-    a declared total equal to the sum of the line costs, and the repair lines."""
-    lines = lineitem.groupBy("l_orderkey").agg(
-        F.collect_list(F.struct(
-            F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("damage_severity"),
-            F.col("l_quantity").alias("labor_hours"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("estimated_cost"))).alias("items"),
+    a declared total equal to the sum of all the claim's line costs (repeated on every
+    document of a claim split into chunks), and the repair lines."""
+    item = F.struct(F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("damage_severity"),
+                    F.col("l_quantity").alias("labor_hours"),
+                    F.col("l_extendedprice").cast("decimal(12,2)").alias("estimated_cost"))
+    lines = chunked_lists(lineitem, "l_orderkey", item, max_items)
+    totals = lineitem.groupBy(F.col("l_orderkey").alias("_tk")).agg(
         F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("total"))
-    d = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    d = (orders.join(totals, orders.o_orderkey == totals._tk, "left")
+         .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
     doc = F.struct(
         F.col("o_orderkey").cast("string").alias("claim_id"),
         F.col("o_custkey").cast("string").alias("policy_number"),
