@@ -76,3 +76,18 @@ def test_session_role_view(spark):
     M.declare_role(spark, ROLE_MANAGER)
     row = spark.table("v_roles").first()
     assert (row["party_phone"], row["party_address"]) == ("+57-301-***-****", "*** direccion protegida ***")
+
+
+def test_not_null_rules_from_strict_ddl(spark):
+    rules = Q.contract_rules(RELATIONAL, not_null_columns=True)
+    names = {r.name for r in rules}
+    assert "not_null[policy.policy_number]" in names and "not_null[bill.due_date]" in names
+    assert "not_null[bill.balance]" not in names  # nullable in the strict schema
+    t = fixture_tables(spark)
+    bad = {"policy": t("policy").union(spark.createDataFrame(
+        [(3, None, dt.date(2026, 1, 1), dt.date(2026, 2, 1), None, None, True, None, TS)],
+        RELATIONAL["policy"].struct))}
+    rep = {r["name"]: r["n_offenders"] for r in Q.rule_counts(
+        lambda n: bad.get(n) or t(n), rules).collect()}
+    assert rep["not_null[policy.policy_number]"] == 1
+    assert rep["max_length[bill.payment_method]"] == 0
