@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.drift import SchemaDriftError, check_drift, table_columns
 from tessera.plans import audit as A
+from tessera.session import error_text
 from tessera.plans.publish import ensure_database, stage_version, swap
 from tessera.sources.contracts import TableContract
 from tessera.sources.readers import DEFAULT_CSV, CsvContract, csv_header, typed_by_name
@@ -87,7 +88,7 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
     try:
         header = csv_header(spark, source_path, fmt)
     except AnalysisException as e:
-        msg = str(e).split("\n")[0]
+        msg = error_text(e, 500)
         kind = "missing source" if "PATH_NOT_FOUND" in msg else "no files processed"
         A.record(spark, root, [(contract.name, None, 0, A.LOAD_FAILED, f"{kind}: {msg}")])
         return LoadResult(table, False, A.LOAD_FAILED, 0, f"{kind}: {msg}")
@@ -121,7 +122,7 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
         v = stage_version(good, table, root, expected_rows=expected_rows)
         swap(spark, v)
     except Exception as e:  # noqa: BLE001 - every load error is reported, never raised
-        msg = str(e).split("\n")[0][:2000]
+        msg = error_text(e)
         A.record(spark, root, [(contract.name, f"{file_label}.gz" if source_path.endswith(".gz")
                                 else file_label, 0, A.LOAD_FAILED, msg)])
         return LoadResult(table, False, A.LOAD_FAILED, 0, msg)

@@ -55,3 +55,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the shared work root for one job's files."""
     return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def error_text(e: BaseException, limit: int = 2000) -> str:
+    """The informative line of a Spark/py4j error (the first line is often only the py4j call)."""
+    lines = [ln.strip() for ln in str(e).splitlines() if ln.strip()]
+    for ln in lines:
+        if ln.startswith(("org.apache.spark", "pyspark.", "[")) or "Exception:" in ln:
+            return ln[:limit]
+    return (lines[0] if lines else type(e).__name__)[:limit]

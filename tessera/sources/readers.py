@@ -42,6 +42,8 @@ class CsvContract:
                 .option("ignoreLeadingWhiteSpace", False)
                 .option("ignoreTrailingWhiteSpace", False)
                 .option("inferSchema", False)
+                # every file's header must match the names (never bind later files by position)
+                .option("enforceSchema", False)
                 .option("nullValue", "")
                 .option("emptyValue", "")
                 .option("mode", mode))
@@ -59,7 +61,7 @@ def read_csv_strings(spark: SparkSession, path: str, fmt: CsvContract = DEFAULT_
 def csv_header(spark: SparkSession, path: str, fmt: CsvContract = DEFAULT_CSV) -> list[str]:
     """Column names of the CSV header (parsed by the CSV parser, so quoted commas are safe).
     Spark checks every file's header against the first when ``enforceSchema`` is off."""
-    return fmt.reader(spark).option("enforceSchema", False).load(path).columns
+    return fmt.reader(spark).load(path).columns
 
 
 def _by_name(df: DataFrame) -> dict[str, str]:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans import audit as A
+from tessera.session import error_text
 from tessera.plans.publish import Version, publish
 
 ROOT_TASK = "ingest_claims_root"
@@ -98,7 +99,7 @@ def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
                                          outer_array=outer_array)
         A.record_run(spark, root, ROOT_TASK, "SUCCEEDED", started, _now())
     except Exception as e:  # noqa: BLE001 - recorded and returned; the child does not run
-        msg = str(e).split("\n")[0][:2000]
+        msg = error_text(e)
         A.record_run(spark, root, ROOT_TASK, "FAILED", started, _now(), msg)
         return IngestRun(False, 0, 0, msg)
     staged = None
@@ -108,7 +109,7 @@ def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
             staged = publish(spark, rebuild(read_landing(spark, landing)), staging_table, root)
             A.record_run(spark, root, CHILD_TASK, "SUCCEEDED", child_start, _now())
         except Exception as e:  # noqa: BLE001
-            msg = str(e).split("\n")[0][:2000]
+            msg = error_text(e)
             A.record_run(spark, root, CHILD_TASK, "FAILED", child_start, _now(), msg)
             return IngestRun(False, batches, rows, msg)
     return IngestRun(True, batches, rows, None, staged)

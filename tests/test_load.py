@@ -141,3 +141,17 @@ def test_publish_all_is_all_or_nothing(spark, tmp_path):
     assert (spark.table("pub_t2.a").count(), spark.table("pub_t2.b").count()) == (10, 10)
     publish_all(spark, {"pub_t2.a": spark.range(20), "pub_t2.b": spark.range(20)}, root)
     assert (spark.table("pub_t2.a").count(), spark.table("pub_t2.b").count()) == (20, 20)
+
+
+def test_part_files_with_different_column_order_are_not_scrambled(spark, tmp_path):
+    root = str(tmp_path / "store")
+    d = tmp_path / "parts"
+    write(d / "part-1.csv", HEADER, ROWS[:1])
+    cols = HEADER.split(",")
+    write(d / "part-2.csv", ",".join(reversed(cols)), [",".join(reversed(ROWS[0].split(",")))])
+    r = load_table(spark, BILL, str(d), root, schema="raw_t6")
+    if r.ok:  # loaded: every row must carry the same values, bound by name
+        rows = spark.table("raw_t6.bill").collect()
+        assert len(rows) == 2 and rows[0]["balance"] == rows[1]["balance"]
+    else:  # refused: mismatched headers are an error, never a silent scramble
+        assert "part-2.csv" in r.error or "header" in r.error.lower()
