@@ -96,6 +96,11 @@ def flatten(landing: DataFrame, spec: DocumentSpec, *, column: str = "raw", oute
                            *[_get(item, f, strict) for f in spec.item_fields])
 
 
+def with_flattened_at(staged: DataFrame) -> DataFrame:
+    """Staging rows carry the time they were flattened (a default-valued column)."""
+    return staged.withColumn("_flattened_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
 def expected_flatten_rows(landing: DataFrame, spec: DocumentSpec, column: str = "raw") -> Column:
     """Per-document number of rows the outer flatten must produce: max(1, array size)."""
     n = F.size(F.variant_get(F.col(column), spec.array_path, "array<variant>"))

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import claims as C
-from tessera.operators.flatten import expected_flatten_rows, flatten, line_total_offenders, reconcile
+from tessera.operators.flatten import (
+    expected_flatten_rows, flatten, line_total_offenders, reconcile, with_flattened_at,
+)
 from tessera.plans import standins as SI
 from tessera.sources.readers import read_json_documents
 
@@ -710,7 +712,8 @@ def _two_runs(spark, sf_dir, extra_empty_run=False):
     staging = f"{schema}.stg_claims_flattened"
 
     def rebuild(landing):
-        return flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True, keep=("batch_id",))
+        return with_flattened_at(flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True,
+                                         keep=("batch_id",)))
 
     glob = f"{root}/src/*/"
     r1 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging)
