@@ -19,11 +19,21 @@ def audit_path(root: str) -> str:
     return f"{root}/control/load_audit"
 
 
+def _batch(path: str) -> str:
+    """Each append writes its own new sub-folder, so concurrent writers (parallel table loads,
+    several jobs) never share a commit folder; readers list the folder recursively."""
+    return f"{path}/batch-{uuid.uuid4().hex}"
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
 def record(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     """Append audit rows (table, file, rows, status, error); ids are run-unique uuids."""
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     data = [(uuid.uuid4().hex, t.upper(), f, n, s, e, now) for t, f, n, s, e in rows]
-    spark.createDataFrame(data, AUDIT_SCHEMA).write.mode("append").parquet(audit_path(root))
+    spark.createDataFrame(data, AUDIT_SCHEMA).write.mode("error").parquet(_batch(audit_path(root)))
 
 
 def record_frame(root: str, df: DataFrame) -> None:
@@ -33,11 +43,11 @@ def record_frame(root: str, df: DataFrame) -> None:
               F.col("file").cast("string"), F.col("rows").cast("bigint"),
               F.col("status").cast("string"), F.col("error").cast("string"),
               F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")) \
-        .write.mode("append").parquet(audit_path(root))
+        .write.mode("error").parquet(_batch(audit_path(root)))
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path(root))
+    return _read(spark, audit_path(root), AUDIT_SCHEMA)
 
 
 def latest(audit: DataFrame, n: int = 20) -> DataFrame:
@@ -64,13 +74,13 @@ def record_run(spark: SparkSession, root: str, name: str, state: str,
                scheduled: _dt.datetime, completed: _dt.datetime | None,
                error: str | None = None) -> None:
     spark.createDataFrame([(name, state, scheduled, completed, error)], RUN_SCHEMA) \
-        .write.mode("append").parquet(run_history_path(root))
+        .write.mode("error").parquet(_batch(run_history_path(root)))
 
 
 def run_history(spark: SparkSession, root: str, *, name: str | None = None,
                 hours: int = 6, limit: int = 10) -> DataFrame:
     """Runs of the last ``hours`` hours, newest first, at most ``limit``."""
-    h = spark.read.schema(RUN_SCHEMA).parquet(run_history_path(root))
+    h = _read(spark, run_history_path(root), RUN_SCHEMA)
     since = (F.current_timestamp() - F.make_interval(hours=F.lit(hours))).cast("timestamp_ntz")
     if name:
         h = h.where(F.col("name") == name)

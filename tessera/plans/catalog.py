@@ -678,6 +678,36 @@ def mask_other(spark, sf_dir):
     return _masked_persons(spark, sf_dir, "ACCOUNTADMIN")
 
 
+def _one_column_sql(col, expr):
+    return _PERSON_SQL.format(phone="party_phone", address="party_address").replace(
+        "SELECT c_custkey, party_name, party_phone AS party_phone, party_address AS party_address FROM p",
+        f"SELECT c_custkey, {expr} AS {col} FROM p")
+
+
+@query("mask_phone_analyst", _one_column_sql("party_phone", "party_phone"))
+def mask_phone_analyst(spark, sf_dir):
+    """U3 for the analyst: the full phone."""
+    return _masked_persons(spark, sf_dir, ROLE_ANALYST).select("c_custkey", "party_phone")
+
+
+@query("mask_phone_manager", _one_column_sql("party_phone", "left(party_phone, 7) || '-***-****'"))
+def mask_phone_manager(spark, sf_dir):
+    """U3 for the manager: prefix + fixed suffix."""
+    return _masked_persons(spark, sf_dir, ROLE_MANAGER).select("c_custkey", "party_phone")
+
+
+@query("mask_phone_other", _one_column_sql("party_phone", "'+**-***-***-****'"))
+def mask_phone_other(spark, sf_dir):
+    """U3 closed default for any other role."""
+    return _masked_persons(spark, sf_dir, "ACCOUNTADMIN").select("c_custkey", "party_phone")
+
+
+@query("mask_address", _one_column_sql("party_address", "'*** direccion protegida ***'"))
+def mask_address_query(spark, sf_dir):
+    """U4: the address is hidden from every role but the analyst (manager shown)."""
+    return _masked_persons(spark, sf_dir, ROLE_MANAGER).select("c_custkey", "party_address")
+
+
 @query("masked_view_session_role", _PERSON_SQL.format(phone="left(party_phone, 7) || '-***-****'",
                                                       address="'*** direccion protegida ***'"))
 def masked_view_session_role(spark, sf_dir):

@@ -38,14 +38,18 @@ def write_csv(df: DataFrame, path: str, *, column_order: list[str] | None = None
 
 
 def extract_tables(tables: dict[str, DataFrame], out_dir: str, only: str | None = None,
-                   compression: str | None = None) -> dict[str, str]:
+                   compression: str | None = None, parallel: int = 4) -> dict[str, str]:
     """Extract every table (or only one) to ``out_dir/<table>``; returns table -> path.
-    Tables are independent jobs; ``SELECT *`` semantics, so new source columns flow through."""
-    paths = {}
-    for name, df in tables.items():
-        if only and name != only:
-            continue
+    ``SELECT *`` semantics, so new source columns flow through. Tables are independent jobs,
+    submitted from a small thread pool."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = [n for n in tables if not only or n == only]
+
+    def one(name: str) -> str:
         path = f"{out_dir}/{name}"
-        write_csv(df, path, compression=compression, mode="overwrite")
-        paths[name] = path
-    return paths
+        write_csv(tables[name], path, compression=compression, mode="overwrite")
+        return path
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(zip(names, pool.map(one, names)))
