@@ -32,8 +32,14 @@ def query(key: str, oracle: str | None = None):
     return register
 
 
-def _staged_claims(spark: SparkSession, sf_dir: str, outer: bool = True) -> DataFrame:
-    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
+def _staged_claims(spark: SparkSession, sf_dir: str, outer: bool = True,
+                   from_json: bool = False) -> DataFrame:
+    """Flattened claims, from the JSON files (``from_json``) or the Parquet landing table."""
+    if from_json:
+        landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir),
+                                      outer_array=False)
+    else:
+        landing = SI.claim_landing_table(spark, sf_dir)
     return flatten(landing, SI.ORDER_CLAIM_SPEC, outer=outer)
 
 
@@ -49,13 +55,15 @@ _FLAT_COLS = """
 @query("flatten_outer", f"SELECT {_FLAT_COLS} FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey")
 def flatten_outer(spark, sf_dir):
     """S18+S19+J4+F3: documents landed as VARIANT, outer flatten (claims without items kept)."""
-    return _staged_claims(spark, sf_dir, outer=True).drop("_source_file", "_source_path", "_loaded_at")
+    return _staged_claims(spark, sf_dir, outer=True, from_json=True).drop(
+        "_source_file", "_source_path", "_loaded_at")
 
 
 @query("flatten_inner", f"SELECT {_FLAT_COLS} FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey")
 def flatten_inner(spark, sf_dir):
     """J3+F2: inner flatten; a document with an empty array yields no row."""
-    return _staged_claims(spark, sf_dir, outer=False).drop("_source_file", "_source_path", "_loaded_at")
+    return _staged_claims(spark, sf_dir, outer=False, from_json=True).drop(
+        "_source_file", "_source_path", "_loaded_at")
 
 
 @query("variant_paths", """
@@ -120,7 +128,7 @@ SELECT count(*) AS claims, sum(greatest(n, 1)) AS staged_rows,
 FROM f""")
 def flatten_reconcile(spark, sf_dir):
     """landing vs staging: staged rows = sum(max(1, items)) and no claim missing."""
-    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
+    landing = SI.claim_landing_table(spark, sf_dir)
     staged = flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True)
     return reconcile(landing, staged, SI.ORDER_CLAIM_SPEC, "claim_id").drop("documents")
 
@@ -869,8 +877,7 @@ SELECT o_orderkey AS claim_id, o_custkey AS policy_number, o_orderstatus AS clai
 FROM orders""")
 def claim_headers(spark, sf_dir):
     """Document-level typed paths, one row per claim."""
-    landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
-    heads = project_document(landing, SI.ORDER_CLAIM_SPEC)
+    heads = project_document(SI.claim_landing_table(spark, sf_dir), SI.ORDER_CLAIM_SPEC)
     cols = [f.name for f in SI.ORDER_CLAIM_SPEC.doc_fields if f.name != "claim_id"]
     return one_row_per_key(heads, "claim_id", cols)
 

@@ -221,6 +221,24 @@ def persons(t) -> DataFrame:
                     address.alias("party_address"))
 
 
+_LANDING_TABLES: dict[tuple, str] = {}
+
+
+def claim_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed claim documents as a Parquet landing table (VARIANT column + lineage),
+    written once per application and input folder from the JSON files; analytic queries read
+    this instead of parsing JSON again."""
+    from tessera.sources.readers import read_json_documents
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDING_TABLES:
+        path = work_path(spark, "claims-landing-table")
+        read_json_documents(spark, land_claim_documents(spark, sf_dir), outer_array=False) \
+            .write.mode("error").parquet(path)
+        _LANDING_TABLES[key] = path
+    return spark.read.parquet(_LANDING_TABLES[key])
+
+
 def repair_documents(orders: DataFrame, lineitem: DataFrame,
                      max_items: int = MAX_ITEMS_PER_DOCUMENT) -> DataFrame:
     """Repair-claim documents: nested ``adjuster`` struct whose ``agency`` key is present only
