@@ -11,8 +11,10 @@ Plan:
 2. Payments of one bill depend on each other (the surcharge applies to the running balance), so
    they are folded in order. Bills with at most ``max_fold`` payments: ``aggregate()`` over the
    bill's sorted payment array (JVM higher-order function, bounded array). Bills with more
-   ("hot" bills): an exact streamed fold in ``mapInPandas`` over rows range-partitioned by bill
-   and sorted by payment order; state is one balance, never the bill's whole payment list.
+   ("hot" bills) that are not overdue (rate 0): the balance is max(start - running sum, 0), an
+   exact distributed prefix sum over range partitions. Hot overdue bills: an exact streamed
+   fold in ``mapInPandas`` over rows range-partitioned by bill and sorted by payment order;
+   state is one balance, never the bill's whole payment list.
 3. Per-bill result = last payment by order (``max_by``, partial aggregation). Bills are rebuilt
    by a join (Parquet has no MERGE) and the log rows are appended.
 4. Log ids: max(existing id) + global ordinal over (bill, payment order). The rows are
@@ -133,12 +135,44 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
     return src.mapInPandas(fold, schema)
 
 
+def _fold_hot_prefix(valid: DataFrame, bill_key: str, order_cols: list[str],
+                     pay_cols: list[str], n_partitions: int) -> DataFrame:
+    """Hot bills that are not overdue (rate 0): each new balance is max(start - running sum of
+    amounts, 0), an exact distributed prefix sum. Rows are range-partitioned by (bill, payment
+    order), so a hot bill spreads over many tasks; running sums are taken inside each
+    (bill, partition) piece (bounded by a partition), and each piece is offset by the totals of
+    the bill's earlier pieces (one row per piece)."""
+    cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
+    ranged = (valid.select(*cols, "_start_balance")
+              .repartitionByRange(n_partitions, bill_key, *order_cols)
+              .withColumn("_pid", F.spark_partition_id()))
+    piece = Window.partitionBy(bill_key, "_pid").orderBy(*order_cols)
+    local = (ranged.withColumn("_lsum", F.sum("amount").over(
+                 piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("_lrn", F.row_number().over(piece)))
+    totals = ranged.groupBy(bill_key, "_pid").agg(F.sum("amount").alias("_psum"),
+                                                   F.count(F.lit(1)).alias("_pcnt"))
+    before = Window.partitionBy(bill_key).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select(bill_key, "_pid",
+                            F.coalesce(F.sum("_psum").over(before), F.lit(0)).alias("_soff"),
+                            F.coalesce(F.sum("_pcnt").over(before), F.lit(0)).alias("_coff"))
+    j = local.join(offsets, [bill_key, "_pid"])
+    paid = F.col("_soff") + F.col("_lsum")
+    return j.select(*cols, (F.col("_coff") + F.col("_lrn")).cast("int").alias("seq"),
+                    F.lit(0).cast(BAL).alias("surcharge"),
+                    _dec(F.greatest(_dec(F.col("_start_balance")) - paid, F.lit(0)))
+                    .alias("new_balance"))
+
+
 def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
                   pay_cols: list[str], max_fold: int = DEFAULT_MAX_FOLD,
                   hot_partitions: int | None = None, has_hot: bool = True) -> DataFrame:
-    """One row per valid payment with seq, surcharge and new_balance (both paths exact).
-    ``has_hot=False`` (no bill above ``max_fold`` payments) leaves the streamed path out of
-    the plan."""
+    """One row per valid payment with seq, surcharge and new_balance (all paths exact).
+    ``has_hot=False`` (no bill above ``max_fold`` payments) leaves the hot paths out of the
+    plan. Hot bills that are not overdue use the distributed prefix sum; hot overdue bills
+    (the surcharge compounds on the rounded running balance, a strictly sequential
+    recurrence) use the streamed fold, one task per bill with constant memory."""
     if not has_hot:
         return _fold_small(valid, bill_key, order_cols, pay_cols)
     counts = valid.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
@@ -146,8 +180,10 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     small = _fold_small(tagged.where(F.col("_n") <= max_fold), bill_key, order_cols, pay_cols)
     spark = valid.sparkSession
     n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = _fold_hot(tagged.where(F.col("_n") > max_fold), bill_key, order_cols, pay_cols, n)
-    return small.unionByName(hot)
+    hot = tagged.where(F.col("_n") > max_fold)
+    prefix = _fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key, order_cols, pay_cols, n)
+    streamed = _fold_hot(hot.where(F.col("_rate") > 0), bill_key, order_cols, pay_cols, n)
+    return small.unionByName(prefix).unionByName(streamed)
 
 
 def has_hot_bills(payments: DataFrame, bill_key: str, max_fold: int) -> bool:

@@ -76,3 +76,20 @@ def test_log_ids_follow_bill_and_payment_order(spark):
     rows = sorted(r.log_with_keys.collect(), key=lambda x: x["id"])
     assert [x["id"] for x in rows] == list(range(501, 600))
     assert [(x["bill_id"], x["seq"]) for x in rows] == sorted((x["bill_id"], x["seq"]) for x in rows)
+
+
+def test_hot_bills_not_overdue_use_prefix_sum_and_match_fold(spark):
+    """Future due dates (rate 0) and past due dates (rate > 0) mixed; a small max_fold sends
+    both kinds through the hot paths; every output must equal the plain fold."""
+    bills = ([(i, i, dt.date(2026, 12, 1), d("400.00"), "Pending", None) for i in range(1, 4)]
+             + [(i, i, dt.date(2026, 6, 1), d("900.00"), "Overdue", None) for i in range(4, 6)])
+    pays = [(k, 1 + k % 5, d(f"{3 + k % 17}.{k % 100:02d}"), "cash", "a") for k in range(1, 300)]
+    a = run(spark, bills, pays)
+    b = run(spark, bills, pays, max_fold=2)
+    key = ("bill_id", "payment_id", "seq", "surcharge", "new_balance")
+    got_a = sorted(tuple(r[k] for k in key) for r in a.applied.collect())
+    got_b = sorted(tuple(r[k] for k in key) for r in b.applied.collect())
+    assert got_a == got_b
+    assert any(r[3] == 0 for r in got_b) and any(r[3] > 0 for r in got_b)
+    assert any(r[4] == 0 for r in got_b)  # some bills were paid off
+    assert sorted(a.bills.collect()) == sorted(b.bills.collect())
