@@ -142,15 +142,18 @@ def _audit_files(spark: SparkSession, root: str, name: str, v, rej, file_label:
               .agg(F.count(F.lit(1)).alias("rows")))
     if rej and rej.rows:
         rejected = (spark.read.parquet(rej.path).groupBy("file")
-                    .agg(F.count(F.lit(1)).alias("rejected")))
+                    .agg(F.count(F.lit(1)).alias("rejected"),
+                         F.min(F.concat_ws(": ", "column", "reason")).alias("first_error")))
         per_file = loaded.join(rejected, "file", "full")
     else:
-        per_file = loaded.withColumn("rejected", F.lit(None).cast("bigint"))
+        per_file = (loaded.withColumn("rejected", F.lit(None).cast("bigint"))
+                    .withColumn("first_error", F.lit(None).cast("string")))
     partial = F.coalesce(F.col("rejected"), F.lit(0)) > 0
     A.record_frame(root, per_file.select(
         F.lit(name).alias("table_name"), "file", F.coalesce(F.col("rows"), F.lit(0)).alias("rows"),
         F.when(partial, F.lit(A.PARTIALLY_LOADED)).otherwise(F.lit(A.LOADED)).alias("status"),
-        F.when(partial, F.format_string("%d row(s) rejected", F.col("rejected"))).alias("error")))
+        F.when(partial, F.format_string("%d row(s) rejected; first error: %s", F.col("rejected"),
+                                        F.col("first_error"))).alias("error")))
 
 
 def load_all(spark: SparkSession, contracts: dict[str, TableContract], sources: dict[str, str],

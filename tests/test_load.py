@@ -91,8 +91,11 @@ def test_continue_mode_splits_rejects(spark, tmp_path):
     r = load_table(spark, BILL, write(tmp_path / "x" / "b.csv", HEADER, ROWS + bad), root,
                    schema="raw_t4", on_error="continue")
     assert r.ok and r.status == "PARTIALLY_LOADED" and r.rows == 3 and r.rejects == 2
-    statuses = {x["status"] for x in A.read_audit(spark, root).collect()}
-    assert statuses == {"PARTIALLY_LOADED"}
+    audit = A.read_audit(spark, root).collect()
+    assert {x["status"] for x in audit} == {"PARTIALLY_LOADED"}
+    assert audit[0]["error"].startswith("2 row(s) rejected; first error: ")
+    rej = spark.read.parquet(f"{root}/raw_t4/bill__rejects/*").collect()
+    assert sorted(r["column"] for r in rej) == ["balance", "payment_method"]
 
 
 def test_missing_header_only_and_gzip(spark, tmp_path):
