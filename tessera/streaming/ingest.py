@@ -15,6 +15,7 @@ run history.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -57,6 +58,19 @@ def document_stream(spark: SparkSession, source_glob: str, *, outer_array: bool
     return df
 
 
+def write_landing_batch(batch: DataFrame, batch_id: int, landing_path: str) -> int:
+    """Write one micro-batch into its own ``batch_id`` partition (dynamic overwrite): a batch
+    replayed after a failure replaces its partition instead of adding a second copy.
+    Returns the rows written (observed on the write itself)."""
+    out = batch.select("*", F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"),
+                       F.lit(batch_id).cast("bigint").alias("batch_id"))
+    obs = Observation(f"landing_{batch_id}_{uuid.uuid4().hex[:6]}")
+    (out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+     .parquet(landing_path))
+    return int(obs.get["n"])
+
+
 def ingest_new_files(spark: SparkSession, source_glob: str, landing_path: str,
                      checkpoint: str, *, outer_array: bool = False,
                      max_files_per_trigger: int | None = None) -> tuple[int, int]:
@@ -64,14 +78,8 @@ def ingest_new_files(spark: SparkSession, source_glob: str, landing_path: str,
     stats = {"batches": 0, "rows": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select("*", F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"),
-                           F.lit(batch_id).cast("bigint").alias("batch_id"))
-        obs = Observation(f"landing_{batch_id}")
-        (out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(landing_path))
+        stats["rows"] += write_landing_batch(batch, batch_id, landing_path)
         stats["batches"] += 1
-        stats["rows"] += int(obs.get["n"])
 
     stream = document_stream(spark, source_glob, outer_array=outer_array,
                              max_files_per_trigger=max_files_per_trigger)

@@ -56,3 +56,27 @@ def test_malformed_file_fails_root_and_skips_child(spark, tmp_path):
     assert not spark.catalog.tableExists("rj_t2.stg")
     hist = A.run_history(spark, root).collect()
     assert [(h["name"], h["state"]) for h in hist] == [("ingest_claims_root", "FAILED")]
+
+
+def test_replayed_batch_leaves_one_copy_and_max_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tessera.streaming.ingest import ingest_new_files, write_landing_batch
+
+    landing = str(tmp_path / "landing")
+    batch = spark.range(5).select(F.parse_json(F.to_json(F.struct("id"))).alias("raw"))
+    assert write_landing_batch(batch, 0, landing) == 5
+    assert write_landing_batch(spark.range(3).select(F.parse_json(F.to_json(F.struct("id")))
+                                                     .alias("raw")), 1, landing) == 3
+    assert write_landing_batch(batch, 0, landing) == 5  # replay of batch 0
+    counts = {r["batch_id"]: r["count"] for r in
+              spark.read.parquet(landing).groupBy("batch_id").count().collect()}
+    assert counts == {0: 5, 1: 3}
+
+    src = tmp_path / "src" / "w"
+    src.mkdir(parents=True)
+    for i in range(3):
+        (src / f"f{i}.json").write_text(docs(range(i * 10, i * 10 + 2)))
+    b, n = ingest_new_files(spark, str(tmp_path / "src") + "/*/", str(tmp_path / "land2"),
+                            str(tmp_path / "ck2"), max_files_per_trigger=1)
+    assert (b, n) == (3, 6)
