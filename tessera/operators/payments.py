@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import RATE_TYPE, late_fee_rate
+from tessera.functions.scalars import late_fee_rate
 from tessera.session import work_path
 
 # ---------------------------------------------------------------------------------------------

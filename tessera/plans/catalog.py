@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import claims as C
 from tessera.operators.flatten import (
-    expected_flatten_rows, flatten, line_total_offenders, reconcile, with_flattened_at,
+    flatten, line_total_offenders, reconcile, with_flattened_at,
 )
 from tessera.plans import standins as SI
 from tessera.sources.readers import read_json_documents

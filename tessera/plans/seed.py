@@ -8,7 +8,6 @@ swapped. Any failure leaves every table on its previous version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.plans.publish import ensure_database, publish_all, table_counts
 from tessera.sources.contracts import TableContract
