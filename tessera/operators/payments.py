@@ -52,12 +52,17 @@ def _dec(c: Column) -> Column:
 
 
 def validate(payments: DataFrame, bills: DataFrame, *, bill_key: str = "bill_id",
-             as_of: Column) -> DataFrame:
-    """Payments joined to their bill with a reject reason (NULL = valid) and bill context."""
+             as_of: Column, order_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Payments joined to their bill with a reject reason (NULL = valid) and bill context.
+    The payment order must be a total order, so a NULL in an ordering column is rejected."""
     b = bills.select(F.col("id").alias(bill_key), F.col("policy_id"), F.col("due_date"),
                      F.col("balance").alias("_start_balance"), F.lit(True).alias("_found"))
     j = payments.join(b, bill_key, "left")
-    reason = (F.when(F.col("_found").isNull(),
+    no_order = F.lit(False)
+    for c in order_cols:
+        no_order = no_order | F.col(c).isNull()
+    reason = (F.when(no_order, F.lit("payment order key is NULL"))
+              .when(F.col("_found").isNull(),
                      F.format_string("bill %s does not exist", F.col(bill_key).cast("string")))
               .when(F.col("amount").isNull() | (F.col("amount") <= 0),
                     F.lit("amount must be greater than zero"))
@@ -296,7 +301,8 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     as_of_col = F.lit(str(as_of)).cast("date")
     edited = (F.lit(str(edited_at)).cast("timestamp_ntz") if edited_at is not None
               else F.current_timestamp().cast("timestamp_ntz"))
-    checked = validate(payments, bills, bill_key=bill_key, as_of=as_of_col)
+    checked = validate(payments, bills, bill_key=bill_key, as_of=as_of_col,
+                       order_cols=tuple(order_cols))
     rejects = checked.where(F.col("reject_reason").isNotNull()).select(
         *payments.columns, "reject_reason")
     valid = (checked.where(F.col("reject_reason").isNull())

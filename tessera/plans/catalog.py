@@ -346,7 +346,9 @@ pay AS (SELECT l_orderkey AS bill_id, l_linenumber AS pay_line, l_partkey AS pay
         FROM lineitem),
 chk AS (SELECT pay.*, b.policy_id, b.balance AS start_balance, b.id IS NOT NULL AS found,
                greatest(DATE '{SI.PAYMENTS_AS_OF}' - b.due_date, 0) AS days_late,
-               CASE WHEN b.id IS NULL THEN 'bill ' || CAST(pay.bill_id AS VARCHAR) || ' does not exist'
+               CASE WHEN pay.pay_line IS NULL OR pay.pay_part IS NULL OR pay.pay_supplier IS NULL
+                         OR pay.amount IS NULL OR pay.payment_method IS NULL THEN 'payment order key is NULL'
+                    WHEN b.id IS NULL THEN 'bill ' || CAST(pay.bill_id AS VARCHAR) || ' does not exist'
                     WHEN pay.amount IS NULL OR pay.amount <= 0 THEN 'amount must be greater than zero'
                     WHEN b.balance IS NULL THEN 'bill balance is NULL'
                     WHEN b.balance < 0 THEN 'bill balance cannot be negative (got ' || CAST(b.balance AS VARCHAR) || ')'

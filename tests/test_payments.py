@@ -43,7 +43,8 @@ def test_overpayment_and_rejects(spark):
              (4, 1, dt.date(2026, 9, 1), d("50.00"), "Pending", None)]
     pays = [(1, 1, d("500.00"), "cash", "a"), (2, 2, d("10.00"), "cash", "a"),
             (3, 3, d("10.00"), "cash", "a"), (4, 99, d("10.00"), "cash", "a"),
-            (5, 4, d("0.00"), "cash", "a"), (6, 4, d("5.00"), "x" * 21, "a")]
+            (5, 4, d("0.00"), "cash", "a"), (6, 4, d("5.00"), "x" * 21, "a"),
+            (None, 4, d("5.00"), "cash", "a")]
     r = run(spark, bills, pays)
     bills_out = {x["id"]: x for x in r.bills.collect()}
     assert bills_out[1]["balance"] == d("0.00") and bills_out[1]["status"] == "Paid"
@@ -51,7 +52,8 @@ def test_overpayment_and_rejects(spark):
     reasons = {x["payment_id"]: x["reject_reason"] for x in r.rejects.collect()}
     assert reasons == {2: "bill balance is NULL", 3: "bill balance cannot be negative (got -1.00)",
                        4: "bill 99 does not exist", 5: "amount must be greater than zero",
-                       6: "payment_method longer than 20 characters"}
+                       6: "payment_method longer than 20 characters",
+                       None: "payment order key is NULL"}
     assert [x["id"] for x in r.log.collect()] == [1]
 
 
