@@ -29,9 +29,14 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
+def utc_now() -> _dt.datetime:
+    """All control-table times are UTC wall-clock times without zone (TIMESTAMP_NTZ)."""
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def record(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     """Append audit rows (table, file, rows, status, error); ids are run-unique uuids."""
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = utc_now()
     data = [(uuid.uuid4().hex, t.upper(), f, n, s, e, now) for t, f, n, s, e in rows]
     spark.createDataFrame(data, AUDIT_SCHEMA).write.mode("error").parquet(_batch(audit_path(root)))
 
@@ -42,7 +47,7 @@ def record_frame(root: str, df: DataFrame) -> None:
     df.select(F.expr("uuid()").alias("id"), F.upper("table_name").alias("table_name"),
               F.col("file").cast("string"), F.col("rows").cast("bigint"),
               F.col("status").cast("string"), F.col("error").cast("string"),
-              F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")) \
+              F.lit(utc_now().isoformat(sep=" ")).cast("timestamp_ntz").alias("loaded_at")) \
         .write.mode("error").parquet(_batch(audit_path(root)))
 
 
@@ -81,7 +86,7 @@ def run_history(spark: SparkSession, root: str, *, name: str | None = None,
                 hours: int = 6, limit: int = 10) -> DataFrame:
     """Runs of the last ``hours`` hours, newest first, at most ``limit``."""
     h = _read(spark, run_history_path(root), RUN_SCHEMA)
-    since = (F.current_timestamp() - F.make_interval(hours=F.lit(hours))).cast("timestamp_ntz")
+    since = F.lit((utc_now() - _dt.timedelta(hours=hours)).isoformat(sep=" ")).cast("timestamp_ntz")
     if name:
         h = h.where(F.col("name") == name)
     return (h.where(F.col("scheduled_time") >= since)

@@ -40,7 +40,7 @@ class IngestRun:
 
 
 def _now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return A.utc_now()
 
 
 def document_stream(spark: SparkSession, source_glob: str, *, outer_array: bool = False,
