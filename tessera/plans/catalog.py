@@ -123,8 +123,8 @@ def claims_by_policy_as_reference(spark, sf_dir):
 @query("flatten_reconcile", """
 WITH f AS (SELECT o.o_orderkey, count(l.l_orderkey) AS n
            FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey)
-SELECT count(*) AS claims, sum(greatest(n, 1)) AS staged_rows,
-       sum(greatest(n, 1)) AS expected_rows, CAST(0 AS BIGINT) AS missing_keys, true AS ok
+SELECT count(*) AS claims, CAST(sum(greatest(n, 1)) AS BIGINT) AS staged_rows,
+       CAST(sum(greatest(n, 1)) AS BIGINT) AS expected_rows, CAST(0 AS BIGINT) AS missing_keys, true AS ok
 FROM f""")
 def flatten_reconcile(spark, sf_dir):
     """landing vs staging: staged rows = sum(max(1, items)) and no claim missing."""

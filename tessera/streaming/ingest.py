@@ -92,7 +92,9 @@ def ingest_new_files(spark: SparkSession, source_glob: str, landing_path: str,
 
 
 def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
-    return spark.read.parquet(landing_path)
+    """The landing table; ``batch_id`` is typed explicitly (a partition column's type would
+    otherwise be inferred from folder names)."""
+    return spark.read.parquet(landing_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
