@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.drift import SchemaDriftError, check_drift, table_columns
 from tessera.plans import audit as A
@@ -29,6 +30,7 @@ from tessera.sources.contracts import TableContract
 from tessera.sources.readers import DEFAULT_CSV, CsvContract, csv_header, typed_by_name
 
 LINEAGE = "_source_file"
+CORRUPT = "_corrupt_record"
 
 
 @dataclass(frozen=True)
@@ -74,6 +76,10 @@ def _rejects_of(raw: DataFrame, contract: TableContract, names: dict[str, str])
             why = F.format_string(f"cannot convert '%s' to {spec.spark_type}", v)
         reason = F.when(bad, why).otherwise(reason)
         column = F.when(bad, F.lit(spec.name)).otherwise(column)
+    if CORRUPT in raw.columns:  # a ragged / unparseable line wins over field checks
+        bad_line = F.col(CORRUPT).isNotNull()
+        reason = F.when(bad_line, F.lit("malformed CSV row")).otherwise(reason)
+        column = F.when(bad_line, F.lit(None).cast("string")).otherwise(column)
     return reason, column
 
 
@@ -101,16 +107,26 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
         return LoadResult(table, False, A.LOAD_FAILED, 0, str(e))
     # 3. read strings, type by name, write a new version, swap
     try:
-        raw = fmt.reader(spark, "FAILFAST").load(source_path).withColumn(
-            LINEAGE, F.col("_metadata.file_name"))
-        names = {c.strip().lower(): c for c in raw.columns}
+        if on_error == "continue":
+            # All-string schema from the header names plus the corrupt-record column: ragged
+            # lines are kept and flagged instead of failing the read. Headers are still checked
+            # by name in every file.
+            strings = T.StructType([T.StructField(h, T.StringType()) for h in header]
+                                   + [T.StructField(CORRUPT, T.StringType())])
+            raw = (fmt.reader(spark, "PERMISSIVE").schema(strings)
+                   .option("columnNameOfCorruptRecord", CORRUPT).load(source_path))
+        else:
+            raw = fmt.reader(spark, "FAILFAST").load(source_path)
+        raw = raw.withColumn(LINEAGE, F.col("_metadata.file_name"))
+        names = {c.strip().lower(): c for c in raw.columns if c != CORRUPT}
         if on_error == "continue":
             reason, column = _rejects_of(raw, contract, names)
             marked = raw.withColumn("_reason", reason).withColumn("_column", column)
             good = typed_by_name(marked.where(F.col("_reason").isNull()), contract,
                                  allow_missing=allow_missing, keep=(LINEAGE,))
             bad = marked.where(F.col("_reason").isNotNull()).select(
-                F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != LINEAGE]))
+                F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[
+                    F.col(f"`{c}`") for c in raw.columns if c not in (LINEAGE, CORRUPT)])))
                 .alias("raw"), F.col("_column").alias("column"), F.col(LINEAGE).alias("file"),
                 F.col("_reason").alias("reason"))
             rej = stage_version(bad, f"{schema}.{contract.name}__rejects", root)

@@ -87,15 +87,18 @@ def test_bad_row_aborts_and_previous_version_stays(spark, tmp_path, bad_row):
 def test_continue_mode_splits_rejects(spark, tmp_path):
     root = str(tmp_path / "store")
     bad = ["4,10,2026-01-31,5.00,2026-01-01 10:00:00,abc,Pending,,",
-           "5,10,2026-01-31,5.00,2026-01-01 10:00:00,1.00,Pending,abcdefghijklmnopqrstu,"]
+           "5,10,2026-01-31,5.00,2026-01-01 10:00:00,1.00,Pending,abcdefghijklmnopqrstu,",
+           "6,10,2026-01-31"]
     r = load_table(spark, BILL, write(tmp_path / "x" / "b.csv", HEADER, ROWS + bad), root,
                    schema="raw_t4", on_error="continue")
-    assert r.ok and r.status == "PARTIALLY_LOADED" and r.rows == 3 and r.rejects == 2
+    assert r.ok and r.status == "PARTIALLY_LOADED" and r.rows == 3 and r.rejects == 3
     audit = A.read_audit(spark, root).collect()
     assert {x["status"] for x in audit} == {"PARTIALLY_LOADED"}
-    assert audit[0]["error"].startswith("2 row(s) rejected; first error: ")
+    assert audit[0]["error"].startswith("3 row(s) rejected; first error: ")
     rej = spark.read.parquet(f"{root}/raw_t4/bill__rejects/*").collect()
-    assert sorted(r["column"] for r in rej) == ["balance", "payment_method"]
+    assert sorted(str(r["column"]) for r in rej) == ["None", "balance", "payment_method"]
+    ragged = [r for r in rej if r["column"] is None][0]
+    assert ragged["reason"] == "malformed CSV row" and ragged["raw"] == "6,10,2026-01-31"
 
 
 def test_missing_header_only_and_gzip(spark, tmp_path):
