@@ -97,7 +97,7 @@ def _fold_small(valid: DataFrame, bill_key: str, order_cols: list[str],
 
     folded = grouped.select(bill_key, "_ps", F.aggregate("_ps", init, merge)["out"].alias("_out"))
     z = folded.select(bill_key, F.posexplode(F.arrays_zip("_ps", "_out")).alias("pos", "z"))
-    return z.select(bill_key, (F.col("pos") + 1).alias("seq"),
+    return z.select(bill_key, (F.col("pos") + 1).cast("bigint").alias("seq"),
                     *[F.col("z._ps")[c].alias(c) for c in order_cols
                       + [c for c in pay_cols if c not in order_cols]],
                     F.col("z._out.surcharge").alias("surcharge"),
@@ -114,7 +114,7 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
            .sortWithinPartitions(bill_key, *order_cols))
     out_fields = [f for f in valid.select(*cols).schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
-    schema += f", seq int, surcharge {BAL}, new_balance {BAL}"
+    schema += f", seq bigint, surcharge {BAL}, new_balance {BAL}"
     cent = Decimal("0.01")
 
     def fold(batches):
@@ -132,7 +132,7 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
                 balances.append(bal)
                 seqs.append(seq)
             out = pdf[cols].copy()
-            out["seq"] = pd.Series(seqs, dtype="int32")
+            out["seq"] = pd.Series(seqs, dtype="int64")
             out["surcharge"] = surcharges
             out["new_balance"] = balances
             yield out
@@ -140,44 +140,101 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
     return src.mapInPandas(fold, schema)
 
 
-def _fold_hot_prefix(valid: DataFrame, bill_key: str, order_cols: list[str],
-                     pay_cols: list[str], n_partitions: int) -> DataFrame:
-    """Hot bills that are not overdue (rate 0): each new balance is max(start - running sum of
-    amounts, 0), an exact distributed prefix sum. Rows are range-partitioned by (bill, payment
-    order), so a hot bill spreads over many tasks; running sums are taken inside each
-    (bill, partition) piece (bounded by a partition), and each piece is offset by the totals of
-    the bill's earlier pieces (one row per piece)."""
-    cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
-    ranged = (valid.select(*cols, "_start_balance")
-              .repartitionByRange(n_partitions, bill_key, *order_cols)
-              .withColumn("_pid", F.spark_partition_id()))
+def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Column,
+                 n_partitions: int, stage_path: str, base: str | None = None) -> DataFrame:
+    """Adds ``seq`` (1-based position of each row in its bill's payment order) and ``_run``
+    (running sum of ``value`` up to the row; with ``base``, the term at position m is weighted
+    by base^-m). Rows are range-partitioned by (bill, payment order), so a hot bill spreads
+    over many tasks: positions and sums are taken inside each (bill, partition) piece, then
+    shifted by the totals of the bill's earlier pieces (one row per piece). The piece id is
+    staged with the rows: the rows and the piece totals are two branches, and two separately
+    sampled range partitionings of shuffled input need not agree."""
+    (df.withColumn("_v", value)
+     .repartitionByRange(n_partitions, bill_key, *order_cols)
+     .withColumn("_pid", F.spark_partition_id())
+     .write.mode("overwrite").parquet(stage_path))
+    ranged = df.sparkSession.read.parquet(stage_path)
     piece = Window.partitionBy(bill_key, "_pid").orderBy(*order_cols)
-    local = (ranged.withColumn("_lsum", F.sum("amount").over(
-                 piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-             .withColumn("_lrn", F.row_number().over(piece)))
-    totals = ranged.groupBy(bill_key, "_pid").agg(F.sum("amount").alias("_psum"),
-                                                   F.count(F.lit(1)).alias("_pcnt"))
+    local = ranged.withColumn("_lrn", F.row_number().over(piece).cast("bigint"))
+    term = F.col("_v") if base is None else F.col("_v") * F.pow(F.col(base), -F.col("_lrn"))
+    local = local.withColumn("_lsum", F.sum(term).over(
+        piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    totals = local.groupBy(bill_key, "_pid").agg(
+        F.max("_lrn").alias("_pcnt"), F.max_by("_lsum", "_lrn").alias("_psum"),
+        *([F.max(base).alias(base)] if base else []))
     before = Window.partitionBy(bill_key).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = totals.select(bill_key, "_pid",
-                            F.coalesce(F.sum("_psum").over(before), F.lit(0)).alias("_soff"),
-                            F.coalesce(F.sum("_pcnt").over(before), F.lit(0)).alias("_coff"))
-    j = local.join(offsets, [bill_key, "_pid"])
-    paid = F.col("_soff") + F.col("_lsum")
-    return j.select(*cols, (F.col("_coff") + F.col("_lrn")).cast("int").alias("seq"),
-                    F.lit(0).cast(BAL).alias("surcharge"),
-                    _dec(F.greatest(_dec(F.col("_start_balance")) - paid, F.lit(0)))
-                    .alias("new_balance"))
+    offsets = totals.withColumn("_ocnt", F.coalesce(F.sum("_pcnt").over(before), F.lit(0)))
+    shifted = (F.col("_psum") if base is None
+               else F.col("_psum") * F.pow(F.col(base), -F.col("_ocnt")))
+    offsets = offsets.withColumn("_osum", F.coalesce(F.sum(shifted).over(before), F.lit(0)))
+    j = local.join(offsets.select(bill_key, "_pid", "_ocnt", "_osum"), [bill_key, "_pid"])
+    run = F.col("_osum") + (F.col("_lsum") if base is None
+                            else F.col("_lsum") * F.pow(F.col(base), -F.col("_ocnt")))
+    return j.select(*df.columns, (F.col("_ocnt") + F.col("_lrn")).cast("bigint").alias("seq"),
+                    run.alias("_run"))
+
+
+def _fold_hot_prefix(valid: DataFrame, bill_key: str, order_cols: list[str],
+                     pay_cols: list[str], n_partitions: int, stage_path: str) -> DataFrame:
+    """Hot bills that are not overdue (rate 0): each new balance is max(start - running sum of
+    amounts, 0), an exact distributed prefix sum (decimal, no rounding)."""
+    cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
+    pos = _bill_prefix(valid.select(*cols, "_start_balance"), bill_key, order_cols,
+                       F.col("amount"), n_partitions, stage_path)
+    return pos.select(*cols, "seq", F.lit(0).cast(BAL).alias("surcharge"),
+                      _dec(F.greatest(_dec(F.col("_start_balance")) - F.col("_run"), F.lit(0)))
+                      .alias("new_balance"))
+
+
+# Soundness margin of the zero certificate (relative and absolute). Its terms are positive
+# doubles, so the summation error is at most (number of terms) x 2^-53 relative: the margin
+# covers bills of up to ~10^9 payments.
+ZERO_CERT_REL = 1e-6
+ZERO_CERT_ABS = 1e-6
+
+
+def _split_hot_overdue(hot: DataFrame, bill_key: str, order_cols: list[str],
+                       pay_cols: list[str], n_partitions: int,
+                       stage_path: str) -> tuple[DataFrame, DataFrame]:
+    """Hot overdue bills: (rows that need the sequential fold, rows settled in parallel).
+
+    One step is b -> max(b + round(b*r, 2) - a, 0). It is monotone in b, and 0 stays 0 (the
+    surcharge on 0 is 0 and every valid amount is positive). With v_0 = start and
+    v_m = (1+r) v_(m-1) + 0.005 - a_m, induction gives b_m <= max(v_m, 0); so b_t = 0 from
+    the first t where v_t <= 0, i.e. where sum_(m<=t) (1+r)^-m (a_m - 0.005) >= start. That
+    discounted running sum is a distributed prefix sum. Payments after the first certified t
+    have surcharge 0 and balance 0; only payments up to t are folded in order. A bill whose
+    payments never certify zero (they only cover the surcharge) keeps the sequential fold.
+    The positions and the cut are staged once, so both branches see the same split."""
+    cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
+    df = hot.select(*cols, "_start_balance", "_rate").withColumn(
+        "_base", (F.lit(1) + F.col("_rate")).cast("double"))
+    pos = _bill_prefix(df, bill_key, order_cols,
+                       (F.col("amount") - F.lit(Decimal("0.005"))).cast("double"),
+                       n_partitions, f"{stage_path}/ranged", base="_base")
+    certified = (F.col("_run") >= F.col("_start_balance").cast("double") * (1 + ZERO_CERT_REL)
+                 + ZERO_CERT_ABS)
+    cut = pos.where(certified).groupBy(bill_key).agg(F.min("seq").alias("_cut"))
+    pos.drop("_run", "_base").join(cut, bill_key, "left").write.mode("overwrite").parquet(
+        f"{stage_path}/split")
+    staged = hot.sparkSession.read.parquet(f"{stage_path}/split")
+    sequential = staged.where(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut")))
+    settled = staged.where(F.col("seq") > F.col("_cut")).select(
+        *cols, "seq", F.lit(0).cast(BAL).alias("surcharge"), F.lit(0).cast(BAL).alias("new_balance"))
+    return sequential.drop("seq", "_cut"), settled
 
 
 def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
                   pay_cols: list[str], max_fold: int = DEFAULT_MAX_FOLD,
-                  hot_partitions: int | None = None, has_hot: bool = True) -> DataFrame:
+                  hot_partitions: int | None = None, has_hot: bool = True,
+                  stage_path: str | None = None) -> DataFrame:
     """One row per valid payment with seq, surcharge and new_balance (all paths exact).
     ``has_hot=False`` (no bill above ``max_fold`` payments) leaves the hot paths out of the
-    plan. Hot bills that are not overdue use the distributed prefix sum; hot overdue bills
-    (the surcharge compounds on the rounded running balance, a strictly sequential
-    recurrence) use the streamed fold, one task per bill with constant memory."""
+    plan. Hot bills that are not overdue use the distributed prefix sum. Hot overdue bills
+    (the surcharge compounds on the rounded running balance, a sequential recurrence) are
+    split at the first payment after which the balance is certified zero: the rest is settled
+    in parallel, the head is the streamed fold (one task per bill, constant memory)."""
     if not has_hot:
         return _fold_small(valid, bill_key, order_cols, pay_cols)
     counts = valid.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
@@ -186,9 +243,13 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     spark = valid.sparkSession
     n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = tagged.where(F.col("_n") > max_fold)
-    prefix = _fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key, order_cols, pay_cols, n)
-    streamed = _fold_hot(hot.where(F.col("_rate") > 0), bill_key, order_cols, pay_cols, n)
-    return small.unionByName(prefix).unionByName(streamed)
+    stage = stage_path or work_path(spark, "hot-bills")
+    prefix = _fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key, order_cols, pay_cols, n,
+                              f"{stage}/not-overdue")
+    head, settled = _split_hot_overdue(hot.where(F.col("_rate") > 0), bill_key, order_cols,
+                                       pay_cols, n, f"{stage}/overdue")
+    streamed = _fold_hot(head, bill_key, order_cols, pay_cols, n)
+    return small.unionByName(prefix).unionByName(streamed).unionByName(settled)
 
 
 def has_hot_bills(payments: DataFrame, bill_key: str, max_fold: int) -> bool:
@@ -313,7 +374,7 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     pay_cols = [c for c in payments.columns if c != bill_key] + ["policy_id", "days_late"]
     hot = has_hot_bills(payments, bill_key, max_fold)
     applied = fold_payments(valid, bill_key=bill_key, order_cols=order, pay_cols=pay_cols,
-                            max_fold=max_fold, has_hot=hot)
+                            max_fold=max_fold, has_hot=hot, stage_path=f"{stage}/hot")
     applied.write.mode("overwrite").parquet(f"{stage}/applied")
     applied = spark.read.parquet(f"{stage}/applied")
     return PaymentRun(spark, bills, payments, edit_log, rejects, applied, bill_key, order,

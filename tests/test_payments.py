@@ -95,3 +95,45 @@ def test_hot_bills_not_overdue_use_prefix_sum_and_match_fold(spark):
     assert any(r[3] == 0 for r in got_b) and any(r[3] > 0 for r in got_b)
     assert any(r[4] == 0 for r in got_b)  # some bills were paid off
     assert sorted(a.bills.collect()) == sorted(b.bills.collect())
+
+
+def test_hot_overdue_bill_is_split_at_certified_zero(spark):
+    """A hot overdue bill paid off early, an interest-only bill (never zero, stays sequential)
+    and a zero-balance bill: the split path must equal the plain fold, and the parallel part
+    must start at or after the true first zero, close to it."""
+    bills = [(1, 1, dt.date(2026, 1, 10), d("5000.00"), "Overdue", None),   # rate 0.100
+             (2, 2, dt.date(2026, 7, 20), d("1000.00"), "Overdue", None),   # 19 days: 0.050
+             (3, 3, dt.date(2026, 1, 10), d("0.00"), "Overdue", None)]
+    pays = ([(k, 1, d(f"{900 + k % 23}.{k % 100:02d}"), "cash", "a") for k in range(1, 400)]
+            + [(1000 + k, 2, d("50.00"), "cash", "a") for k in range(1, 60)]
+            + [(2000 + k, 3, d("1.00"), "cash", "a") for k in range(1, 30)])
+    a = run(spark, bills, pays)
+    b = run(spark, bills, pays, max_fold=5)
+    key = ("bill_id", "payment_id", "seq", "surcharge", "new_balance")
+    got_a = sorted(tuple(r[k] for k in key) for r in a.applied.collect())
+    got_b = sorted(tuple(r[k] for k in key) for r in b.applied.collect())
+    assert got_a == got_b
+    assert sorted(a.bills.collect()) == sorted(b.bills.collect())
+    bal2 = {r[4] for r in got_b if r[0] == 2}
+    assert bal2 == {d("1000.00")}  # 5% of 1000 = 50: interest only, never paid off
+
+    from pyspark.sql import functions as F
+
+    from tessera.operators.payments import _split_hot_overdue
+    rows = b.applied.select("bill_id", "payment_id", "amount", "payment_method", "edited_by",
+                            "policy_id", "days_late").join(
+        spark.createDataFrame([(1, d("5000.00"), d("0.100")), (2, d("1000.00"), d("0.050")),
+                               (3, d("0.00"), d("0.100"))],
+                              "bill_id bigint, _start_balance decimal(10,2), _rate decimal(4,3)"),
+        "bill_id")
+    import tempfile
+    head, settled = _split_hot_overdue(
+        rows, "bill_id", ["payment_id"],
+        ["payment_id", "amount", "payment_method", "edited_by", "policy_id", "days_late"], 4,
+        tempfile.mkdtemp(prefix="hot-overdue-"))
+    heads = dict(head.groupBy("bill_id").count().collect())
+    first_zero = min(r[2] for r in got_a if r[0] == 1 and r[4] == 0)
+    assert first_zero <= heads[1] <= first_zero + 2
+    assert heads[2] == 59 and heads[3] == 1
+    assert settled.where(F.col("bill_id") == 2).count() == 0
+    assert settled.count() == (399 - heads[1]) + 28
