@@ -76,6 +76,55 @@ def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,
     return v
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def partition_values(spark: SparkSession, table: str, column: str) -> set[str]:
+    """Registered values of one partition column (catalog metadata, no data read)."""
+    if not spark.catalog.tableExists(table):
+        return set()
+    out = set()
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        for part in r[0].split("/"):
+            name, _, value = part.partition("=")
+            if name == column:
+                out.add(value)
+    return out
+
+
+def publish_partitions(spark: SparkSession, df: DataFrame, table: str, root: str,
+                       column: str, *, version: str | None = None) -> Version:
+    """Incremental, failure-safe publish of some partitions of a table partitioned by
+    ``column``. The rows are written once to a new version folder; only after that write
+    succeeded is each written partition added to the table, or re-pointed when it exists (a
+    replayed batch replaces its own rows). Partitions not in ``df`` are untouched, so a run
+    costs its new rows, not the whole table. The written values come from an Observation on
+    the write (bounded by the number of partitions written)."""
+    version = version or new_version_id()
+    path = f"{root}/{table.replace('.', '/')}/v={version}"
+    obs = Observation(f"parts_{uuid.uuid4().hex[:8]}")
+    (df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                F.collect_set(F.col(column).cast("string")).alias("values"))
+     .write.mode("error").partitionBy(column).parquet(path))
+    got = obs.get
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({_ddl(df)}) USING parquet PARTITIONED BY ({column}) "
+                  f"LOCATION '{root}/{table.replace('.', '/')}/base'")
+    existing = partition_values(spark, table, column)
+    values = sorted(got["values"] or [])
+    added = [v for v in values if v not in existing]
+    if added:
+        specs = " ".join(f"PARTITION ({column}={v}) LOCATION '{path}/{column}={v}'" for v in added)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    for v in values:
+        if v in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({column}={v}) "
+                      f"SET LOCATION '{path}/{column}={v}'")
+    spark.sql(f"REFRESH TABLE {table}")
+    return Version(table, path, int(got["rows"]))
+
+
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], root: str, *,
                 expected_rows: dict[str, int] | None = None) -> dict[str, Version]:
     """All-or-nothing across tables: any failed write leaves every table on its old version."""

@@ -8,8 +8,11 @@ partition overwrite, so a batch replayed after a failure replaces its own partit
 duplicating rows. A malformed file fails the batch (FAILFAST): nothing of it lands.
 
 Dependent step: only when the root step succeeded, the staging table is rebuilt from the
-landing table (outer flatten) and published as a new version. Both steps append a row to the
-run history.
+landing table (outer flatten) and published as a new version. With ``incremental=True`` the
+staging table is partitioned by ``batch_id`` and only the batches not yet in it (this run's,
+plus any landed by an earlier run whose child did not finish) are flattened and published as
+partitions, so a run costs its new documents rather than the whole history. Both steps append
+a row to the run history.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import audit as A
 from tessera.session import error_text
-from tessera.plans.publish import Version, publish
+from tessera.plans.publish import Version, partition_values, publish, publish_partitions
 
 ROOT_TASK = "ingest_claims_root"
 CHILD_TASK = "flatten_claims_child"
@@ -73,13 +76,17 @@ def write_landing_batch(batch: DataFrame, batch_id: int, landing_path: str) -> i
 
 def ingest_new_files(spark: SparkSession, source_glob: str, landing_path: str,
                      checkpoint: str, *, outer_array: bool = False,
-                     max_files_per_trigger: int | None = None) -> tuple[int, int]:
-    """Run the root step once; returns (batches, rows) landed in this run."""
+                     max_files_per_trigger: int | None = None,
+                     batch_ids: list[int] | None = None) -> tuple[int, int]:
+    """Run the root step once; returns (batches, rows) landed in this run. The ids of the
+    batches written are appended to ``batch_ids`` when given."""
     stats = {"batches": 0, "rows": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         stats["rows"] += write_landing_batch(batch, batch_id, landing_path)
         stats["batches"] += 1
+        if batch_ids is not None:
+            batch_ids.append(batch_id)
 
     stream = document_stream(spark, source_glob, outer_array=outer_array,
                              max_files_per_trigger=max_files_per_trigger)
@@ -97,16 +104,48 @@ def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
     return spark.read.parquet(landing_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+def landed_batch_ids(spark: SparkSession, landing_path: str) -> set[str]:
+    """Batch ids present in the landing folder, from its ``batch_id=`` folder names (a
+    listing bounded by the number of batches; no data read)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing_path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return set()
+    names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+    return {n.split("=", 1)[1] for n in names if n.startswith("batch_id=")}
+
+
+def _rebuild_staging(spark: SparkSession, landing: str, rebuild, staging_table: str, root: str,
+                     incremental: bool, new_ids: list[int]) -> Version | None:
+    if not incremental:
+        return publish(spark, rebuild(read_landing(spark, landing)), staging_table, root)
+    if spark.catalog.tableExists(staging_table) and "batch_id" not in {
+            c.name for c in spark.catalog.listColumns(staging_table) if c.isPartition}:
+        raise ValueError(f"{staging_table} is not partitioned by batch_id; "
+                         "incremental mode needs a staging table it created")
+    pending = (landed_batch_ids(spark, landing)
+               - partition_values(spark, staging_table, "batch_id")) | {str(b) for b in new_ids}
+    if not pending:
+        return None
+    todo = read_landing(spark, landing).where(
+        F.col("batch_id").isin([int(b) for b in sorted(pending)]))
+    return publish_partitions(spark, rebuild(todo), staging_table, root, "batch_id")
+
+
 def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
                rebuild: Callable[[DataFrame], DataFrame] | None = None,
-               staging_table: str | None = None, outer_array: bool = False) -> IngestRun:
-    """Root step, then (only on success) the dependent rebuild + publish; history recorded."""
+               staging_table: str | None = None, outer_array: bool = False,
+               incremental: bool = False) -> IngestRun:
+    """Root step, then (only on success) the dependent rebuild + publish; history recorded.
+    ``incremental``: only batches missing from the staging table are flattened (the rebuild
+    must keep ``batch_id``)."""
     landing = f"{root}/landing/claims"
     checkpoint = f"{root}/checkpoints/claims"
     started = _now()
+    new_ids: list[int] = []
     try:
         batches, rows = ingest_new_files(spark, source_glob, landing, checkpoint,
-                                         outer_array=outer_array)
+                                         outer_array=outer_array, batch_ids=new_ids)
         A.record_run(spark, root, ROOT_TASK, "SUCCEEDED", started, _now())
     except Exception as e:  # noqa: BLE001 - recorded and returned; the child does not run
         msg = error_text(e)
@@ -116,7 +155,8 @@ def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
     if rebuild is not None and staging_table:
         child_start = _now()
         try:
-            staged = publish(spark, rebuild(read_landing(spark, landing)), staging_table, root)
+            staged = _rebuild_staging(spark, landing, rebuild, staging_table, root, incremental,
+                                      new_ids)
             A.record_run(spark, root, CHILD_TASK, "SUCCEEDED", child_start, _now())
         except Exception as e:  # noqa: BLE001
             msg = error_text(e)

@@ -80,3 +80,54 @@ def test_replayed_batch_leaves_one_copy_and_max_files(spark, tmp_path):
     b, n = ingest_new_files(spark, str(tmp_path / "src") + "/*/", str(tmp_path / "land2"),
                             str(tmp_path / "ck2"), max_files_per_trigger=1)
     assert (b, n) == (3, 6)
+
+
+def test_incremental_staging_flattens_only_new_batches(spark, tmp_path):
+    from tessera.plans.publish import partition_values
+
+    root = str(tmp_path / "store")
+    ensure_database(spark, "rj_inc", root)
+    src = tmp_path / "src"
+    glob = str(src) + "/*/"
+    seen = []
+    fail = {"next": False}
+
+    def rebuild(landing):
+        seen.append(sorted(r["batch_id"] for r in landing.select("batch_id").distinct().collect()))
+        if fail["next"]:
+            fail["next"] = False
+            raise RuntimeError("child failed")
+        return flatten(landing, CLAIM_SPEC, outer=True, keep=("batch_id",))
+
+    def full():
+        land = read_landing(spark, f"{root}/landing/claims")
+        return sorted(tuple(r) for r in flatten(land, CLAIM_SPEC, outer=True, keep=("batch_id",))
+                      .collect())
+
+    def staged():
+        cols = flatten(read_landing(spark, f"{root}/landing/claims"), CLAIM_SPEC, outer=True,
+                       keep=("batch_id",)).columns
+        return sorted(tuple(r) for r in spark.table("rj_inc.stg").select(*cols).collect())
+
+    for i, ids in enumerate([range(4), range(10, 12), range(20, 23)]):
+        (src / f"w{i}").mkdir(parents=True)
+        (src / f"w{i}" / "a.json").write_text(docs(ids))
+        if i == 1:
+            fail["next"] = True   # batch 1 lands, its child step fails
+            r = run_ingest(spark, glob, root, rebuild=rebuild, staging_table="rj_inc.stg",
+                           incremental=True)
+            assert not r.ok and r.rows == 2
+            continue
+        r = run_ingest(spark, glob, root, rebuild=rebuild, staging_table="rj_inc.stg",
+                       incremental=True)
+        assert r.ok
+        assert staged() == full()
+    # run 0 flattened batch 0; run 1 tried batch 1 and failed; run 2 caught up 1 and 2
+    assert seen == [[0], [1], [1, 2]]
+    assert partition_values(spark, "rj_inc.stg", "batch_id") == {"0", "1", "2"}
+    # nothing new: no child work at all
+    r = run_ingest(spark, glob, root, rebuild=rebuild, staging_table="rj_inc.stg",
+                   incremental=True)
+    assert r.ok and r.rows == 0 and r.staged is None and len(seen) == 3
+    assert spark.table("rj_inc.stg").where("batch_id = 2").count() == sum(
+        max(1, i % 3) for i in range(20, 23))
