@@ -26,7 +26,7 @@ Plan:
 from __future__ import annotations
 
 import datetime as _dt
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -107,37 +107,46 @@ def _fold_small(valid: DataFrame, bill_key: str, order_cols: list[str],
 def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols: list[str],
               n_partitions: int) -> DataFrame:
     """Exact streamed fold for bills with many payments: range-partition by bill (a bill never
-    spans two tasks), sort by payment order, carry one running balance across Arrow batches."""
+    spans two tasks), sort by payment order, carry one running balance across Arrow batches.
+    Money crosses into Python as integer cents and the rate as integer thousandths, so the
+    loop is plain integer arithmetic: surcharge = (cents * rate + 500) // 1000 is round half
+    up for non-negative balances. Spark converts back to decimals (exact) afterwards."""
     cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
-    src = (valid.select(*cols, "_start_balance", "_rate")
+    src = (valid.select(*cols, (F.col("amount") * 100).cast("bigint").alias("_amount_c"),
+                        (F.col("_start_balance") * 100).cast("bigint").alias("_start_c"),
+                        (F.col("_rate") * 1000).cast("bigint").alias("_rate_m"))
            .repartitionByRange(n_partitions, bill_key)
            .sortWithinPartitions(bill_key, *order_cols))
     out_fields = [f for f in valid.select(*cols).schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
-    schema += f", seq bigint, surcharge {BAL}, new_balance {BAL}"
-    cent = Decimal("0.01")
+    schema += ", seq bigint, _surcharge_c bigint, _balance_c bigint"
 
     def fold(batches):
-        current, bal, seq = None, None, 0
+        current, bal, seq = None, 0, 0
         for pdf in batches:
             surcharges, balances, seqs = [], [], []
-            for key, amount, start, rate in zip(pdf[bill_key], pdf["amount"],
-                                                pdf["_start_balance"], pdf["_rate"]):
+            for key, amount, start, rate in zip(pdf[bill_key].tolist(), pdf["_amount_c"].tolist(),
+                                                pdf["_start_c"].tolist(), pdf["_rate_m"].tolist()):
                 if key != current:
-                    current, bal, seq = key, Decimal(start), 0
-                s = (bal * Decimal(rate)).quantize(cent, rounding=ROUND_HALF_UP)
-                bal = max(bal + s - Decimal(amount), Decimal(0)).quantize(cent)
+                    current, bal, seq = key, start, 0
+                s = (bal * rate + 500) // 1000
+                bal = max(bal + s - amount, 0)
                 seq += 1
                 surcharges.append(s)
                 balances.append(bal)
                 seqs.append(seq)
             out = pdf[cols].copy()
             out["seq"] = pd.Series(seqs, dtype="int64")
-            out["surcharge"] = surcharges
-            out["new_balance"] = balances
+            out["_surcharge_c"] = pd.Series(surcharges, dtype="int64")
+            out["_balance_c"] = pd.Series(balances, dtype="int64")
             yield out
 
-    return src.mapInPandas(fold, schema)
+    def money(c: str) -> Column:
+        return (F.col(c).cast("decimal(20,0)") / F.lit(100)).cast(BAL)
+
+    return src.mapInPandas(fold, schema).select(
+        *cols, "seq", money("_surcharge_c").alias("surcharge"),
+        money("_balance_c").alias("new_balance"))
 
 
 def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Column,
