@@ -46,3 +46,23 @@ def test_reloading_n_times_equals_once(spark, rows, times):
     for _ in range(times):
         publish(spark, df, name, root)
     assert sorted(spark.table(name).collect()) == sorted(df.collect())
+
+
+@settings(max_examples=400, deadline=None)
+@given(start=st.integers(0, 10**9), rate=st.sampled_from([20, 50, 100]),
+       pays=st.lists(st.integers(1, 5 * 10**7), min_size=1, max_size=60))
+def test_zero_certificate_is_sound(start, rate, pays):
+    """Where the discounted-payment certificate of the hot overdue path fires, the exact
+    folded balance (integer cents, half-up surcharge) is zero from that payment on."""
+    from tessera.operators.payments import ZERO_CERT_ABS, ZERO_CERT_REL
+
+    base, run, bal, cut = 1 + rate / 1000, 0.0, start, None
+    balances = []
+    for m, a in enumerate(pays, start=1):
+        bal = max(bal + (bal * rate + 500) // 1000 - a, 0)
+        balances.append(bal)
+        run += (a / 100 - 0.005) * base ** -m
+        if cut is None and run >= (start / 100) * (1 + ZERO_CERT_REL) + ZERO_CERT_ABS:
+            cut = m
+    if cut is not None:
+        assert all(b == 0 for b in balances[cut - 1:])
