@@ -127,12 +127,27 @@ def publish_partitions(spark: SparkSession, df: DataFrame, table: str, root: str
 
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], root: str, *,
                 expected_rows: dict[str, int] | None = None) -> dict[str, Version]:
-    """All-or-nothing across tables: any failed write leaves every table on its old version."""
+    """All-or-nothing across tables: any failed write leaves every table on its old version.
+    The swaps come after every write succeeded; if one of them fails, the tables already
+    swapped are pointed back at their previous folders (kept, since versions are never
+    deleted here), and tables created by this call are dropped."""
     version = new_version_id()
     staged = {name: stage_version(df, name, root, version, (expected_rows or {}).get(name))
               for name, df in tables.items()}
-    for v in staged.values():
-        swap(spark, v)
+    previous = {name: current_location(spark, name) for name in staged}
+    done: list[Version] = []
+    try:
+        for v in staged.values():
+            swap(spark, v)
+            done.append(v)
+    except Exception:
+        for v in reversed(done):
+            loc = previous[v.table]
+            if loc is None:
+                spark.sql(f"DROP TABLE IF EXISTS {v.table}")
+            else:
+                swap(spark, Version(v.table, loc, -1))
+        raise
     return staged
 
 

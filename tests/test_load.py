@@ -161,3 +161,25 @@ def test_part_files_with_different_column_order_are_not_scrambled(spark, tmp_pat
         assert len(rows) == 2 and rows[0]["balance"] == rows[1]["balance"]
     else:  # refused: mismatched headers are an error, never a silent scramble
         assert "part-2.csv" in r.error or "header" in r.error.lower()
+
+
+def test_publish_all_rolls_back_swaps_when_one_fails(spark, tmp_path, monkeypatch):
+    from tessera.plans import publish as P
+
+    root = str(tmp_path / "store")
+    ensure_database(spark, "pub_t3", root)
+    publish_all(spark, {"pub_t3.a": spark.range(10), "pub_t3.b": spark.range(10)}, root)
+    real_swap = P.swap
+
+    def failing_swap(s, v):
+        if v.table == "pub_t3.c":
+            raise RuntimeError("catalog unavailable")
+        real_swap(s, v)
+
+    monkeypatch.setattr(P, "swap", failing_swap)
+    with pytest.raises(RuntimeError, match="catalog unavailable"):
+        P.publish_all(spark, {"pub_t3.a": spark.range(20), "pub_t3.new": spark.range(5),
+                              "pub_t3.c": spark.range(20)}, root)
+    monkeypatch.setattr(P, "swap", real_swap)
+    assert (spark.table("pub_t3.a").count(), spark.table("pub_t3.b").count()) == (10, 10)
+    assert not spark.catalog.tableExists("pub_t3.new")
