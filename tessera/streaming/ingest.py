@@ -31,6 +31,9 @@ from tessera.plans.publish import Version, partition_values, publish, publish_pa
 
 ROOT_TASK = "ingest_claims_root"
 CHILD_TASK = "flatten_claims_child"
+# Files per micro-batch. availableNow still takes every new file in one run, but in
+# checkpointed steps of this size, so a failure repeats one step, not the whole backlog.
+DEFAULT_FILES_PER_BATCH = 10_000
 
 
 @dataclass(frozen=True)
@@ -135,7 +138,8 @@ def _rebuild_staging(spark: SparkSession, landing: str, rebuild, staging_table:
 def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
                rebuild: Callable[[DataFrame], DataFrame] | None = None,
                staging_table: str | None = None, outer_array: bool = False,
-               incremental: bool = False) -> IngestRun:
+               incremental: bool = False,
+               max_files_per_trigger: int | None = DEFAULT_FILES_PER_BATCH) -> IngestRun:
     """Root step, then (only on success) the dependent rebuild + publish; history recorded.
     ``incremental``: only batches missing from the staging table are flattened (the rebuild
     must keep ``batch_id``)."""
@@ -145,7 +149,8 @@ def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
     new_ids: list[int] = []
     try:
         batches, rows = ingest_new_files(spark, source_glob, landing, checkpoint,
-                                         outer_array=outer_array, batch_ids=new_ids)
+                                         outer_array=outer_array, batch_ids=new_ids,
+                                         max_files_per_trigger=max_files_per_trigger)
         A.record_run(spark, root, ROOT_TASK, "SUCCEEDED", started, _now())
     except Exception as e:  # noqa: BLE001 - recorded and returned; the child does not run
         msg = error_text(e)

@@ -131,3 +131,24 @@ def test_incremental_staging_flattens_only_new_batches(spark, tmp_path):
     assert r.ok and r.rows == 0 and r.staged is None and len(seen) == 3
     assert spark.table("rj_inc.stg").where("batch_id = 2").count() == sum(
         max(1, i % 3) for i in range(20, 23))
+
+
+def test_one_run_in_several_bounded_batches(spark, tmp_path):
+    from tessera.plans.publish import partition_values
+
+    root = str(tmp_path / "store")
+    ensure_database(spark, "rj_mb", root)
+    src = tmp_path / "src" / "w"
+    src.mkdir(parents=True)
+    for i in range(3):
+        (src / f"f{i}.json").write_text(docs(range(i * 10, i * 10 + 3)))
+
+    def rebuild(landing):
+        return flatten(landing, CLAIM_SPEC, outer=True, keep=("batch_id",))
+    r = run_ingest(spark, str(tmp_path / "src") + "/*/", root, rebuild=rebuild,
+                   staging_table="rj_mb.stg", incremental=True, max_files_per_trigger=1)
+    assert r.ok and (r.batches, r.rows) == (3, 9)
+    assert partition_values(spark, "rj_mb.stg", "batch_id") == {"0", "1", "2"}
+    land = read_landing(spark, f"{root}/landing/claims")
+    assert sorted(tuple(x) for x in rebuild(land).collect()) == sorted(
+        tuple(x) for x in spark.table("rj_mb.stg").select(*rebuild(land).columns).collect())
