@@ -745,7 +745,14 @@ def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
     root = work_path(spark, "ingest")
     o, li = t("orders"), t("lineitem")
     last = o.agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
-    SI.claim_documents(o.where(F.year("o_orderdate") < last), li).write.text(f"{root}/src/run1")
+
+    def documents(orders):
+        # Only the items of these claims are grouped into documents (same documents).
+        items = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey",
+                        "left_semi")
+        return SI.claim_documents(orders, items)
+
+    documents(o.where(F.year("o_orderdate") < last)).write.text(f"{root}/src/run1")
     schema = _schema_name("raw_json")
     from tessera.plans.publish import ensure_database
     ensure_database(spark, schema, root)
@@ -758,7 +765,7 @@ def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
     glob = f"{root}/src/*/"
     r1 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging,
                     incremental=incremental)
-    SI.claim_documents(o.where(F.year("o_orderdate") == last), li).write.text(f"{root}/src/run2")
+    documents(o.where(F.year("o_orderdate") == last)).write.text(f"{root}/src/run2")
     r2 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging,
                     incremental=incremental)
     if extra_empty_run:
