@@ -37,7 +37,8 @@ def test_outer_flatten_count_is_sum_of_max_one(spark, items):
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.integers(), st.text(max_size=8)), max_size=40), st.integers(1, 3))
+@given(st.lists(st.tuples(st.integers(-2**63, 2**63 - 1), st.text(max_size=8)), max_size=40),
+       st.integers(1, 3))
 def test_reloading_n_times_equals_once(spark, rows, times):
     root = work_path(spark, "prop-reload")
     ensure_database(spark, "prop_db", root)
