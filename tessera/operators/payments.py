@@ -251,8 +251,11 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     small = _fold_small(tagged.where(F.col("_n") <= max_fold), bill_key, order_cols, pay_cols)
     spark = valid.sparkSession
     n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = tagged.where(F.col("_n") > max_fold)
     stage = stage_path or work_path(spark, "hot-bills")
+    # Hot rows are staged once: both hot branches read them without re-running the upstream
+    # validation join (the small-bill branch runs it once more, in the final write).
+    tagged.where(F.col("_n") > max_fold).write.mode("overwrite").parquet(f"{stage}/rows")
+    hot = spark.read.parquet(f"{stage}/rows")
     prefix = _fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key, order_cols, pay_cols, n,
                               f"{stage}/not-overdue")
     head, settled = _split_hot_overdue(hot.where(F.col("_rate") > 0), bill_key, order_cols,
