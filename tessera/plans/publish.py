@@ -56,11 +56,13 @@ def stage_version(df: DataFrame, table: str, root: str, version: str | None = No
 
 def swap(spark: SparkSession, v: Version) -> None:
     """Point the catalog table at the new version (create it on first publish). Same schema:
-    ``SET LOCATION``. Changed schema (a type change): the external table definition is
-    replaced (drop + create; the data folders are not touched)."""
+    ``SET LOCATION``. Changed schema (a type change), or a table partitioned in the catalog
+    (its partitions keep their own folders, so a new table location would not replace them):
+    the external table definition is replaced (drop + create; data folders are not touched)."""
     if spark.catalog.tableExists(v.table):
         new_schema = spark.read.parquet(v.path).schema
-        if [(f.name, f.dataType) for f in spark.table(v.table).schema] == \
+        partitioned = any(c.isPartition for c in spark.catalog.listColumns(v.table))
+        if not partitioned and [(f.name, f.dataType) for f in spark.table(v.table).schema] == \
                 [(f.name, f.dataType) for f in new_schema]:
             spark.sql(f"ALTER TABLE {v.table} SET LOCATION '{v.path}'")
             spark.sql(f"REFRESH TABLE {v.table}")

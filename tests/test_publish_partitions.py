@@ -34,3 +34,14 @@ def test_failed_partition_write_changes_nothing(spark, tmp_path):
         publish_partitions(spark, bad, "pp_b.t", root, "batch_id")
     assert rows(spark, "pp_b.t") == [(1, "a", 0)]
     assert partition_values(spark, "pp_b.t", "batch_id") == {"0"}
+
+
+def test_full_publish_over_a_partitioned_table_replaces_its_partitions(spark, tmp_path):
+    from tessera.plans.publish import publish
+
+    root = str(tmp_path)
+    ensure_database(spark, "pp_c", root)
+    publish_partitions(spark, spark.createDataFrame([(1, "a", 0), (2, "b", 1)], SCHEMA), "pp_c.t",
+                       root, "batch_id")
+    publish(spark, spark.createDataFrame([(7, "x", 0)], SCHEMA), "pp_c.t", root)
+    assert rows(spark, "pp_c.t") == [(7, "x", 0)]
