@@ -152,3 +152,14 @@ def test_one_run_in_several_bounded_batches(spark, tmp_path):
     land = read_landing(spark, f"{root}/landing/claims")
     assert sorted(tuple(x) for x in rebuild(land).collect()) == sorted(
         tuple(x) for x in spark.table("rj_mb.stg").select(*rebuild(land).columns).collect())
+
+
+def test_incremental_run_without_files_does_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    ensure_database(spark, "rj_empty", root)
+    (tmp_path / "src" / "w").mkdir(parents=True)
+    r = run_ingest(spark, str(tmp_path / "src") + "/*/", root,
+                   rebuild=lambda df: flatten(df, CLAIM_SPEC, outer=True, keep=("batch_id",)),
+                   staging_table="rj_empty.stg", incremental=True)
+    assert r.ok and (r.batches, r.rows) == (0, 0) and r.staged is None
+    assert not spark.catalog.tableExists("rj_empty.stg")
