@@ -361,6 +361,15 @@ class PaymentRun:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def publish(self, bills_table: str, log_table: str, root: str) -> dict:
+        """Publish the rebuilt bills and the extended edit log together: both new versions
+        are written first, then both tables are swapped (``publish_all``). The inputs may be
+        these same tables: the new versions go to new folders, so the job reads the current
+        version while it writes the next one."""
+        from tessera.plans.publish import publish_all
+
+        return publish_all(self._spark, {bills_table: self.bills, log_table: self.edit_log}, root)
+
 
 def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
                    edit_log: DataFrame, *, as_of: _dt.date | str,

@@ -137,3 +137,26 @@ def test_hot_overdue_bill_is_split_at_certified_zero(spark):
     assert heads[2] == 59 and heads[3] == 1
     assert settled.where(F.col("bill_id") == 2).count() == 0
     assert settled.count() == (399 - heads[1]) + 28
+
+
+def test_publish_bills_and_log_from_their_own_tables(spark, tmp_path):
+    from tessera.plans.publish import ensure_database, publish_all
+
+    root = str(tmp_path)
+    ensure_database(spark, "pay_pub", root)
+    publish_all(spark, {
+        "pay_pub.bill": spark.createDataFrame(
+            [(141, 20, dt.date(2025, 10, 29), d("349.89"), "Pending", None),
+             (142, 20, dt.date(2026, 9, 1), d("10.00"), "Pending", None)], BILLS),
+        "pay_pub.policy_edit_log": spark.createDataFrame(
+            [(63, 20, "Bill", dt.datetime(2026, 1, 1), "x", "y")], LOG)}, root)
+    pays = spark.createDataFrame([(1, 141, d("150.00"), "credit_card", "cobranza"),
+                                  (2, 142, d("10.00"), "cash", "cobranza")], PAYS)
+    r = apply_payments(spark, spark.table("pay_pub.bill"), pays,
+                       spark.table("pay_pub.policy_edit_log"), as_of="2026-08-08",
+                       edited_at="2026-08-08 09:00:00")
+    v = r.publish("pay_pub.bill", "pay_pub.policy_edit_log", root)
+    assert v["pay_pub.bill"].rows == 2 and v["pay_pub.policy_edit_log"].rows == 3
+    bills = {b["id"]: (b["balance"], b["status"]) for b in spark.table("pay_pub.bill").collect()}
+    assert bills == {141: (d("234.88"), "Pending"), 142: (d("0.00"), "Paid")}
+    assert sorted(x["id"] for x in spark.table("pay_pub.policy_edit_log").collect()) == [63, 64, 65]
