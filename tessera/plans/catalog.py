@@ -370,28 +370,33 @@ applied AS (SELECT v.*, r.bal AS new_balance, r.surcharge FROM v JOIN r ON r.bil
 """
 
 
-@query("apply_payments_bills", _PAY_SQL_BASE + """
+_BILLS_SELECT = """
 , last AS (SELECT bill_id, arg_max(new_balance, seq) AS nb, arg_max(payment_method, seq) AS pm
            FROM applied GROUP BY bill_id)
 SELECT b.id, b.policy_id, b.due_date,
        CASE WHEN last.bill_id IS NULL THEN b.balance ELSE CAST(last.nb AS DECIMAL(10,2)) END AS balance,
        CASE WHEN last.bill_id IS NOT NULL AND last.nb = 0 THEN 'Paid' ELSE b.status END AS status,
        last.pm AS payment_method
-FROM b LEFT JOIN last ON last.bill_id = b.id""")
-def apply_payments_bills(spark, sf_dir):
-    """U2 set-based: bills after applying a batch of ordered payments."""
-    return _apply(spark, sf_dir)["bills"].select("id", "policy_id", "due_date", "balance", "status",
-                                                 "payment_method")
-
+FROM b LEFT JOIN last ON last.bill_id = b.id"""
 
-@query("apply_payments_log", _PAY_SQL_BASE + f"""
+_LOG_SELECT = f"""
 SELECT (SELECT max(o_orderkey) + 1 FROM orders) + row_number() OVER (ORDER BY bill_id, seq) AS id,
        policy_id, 'Bill' AS edited_table_name, TIMESTAMP '{SI.PAYMENTS_EDITED_AT}' AS edited_date,
        'Pago de ' || CAST(amount AS VARCHAR) || ' registrado vía ' || payment_method ||
        '. Recargo por mora: ' || CAST(surcharge AS VARCHAR) || ' (' || CAST(days_late AS VARCHAR) ||
        ' dias). Nuevo saldo: ' || CAST(new_balance AS VARCHAR) AS additional_info,
        edited_by
-FROM applied""")
+FROM applied"""
+
+
+@query("apply_payments_bills", _PAY_SQL_BASE + _BILLS_SELECT)
+def apply_payments_bills(spark, sf_dir):
+    """U2 set-based: bills after applying a batch of ordered payments."""
+    return _apply(spark, sf_dir)["bills"].select("id", "policy_id", "due_date", "balance", "status",
+                                                 "payment_method")
+
+
+@query("apply_payments_log", _PAY_SQL_BASE + _LOG_SELECT)
 def apply_payments_log(spark, sf_dir):
     """U2 set-based: one edit-log row per applied payment, ids continuing the existing log."""
     return _apply(spark, sf_dir)["log"]
@@ -420,6 +425,62 @@ def _apply(spark, sf_dir):
     return _RUNS[key]
 
 
+# A hot key from the driver's data: every credit-card payment (l_returnflag = 'R', a third of
+# all payment rows) is made against one bill, the overdue bill with the smallest balance. Its
+# first valid payment settles it, so nearly all of its payments take the parallel settled path
+# of the hot overdue split. The oracle stops its recursion once a balance is zero (a zero
+# balance stays zero: no surcharge on 0, every valid amount positive) and fills zeros after.
+_HOT_PAY_SQL_BASE = (
+    _PAY_SQL_BASE
+    .replace("pay AS (SELECT l_orderkey AS bill_id,", f"""hot AS (SELECT min(id) AS id FROM b
+        WHERE due_date < DATE '{SI.PAYMENTS_AS_OF}' - 30
+          AND balance = (SELECT min(balance) FROM b WHERE due_date < DATE '{SI.PAYMENTS_AS_OF}' - 30)),
+pay AS (SELECT CASE WHEN l_returnflag = 'R' THEN (SELECT id FROM hot) ELSE l_orderkey END AS bill_id,""")
+    .replace("FROM r JOIN v ON v.bill_id = r.bill_id AND v.seq = r.seq + 1),",
+             "FROM r JOIN v ON v.bill_id = r.bill_id AND v.seq = r.seq + 1 WHERE r.bal > 0),")
+    .replace("applied AS (SELECT v.*, r.bal AS new_balance, r.surcharge FROM v JOIN r ON r.bill_id = v.bill_id AND r.seq = v.seq)",
+             "applied AS (SELECT v.*, coalesce(r.bal, CAST(0 AS DECIMAL(12,2))) AS new_balance, "
+             "coalesce(r.surcharge, CAST(0 AS DECIMAL(12,2))) AS surcharge "
+             "FROM v LEFT JOIN r ON r.bill_id = v.bill_id AND r.seq = v.seq)"))
+assert _HOT_PAY_SQL_BASE.count("WHERE r.bal > 0") == 1 and "hot AS" in _HOT_PAY_SQL_BASE \
+    and "LEFT JOIN r" in _HOT_PAY_SQL_BASE
+
+
+def hot_bill_payments(t) -> DataFrame:
+    """Stand-in payments with every credit-card payment moved to the overdue bill with the
+    smallest balance (ties: smallest id); the bill is found with one aggregate (one value)."""
+    b = SI.bills(t)
+    late = b.where(F.col("due_date") < F.date_sub(F.lit(SI.PAYMENTS_AS_OF).cast("date"), 30))
+    hot = late.agg(F.min_by("id", F.struct("balance", "id")).alias("id")).first()["id"]
+    return SI.payments(t).withColumn(
+        "bill_id", F.when(F.col("payment_method") == "credit_card", F.lit(hot))
+        .otherwise(F.col("bill_id")))
+
+
+def _apply_hot(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "hot")
+    if key not in _RUNS:
+        t = SI.reader(spark, sf_dir)
+        _RUNS[key] = apply_payments(spark, SI.bills(t), hot_bill_payments(t), SI.edit_log(t),
+                                    as_of=SI.PAYMENTS_AS_OF, edited_at=SI.PAYMENTS_EDITED_AT,
+                                    order_cols=SI.PAYMENT_ORDER)
+    return _RUNS[key]
+
+
+@query("hot_bill_payments_log", _HOT_PAY_SQL_BASE + _LOG_SELECT)
+def hot_bill_payments_log(spark, sf_dir):
+    """U2 with one bill holding a third of all payments: every payment's surcharge and new
+    balance in the log, ids in (bill, payment order)."""
+    return _apply_hot(spark, sf_dir)["log"]
+
+
+@query("hot_bill_bills", _HOT_PAY_SQL_BASE + _BILLS_SELECT)
+def hot_bill_bills(spark, sf_dir):
+    """U2 with one bill holding a third of all payments: the bills afterwards."""
+    return _apply_hot(spark, sf_dir)["bills"].select("id", "policy_id", "due_date", "balance",
+                                                     "status", "payment_method")
+
+
 @query("bills_of_policy", """
 SELECT o_orderkey AS id, o_custkey AS policy_id, CAST(o_orderdate AS DATE) + 30 AS due_date,
        CAST(o_totalprice AS DECIMAL(10,2)) AS balance
