@@ -180,10 +180,16 @@ def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Col
     j = local.join(offsets.select(bill_key, "_pid", "_ocnt", "_osum"), [bill_key, "_pid"])
     run = F.col("_osum") + (F.col("_lsum") if base is None
                             else F.col("_lsum") * F.pow(F.col(base), -F.col("_ocnt")))
-    return j.select(*df.columns, (F.col("_ocnt") + F.col("_lrn")).cast("bigint").alias("seq"),
+    return j.select(*df.columns, "_pid",
+                    (F.col("_ocnt") + F.col("_lrn")).cast("bigint").alias("seq"),
                     run.alias("_run"))
 
 
+def _pieces(positioned: DataFrame, bill_key: str) -> DataFrame:
+    """One row per (bill, piece) of a ``_bill_prefix`` result (partial aggregation)."""
+    return positioned.groupBy(bill_key, "_pid").agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def _fold_hot_prefix(valid: DataFrame, bill_key: str, order_cols: list[str],
                      pay_cols: list[str], n_partitions: int, stage_path: str) -> DataFrame:
     """Hot bills that are not overdue (rate 0): each new balance is max(start - running sum of
@@ -225,8 +231,11 @@ def _split_hot_overdue(hot: DataFrame, bill_key: str, order_cols: list[str],
     certified = (F.col("_run") >= F.col("_start_balance").cast("double") * (1 + ZERO_CERT_REL)
                  + ZERO_CERT_ABS)
     cut = pos.where(certified).groupBy(bill_key).agg(F.min("seq").alias("_cut"))
-    pos.drop("_run", "_base").join(cut, bill_key, "left").write.mode("overwrite").parquet(
-        f"{stage_path}/split")
+    # The cut goes to the pieces (one row each), and rows meet it on (bill, piece): the rows
+    # are already partitioned that way, so a hot bill is not gathered into one task here.
+    piece_cut = _pieces(pos, bill_key).join(cut, bill_key, "left").drop("_rows")
+    (pos.drop("_run", "_base").join(piece_cut, [bill_key, "_pid"], "left").drop("_pid")
+     .write.mode("overwrite").parquet(f"{stage_path}/split"))
     staged = hot.sparkSession.read.parquet(f"{stage_path}/split")
     sequential = staged.where(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut")))
     settled = staged.where(F.col("seq") > F.col("_cut")).select(
