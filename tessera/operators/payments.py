@@ -255,15 +255,18 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     in parallel, the head is the streamed fold (one task per bill, constant memory)."""
     if not has_hot:
         return _fold_small(valid, bill_key, order_cols, pay_cols)
-    counts = valid.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
-    tagged = valid.join(counts, bill_key, "inner")
-    small = _fold_small(tagged.where(F.col("_n") <= max_fold), bill_key, order_cols, pay_cols)
+    # Only the hot bills are listed (at most one row per max_fold payments, usually a handful),
+    # so AQE can broadcast the list instead of shuffling payments against a per-bill table.
+    hot_ids = (valid.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > max_fold).select(bill_key, F.lit(True).alias("_hot")))
+    tagged = valid.join(hot_ids, bill_key, "left")
+    small = _fold_small(tagged.where(F.col("_hot").isNull()), bill_key, order_cols, pay_cols)
     spark = valid.sparkSession
     n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     stage = stage_path or work_path(spark, "hot-bills")
     # Hot rows are staged once: both hot branches read them without re-running the upstream
     # validation join (the small-bill branch runs it once more, in the final write).
-    tagged.where(F.col("_n") > max_fold).write.mode("overwrite").parquet(f"{stage}/rows")
+    tagged.where(F.col("_hot")).write.mode("overwrite").parquet(f"{stage}/rows")
     hot = spark.read.parquet(f"{stage}/rows")
     prefix = _fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key, order_cols, pay_cols, n,
                               f"{stage}/not-overdue")
