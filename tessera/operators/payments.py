@@ -268,12 +268,20 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     # validation join (the small-bill branch runs it once more, in the final write).
     tagged.where(F.col("_hot")).write.mode("overwrite").parquet(f"{stage}/rows")
     hot = spark.read.parquet(f"{stage}/rows")
-    prefix = _fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key, order_cols, pay_cols, n,
-                              f"{stage}/not-overdue")
-    head, settled = _split_hot_overdue(hot.where(F.col("_rate") > 0), bill_key, order_cols,
-                                       pay_cols, n, f"{stage}/overdue")
-    streamed = _fold_hot(head, bill_key, order_cols, pay_cols, n)
-    return small.unionByName(prefix).unionByName(streamed).unionByName(settled)
+    # Which hot branches have rows (one small aggregate over the staged rows): an empty
+    # branch would still run its own staging jobs.
+    kinds = hot.agg(F.count_if(F.col("_rate") == 0).alias("zero"),
+                    F.count_if(F.col("_rate") > 0).alias("overdue")).first()
+    out = small
+    if kinds["zero"]:
+        out = out.unionByName(_fold_hot_prefix(hot.where(F.col("_rate") == 0), bill_key,
+                                               order_cols, pay_cols, n, f"{stage}/not-overdue"))
+    if kinds["overdue"]:
+        head, settled = _split_hot_overdue(hot.where(F.col("_rate") > 0), bill_key, order_cols,
+                                           pay_cols, n, f"{stage}/overdue")
+        out = (out.unionByName(_fold_hot(head, bill_key, order_cols, pay_cols, n))
+               .unionByName(settled))
+    return out
 
 
 def has_hot_bills(payments: DataFrame, bill_key: str, max_fold: int) -> bool:
