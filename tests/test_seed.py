@@ -2,7 +2,6 @@ import json
 
 import pytest
 
-from tessera.plans.publish import ensure_database
 from tessera.plans.seed import presence_report, rebuild_from_seeds
 from tessera.sources.contracts import RELATIONAL
 from tessera.sources.readers import read_seed
