@@ -396,6 +396,7 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
                    edited_at: _dt.datetime | str | None = None,
                    order_cols: tuple[str, ...] = ("payment_id",), bill_key: str = "bill_id",
                    set_paid_date: bool = False, max_fold: int = DEFAULT_MAX_FOLD,
+                   hot_partitions: int | None = None,
                    stage_path: str | None = None) -> PaymentRun:
     """Apply a batch of payments. Returns a ``PaymentRun`` with ``bills`` (rebuilt bills),
     ``log`` (new edit-log rows), ``edit_log`` (old + new), ``rejects`` and ``applied``."""
@@ -415,7 +416,8 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     pay_cols = [c for c in payments.columns if c != bill_key] + ["policy_id", "days_late"]
     hot = has_hot_bills(payments, bill_key, max_fold)
     applied = fold_payments(valid, bill_key=bill_key, order_cols=order, pay_cols=pay_cols,
-                            max_fold=max_fold, has_hot=hot, stage_path=f"{stage}/hot")
+                            max_fold=max_fold, hot_partitions=hot_partitions, has_hot=hot,
+                            stage_path=f"{stage}/hot")
     applied.write.mode("overwrite").parquet(f"{stage}/applied")
     applied = spark.read.parquet(f"{stage}/applied")
     return PaymentRun(spark, bills, payments, edit_log, rejects, applied, bill_key, order,
