@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from urllib.parse import unquote
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,12 +79,17 @@ def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,
     return v
 
 
+def _sql_text(v: str) -> str:
+    return v.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def partition_values(spark: SparkSession, table: str, column: str) -> set[str]:
-    """Registered values of one partition column (catalog metadata, no data read)."""
+    """Registered values of one partition column (catalog metadata, no data read).
+    ``SHOW PARTITIONS`` prints path-escaped values (%XX); they are returned unescaped."""
     if not spark.catalog.tableExists(table):
         return set()
     out = set()
@@ -91,7 +97,7 @@ def partition_values(spark: SparkSession, table: str, column: str) -> set[str]:
         for part in r[0].split("/"):
             name, _, value = part.partition("=")
             if name == column:
-                out.add(value)
+                out.add(unquote(value))
     return out
 
 
@@ -115,14 +121,21 @@ def publish_partitions(spark: SparkSession, df: DataFrame, table: str, root: str
                   f"LOCATION '{root}/{table.replace('.', '/')}/base'")
     existing = partition_values(spark, table, column)
     values = sorted(got["values"] or [])
+
+    def spec(v: str) -> str:
+        return f"PARTITION (`{column}` = '{_sql_text(v)}')"
+
+    def folder(v: str) -> str:
+        # the writer's folder name for the value (path-escaped like Spark's partition folders)
+        return f"{path}/{column}={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(v)}"
+
     added = [v for v in values if v not in existing]
     if added:
-        specs = " ".join(f"PARTITION ({column}={v}) LOCATION '{path}/{column}={v}'" for v in added)
+        specs = " ".join(f"{spec(v)} LOCATION '{_sql_text(folder(v))}'" for v in added)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     for v in values:
         if v in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({column}={v}) "
-                      f"SET LOCATION '{path}/{column}={v}'")
+            spark.sql(f"ALTER TABLE {table} {spec(v)} SET LOCATION '{_sql_text(folder(v))}'")
     spark.sql(f"REFRESH TABLE {table}")
     return Version(table, path, int(got["rows"]))
 

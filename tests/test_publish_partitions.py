@@ -45,3 +45,16 @@ def test_full_publish_over_a_partitioned_table_replaces_its_partitions(spark, tm
                        root, "batch_id")
     publish(spark, spark.createDataFrame([(7, "x", 0)], SCHEMA), "pp_c.t", root)
     assert rows(spark, "pp_c.t") == [(7, "x", 0)]
+
+
+def test_string_partition_values(spark, tmp_path):
+    root = str(tmp_path)
+    ensure_database(spark, "pp_d", root)
+    schema = "k bigint, region string"
+    publish_partitions(spark, spark.createDataFrame([(1, "north"), (2, "o'hare / east")], schema),
+                       "pp_d.t", root, "region")
+    assert partition_values(spark, "pp_d.t", "region") == {"north", "o'hare / east"}
+    publish_partitions(spark, spark.createDataFrame([(3, "o'hare / east")], schema), "pp_d.t",
+                       root, "region")
+    got = sorted(tuple(r) for r in spark.table("pp_d.t").select("k", "region").collect())
+    assert got == [(1, "north"), (3, "o'hare / east")]
