@@ -109,6 +109,14 @@ def publish_partitions(spark: SparkSession, df: DataFrame, table: str, root: str
     replayed batch replaces its own rows). Partitions not in ``df`` are untouched, so a run
     costs its new rows, not the whole table. The written values come from an Observation on
     the write (bounded by the number of partitions written)."""
+    if spark.catalog.tableExists(table):
+        # a partitioned table has one schema: data columns, then the partition column
+        have = [(f.name, f.dataType) for f in spark.table(table).schema]
+        want = ([(f.name, f.dataType) for f in df.schema if f.name != column]
+                + [(column, df.schema[column].dataType)])
+        if have != want:
+            raise PublishError(f"{table}: new partitions have columns {want}, the table has "
+                               f"{have}; rebuild the table in full to change its schema")
     version = version or new_version_id()
     path = f"{root}/{table.replace('.', '/')}/v={version}"
     obs = Observation(f"parts_{uuid.uuid4().hex[:8]}")

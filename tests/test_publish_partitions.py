@@ -58,3 +58,16 @@ def test_string_partition_values(spark, tmp_path):
                        root, "region")
     got = sorted(tuple(r) for r in spark.table("pp_d.t").select("k", "region").collect())
     assert got == [(1, "north"), (3, "o'hare / east")]
+
+
+def test_partitions_with_another_schema_are_refused(spark, tmp_path):
+    from tessera.plans.publish import PublishError
+
+    root = str(tmp_path)
+    ensure_database(spark, "pp_e", root)
+    publish_partitions(spark, spark.createDataFrame([(1, "a", 0)], SCHEMA), "pp_e.t", root,
+                       "batch_id")
+    wider = spark.createDataFrame([(2, "b", 1.5, 1)], "k bigint, v string, w double, batch_id bigint")
+    with pytest.raises(PublishError, match="rebuild the table in full"):
+        publish_partitions(spark, wider, "pp_e.t", root, "batch_id")
+    assert rows(spark, "pp_e.t") == [(1, "a", 0)]
