@@ -71,3 +71,14 @@ def test_partitions_with_another_schema_are_refused(spark, tmp_path):
     with pytest.raises(PublishError, match="rebuild the table in full"):
         publish_partitions(spark, wider, "pp_e.t", root, "batch_id")
     assert rows(spark, "pp_e.t") == [(1, "a", 0)]
+
+
+def test_metadata_helpers_on_missing_inputs(spark, tmp_path):
+    from tessera.streaming.ingest import landed_batch_ids, write_landing_batch
+
+    assert landed_batch_ids(spark, str(tmp_path / "nothing-here")) == set()
+    assert partition_values(spark, "pp_none.t", "batch_id") == set()
+    land = str(tmp_path / "landing")
+    write_landing_batch(spark.range(2).select(F.parse_json(F.to_json(F.struct("id"))).alias("raw")),
+                        7, land)
+    assert landed_batch_ids(spark, land) == {"7"}
