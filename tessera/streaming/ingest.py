@@ -120,6 +120,9 @@ def landed_batch_ids(spark: SparkSession, landing_path: str) -> set[str]:
 
 def _rebuild_staging(spark: SparkSession, landing: str, rebuild, staging_table: str, root: str,
                      incremental: bool, new_ids: list[int]) -> Version | None:
+    """Full rebuild, or (incremental) the batches landed but not yet in staging. A batch whose
+    rebuild yields no rows (possible with an inner flatten) never gets a partition, so it is
+    flattened again on later runs: cheap, and the result stays equal to a full rebuild."""
     if not incremental:
         return publish(spark, rebuild(read_landing(spark, landing)), staging_table, root)
     if spark.catalog.tableExists(staging_table) and "batch_id" not in {
