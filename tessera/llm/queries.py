@@ -2,24 +2,66 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm.chat import digests, format_conversations
 from tessera.llm.common import table
+from tessera.llm.decontamination import contaminated
 from tessera.llm.exact_dedup import exact_groups
+from tessera.llm.language_id import identify
 from tessera.llm.ngram_join import near_groups
+from tessera.llm.packing import pack
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(spark, table(spark, sf_dir, "documents"), TOKENIZER)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_conversations(turns.unionByName(extra)))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(spark, table(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id, op9_benchmark_decontamination,
+    op10_exact_dedup)}
 
 ORACLES = {
+    "op5_chat_formatting": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+           UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l') AS body FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length(body) + 15)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
     "op10_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
