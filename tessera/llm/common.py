@@ -31,6 +31,15 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-def ascii_lower(col):
-    """Lower-case A-Z only."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Hash buckets of ``maybe_in``: at most so many rows (about 64 MB) are broadcast, whatever the size
+#: of the wanted keys.
+BUCKETS = 1 << 22
+
+
+def maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` falls in a hash bucket of the single column of ``wanted``:
+    every match and few others. It spares a following exact join the shuffle of the other rows."""
+    bucket = fresh(df, "bucket")
+    spots = wanted.select(F.pmod(F.xxhash64(wanted.columns[0]), F.lit(BUCKETS)).alias(bucket)).distinct()
+    tagged = df.withColumn(bucket, F.pmod(F.xxhash64(key), F.lit(BUCKETS)))
+    return tagged.join(F.broadcast(spots), bucket, "left_semi").drop(bucket)

@@ -10,9 +10,12 @@ from tessera.llm.chat import digests, format_conversations
 from tessera.llm.common import table
 from tessera.llm.decontamination import contaminated
 from tessera.llm.exact_dedup import exact_groups
+from tessera.llm.html_extract import extract
 from tessera.llm.language_id import identify
 from tessera.llm.ngram_join import near_groups
 from tessera.llm.packing import pack
+from tessera.llm.url_filters import ORACLE as URL_ORACLE, captures_of, judge, list_of, validity
+from tessera.llm.warc import read_archives, resolved, write_archives
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TRICKY = r"\### Assistant: </turn> ok"
@@ -23,6 +26,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = judge(captures_of(pages), validity(list_of(pages)))
+    return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "valid_from")})
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(spark, table(spark, sf_dir, "documents"))
 
@@ -38,6 +47,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolved(spark, read_archives(write_archives(spark, table(spark, sf_dir, "pages"))))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,10 +64,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id, op9_benchmark_decontamination,
-    op10_exact_dedup)}
+    op1_packing, op3_url_filters, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id, op7_html_extraction,
+    op8_warc, op9_benchmark_decontamination, op10_exact_dedup)}
 
 ORACLES = {
+    "op3_url_filters": URL_ORACLE,
     "op5_chat_formatting": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
@@ -62,6 +80,13 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(length(role) + length(body) + 15)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id""",
+    "op8_warc": r"""
+WITH t AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT html, min(page_id) AS first FROM t WHERE n >= 100 GROUP BY html)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(t.html) AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM t LEFT JOIN g ON t.html = g.html AND t.n >= 100""",
     "op10_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
