@@ -12,6 +12,7 @@ from tessera.llm.decontamination import contaminated
 from tessera.llm.exact_dedup import exact_groups
 from tessera.llm.html_extract import extract
 from tessera.llm.language_id import identify
+from tessera.llm.lm_scoring import score
 from tessera.llm.ngram_join import near_groups
 from tessera.llm.packing import pack
 from tessera.llm.url_filters import ORACLE as URL_ORACLE, captures_of, judge, list_of, validity
@@ -26,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = judge(captures_of(pages), validity(list_of(pages)))
@@ -64,8 +69,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op3_url_filters, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id, op7_html_extraction,
-    op8_warc, op9_benchmark_decontamination, op10_exact_dedup)}
+    op1_packing, op2_lm_scoring, op3_url_filters, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id,
+    op7_html_extraction, op8_warc, op9_benchmark_decontamination, op10_exact_dedup)}
 
 ORACLES = {
     "op3_url_filters": URL_ORACLE,
