@@ -31,15 +31,26 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-#: Hash buckets of ``maybe_in``: at most so many rows (about 64 MB) are broadcast, whatever the size
+#: Hash buckets of ``split_by``: at most so many rows (about 64 MB) are broadcast, whatever the size
 #: of the wanted keys.
 BUCKETS = 1 << 22
 
 
-def maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose ``key`` falls in a hash bucket of the single column of ``wanted``:
-    every match and few others. It spares a following exact join the shuffle of the other rows."""
+def split_by(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` falls in a hash bucket of the single column of ``wanted``
+    (every match and few others), and the other rows. It spares a following exact join the shuffle
+    of rows that cannot match."""
     bucket = fresh(df, "bucket")
-    spots = wanted.select(F.pmod(F.xxhash64(wanted.columns[0]), F.lit(BUCKETS)).alias(bucket)).distinct()
+    spots = F.broadcast(wanted.select(F.pmod(F.xxhash64(wanted.columns[0]), F.lit(BUCKETS)).alias(bucket)).distinct())
     tagged = df.withColumn(bucket, F.pmod(F.xxhash64(key), F.lit(BUCKETS)))
-    return tagged.join(F.broadcast(spots), bucket, "left_semi").drop(bucket)
+    return tagged.join(spots, bucket, "left_semi").drop(bucket), tagged.join(spots, bucket, "left_anti").drop(bucket)
+
+
+def maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    return split_by(df, key, wanted)[0]
+
+
+def without(df: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in the single column of ``dropped``."""
+    likely, others = split_by(df, key, dropped)
+    return others.unionByName(likely.join(dropped, likely[key] == dropped[dropped.columns[0]], "left_anti"))

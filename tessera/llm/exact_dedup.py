@@ -14,7 +14,6 @@ ignored by ``exact_groups`` and carried through by ``drop_duplicates_exact``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WHITE, fresh, staged
+from tessera.llm.common import WHITE, fresh, maybe_in, split_by, staged
 from tessera.llm.words import mix
 
 #: Digests a bucket holds on average, which bounds what one filter task keeps in memory.
@@ -220,7 +219,8 @@ def exact_groups(spark: SparkSession, docs: DataFrame, digest=sha256_hex) -> Dat
 def _differing(rows: DataFrame, groups: DataFrame, digest) -> DataFrame:
     """Byte check: rows of a shared digest whose text is not that of the row that stays."""
     shared = groups.filter("_n > 1").select("_digest", "_min_id")
-    texts = rows.withColumn("_digest", digest(F.col("_norm"))).join(shared, "_digest")
+    likely = maybe_in(rows.withColumn("_digest", digest(F.col("_norm"))), "_digest", shared.select("_digest"))
+    texts = staged(rows.sparkSession, likely.join(shared, "_digest"), "shared")
     # One text per digest: rows that repeat the kept id may differ, any of them will do.
     kept = (texts.filter(F.col("_id").eqNullSafe(F.col("_min_id")))
             .groupBy("_digest").agg(F.min("_norm").alias("_kept_text")))
@@ -230,14 +230,13 @@ def _differing(rows: DataFrame, groups: DataFrame, digest) -> DataFrame:
 
 def drop_duplicates_exact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Pipeline form: of equal texts the row with the smallest ``doc_id`` stays, columns as given."""
-    stays = exact_groups(spark, docs).filter("kept").select(
-        F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_keep_sha"))
+    groups = staged(spark, exact_groups(spark, docs), "exact")
+    stays = groups.filter("kept AND group_size > 1").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_keep_sha"))
     sha, id_ = fresh(docs, "sha"), fresh(docs, "id")
     tagged = docs.withColumn(sha, sha256_hex(normalised(F.col("text")))).withColumn(id_, F.col("doc_id").cast("long"))
-    kept = tagged.join(stays, tagged[id_].eqNullSafe(stays["_keep"]) & (tagged[sha] == stays["_keep_sha"]), "left_semi")
-    repeated = (docs.select(F.col("doc_id").cast("long").alias("_keep"), sha256_hex(normalised(F.col("text"))).alias("_keep_sha"))
-                .groupBy("_keep", "_keep_sha").count().filter("count > 1").select("_keep", "_keep_sha"))
-    again = kept[id_].eqNullSafe(repeated["_keep"]) & (kept[sha] == repeated["_keep_sha"])
-    return (kept.join(repeated, again, "left_anti")
-            .unionByName(kept.join(repeated, again, "left_semi").dropDuplicates([id_, sha]))
-            .drop(sha, id_))
+    shared, alone = split_by(tagged, sha, stays.select("_keep_sha"))
+    same = shared[id_].eqNullSafe(stays["_keep"]) & (shared[sha] == stays["_keep_sha"])
+    single = groups.filter("group_size = 1").select(F.col("text_sha256").alias("_keep_sha"))
+    kept = shared.join(stays, same, "left_semi").dropDuplicates([id_, sha]).unionByName(
+        shared.join(maybe_in(single, "_keep_sha", stays.select("_keep_sha")), shared[sha] == F.col("_keep_sha"), "left_semi"))
+    return alone.unionByName(kept).drop(sha, id_)
