@@ -43,7 +43,8 @@ def test_run_lengths_equal_piece_by_piece(seed):
 
 
 @pytest.mark.parametrize("text", ["", " ", "a  b", " lead", "trail ", "it's  John's\n\n x", "a\n b \t c", "é ü  x", "<|endoftext|> a",
-                                  "don't stop 12 3", "  ", "a " * 50 + "\n", "日本 語 x", "x" * 500 + " y"])
+                                  "don't stop 12 3", "  ", "a " * 50 + "\n", "日本 語 x", "x" * 500 + " y", "a\n \nb", "a \nb c", "a\n\n b\n c", "x \u00a0y z", "é\u2003 b",
+                                  " ".join(f"ü{i}é.\nZ{i}," for i in range(300))])
 def test_chunked_ids_equal_the_tokenizer(text):
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
