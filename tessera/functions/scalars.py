@@ -67,7 +67,7 @@ def parse_date(c) -> Column:
     """First 10 characters as an ISO date. NULL input is an error."""
     s = _col(c)
     return F.when(s.isNull(), F.raise_error(F.lit("date value is NULL"))).otherwise(
-        F.substring(s, 1, 10).cast("date"))
+        F.to_date(F.substring(s, 1, 10), "yyyy-MM-dd"))
 
 
 def late_fee_rate(days, balance) -> Column:

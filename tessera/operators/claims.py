@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.operators.flatten import one_row_per_key
 
 MONEY_SUM = "decimal(38,2)"
+EXACT = "decimal(28,10)"  # amounts are summed unrounded; the sum is rounded once
 
 
 def claims_by_policy(staged: DataFrame, policies: DataFrame, *, claim_key: str = "claim_id",
@@ -24,7 +25,7 @@ def claims_by_policy(staged: DataFrame, policies: DataFrame, *, claim_key: str =
     claims = one_row_per_key(staged, claim_key, [policy_key, damage])
     per_policy = claims.groupBy(policy_key).agg(
         F.count(F.lit(1)).alias("claims"),
-        F.round(F.sum(F.col(damage).cast("decimal(18,2)")), 2).cast(MONEY_SUM).alias("damage_usd"))
+        F.round(F.sum(F.col(damage).cast(EXACT)), 2).cast(MONEY_SUM).alias("damage_usd"))
     return (per_policy.join(policies.select(policy_key, *policy_columns), policy_key, "inner")
             .select(policy_key, *policy_columns, "claims", "damage_usd"))
 
@@ -37,7 +38,7 @@ def claims_by_policy_as_reference(staged: DataFrame, policies: DataFrame, *,
     """Fanned form: distinct claims, but damage summed over every person row."""
     per_policy = staged.groupBy(policy_key).agg(
         F.count_distinct(claim_key).alias("claims"),
-        F.round(F.sum(F.col(damage).cast("decimal(18,2)")), 2).cast(MONEY_SUM).alias("damage_usd"))
+        F.round(F.sum(F.col(damage).cast(EXACT)), 2).cast(MONEY_SUM).alias("damage_usd"))
     return (per_policy.join(policies.select(policy_key, *policy_columns), policy_key, "inner")
             .select(policy_key, *policy_columns, "claims", "damage_usd"))
 

@@ -48,19 +48,24 @@ class DriftReport:
         return "".join(parts)
 
 
+#: Columns that loads add to a table by themselves; sources do not bring them.
+LINEAGE_COLUMNS = frozenset({"_SOURCE_FILE"})
+
+
 def _norm(names) -> dict[str, str]:
-    return {n.strip().upper(): n.strip() for n in names if not n.strip().startswith("_")}
+    return {n.strip().upper(): n.strip() for n in names}
 
 
 def compare_columns(table: str, incoming: list[str], target: list[str] | None,
                     schema: str = "raw") -> DriftReport:
     """Case-insensitive, whitespace-stripped comparison. ``target=None`` (table does not exist
-    yet): no drift, the table is created from its contract. Lineage columns (leading '_') are
-    not part of the comparison."""
+    yet): no drift, the table is created from its contract. The target's own lineage columns are
+    not part of the comparison; every incoming column is, whatever its name."""
     if target is None:
         return DriftReport(table, schema, (), ())
-    inc, tgt = _norm(incoming), _norm(target)
-    new = tuple(sorted(inc[k].upper() for k in inc.keys() - tgt.keys()))
+    inc = _norm(incoming)
+    tgt = {k: v for k, v in _norm(target).items() if k in inc or k not in LINEAGE_COLUMNS}
+    new = tuple(sorted(inc[k].upper() for k in inc.keys() - (tgt.keys() - LINEAGE_COLUMNS)))
     missing = tuple(sorted(tgt[k].upper() for k in tgt.keys() - inc.keys()))
     return DriftReport(table, schema, new, missing)
 

@@ -134,10 +134,12 @@ def reconcile(landing: DataFrame, staged: DataFrame, spec: DocumentSpec, key: st
 
 
 def one_row_per_key(staged: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Undo the fan-out of a flatten: one row per document key. Document-level columns are equal
-    on every row of a key, so ``max`` picks that value deterministically; map-side partial
-    aggregation collapses the fan-out before the shuffle."""
-    return staged.groupBy(key).agg(*[F.max(c).alias(c) for c in columns])
+    """Undo the fan-out of a flatten: one row per document key. A key that was exported more than
+    once keeps its newest version (by load time, then source path, then the values), whole: all
+    columns come from one row. Map-side partial aggregation collapses the fan-out."""
+    version = [c for c in ("_loaded_at", "_source_path") if c in staged.columns]
+    newest = F.max(F.struct(*version, *columns)).alias("_newest")
+    return staged.groupBy(key).agg(newest).select(key, *[F.col("_newest")[c].alias(c) for c in columns])
 
 
 def line_total_offenders(docs: DataFrame, lines: DataFrame, key: str, total: str, cost: str,

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import (
     ROLE_ANALYST, ROLE_MANAGER, mask_address, mask_address_sql, mask_phone, mask_phone_sql,
 )
+from tessera.sources.contracts import RELATIONAL
 
 STAGING = "stg_claims_flattened"
 LANDING = "raw_claims"
@@ -32,13 +34,12 @@ SQL_POLICIES: dict[tuple[str, str], Callable[[str, str], str]] = {
     (STAGING, "party_address"): mask_address_sql,
 }
 
-# role -> tables it may read (closed default: unknown roles read nothing).
+# Role -> tables it may read. Unknown roles read nothing, and nobody reads the raw
+# documents, which would bypass the masks of the flattened table.
 ACCESS: dict[str, frozenset[str]] = {
     ROLE_ANALYST: frozenset({STAGING}),
-    ROLE_MANAGER: frozenset({STAGING, LANDING}),
+    ROLE_MANAGER: frozenset({STAGING, *RELATIONAL}),
 }
-# The raw VARIANT landing column is readable by nobody through views.
-HIDDEN_COLUMNS = {LANDING: ("raw",)}
 
 
 class AccessDenied(PermissionError):
@@ -67,7 +68,9 @@ def declare_role(spark: SparkSession, role: str) -> None:
     """Set the session role read by masked views (declared on first use)."""
     try:
         spark.sql("SET VAR active_role = :role", args={"role": role})
-    except Exception:  # noqa: BLE001 - not declared yet in this session
+    except AnalysisException as e:
+        if e.getCondition() != "UNRESOLVED_VARIABLE":
+            raise
         spark.sql("DECLARE VARIABLE active_role STRING DEFAULT NULL")
         spark.sql("SET VAR active_role = :role", args={"role": role})
 
@@ -91,8 +94,7 @@ def register_views_for(spark: SparkSession, role: str, tables: dict[str, DataFra
     for name, df in tables.items():
         if name not in allowed:
             continue
-        hidden = HIDDEN_COLUMNS.get(name, ())
-        masked(df.drop(*hidden), name, role).createOrReplaceTempView(name)
+        masked(df, name, role).createOrReplaceTempView(name)
         names.append(name)
     return names
 
@@ -100,4 +102,11 @@ def register_views_for(spark: SparkSession, role: str, tables: dict[str, DataFra
 def read_as(role: str, table: str, tables: dict[str, DataFrame]) -> DataFrame:
     if table not in ACCESS.get(role, frozenset()):
         raise AccessDenied(f"role {role} may not read {table}")
-    return masked(tables[table].drop(*HIDDEN_COLUMNS.get(table, ())), table, role)
+    return masked(tables[table], table, role)
+
+
+def access_matrix(spark: SparkSession) -> DataFrame:
+    """Every role x table with whether the role may read it."""
+    roles, names = [ROLE_ANALYST, ROLE_MANAGER, "ACCOUNTADMIN"], [*RELATIONAL, LANDING, STAGING]
+    return spark.createDataFrame([(r, n, n in ACCESS.get(r, frozenset())) for r in roles for n in names],
+                                 "role string, table_name string, allowed boolean")

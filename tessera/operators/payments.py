@@ -66,6 +66,7 @@ def validate(payments: DataFrame, bills: DataFrame, *, bill_key: str = "bill_id"
                      F.format_string("bill %s does not exist", F.col(bill_key).cast("string")))
               .when(F.col("amount").isNull() | (F.col("amount") <= 0),
                     F.lit("amount must be greater than zero"))
+              .when(F.col("amount") != F.round("amount", 2), F.lit("amount has more than two decimals"))
               .when(F.col("_start_balance").isNull(), F.lit("bill balance is NULL"))
               .when(F.col("_start_balance") < 0,
                     F.format_string("bill balance cannot be negative (got %s)",
@@ -410,6 +411,7 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
         *payments.columns, "reject_reason")
     valid = (checked.where(F.col("reject_reason").isNull())
              .withColumn("amount", _dec(F.col("amount")))
+             .withColumn("_start_balance", _dec(F.round("_start_balance", 2)))
              .withColumn("_rate", late_fee_rate(F.col("days_late"), F.col("_start_balance"))))
     order = list(order_cols)
     # Bill context travels with each payment, so no second join is needed after the fold.

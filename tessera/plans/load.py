@@ -15,9 +15,8 @@ loads and the files with rejects are audited as PARTIALLY_LOADED.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +25,7 @@ from tessera.operators.drift import SchemaDriftError, check_drift, table_columns
 from tessera.plans import audit as A
 from tessera.plans.publish import ensure_database, stage_version, swap
 from tessera.session import error_text
-from tessera.sources.contracts import TableContract
+from tessera.sources.contracts import ColumnSpec, TableContract
 from tessera.sources.readers import DEFAULT_CSV, CsvContract, csv_header, typed_by_name
 
 LINEAGE = "_source_file"
@@ -58,6 +57,18 @@ def _length_guard(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.select(*cols)
 
 
+def with_added_columns(spark: SparkSession, contract: TableContract, table: str) -> TableContract:
+    """The contract plus the columns that were added to the table since (after a drift repair):
+    they are loaded by name with the table's type, and are NULL when a source lacks them."""
+    if not spark.catalog.tableExists(table):
+        return contract
+    known = {c.lower() for c in contract.column_names} | {LINEAGE}
+    added = tuple(ColumnSpec(f.name, "text" if isinstance(f.dataType, T.StringType) else "added",
+                             type_=f.dataType.simpleString())
+                  for f in spark.table(table).schema if f.name.lower() not in known)
+    return replace(contract, columns=contract.columns + added)
+
+
 def _rejects_of(raw: DataFrame, contract: TableContract, names: dict[str, str]) -> tuple[Column, Column]:
     """(reason, column) of the first field of a row that does not convert; NULL when fine."""
     reason, column = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -84,25 +95,34 @@ def _rejects_of(raw: DataFrame, contract: TableContract, names: dict[str, str])
 
 
 def load_table(spark: SparkSession, contract: TableContract, source_path: str, root: str, *,
-               schema: str = "raw", on_error: str = "abort", fmt: CsvContract = DEFAULT_CSV,
+               schema: str = "raw", on_error: str = "abort", fmt: CsvContract | None = None,
                allow_missing: bool = False, expected_rows: int | None = None) -> LoadResult:
+    """Load one table. ``fmt`` defaults to the contract's option ``csv``, then to the plain CSV
+    contract (one line per row, so files are split)."""
     table = f"{schema}.{contract.name}"
     file_label = f"{contract.name}.csv"
-    ensure_database(spark, schema, root)
+    fmt = fmt or contract.options.get("csv", DEFAULT_CSV)
     # 1. source present?
     try:
+        ensure_database(spark, schema, root)
         header = csv_header(spark, source_path, fmt)
-    except AnalysisException as e:
-        msg = error_text(e, 500)
+    except Exception as e:  # noqa: BLE001 - every load error is reported, never raised
+        msg = error_text(e)
         kind = "missing source" if "PATH_NOT_FOUND" in msg else "no files processed"
         A.record(spark, root, [(contract.name, None, 0, A.LOAD_FAILED, f"{kind}: {msg}")])
         return LoadResult(table, False, A.LOAD_FAILED, 0, f"{kind}: {msg}")
     # 2. drift, before anything is written
     try:
         target = table_columns(spark, table)
+        declared, contract = contract, with_added_columns(spark, contract, table)
+        added = {c.name for c in contract.columns} - {c.name for c in declared.columns}
         check_drift(contract.name, header, target or contract.column_names, schema,
                     allow_missing=allow_missing)
-    except SchemaDriftError as e:
+    except Exception as e:  # noqa: BLE001 - drift, or a table that cannot be read
+        if not isinstance(e, SchemaDriftError):
+            msg = error_text(e)
+            A.record(spark, root, [(contract.name, file_label, 0, A.LOAD_FAILED, msg)])
+            return LoadResult(table, False, A.LOAD_FAILED, 0, msg)
         A.record(spark, root, [(contract.name, file_label, 0, A.LOAD_FAILED, str(e))])
         return LoadResult(table, False, A.LOAD_FAILED, 0, str(e))
     # 3. read strings, type by name, write a new version, swap
@@ -119,6 +139,9 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
             raw = fmt.reader(spark, "FAILFAST").load(source_path)
         raw = raw.withColumn(LINEAGE, F.col("_metadata.file_name"))
         names = {c.strip().lower(): c for c in raw.columns if c != CORRUPT}
+        for name in sorted(added):  # a source without an added column loads it as NULL
+            if name.lower() not in names and allow_missing:
+                raw = raw.withColumn(name, F.lit(None).cast("string"))
         if on_error == "continue":
             reason, column = _rejects_of(raw, contract, names)
             marked = raw.withColumn("_reason", reason).withColumn("_column", column)
@@ -136,13 +159,13 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
             rej = None
         v = stage_version(good, table, root, expected_rows=expected_rows)
         swap(spark, v)
+        _audit_files(spark, root, contract.name, v, rej, file_label)
     except Exception as e:  # noqa: BLE001 - every load error is reported, never raised
         msg = error_text(e)
         A.record(spark, root, [(contract.name, f"{file_label}.gz" if source_path.endswith(".gz")
                                 else file_label, 0, A.LOAD_FAILED, msg)])
         return LoadResult(table, False, A.LOAD_FAILED, 0, msg)
     n_rej = rej.rows if rej else 0
-    _audit_files(spark, root, contract.name, v, rej, file_label)
     status = A.PARTIALLY_LOADED if n_rej else A.LOADED
     return LoadResult(table, True, status, v.rows, None, v.path, n_rej)
 

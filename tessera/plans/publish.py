@@ -56,20 +56,34 @@ def stage_version(df: DataFrame, table: str, root: str, version: str | None = No
 
 
 def swap(spark: SparkSession, v: Version) -> None:
-    """Point the catalog table at the new version (create it on first publish). Same schema:
-    ``SET LOCATION``. Changed schema (a type change), or a table partitioned in the catalog
-    (its partitions keep their own folders, so a new table location would not replace them):
-    the external table definition is replaced (drop + create; data folders are not touched)."""
-    if spark.catalog.tableExists(v.table):
-        new_schema = spark.read.parquet(v.path).schema
-        partitioned = any(c.isPartition for c in spark.catalog.listColumns(v.table))
-        if not partitioned and [(f.name, f.dataType) for f in spark.table(v.table).schema] == \
-                [(f.name, f.dataType) for f in new_schema]:
-            spark.sql(f"ALTER TABLE {v.table} SET LOCATION '{v.path}'")
-            spark.sql(f"REFRESH TABLE {v.table}")
-            return
-        spark.sql(f"DROP TABLE {v.table}")
-    spark.sql(f"CREATE TABLE {v.table} USING parquet LOCATION '{v.path}'")
+    """Point the catalog table at the new version (create it on first publish). The columns of the
+    table must all be in the version: a publish never narrows a table. New columns are added to
+    the table first (they read as NULL until the location changes), then ``SET LOCATION``. Only a
+    type change, or a table partitioned in the catalog (its partitions keep their own folders, so
+    a new table location would not replace them), replaces the external table definition: the new
+    one is created and checked under another name before the old one is dropped."""
+    if not spark.catalog.tableExists(v.table):
+        spark.sql(f"CREATE TABLE {v.table} USING parquet LOCATION '{v.path}'")
+        return
+    have = {f.name.lower(): f for f in spark.table(v.table).schema}
+    want = {f.name.lower(): f for f in spark.read.parquet(v.path).schema}
+    lost = sorted(f.name for k, f in have.items() if k not in want)
+    if lost:
+        raise PublishError(f"{v.table}: the new version lacks column(s) {lost} of the table; not published")
+    partitioned = any(c.isPartition for c in spark.catalog.listColumns(v.table))
+    if not partitioned and all(have[k].dataType == f.dataType for k, f in want.items() if k in have):
+        added = [f for k, f in want.items() if k not in have]
+        if added:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {v.table} ADD COLUMNS ({cols})")
+        spark.sql(f"ALTER TABLE {v.table} SET LOCATION '{v.path}'")
+        spark.sql(f"REFRESH TABLE {v.table}")
+        return
+    following = f"{v.table}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    spark.sql(f"CREATE TABLE {following} USING parquet LOCATION '{v.path}'")
+    spark.sql(f"DROP TABLE {v.table}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {v.table}")
 
 
 def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.flatten import DocumentSpec, Field
 from tessera.session import work_path
+from tessera.sources.readers import list_files
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "labels", "embeddings", "pages", "benchmark", "conversations")
@@ -95,6 +96,14 @@ def claim_documents(orders: DataFrame, lineitem: DataFrame,
     return docs.select(F.to_json(doc, JSON_OPTIONS).alias("value"))
 
 
+def input_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """What a staged stand-in is good for: this application, the folder, and its files as they
+    are now (names, sizes and times of change), so a changed input is staged anew."""
+    files = list_files(spark, sf_dir, "*.parquet")
+    seen = files.agg(F.count("*"), F.sum(F.xxhash64("path", "size", "last_modified").cast("decimal(38,0)"))).first()
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), seen[0], str(seen[1])
+
+
 _LANDED: dict[tuple, str] = {}
 
 
@@ -102,7 +111,7 @@ def land_claim_documents(spark: SparkSession, sf_dir: str, name: str = "claims-l
     """Write the stand-in claim documents as NDJSON files once per application and input
     folder (the inputs are read-only, so the landing is reused like any landed file set);
     returns the folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (*input_version(spark, sf_dir), name)
     if key not in _LANDED:
         t = reader(spark, sf_dir)
         path = work_path(spark, name)
@@ -215,7 +224,7 @@ def persons(t) -> DataFrame:
     """Customers as involved persons with a phone and an address derived from their keys."""
     c = t("customer")
     phone = F.concat(F.lit("+57-3"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("-"),
-                     F.lpad(F.col("c_custkey").cast("string"), 7, "0"))
+                     F.expr("lpad(CAST(c_custkey AS STRING), greatest(7, length(CAST(c_custkey AS STRING))), '0')"))
     address = F.concat(F.col("c_mktsegment"), F.lit(" district "), F.col("c_nationkey").cast("string"))
     return c.select("c_custkey", F.col("c_name").alias("party_name"), phone.alias("party_phone"),
                     address.alias("party_address"))
@@ -230,7 +239,7 @@ def claim_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     this instead of parsing JSON again."""
     from tessera.sources.readers import read_json_documents
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = input_version(spark, sf_dir)
     if key not in _LANDING_TABLES:
         path = work_path(spark, "claims-landing-table")
         read_json_documents(spark, land_claim_documents(spark, sf_dir), outer_array=False) \

@@ -9,6 +9,7 @@ runs, tests) do we fall back to a fresh local folder and set it ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,9 +41,12 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only a local session that does not
+    set it gets a local folder; on a cluster every executor would see another one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(root)
         try:
@@ -57,10 +61,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def error_text(e: BaseException, limit: int = 2000) -> str:
-    """The informative line of a Spark/py4j error (the first line is often only the py4j call)."""
+def error_text(e: BaseException) -> str:
+    """The whole message of a Spark/py4j error with its causes, without stack frames; the py4j
+    call, which often comes first, is left out when something more telling follows."""
     lines = [ln.strip() for ln in str(e).splitlines() if ln.strip()]
-    for ln in lines:
-        if ln.startswith(("org.apache.spark", "pyspark.", "[")) or "Exception:" in ln:
-            return ln[:limit]
-    return (lines[0] if lines else type(e).__name__)[:limit]
+    lines = [ln for ln in lines if not re.match(r"at [\w.$/]+\(|\.\.\. \d+ more|JVM stacktrace:", ln)]
+    told = next((i for i, ln in enumerate(lines) if ln.startswith(("org.apache.spark", "pyspark.", "["))
+                 or "Exception:" in ln), 0)
+    return "\n".join(dict.fromkeys(lines[told:])) or type(e).__name__

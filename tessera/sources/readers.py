@@ -23,12 +23,12 @@ class CsvContract:
     """Named CSV format: header row parsed as names, comma, optional '"' quoting with doubled
     quotes as escape, empty field -> NULL (quoted empty too), spaces kept, compression by file
     extension. ``multi_line`` allows newlines inside quoted fields; it makes each file a single
-    split, so keep it off for data without embedded newlines."""
+    split, so a contract asks for it only where its data holds embedded newlines."""
 
     delimiter: str = ","
     quote: str = '"'
     escape: str = '"'
-    multi_line: bool = True
+    multi_line: bool = False
     encoding: str = "UTF-8"
 
     def reader(self, spark: SparkSession, mode: str = "FAILFAST"):

@@ -31,7 +31,8 @@ def write_csv(df: DataFrame, path: str, *, column_order: list[str] | None = None
     writer = (to_csv_strings(df, column_order).write.mode(mode)
               .option("header", True).option("sep", ",").option("quote", '"')
               .option("escape", '"').option("nullValue", "").option("emptyValue", '""')
-              .option("quoteAll", False).option("encoding", "UTF-8"))
+              .option("quoteAll", False).option("encoding", "UTF-8")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)

@@ -1,9 +1,10 @@
 """Incremental landing of JSON documents with Structured Streaming.
 
 Root step: a file stream source over the landing folder with ``trigger(availableNow=True)``:
-each run processes exactly the files not seen before (tracked in the checkpoint) and stops. A
-file rewritten under a name already seen is ignored, as with a load history keyed by file name.
-Every micro-batch is written to the landing table partitioned by ``batch_id`` with dynamic
+each run processes exactly the files not seen before (tracked in the checkpoint) and stops. The
+history of names never expires and the age of a file plays no part: a file that is older than
+others lands once, and a file rewritten under a name already seen is ignored. A run is one
+micro-batch by default, so it lands whole or not at all. Every micro-batch is written to the landing table partitioned by ``batch_id`` with dynamic
 partition overwrite, so a batch replayed after a failure replaces its own partition instead of
 duplicating rows. A malformed file fails the batch (FAILFAST): nothing of it lands.
 
@@ -31,9 +32,8 @@ from tessera.plans.publish import Version, partition_values, publish, publish_pa
 
 ROOT_TASK = "ingest_claims_root"
 CHILD_TASK = "flatten_claims_child"
-# Files per micro-batch. availableNow still takes every new file in one run, but in
-# checkpointed steps of this size, so a failure repeats one step, not the whole backlog.
-DEFAULT_FILES_PER_BATCH = 10_000
+# Names are never forgotten and old files never skipped (Spark's default is seven days).
+FOREVER = "36500d"
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ def _now() -> _dt.datetime:
 def document_stream(spark: SparkSession, source_glob: str, *, outer_array: bool = False,
                     column: str = "raw", max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.format("json").option("singleVariantColumn", column)
-              .option("multiLine", outer_array).option("mode", "FAILFAST"))
+              .option("multiLine", outer_array).option("mode", "FAILFAST").option("maxFileAge", FOREVER))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(source_glob).select(
@@ -80,10 +80,13 @@ def write_landing_batch(batch: DataFrame, batch_id: int, landing_path: str) -> i
 def ingest_new_files(spark: SparkSession, source_glob: str, landing_path: str,
                      checkpoint: str, *, outer_array: bool = False,
                      max_files_per_trigger: int | None = None,
-                     batch_ids: list[int] | None = None) -> tuple[int, int]:
+                     batch_ids: list[int] | None = None,
+                     stats: dict[str, int] | None = None) -> tuple[int, int]:
     """Run the root step once; returns (batches, rows) landed in this run. The ids of the
-    batches written are appended to ``batch_ids`` when given."""
-    stats = {"batches": 0, "rows": 0}
+    batches written are appended to ``batch_ids`` when given, and ``stats`` counts what landed
+    also when a later batch fails (possible only with ``max_files_per_trigger``)."""
+    stats = {} if stats is None else stats
+    stats |= {"batches": 0, "rows": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         stats["rows"] += write_landing_batch(batch, batch_id, landing_path)
@@ -142,23 +145,25 @@ def run_ingest(spark: SparkSession, source_glob: str, root: str, *,
                rebuild: Callable[[DataFrame], DataFrame] | None = None,
                staging_table: str | None = None, outer_array: bool = False,
                incremental: bool = False,
-               max_files_per_trigger: int | None = DEFAULT_FILES_PER_BATCH) -> IngestRun:
-    """Root step, then (only on success) the dependent rebuild + publish; history recorded.
-    ``incremental``: only batches missing from the staging table are flattened (the rebuild
+               max_files_per_trigger: int | None = None) -> IngestRun:
+    """Root step, then (only on success) the dependent rebuild + publish; history recorded. The
+    run is one batch unless ``max_files_per_trigger`` cuts it into separately committed ones; the
+    counts returned are of what has landed, also after a failure. ``incremental``: only batches missing from the staging table are flattened (the rebuild
     must keep ``batch_id``)."""
     landing = f"{root}/landing/claims"
     checkpoint = f"{root}/checkpoints/claims"
     started = _now()
     new_ids: list[int] = []
+    landed = {"batches": 0, "rows": 0}
     try:
         batches, rows = ingest_new_files(spark, source_glob, landing, checkpoint,
                                          outer_array=outer_array, batch_ids=new_ids,
-                                         max_files_per_trigger=max_files_per_trigger)
+                                         max_files_per_trigger=max_files_per_trigger, stats=landed)
         A.record_run(spark, root, ROOT_TASK, "SUCCEEDED", started, _now())
     except Exception as e:  # noqa: BLE001 - recorded and returned; the child does not run
         msg = error_text(e)
         A.record_run(spark, root, ROOT_TASK, "FAILED", started, _now(), msg)
-        return IngestRun(False, 0, 0, msg)
+        return IngestRun(False, landed["batches"], landed["rows"], msg)
     staged = None
     if rebuild is not None and staging_table:
         child_start = _now()

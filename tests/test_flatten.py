@@ -19,7 +19,7 @@ def claim(i, parties, policy="POL-1", damage=100.0, **extra):
 
 
 def person(n, email=None):
-    p = {"name": n, "role": "driver", "phone": "+57-301-215-7091", "personal_address": "Calle"}
+    p = {"name": n, "role": "driver", "phone": "+57-399-555-0142", "personal_address": "Calle"}
     if email:
         p["email"] = email
     return p

@@ -64,14 +64,14 @@ def test_late_fee_sql_function_matches(spark):
 
 
 def test_masks_golden(spark):
-    phone = "+57-301-215-7091"
+    phone = "+57-399-555-0142"
     df = spark.createDataFrame([(phone, "Calle 1"), (None, None)], "p string, a string")
 
     def masked(role):
         return [(r[0], r[1]) for r in df.select(S.mask_phone("p", F.lit(role)),
                                                 S.mask_address("a", F.lit(role))).collect()]
     assert masked(S.ROLE_ANALYST) == [(phone, "Calle 1"), (None, None)]
-    assert masked(S.ROLE_MANAGER) == [("+57-301-***-****", S.ADDRESS_HIDDEN),
+    assert masked(S.ROLE_MANAGER) == [("+57-399-***-****", S.ADDRESS_HIDDEN),
                                       (None, S.ADDRESS_HIDDEN)]
     assert masked("ACCOUNTADMIN") == [("+**-***-***-****", S.ADDRESS_HIDDEN),
                                       ("+**-***-***-****", S.ADDRESS_HIDDEN)]
