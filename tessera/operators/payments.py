@@ -256,19 +256,17 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     in parallel, the head is the streamed fold (one task per bill, constant memory)."""
     if not has_hot:
         return _fold_small(valid, bill_key, order_cols, pay_cols)
-    # Only the hot bills are listed (at most one row per max_fold payments, usually a handful),
-    # so AQE can broadcast the list instead of shuffling payments against a per-bill table.
-    hot_ids = (valid.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > max_fold).select(bill_key, F.lit(True).alias("_hot")))
-    tagged = valid.join(hot_ids, bill_key, "left")
-    small = _fold_small(tagged.where(F.col("_hot").isNull()), bill_key, order_cols, pay_cols)
     spark = valid.sparkSession
+    if HOT not in valid.columns:
+        valid = valid.join(hot_bills(valid, bill_key, max_fold), bill_key, "left")
     n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     stage = stage_path or work_path(spark, "hot-bills")
-    # Hot rows are staged once: both hot branches read them without re-running the upstream
-    # validation join (the small-bill branch runs it once more, in the final write).
-    tagged.where(F.col("_hot")).write.mode("overwrite").parquet(f"{stage}/rows")
-    hot = spark.read.parquet(f"{stage}/rows")
+    # The validated rows are staged once: every branch reads them without re-running the
+    # validation join, and no grouping by bill stands directly on that join.
+    valid.write.mode("overwrite").parquet(f"{stage}/rows")
+    staged = spark.read.parquet(f"{stage}/rows")
+    small = _fold_small(staged.where(F.col(HOT).isNull()), bill_key, order_cols, pay_cols)
+    hot = staged.where(F.col(HOT)).drop(HOT)
     # Which hot branches have rows (one small aggregate over the staged rows): an empty
     # branch would still run its own staging jobs.
     kinds = hot.agg(F.count_if(F.col("_rate") == 0).alias("zero"),
@@ -285,10 +283,14 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     return out
 
 
-def has_hot_bills(payments: DataFrame, bill_key: str, max_fold: int) -> bool:
-    """Any bill with more than ``max_fold`` payments? (partial counts, at most one row back)"""
-    return bool(payments.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > max_fold).limit(1).collect())
+HOT = "_hot"
+
+
+def hot_bills(payments: DataFrame, bill_key: str, max_fold: int) -> DataFrame:
+    """The bills with more than ``max_fold`` payments, tagged: at most one row per ``max_fold``
+    payments, counted map-side first, so AQE can broadcast the list."""
+    return (payments.groupBy(bill_key).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > max_fold).select(bill_key, F.lit(True).alias(HOT)))
 
 
 def _log_text(amount: Column, method: Column, surcharge: Column, days: Column,
@@ -405,7 +407,12 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     as_of_col = F.lit(str(as_of)).cast("date")
     edited = (F.lit(str(edited_at)).cast("timestamp_ntz") if edited_at is not None
               else F.current_timestamp().cast("timestamp_ntz"))
-    checked = validate(payments, bills, bill_key=bill_key, as_of=as_of_col,
+    # Hot bills are counted on the payments themselves and tagged before the validation join.
+    hot_bills(payments, bill_key, max_fold).write.mode("overwrite").parquet(f"{stage}/hot-bills")
+    hot_list = spark.read.parquet(f"{stage}/hot-bills")
+    hot = not hot_list.isEmpty()
+    tagged = payments.join(hot_list, bill_key, "left") if hot else payments
+    checked = validate(tagged, bills, bill_key=bill_key, as_of=as_of_col,
                        order_cols=tuple(order_cols))
     rejects = checked.where(F.col("reject_reason").isNotNull()).select(
         *payments.columns, "reject_reason")
@@ -416,7 +423,6 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     order = list(order_cols)
     # Bill context travels with each payment, so no second join is needed after the fold.
     pay_cols = [c for c in payments.columns if c != bill_key] + ["policy_id", "days_late"]
-    hot = has_hot_bills(payments, bill_key, max_fold)
     applied = fold_payments(valid, bill_key=bill_key, order_cols=order, pay_cols=pay_cols,
                             max_fold=max_fold, hot_partitions=hot_partitions, has_hot=hot,
                             stage_path=f"{stage}/hot")

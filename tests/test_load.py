@@ -183,3 +183,45 @@ def test_publish_all_rolls_back_swaps_when_one_fails(spark, tmp_path, monkeypatc
     monkeypatch.setattr(P, "swap", real_swap)
     assert (spark.table("pub_t3.a").count(), spark.table("pub_t3.b").count()) == (10, 10)
     assert not spark.catalog.tableExists("pub_t3.new")
+
+
+def test_added_column_is_loaded_and_never_narrowed(spark, tmp_path):
+    root = str(tmp_path / "store")
+    first = load_table(spark, BILL, write(tmp_path / "a" / "bill.csv", HEADER, ROWS), root, schema="raw_add")
+    assert first.ok
+    wide = write(tmp_path / "b" / "bill.csv", HEADER + ",_risk", [r + f",r{i}" for i, r in enumerate(ROWS)])
+    refused = load_table(spark, BILL, wide, root, schema="raw_add")
+    assert not refused.ok and "_RISK" in refused.error
+    spark.sql("ALTER TABLE raw_add.bill ADD COLUMNS (`_RISK` STRING)")
+    for _ in range(2):
+        assert load_table(spark, BILL, wide, root, schema="raw_add").ok
+        assert sorted(r[0] for r in spark.table("raw_add.bill").select("_RISK").collect()) == ["r0", "r1", "r2"]
+    with pytest.raises(PublishError, match="lacks column"):
+        publish(spark, spark.table("raw_add.bill").drop("_RISK"), "raw_add.bill", root)
+    assert spark.table("raw_add.bill").count() == 3
+
+
+def test_corrupt_source_is_a_result(spark, tmp_path):
+    from tessera.plans.load import load_all
+    root = str(tmp_path / "store")
+    good = write(tmp_path / "good" / "bill.csv", HEADER, ROWS)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "policy.csv.gz").write_bytes(b"not gzip")
+    res = {r["table_name"]: r for r in load_all(spark, {n: RELATIONAL[n] for n in ("bill", "policy")}, {
+        "bill": good, "policy": str(tmp_path / "bad" / "policy.csv.gz")}, root, schema="raw_cor").collect()}
+    assert res["raw_cor.bill"]["ok"] and not res["raw_cor.policy"]["ok"] and res["raw_cor.policy"]["error"]
+
+
+def test_outer_spaces_survive_the_extract(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_csv(spark.createDataFrame([("  lead and trail  ",)], "t string"), path)
+    from tessera.sources.readers import read_csv_strings
+    assert read_csv_strings(spark, path).first()["t"] == "  lead and trail  "
+
+
+def test_newest_version_of_a_claim_is_one_row(spark):
+    from tessera.operators.claims import claims_by_policy
+    staged = spark.createDataFrame([("C1", "POL-2", 10.0, 1), ("C1", "POL-1", 99.0, 2), ("C2", "POL-1", 0.004, 1), ("C3", "POL-1", 0.004, 1)],
+                                   "claim_id string, policy_number string, estimated_damage_usd double, _loaded_at int")
+    pol = spark.createDataFrame([("POL-1",), ("POL-2",)], "policy_number string")
+    assert [(r[0], r[1], str(r[2])) for r in claims_by_policy(staged, pol).collect()] == [("POL-1", 3, "99.01")]

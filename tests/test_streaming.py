@@ -163,3 +163,22 @@ def test_incremental_run_without_files_does_nothing(spark, tmp_path):
                    staging_table="rj_empty.stg", incremental=True)
     assert r.ok and (r.batches, r.rows) == (0, 0) and r.staged is None
     assert not spark.catalog.tableExists("rj_empty.stg")
+
+
+def test_old_files_land_once_and_a_bad_run_lands_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "new.json").write_text(docs([1]))
+    assert run_ingest(spark, str(src), root).rows == 1
+    (src / "old.json").write_text(docs([2, 3]))
+    month = 30 * 86400
+    os.utime(src / "old.json", (time.time() - month,) * 2)  # older than the newest file by a month
+    assert run_ingest(spark, str(src), root).rows == 2
+    (src / "old.json").write_text(docs([2, 3, 4]))  # rewritten: its name has landed
+    assert run_ingest(spark, str(src), root).rows == 0
+    (src / "good.json").write_text(docs([7]))
+    (src / "bad.json").write_text("{not json")
+    r = run_ingest(spark, str(src), root)
+    assert (r.ok, r.batches, r.rows) == (False, 0, 0)
+    assert read_landing(spark, f"{root}/landing/claims").count() == 3
