@@ -127,10 +127,13 @@ SELECT count(*) AS claims, CAST(sum(greatest(n, 1)) AS BIGINT) AS staged_rows,
        CAST(sum(greatest(n, 1)) AS BIGINT) AS expected_rows, CAST(0 AS BIGINT) AS missing_keys, true AS ok
 FROM f""")
 def flatten_reconcile(spark, sf_dir):
-    """landing vs staging: staged rows = sum(max(1, items)) and no claim missing."""
+    """landing vs the published staging table: staged rows = sum(max(1, items)) and no claim
+    missing."""
     landing = SI.claim_landing_table(spark, sf_dir)
-    staged = flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True)
-    return reconcile(landing, staged, SI.ORDER_CLAIM_SPEC, "claim_id").drop("documents")
+    root, schema = work_path(spark, "reconcile"), _schema_name()
+    ensure_database(spark, schema, root)
+    publish(spark, flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True), f"{schema}.stg_claims", root)
+    return reconcile(landing, spark.table(f"{schema}.stg_claims"), SI.ORDER_CLAIM_SPEC, "claim_id").drop("documents")
 
 
 @query("line_total_rule", """
@@ -520,7 +523,7 @@ from tessera.operators.backfill import missing_dimension_rows  # noqa: E402
 from tessera.operators.drift import compare_columns, drift_frame  # noqa: E402
 from tessera.plans import audit as A  # noqa: E402
 from tessera.plans.load import load_all, load_table  # noqa: E402
-from tessera.plans.publish import publish  # noqa: E402
+from tessera.plans.publish import ensure_database, publish  # noqa: E402
 from tessera.session import work_path  # noqa: E402
 from tessera.sources.contracts import contract_from_schema  # noqa: E402
 from tessera.sources.readers import CsvContract, list_files, read_seed  # noqa: E402
@@ -1126,13 +1129,18 @@ def repair_flatten(spark, sf_dir):
 
 
 @query("repair_total_rule", """
-SELECT CAST(NULL AS VARCHAR) AS claim_id, CAST(NULL AS DECIMAL(18,2)) AS total,
-       CAST(NULL AS DECIMAL(38,2)) AS line_sum WHERE false""")
+WITH s AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS t FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, CAST(coalesce(t, 0) + 1 AS DECIMAL(18,2)) AS total,
+       CAST(coalesce(t, 0) AS DECIMAL(38,2)) AS line_sum
+FROM orders LEFT JOIN s ON l_orderkey = o_orderkey WHERE o_orderkey % 13 = 0""")
 def repair_total_rule(spark, sf_dir):
-    """declared total = sum of line costs holds for every repair document (0 offenders)."""
+    """repair claims whose declared total is not the sum of their line costs; every 13th claim
+    declares one unit too much."""
     landing = _repair_landing(spark, sf_dir)
     heads = one_row_per_key(project_document(landing, REPAIR_SPEC), "claim_id",
                             ["estimated_total_cost"])
+    heads = heads.withColumn("estimated_total_cost", F.col("estimated_total_cost") + F.when(
+        F.col("claim_id").cast("bigint") % 13 == 0, 1).otherwise(0))
     lines = flatten(landing, REPAIR_SPEC, outer=False)
     out = line_total_offenders(heads, lines, "claim_id", "estimated_total_cost", "estimated_cost")
     return out.select("claim_id", "total", F.col("line_sum").cast("decimal(38,2)").alias("line_sum"))

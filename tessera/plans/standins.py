@@ -21,7 +21,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Documents: largest number of items written into one document. A claim with more items is
 # split into several documents (same claim fields, disjoint items), so no document and no
-# grouping task has to hold an unbounded item list.
+# grouping task has to hold an unbounded item list. The flattened rows do not depend on it.
 MAX_ITEMS_PER_DOCUMENT = 1000
 
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -67,10 +67,13 @@ def chunked_lists(rows: DataFrame, key: str, item, max_items: int = MAX_ITEMS_PE
     by a hash of a per-row id, so no list (and no grouping task) is unbounded. The row id is
     taken right at the scan, so a retried task recomputes the same ids."""
     li = rows.select(key, F.monotonically_increasing_id().alias("_uid"), item.alias("_item"))
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
-    return (li.join(sizes, key)
-            .withColumn("_chunk", F.pmod(F.xxhash64("_uid"), chunks))
+    # Only keys with more than max_items items (a short list) are cut. The rows are dealt out by
+    # (key, chunk) before the grouping, so the chunks of a hot key run in different tasks however
+    # the list was joined.
+    large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_items)
+    chunk = F.pmod(F.xxhash64("_uid"), F.ceil(F.col("_n") / F.lit(max_items)))
+    return (li.join(large, key, "left")
+            .withColumn("_chunk", F.coalesce(chunk, F.lit(0))).repartition(key, "_chunk")
             .groupBy(key, "_chunk").agg(F.collect_list("_item").alias(name)))
 
 
