@@ -42,8 +42,9 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return digests(format_conversations(turns.unionByName(extra)))
 

@@ -36,7 +36,7 @@ def sample(seed):
     return rows + [(3, "a b"), (3, "a b"), (9, "x" * 50_000)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_equals_brute_force(spark, docs_of, seed):
     rows = sample(seed)
     got = exact_groups(spark, docs_of(rows, "doc_id long, text string, kept string, _digest string"))

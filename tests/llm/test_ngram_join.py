@@ -21,7 +21,7 @@ def corpus(seed, n=150):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_equals_brute_force(spark, docs_of, seed):
     rows = corpus(seed)
     got = near_groups(spark, docs_of(rows))
