@@ -5,15 +5,16 @@ similarity is 0.8 or more. Shingles are ordered by how common they are (a hashed
 documents, levelled; then by hash), so the prefixes, which two similar sets must share a shingle
 of, hold rare shingles. Then:
 
-1. Documents with the same size and the same prefix collapse into one *group*; documents with the
-   same whole set collapse into one *member* of it.
+1. Documents with the same whole set collapse into one *member*, members with the same size and
+   prefix into one *group*.
 2. Group pairs that share a prefix shingle pass the length and the positional filter.
-3. Pairs that remain are expanded to their members and verified on the whole sets.
+3. Pairs that remain are expanded to their members, bounded by hash bitmaps of the sets, and
+   verified on the whole sets.
 
 Only components are needed, so pairs are met in two steps: every group against the foremost group
-of each of its prefix shingles (linear in the postings), and then only pairs whose components are
-still apart. A large set of near copies is settled by the first step. Every pair that the filters
-cannot rule out is either verified or already connected, so no link between components is lost.
+of each of its lists (linear in the postings), and then the pairs whose components are still apart.
+A large set of near copies is settled by the first step. Every pair that the filters cannot rule
+out is either verified or already connected, so no link between components is lost.
 
 Rows are numbered by their place in the input, so ``docs`` must be a table read from files (as the
 query's and every pipeline stage's is), which a lost executor re-reads in the same order.
@@ -27,6 +28,7 @@ of the component, or null. Extra columns are ignored by ``near_groups`` and carr
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,21 +36,24 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from tessera.llm.common import fresh, staged
+from tessera.llm.common import fresh, maybe_in, staged, without
 from tessera.llm.components import components
-from tessera.llm.words import batch_words, mix, shingle_hashes
+from tessera.llm.words import batch_shingles, batch_words, mix
 
 SHINGLE_WORDS = 5
 #: Buckets of the hashed shingle count: at least so many, and at most so many (one byte each when
-#: broadcast, so 16 MB bound what an executor receives).
-MIN_BUCKETS, MAX_BUCKETS = 1 << 18, 1 << 24
+#: broadcast, so 64 MB bound what an executor receives).
+MIN_BUCKETS, MAX_BUCKETS = 1 << 18, 1 << 26
+#: Bits of the hash bitmap that bounds the overlap of two sets.
+BITMAP = 2048
 _CHUNK = 1 << 16
 
 
-def _sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text; long batches are cut into slices of about
-    4 MB so that working arrays stay small."""
+def _batches(texts: list[str | None], k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(shingle hashes, text, number of texts) in slices of about 4 MB, so that working arrays stay
+    small whatever the batch."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     at = 0
     while at < len(raw):
@@ -57,63 +62,57 @@ def _sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
             size += len(raw[end])
             end += 1
         words, doc, *_ = batch_words(raw[at:end])
-        cut = np.searchsorted(doc, np.arange(end - at + 1))
-        for i in range(end - at):
-            yield np.unique(shingle_hashes(words[cut[i]:cut[i + 1]], k))
+        yield *batch_shingles(words, doc, end - at, k), end - at
         at = end
 
 
-def _sparse(chunk: int, counts: np.ndarray) -> pd.DataFrame:
-    slots = np.flatnonzero(counts)
-    return pd.DataFrame({"chunk": [chunk], "slots": [np.diff(slots, prepend=0).astype(np.uint16).tobytes()],
-                         "counts": [np.minimum(counts[slots], 2**31 - 1).astype(np.int32).tobytes()]})
+def _sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    for hashes, doc, n in _batches(texts, k):
+        cut = np.searchsorted(doc, np.arange(n + 1))
+        for i in range(n):
+            s = np.sort(hashes[cut[i]:cut[i + 1]])
+            yield s[np.flatnonzero(np.diff(s, prepend=~s[:1]))] if len(s) else s
 
 
-def count_sketch(docs: DataFrame, buckets: int, k: int) -> DataFrame:
-    """(``chunk``, ``counts``): how many documents hold a shingle of each hash bucket. Partitions
-    are added up locally first and send one compressed row per chunk of buckets."""
-    sparse = pa.schema([("chunk", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary())])
+def _packed(chunk: int, counts: np.ndarray) -> tuple[int, int, int, bytes]:
+    """A chunk of counts in the fewest bytes per count, compressed."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or counts.max() < 1 << 8 * w)
+    return int(chunk), int(counts.sum()), width, zlib.compress(counts.astype(f"<u{width}").tobytes(), 1)
 
+
+def count_sketch(docs: DataFrame, buckets: int, k: int) -> DataFrame:
+    """(``chunk``, ``total``, ``width``, ``counts``): how often shingles of each hash bucket occur. Partitions
+    are added up locally first and send one compressed row per chunk of buckets; they meet in two
+    steps, so that a share of the partials is in one task."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
+        total = np.zeros(buckets, np.uint32)
         for batch in batches:
-            for s in _sets(batch.column(0).to_pylist(), k):
-                np.add.at(total, (s & np.uint64(buckets - 1)).astype(np.int64), 1)
+            for hashes, _, _ in _batches(batch.column(0).to_pylist(), k):
+                np.add.at(total, (hashes & np.uint64(buckets - 1)).astype(np.int64), np.uint32(1))
         for at in range(0, buckets, _CHUNK):
-            part = total[at:at + _CHUNK]
-            if part.any():
-                yield pa.RecordBatch.from_pandas(_sparse(at // _CHUNK, part), sparse, preserve_index=False)
+            if total[at:at + _CHUNK].any():
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in _packed(at // _CHUNK, total[at:at + _CHUNK])],
+                                                 names=["chunk", "total", "width", "counts"])
 
-    partial = docs.select("text").mapInArrow(count, "chunk int, slots binary, counts binary")
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(c), f"<u{w}").astype(np.uint64) for w, c in zip(pdf["width"], pdf["counts"]))
+        return pd.DataFrame([_packed(pdf["chunk"].iloc[0], total)], columns=["chunk", "total", "width", "counts"])
 
-    def add(pdf: pd.DataFrame) -> np.ndarray:
-        total = np.zeros(_CHUNK, np.int64)
-        for slots, counts in zip(pdf["slots"], pdf["counts"]):
-            total[np.cumsum(np.frombuffer(slots, np.uint16).astype(np.int64))] += np.frombuffer(counts, np.int32)
-        return total
-
-    def add_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _sparse(pdf["chunk"].iloc[0], add(pdf))
-
-    def add_all(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "counts": [add(pdf).tobytes()]})
-
-    # Two levels, so that a share of the partials meets in each first-level task.
-    first = partial.withColumn("part", F.pmod(F.xxhash64("slots"), F.lit(16)))
-
-    return (first.groupBy("chunk", "part").applyInPandas(add_part, "chunk int, slots binary, counts binary")
-            .groupBy("chunk").applyInPandas(add_all, "chunk int, counts binary"))
+    kind = "chunk long, total long, width long, counts binary"
+    partial = docs.select("text").mapInArrow(count, kind).withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(16)))
+    return partial.groupBy("chunk", "part").applyInPandas(add, kind).groupBy("chunk").applyInPandas(add, kind)
 
 
 def shingle_levels(docs: DataFrame, buckets: int, k: int) -> np.ndarray:
     """One byte per bucket: 0 for a count near or below the mean, then the doublings above it."""
-    counts = np.zeros(buckets, np.int64)
-    for row in count_sketch(docs, buckets, k).toLocalIterator():
-        part = np.frombuffer(row["counts"], np.int64)
-        at = row["chunk"] * _CHUNK
-        counts[at:at + _CHUNK] = part[:min(_CHUNK, buckets - at)]
-    unit = 2 * counts.mean() + 16
-    return np.floor(np.log2(np.maximum(counts / unit, 0.5)) + 1).astype(np.uint8)
+    sketch = staged(docs.sparkSession, count_sketch(docs, buckets, k), "sketch")
+    unit = 2 * (sketch.agg(F.sum("total")).first()[0] or 0) / buckets + 16
+    levels = np.zeros(buckets, np.uint8)
+    for row in sketch.toLocalIterator():
+        part = np.frombuffer(zlib.decompress(row["counts"]), f"<u{row['width']}")
+        levels[row["chunk"] * _CHUNK:][:len(part)] = np.log2(np.maximum(part / unit, 0.5)) + 1
+    return levels
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -123,122 +122,157 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _fingerprint(values: np.ndarray) -> int:
     with np.errstate(over="ignore"):
-        h = mix(values * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(values)))
-        return int(mix(np.array([h.sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mix(h))], np.uint64))[0].astype(np.int64))
+        return int(mix(mix(values + np.uint64(len(values))).sum(dtype=np.uint64, keepdims=True))[0].astype(np.int64))
+
+
+def _front(s: np.ndarray, level: np.ndarray, p: int) -> tuple[np.ndarray, int]:
+    """The ``p`` foremost shingles of a set and how many of them have level 0. Levels come first,
+    then scrambled hashes, which are distinct: the order is total and the same for every set."""
+    cold = s[level == 0]
+    if len(cold) < p:
+        rank = np.lexsort((mix(s), level))
+        return s[rank[:p]], len(cold)
+    rank = mix(cold)
+    first = np.argpartition(rank, p - 1)[:p]
+    return cold[first[np.argsort(rank[first])]], p
+
+
+def _bitmap(s: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITMAP, np.uint8)
+    bits[(s >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
 
 
 def signatures(docs: DataFrame, levels, buckets: int, percent: int, k: int) -> DataFrame:
-    """One row per document: ``id``, ``n``, ``set_fp`` (of the whole set), ``group_fp`` (of size
-    and prefix) and ``prefix``. ``levels`` is the broadcast of ``shingle_levels``."""
+    """One row per document: ``row``, ``id``, ``n``, ``set_fp`` (of the whole set), ``group_fp``
+    (of size and prefix), ``prefix``, ``cold`` (prefix shingles of level 0) and ``bits``, the hash
+    bitmap of the set. ``levels`` is the broadcast of ``shingle_levels``."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for batch in batches:
-            n, sets, groups, prefixes = [], [], [], []
-            for s in _sets(batch.column(1).to_pylist(), k):
+            n, sets, groups, prefixes, cold, bits = [], [], [], [], [], []
+            for s in _sets(batch.column(2).to_pylist(), k):
+                front, c = _front(s, level[(s & np.uint64(buckets - 1)).astype(np.int64)],
+                                  prefix_length(len(s), percent)) if len(s) else (s, 0)
                 n.append(len(s))
                 sets.append(_fingerprint(s))
-                at = level[(s & np.uint64(buckets - 1)).astype(np.int64)]
-                rank = mix(s)
-                p = prefix_length(len(s), percent) if len(s) else 0
-                front = s[np.lexsort((rank, at))[:p]]
-                groups.append(_fingerprint(np.concatenate([np.array([len(s)], np.uint64), front])))
+                groups.append(_fingerprint(np.append(front, np.uint64(len(s)))))
                 prefixes.append(front.view(np.int64))
+                cold.append(c)
+                bits.append(_bitmap(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), pa.array(sets, pa.int64()),
-                 pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["id", "n", "set_fp", "group_fp", "prefix"])
+                [batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(sets, pa.int64()),
+                 pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(cold, pa.int32()),
+                 pa.array(bits, pa.list_(pa.int64()))],
+                names=["row", "id", "n", "set_fp", "group_fp", "prefix", "cold", "bits"])
+
+    return docs.select("row", "id", "text").mapInArrow(
+        sign, "row long, id long, n int, set_fp long, group_fp long, prefix array<long>, cold int, bits array<long>")
+
 
-    return docs.select("id", "text").mapInArrow(
-        sign, "id long, n int, set_fp long, group_fp long, prefix array<long>")
+def _alike(both, percent: int):
+    return both * (100 + percent) >= F.lit(percent) * (F.col("xn") + F.col("yn"))
 
 
-def _verify(pairs: DataFrame, members: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
-    """Expand group pairs to member pairs and keep those whose whole sets reach the threshold.
-    ``pairs`` (``g``, ``h``); ``members`` (``m``, ``grp``, ``row``); the sets are built anew from
-    the texts of the members in question only."""
+def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
+    """The pairs of rows (``a``, ``b``) whose whole sets reach the threshold.
+
+    The bitmaps bound the overlap first: a bit that only one set has is an element that only this
+    set has. The sets of the rows that remain are built anew from their texts."""
     spark = pairs.sparkSession
-    m = members.select("m", "grp")
-    expanded = (pairs.join(m.select(F.col("m").alias("a"), F.col("grp").alias("g")), "g")
-                .join(m.select(F.col("m").alias("b"), F.col("grp").alias("h")), "h")
-                .filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    expanded = staged(spark, expanded, "pairs")
-    wanted = expanded.select(F.col("a").alias("m")).unionByName(expanded.select(F.col("b").alias("m"))).distinct()
-    texts = docs.join(members.join(wanted, "m", "left_semi").select("m", F.col("row")), "row").select("m", "text")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+
+    def side(end: str, letter: str) -> DataFrame:
+        return sets.select(F.col("row").alias(end), F.col("n").alias(letter + "n"), F.col("bits").alias(letter + "bits"))
+
+    def only(own: str, other: str):
+        return F.aggregate(F.zip_with(own, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))),
+                           F.lit(0), lambda total, x: total + x)
+    most = F.least(F.col("xn") - only("xbits", "ybits"), F.col("yn") - only("ybits", "xbits"))
+    close = staged(spark, pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").filter(_alike(most, percent))
+                   .select("a", "b", "xn", "yn"), "close")
+    wanted = close.select(F.col("a").alias("row")).unionByName(close.select(F.col("b").alias("row"))).distinct()
+    texts = maybe_in(docs.select("row", "text"), "row", wanted)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.view(np.int64) for s in _sets(batch.column(1).to_pylist(), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["m", "s"])
+            full = [s.view(np.int64) for s in _sets(batch.column(1).to_pylist(), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(full, pa.list_(pa.int64()))], names=["row", "s"])
 
-    sets = staged(spark, texts.mapInArrow(build, "m long, s array<long>"), "sets")
-    met = (expanded.join(sets.select(F.col("m").alias("a"), F.col("s").alias("sa")), "a")
-           .join(sets.select(F.col("m").alias("b"), F.col("s").alias("sb")), "b")
-           .withColumn("both", F.size(F.array_intersect("sa", "sb")))
-           .filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("sa") + F.size("sb") - F.col("both"))))
-    return met.select("a", "b")
+    full = staged(spark, texts.mapInArrow(build, "row long, s array<long>").join(wanted, "row", "left_semi"), "full")
+    both = F.size(F.array_intersect("sa", "sb"))
+    return (close.join(full.select(F.col("row").alias("a"), F.col("s").alias("sa")), "a")
+            .join(full.select(F.col("row").alias("b"), F.col("s").alias("sb")), "b")
+            .filter(_alike(both, percent)).select("a", "b"))
 
 
 def _passes(percent: int):
     """The length and the positional filter on two postings of one shingle (``x`` and ``y``)."""
-    fits = (F.lit(100) * F.least("xn", "yn") >= F.lit(percent) * F.greatest("xn", "yn"))
-    most = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos"))
-    return fits & (most * (100 + percent) >= F.lit(percent) * (F.col("xn") + F.col("yn")))
+    fits = F.lit(100) * F.least("xn", "yn") >= F.lit(percent) * F.greatest("xn", "yn")
+    return fits & _alike(F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos")), percent)
+
+
+def _lists(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The postings of the prefix shingles that two groups or more share: ``shingle``, ``grp``,
+    ``n``, ``pos``, ``front`` (the ``pos``, ``n``, ``grp`` of the list's foremost group: the one
+    with the fewest shingles of its own before this one, so the likely original of near copies).
+
+    A level-0 shingle occurs a bounded number of times (by the hashed count), so its list is made
+    by one shuffle. Lists of commoner shingles have no such bound: they are counted map-side first
+    and met again by a join that Spark can split."""
+    leaders = sets.join(members.filter("row = grp").select("row"), "row", "left_semi")
+    fields = [F.col("row").alias("grp"), "n"]
+    rare = leaders.select(*fields, F.posexplode(F.expr("slice(prefix, 1, cold)")).alias("pos", "shingle"))
+    own = W.partitionBy("shingle")
+    rare = rare.withColumn("df", F.count("*").over(own)).withColumn("front", F.min(F.struct("pos", "n", "grp")).over(own)).filter("df > 1")
+    common = leaders.filter("cold < size(prefix)").select(
+        *fields, F.posexplode(F.expr("slice(prefix, cold + 1, size(prefix))")).alias("at", "shingle"), "cold") \
+        .select("grp", "n", (F.col("at") + F.col("cold")).alias("pos"), "shingle")
+    sizes = common.groupBy("shingle").agg(F.count("*").alias("df"), F.min(F.struct("pos", "n", "grp")).alias("front")).filter("df > 1")
+    cols = ["shingle", "grp", "n", "pos", "front"]
+    return rare.select(*cols).unionByName(common.join(sizes, "shingle").select(*cols))
 
 
 def links(spark: SparkSession, sets: DataFrame, docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """(``members``, ``labels``): a member is a distinct non-empty set (``m`` is its smallest row),
-    ``labels`` gives the component of every member that links with another one."""
-    members = staged(spark, sets.filter("n > 0").groupBy("set_fp", "n", "group_fp").agg(
-        F.min("row").alias("row")).select(F.col("row").alias("m"), "row", "n", "set_fp", "group_fp"), "members")
-    groups = members.groupBy("group_fp").agg(F.min("m").alias("grp"), F.count("*").alias("size"))
-    members = staged(spark, members.join(groups, "group_fp").select("m", "row", "n", "grp", "size", "set_fp"), "grouped")
-
-    leaders = members.filter("m = grp").select("row", "grp")
-    postings = sets.select("row", "n", F.posexplode("prefix").alias("pos", "shingle")).join(
-        leaders, "row", "left_semi").select("shingle", F.col("row").alias("grp"), "n", "pos")
-    front = F.min(F.struct("pos", "n", "grp"))
-    shared = postings.groupBy("shingle").agg(F.count("*").alias("df"), front.alias("front")).filter("df > 1")
-    lists = staged(spark, postings.join(shared, "shingle"), "postings")
-
-    star = lists.select(F.col("grp").alias("g"), F.col("n").alias("xn"), F.col("pos").alias("xpos"),
-                        F.col("front.grp").alias("h"), F.col("front.n").alias("yn"), F.col("front.pos").alias("ypos"))
-    star = star.filter("g <> h").filter(_passes(percent)).select(
-        F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h")).distinct()
-    # Members of one group: each against the group's leader.
-    inner = members.filter("m <> grp").select(F.col("grp").alias("a"), F.col("m").alias("b"))
-    first = staged(spark, _verify(star, members.filter("m = grp"), docs, percent, k).unionByName(
-        _verify_members(inner, members, docs, percent, k)), "links")
+    """(``members``, ``labels``): a member is a distinct non-empty set, named by its smallest row;
+    ``grp`` is the smallest member with its size and prefix. ``labels`` (``node``, ``label``) gives
+    the component of every member that links with another one."""
+    distinct = sets.filter("n > 0").groupBy("set_fp", "n", "group_fp").agg(F.min("row").alias("row"))
+    groups = distinct.groupBy("group_fp").agg(F.min("row").alias("grp"))
+    members = staged(spark, distinct.join(groups, "group_fp").select("row", "n", "set_fp", "grp"), "members")
+    lists = staged(spark, _lists(members, sets), "postings")
+
+    # First every group against the foremost one of each of its lists, and members with leaders.
+    star = lists.select(F.col("grp").alias("a"), F.col("n").alias("xn"), F.col("pos").alias("xpos"),
+                        F.col("front.grp").alias("b"), F.col("front.n").alias("yn"), F.col("front.pos").alias("ypos")) \
+        .filter("a <> b").filter(_passes(percent)).select("a", "b")
+    inner = members.filter("row <> grp").select(F.col("grp").alias("a"), F.col("row").alias("b"))
+    first = staged(spark, _verify(star.unionByName(inner), sets, docs, percent, k), "links")
     labels = components(spark, first)
 
-    # Pairs of members whose components are still apart.
-    node = staged(spark, members.join(labels.withColumnRenamed("node", "m"), "m", "left").select(
-        "m", "row", "grp", "size", F.coalesce("label", "m").alias("label")), "nodes")
+    # Then all pairs of a list whose components are still apart.
+    node = staged(spark, members.join(labels.withColumnRenamed("node", "row"), "row", "left").select(
+        "row", "grp", F.coalesce("label", "row").alias("label")), "nodes")
     spans = node.groupBy("grp").agg(F.min("label").alias("label"), F.max("label").alias("top"))
-    tagged = staged(spark, lists.select("shingle", "grp", "n", "pos").join(spans, "grp"), "tagged")
+    tagged = staged(spark, lists.drop("front").join(spans, "grp"), "tagged")
     apart = (tagged.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("top").alias("hi"))
              .filter("lo <> hi").select("shingle"))
     open_lists = staged(spark, tagged.join(apart, "shingle", "left_semi"), "open")
-    x = open_lists.select("shingle", *[F.col(c).alias("x" + c) for c in ("grp", "n", "pos", "label", "top")])
-    y = open_lists.select("shingle", *[F.col(c).alias("y" + c) for c in ("grp", "n", "pos", "label", "top")])
+    x, y = (open_lists.select(F.col("shingle").alias(side + "s"), *[F.col(c).alias(side + c) for c in ("grp", "n", "pos", "label", "top")])
+            for side in "xy")
     differ = F.least("xlabel", "ylabel") != F.greatest("xtop", "ytop")
-    cross = (x.join(y, (x["shingle"] == y["shingle"]) & (F.col("xgrp") < F.col("ygrp")) & differ & _passes(percent))
-             .select(F.col("xgrp").alias("g"), F.col("ygrp").alias("h")).distinct())
-    more = _verify(cross, node, docs, percent, k)
+    cross = x.join(y, (F.col("xs") == F.col("ys")) & (F.col("xgrp") < F.col("ygrp")) & differ & _passes(percent)) \
+        .select("xgrp", "ygrp").distinct()
+    pairs = (cross.join(node.select(F.col("grp").alias("xgrp"), F.col("row").alias("a"), F.col("label").alias("la")), "xgrp")
+             .join(node.select(F.col("grp").alias("ygrp"), F.col("row").alias("b"), F.col("label").alias("lb")), "ygrp")
+             .filter("la <> lb").select("a", "b"))
     # Within a group whose members did not all meet its leader.
     split = node.join(spans.filter("label <> top").select("grp"), "grp", "left_semi")
-    own = (split.select(F.col("m").alias("a"), "grp", F.col("label").alias("la"))
-           .join(split.select(F.col("m").alias("b"), "grp", F.col("label").alias("lb")), "grp")
+    own = (split.select(F.col("row").alias("a"), "grp", F.col("label").alias("la"))
+           .join(split.select(F.col("row").alias("b"), "grp", F.col("label").alias("lb")), "grp")
            .filter("a < b AND la <> lb").select("a", "b"))
-    more = staged(spark, more.unionByName(_verify_members(own, members, docs, percent, k)), "more")
-    if not more.isEmpty():
-        labels = components(spark, first.unionByName(more))
-    return members, labels
-
-
-def _verify_members(pairs: DataFrame, members: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
-    """Verify pairs (``a``, ``b``) of members as they are."""
-    return _verify(pairs.select(F.col("a").alias("g"), F.col("b").alias("h")),
-                   members.select("m", F.col("m").alias("grp"), "row"), docs, percent, k)
+    more = staged(spark, _verify(pairs.unionByName(own), sets, docs, percent, k), "more")
+    return members, labels if more.isEmpty() else components(spark, first.unionByName(more))
 
 
 def near_rows(spark: SparkSession, docs: DataFrame, percent: int = 80, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -247,19 +281,16 @@ def near_rows(spark: SparkSession, docs: DataFrame, percent: int = 80, k: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = 1 << int(np.clip(int(chars // 1000).bit_length(), MIN_BUCKETS.bit_length() - 1, MAX_BUCKETS.bit_length() - 1))
+    buckets = 1 << int(np.clip(int(chars // 60).bit_length(), MIN_BUCKETS.bit_length() - 1, MAX_BUCKETS.bit_length() - 1))
     levels = spark.sparkContext.broadcast(shingle_levels(rows, buckets, k))
-    signed = signatures(numbered.select(F.col("row").alias("id"), "text"), levels, buckets, percent, k)
-    sets = staged(spark, signed.withColumnRenamed("id", "row"), "sets")
+    sets = staged(spark, signatures(numbered, levels, buckets, percent, k), "sets")
     members, labels = links(spark, sets, numbered, percent, k)
 
-    ids = numbered.select("row", "id")
-    member = members.join(labels.withColumnRenamed("node", "m"), "m", "left").select(
-        F.col("set_fp"), F.col("n").alias("mn"), F.coalesce("label", "m").alias("label"))
-    placed = (sets.select("row", "n", "set_fp").join(ids, "row")
-              .join(member, (sets["set_fp"] == member["set_fp"]) & (F.col("n") == F.col("mn")), "left")
-              .select("row", "id", "n", F.coalesce("label", F.col("row")).alias("label"),
-                      F.col("n").eqNullSafe(0).alias("alone")))
+    member = members.join(labels.withColumnRenamed("node", "row"), "row", "left").select(
+        "set_fp", F.col("n").alias("mn"), F.coalesce("label", "row").alias("label"))
+    rows_ = sets.select("row", "id", "n", F.col("set_fp").alias("fp"))
+    placed = rows_.join(member, (F.col("fp") == F.col("set_fp")) & (F.col("n") == F.col("mn")), "left").select(
+        "row", "id", "n", F.coalesce("label", "row").alias("label"), F.col("n").eqNullSafe(0).alias("alone"))
     placed = staged(spark, placed, "placed")
     least = placed.filter("NOT alone").groupBy("label").agg(F.min("id").alias("low"))
     out = placed.filter("NOT alone").join(least, "label").select("row", "id", "n", F.col("low").alias("component"), "label")
@@ -283,5 +314,5 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, percent: int = 80,
     rows = staged(spark, rows, "near")
     first = rows.filter("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")).select(F.col("first.row").alias("_stay"))
-    stay = first.unionByName(rows.filter("label IS NULL").select(F.col("row").alias("_stay")))
-    return tagged.join(stay, tagged[row] == stay["_stay"], "left_semi").drop(row)
+    dropped = rows.filter("label IS NOT NULL").join(first, rows["row"] == first["_stay"], "left_anti").select(F.col("row").alias("_gone"))
+    return without(tagged, row, staged(spark, dropped, "dropped")).drop(row)

@@ -84,18 +84,24 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return out
 
 
-def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of the ``k``-word shingles of one text; a shorter text is one shingle."""
-    if not len(words):
-        return np.empty(0, _U)
+_ODD = mix(np.arange(1, 65, dtype=_U)) | _U(1)
+
+
+def batch_shingles(words: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of the ``k``-word shingles of a batch, in order of the texts; a text with fewer
+    words is one shingle."""
     with np.errstate(over="ignore"):
-        if len(words) < k:
-            h = _U(len(words))
-            for w in words:
-                h = mix(np.array([h * _U(0x9E3779B97F4A7C15) + w], _U))[0]
-            return np.array([h], _U)
-        n = len(words) - k + 1
-        h = np.full(n, _U(k))
-        for j in range(k):
-            h = mix(h * _U(0x9E3779B97F4A7C15) + words[j:j + n])
-        return h
+        n = max(0, len(words) - k + 1)
+        whole = doc[:n] == doc[k - 1:]
+        h = np.zeros(n, _U)
+        for j in range(k if n else 0):
+            h += words[j:j + n] * _ODD[j]
+        h, at = mix(h[whole] + _U(k)), doc[:n][whole]
+        counts = np.bincount(doc, minlength=n_docs)
+        short = np.flatnonzero((counts > 0) & (counts < k))
+        if len(short):
+            first = np.searchsorted(doc, short)
+            own = np.array([(words[f:f + c] * _ODD[:c]).sum() + _U(c) for f, c in zip(first, counts[short])], _U)
+            into = np.searchsorted(at, short)
+            h, at = np.insert(h, into, mix(own)), np.insert(at, into, short)
+    return h, at
