@@ -51,24 +51,25 @@ BITMAP = 2048
 _CHUNK = 1 << 16
 
 
-def _batches(texts: list[str | None], k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(shingle hashes, text, number of texts) in slices of about 4 MB, so that working arrays stay
-    small whatever the batch."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    at = 0
-    while at < len(raw):
-        end, size = at, 0
-        while end < len(raw) and (end == at or size + len(raw[end]) <= 4_000_000):
-            size += len(raw[end])
-            end += 1
-        words, doc, *_ = batch_words(raw[at:end])
-        yield *batch_shingles(words, doc, end - at, k), end - at
-        at = end
-
-
-def _sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
+def _batches(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(shingle hashes, text, number of texts) in slices of at most 512 texts and about 4 MB, so
+    that working arrays stay small whatever the batch."""
+    for first in range(0, len(column), 512):
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in column.slice(first, 512).to_pylist()]
+        at = 0
+        while at < len(raw):
+            end, size = at, 0
+            while end < len(raw) and (end == at or size + len(raw[end]) <= 4_000_000):
+                size += len(raw[end])
+                end += 1
+            words, doc, *_ = batch_words(raw[at:end])
+            yield *batch_shingles(words, doc, end - at, k), end - at
+            at = end
+
+
+def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    for hashes, doc, n in _batches(texts, k):
+    for hashes, doc, n in _batches(column, k):
         cut = np.searchsorted(doc, np.arange(n + 1))
         for i in range(n):
             s = np.sort(hashes[cut[i]:cut[i + 1]])
@@ -88,7 +89,7 @@ def count_sketch(docs: DataFrame, buckets: int, k: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.uint32)
         for batch in batches:
-            for hashes, _, _ in _batches(batch.column(0).to_pylist(), k):
+            for hashes, _, _ in _batches(batch.column(0), k):
                 np.add.at(total, (hashes & np.uint64(buckets - 1)).astype(np.int64), np.uint32(1))
         for at in range(0, buckets, _CHUNK):
             if total[at:at + _CHUNK].any():
@@ -151,7 +152,7 @@ def signatures(docs: DataFrame, levels, buckets: int, percent: int, k: int) -> D
         level = levels.value
         for batch in batches:
             n, sets, groups, prefixes, cold, bits = [], [], [], [], [], []
-            for s in _sets(batch.column(2).to_pylist(), k):
+            for s in _sets(batch.column(2), k):
                 front, c = _front(s, level[(s & np.uint64(buckets - 1)).astype(np.int64)],
                                   prefix_length(len(s), percent)) if len(s) else (s, 0)
                 n.append(len(s))
@@ -196,7 +197,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, k:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            full = [s.view(np.int64) for s in _sets(batch.column(1).to_pylist(), k)]
+            full = [s.view(np.int64) for s in _sets(batch.column(1), k)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(full, pa.list_(pa.int64()))], names=["row", "s"])
 
     full = staged(spark, texts.mapInArrow(build, "row long, s array<long>").join(wanted, "row", "left_semi"), "full")
