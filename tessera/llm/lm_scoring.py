@@ -52,21 +52,26 @@ def held_out(doc_id: Column) -> Column:
 def token_batches(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """(token hash, bucket, text, number of texts) in slices of about 4 MB; every text ends with
     the end token."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    at = 0
-    while at < len(raw):
-        stop, size = at, 0
-        while stop < len(raw) and (stop == at or size + len(raw[stop]) <= 4_000_000):
-            size += len(raw[stop])
-            stop += 1
-        words, doc, start, end, data = batch_words(raw[at:stop])
-        last = data[end - 1].astype(np.uint64)
-        before = np.where(end - start > 1, data[np.maximum(end - 2, 0)], 0).astype(np.uint64)
-        bucket = (mix(last * np.uint64(256) + before) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
-        n = stop - at
-        ends = np.searchsorted(doc, np.arange(n), side="right")
-        yield np.insert(words, ends, END), np.insert(bucket, ends, 0), np.insert(doc, ends, np.arange(n)), n
-        at = stop
+    for part in range(0, len(texts), 512):
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts[part:part + 512]]
+        at = 0
+        while at < len(raw):
+            stop, size = at, 0
+            while stop < len(raw) and (stop == at or size + len(raw[stop]) <= 4_000_000):
+                size += len(raw[stop])
+                stop += 1
+            yield _tokens(raw[at:stop])
+            at = stop
+
+
+def _tokens(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    words, doc, start, end, data = batch_words(raw)
+    last = data[end - 1].astype(np.uint64)
+    before = np.where(end - start > 1, data[np.maximum(end - 2, 0)], 0).astype(np.uint64)
+    bucket = (mix(last * np.uint64(256) + before) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
+    n = len(raw)
+    ends = np.searchsorted(doc, np.arange(n), side="right")
+    return np.insert(words, ends, END), np.insert(bucket, ends, 0), np.insert(doc, ends, np.arange(n)), n
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
