@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WHITE, fresh, staged
+from tessera.llm.common import WHITE, fresh, maybe_in, staged, without
 
 WINDOW = 8
 MIN_PLAIN = 4
@@ -108,7 +108,7 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     # filter on its size, where it runs once per word.)
     # Slot values of the windows that have any: the texts in question are read again.
     slotted = found.filter(F.size("item_slots") > 0)
-    again = texts.join(slotted.select("text_md5").distinct(), "text_md5", "left_semi").dropDuplicates(["text_md5"])
+    again = maybe_in(texts, "text_md5", slotted.select("text_md5")).join(slotted.select("text_md5").distinct(), "text_md5", "left_semi").dropDuplicates(["text_md5"])
     values = (with_template(again, "text").join(
         slotted.groupBy("text_md5").agg(F.collect_set("at").alias("ats")), "text_md5")
         .select("text_md5", F.explode_outer(F.transform("ats", lambda i: F.struct(i.alias("at"), _slots("w", i).alias("slots")))).alias("v"))
@@ -139,4 +139,4 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     hits = staged(spark, matches(spark, docs, benchmark).select("text_md5").distinct(), "matches")
     key = fresh(docs, "md5")
     tagged = docs.withColumn(key, _digest(F.col("text")))
-    return tagged.join(hits, tagged[key] == hits["text_md5"], "left_anti").drop(key)
+    return without(tagged, key, hits).drop(key)
