@@ -17,6 +17,7 @@ result.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,47 +43,69 @@ BROADCAST_ROWS = 1_000_000
 class Encoder:
     """Token ids of a text as little-endian uint32 bytes.
 
-    A byte-level pre-tokenizer always cuts before a space that a non-space follows, so a text whose
-    spaces are single is encoded space by space, and frequent chunks come from a bounded cache.
+    A byte-level pre-tokenizer always cuts before a space that a non-space follows, so a text
+    without longer runs of white space after a space is encoded chunk by chunk, and frequent chunks
+    come from a bounded cache. New chunks are encoded many at a time, as one text: a token's bytes
+    are known, so the ids of each chunk are told apart by their lengths.
     """
 
-    CACHE = 400_000
+    CACHE = 600_000
+    JOINED = 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        spec = json.loads(open(path, encoding="utf-8").read())
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
         pre = spec.get("pre_tokenizer") or {}
         self.by_space = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True)
                          and pre.get("use_regex", True) and not spec.get("normalizer"))
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token
+        for token, i in vocab.items():
+            self.width[i] = len(token)
         self.cache: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        inner = [c for c in chunks if c[0] == " "] if self.by_space else []
+        whole = [c for c in chunks if c[0] != " "] if self.by_space else chunks
+        found = {c: ids.tobytes() for c, ids in zip(whole, self._ids(whole))}
+        runs = [inner[i:i + self.JOINED] for i in range(0, len(inner), self.JOINED)]
+        for run, ids in zip(runs, self._ids(["".join(run) for run in runs])):
+            ends = np.cumsum(self.width[ids])
+            wanted = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in run])
+            data, at = ids.tobytes(), 0
+            for c, end in zip(run, (np.searchsorted(ends, wanted) + 1) * 4):
+                found[c] = data[at:end]
+                at = end
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut: list[list[str]] = []
         missing: dict[str, None] = {}
         cache = self.cache
         for text in texts:
-            parts = text.split(" ") if self.by_space else [""]
-            if "" in parts:
-                parts = [text] if text else []
-            else:
+            if self.by_space and text and text[0] != " " and text[-1] != " " and not _WIDE.search(text):
+                parts = text.split(" ")
                 parts[1:] = [" " + p for p in parts[1:]]
+                missing.update((p, None) for p in parts if p not in cache)
+            else:
+                parts = []
             cut.append(parts)
-            missing.update((p, None) for p in parts if p not in cache)
-        new = list(missing)
-        found = dict(zip(new, self._ids(new)))
+        found = self._chunks(list(missing))
         if len(cache) < self.CACHE:
             cache.update((k, v) for k, v in found.items() if len(k) <= 64)
+        rest = iter(self._ids([t for t, parts in zip(texts, cut) if not parts]))
         get = cache.get
-        return [b"".join([get(p) or found[p] for p in parts]) for parts in cut]
+        return [b"".join([get(p) or found[p] for p in parts]) if parts else next(rest).tobytes() for parts in cut]
 
 
+_WIDE = re.compile(r" \s")
 _ENCODERS: dict[str, Encoder] = {}
 
 
