@@ -2,9 +2,9 @@
 
 Every snapshot carries static binary-fuse filters over its digests, one per bucket. A new batch is
 reduced to distinct digests (its own duplicates are grouped apart, map-side first), screened by the
-snapshot's filters, and only the positives are joined with the snapshot's exact buckets. Rows that
-share a digest are then compared byte by byte with the row that stays; rows that differ (a digest
-collision) form groups by their full text instead.
+snapshot's filters, and only the positives are joined with the snapshot's exact buckets. Texts
+that share a digest are then compared byte by byte; where they differ (a digest collision) rows are
+grouped by their full text instead.
 
 Defined cases: a null text counts as the empty text. Of equal texts the smallest ``doc_id`` stays;
 a null ``doc_id`` sorts after every other. Rows that repeat both text and ``doc_id`` are separate
@@ -192,11 +192,10 @@ def exact_groups(spark: SparkSession, docs: DataFrame, digest=sha256_hex) -> Dat
         spark, keys.filter(old).select("_id", "_digest"), keys.filter(~old).select("_id", "_digest"),
         expected), "groups")
 
-    odd = staged(spark, _differing(rows, groups, digest), "differing")
-    if odd.isEmpty():
+    many = staged(spark, _colliding(rows, groups, digest), "colliding")
+    if many.isEmpty():
         by, group_key = keys.withColumn("_group", F.col("_digest")), groups.withColumnRenamed("_digest", "_group")
     else:  # digests that stand for several texts: group their rows by the text itself
-        many = odd.select("_digest").distinct()
         texts = (rows.withColumn("_digest", digest(F.col("_norm"))).join(many, "_digest", "left_semi")
                  .select("_id", F.col("_norm").alias("_group"), sha256_hex(F.col("_norm")).alias("_sha")))
         plain = keys.join(many, "_digest", "left_anti").select("_id", F.col("_digest").alias("_group"), "_sha")
@@ -216,16 +215,12 @@ def exact_groups(spark: SparkSession, docs: DataFrame, digest=sha256_hex) -> Dat
                       (F.col("_stays") & (F.col("_copy") == 1)).alias("kept"), "text_sha256")
 
 
-def _differing(rows: DataFrame, groups: DataFrame, digest) -> DataFrame:
-    """Byte check: rows of a shared digest whose text is not that of the row that stays."""
-    shared = groups.filter("_n > 1").select("_digest", "_min_id")
-    likely = maybe_in(rows.withColumn("_digest", digest(F.col("_norm"))), "_digest", shared.select("_digest"))
-    texts = staged(rows.sparkSession, likely.join(shared, "_digest"), "shared")
-    # One text per digest: rows that repeat the kept id may differ, any of them will do.
-    kept = (texts.filter(F.col("_id").eqNullSafe(F.col("_min_id")))
-            .groupBy("_digest").agg(F.min("_norm").alias("_kept_text")))
-    return (texts.select("_digest", "_id", "_norm").join(kept, "_digest")
-            .filter(F.col("_norm") != F.col("_kept_text")).select("_digest", "_id"))
+def _colliding(rows: DataFrame, groups: DataFrame, digest) -> DataFrame:
+    """Byte check of the shared digests: those that stand for more than one text. Texts are grouped
+    by all their bytes, copies map-side first, so a hot text costs one row per task."""
+    shared = groups.filter("_n > 1").select("_digest")
+    texts = maybe_in(rows.select(digest(F.col("_norm")).alias("_digest"), "_norm"), "_digest", shared).distinct()
+    return texts.groupBy("_digest").agg(F.count("*").alias("_texts")).filter("_texts > 1").select("_digest")
 
 
 def drop_duplicates_exact(spark: SparkSession, docs: DataFrame) -> DataFrame:
