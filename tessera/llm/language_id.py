@@ -167,14 +167,18 @@ def predict(model: Model | None, texts: list[str | None]) -> tuple[list[str], li
 
 
 def fit(spark: SparkSession, labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model | None:
-    """Train on rows (``text``, ``lang``). Languages are counted over all rows; a hash of the text
-    chooses about ``per_lang`` of each, so a retry chooses the same and copies count once."""
-    rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    """Train on rows (``text``, ``lang``). A language's size is its number of distinct texts with a
+    letter; a hash of the text chooses about ``per_lang`` of them, at least the text of the smallest
+    hash, so a retry chooses the same, copies count once and no language is without a sample."""
+    rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.col("text").rlike(r"\p{L}")) \
+        .select("lang", "text", F.xxhash64("text").alias("h")).withColumn("key", F.pmod("h", F.lit(1 << 40)))
+    sizes = (rows.select("lang", "h", "key").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+             .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect())
     if not sizes:
         return None
-    share = spark.createDataFrame([(r["lang"], min(1.0, per_lang / r["n"])) for r in sizes], "lang string, share double")
-    chosen = rows.join(F.broadcast(share), "lang").filter(F.pmod("h", F.lit(1 << 40)) < F.col("share") * (1 << 40))
+    bound = spark.createDataFrame([(r["lang"], max(r["least"] + 1, int(min(1.0, per_lang / r["n"]) * (1 << 40)))) for r in sizes],
+                                  "lang string, bound long")
+    chosen = rows.join(F.broadcast(bound), "lang").filter("key < bound")
     chosen = chosen.dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tessera.llm.language_id import drop_unidentified, identify, predict, train
+from tessera.llm.language_id import drop_unidentified, fit, identify, predict, train
 SF = "/root/testdata/sf0.001"
 
 
@@ -46,3 +46,15 @@ def test_families_then_pairs():
     model = train(np.array([k for k, _ in texts], object), np.concatenate(list(features([t for _, t in texts]))))
     assert sorted(map(sorted, model.families)) == [["a1", "a2"], ["b1", "b2"]]
     assert predict(model, [t for _, t in texts])[0] == [k for k, _ in texts]
+
+
+def test_copies_do_not_thin_the_sample(spark, docs_of):
+    """Languages of many copies of few texts, or of texts mostly without letters, are all learned."""
+    words = {"en": ["one", "two"], "es": ["uno", "dos"], "de": ["eins", "zwei"]}
+    rows = [(None, f"{w} {w} {w}", lang) for lang, ws in words.items() for w in ws for _ in range(20_000 if lang != "de" else 1)]
+    rows += [(None, str(i), "de") for i in range(40_000)]
+    docs = docs_of(rows, "doc_id long, text string, lang string")
+    model = fit(spark, docs.select("text", "lang"))
+    assert model is not None and sorted(sum(model.families, [])) == ["de", "en", "es"]
+    texts = [f"{w} {w} {w}" for ws in words.values() for w in ws]
+    assert predict(model, texts)[0] == [lang for lang, ws in words.items() for _ in ws]
