@@ -4,10 +4,12 @@ Documents and benchmark items are turned into words. Numbers, units and names (c
 within a sentence) become typed placeholders, so a question whose numbers or names were changed has
 the same template. Windows of ``WINDOW`` template words are hashed and the documents' windows are
 hash-joined with those of the benchmark; only windows with at least ``MIN_PLAIN`` plain words count.
-For every document and item that meet, the slots (the words behind the placeholders) are compared:
-a match is consistent when each value of the item is replaced by one value throughout. A document
-is contaminated by an item when the consistent windows reach ``SHARE`` of the item's windows, or
-``RUN`` of them.
+For every document and item that meet, the slots (the words behind the placeholders) are compared
+within one occurrence: a match is consistent when each value of the item is replaced by one value
+throughout. Occurrences are the windows of one diagonal (place in the document less place in the
+item), those of diagonals at most ``SHIFT`` apart (words put in or left out), and, for an item that
+is torn apart, all windows of the document. A document is contaminated by an item when the
+consistent windows of any occurrence reach ``SHARE`` of the item's windows, or ``RUN`` of them.
 
 The benchmark's windows are broadcast only below ``BROADCAST_ROWS`` rows; beyond that the join is a
 shuffle whose hot windows Spark can split.
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tessera.llm.common import WHITE, fresh, maybe_in, staged, without
 
@@ -33,6 +36,7 @@ WINDOW = 8
 MIN_PLAIN = 4
 SHARE = 0.5
 RUN = 6
+SHIFT = 4
 BROADCAST_ROWS = 500_000
 
 # Units of measure that a placeholder replaces.
@@ -93,6 +97,18 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return rows.join(needed, "item").select("h", "item_id", "item", "item_at", "item_slots", "needed")
 
 
+def _occurrences(found: DataFrame) -> DataFrame:
+    """Every window once for each occurrence that it belongs to, named by ``occ``: the document, its
+    diagonal, and the chain of diagonals at most ``SHIFT`` apart. A text's windows of one item meet."""
+    of = W.partitionBy("text_md5", "item").orderBy("diagonal")
+    placed = found.withColumn("diagonal", F.col("at") - F.col("item_at"))
+    placed = placed.withColumn("far", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(of) > SHIFT, F.lit(True)).cast("int"))
+    placed = placed.withColumn("chain", F.sum("far").over(of))
+    kinds = [F.struct(F.lit(k).alias("kind"), F.lit(v).cast("long").alias("at") if v == 0 else F.col(v).cast("long").alias("at"))
+             for k, v in enumerate((0, "diagonal", "chain"))]
+    return placed.withColumn("occ", F.explode(F.array(*kinds))).drop("diagonal", "far", "chain")
+
+
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per text and item that it contains: ``text_md5``, ``item_id``, ``n_windows``."""
     bench = staged(spark, benchmark_windows(benchmark), "benchmark")
@@ -113,16 +129,16 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
         slotted.groupBy("text_md5").agg(F.collect_set("at").alias("ats")), "text_md5")
         .select("text_md5", F.explode_outer(F.transform("ats", lambda i: F.struct(i.alias("at"), _slots("w", i).alias("slots")))).alias("v"))
         .select("text_md5", "v.at", "v.slots"))
-    pairs = slotted.join(values, ["text_md5", "at"]).select(
-        "text_md5", "item", "at", "item_at", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))).alias("p")) \
-        .select("text_md5", "item", "at", "item_at", F.col("p.i").alias("i"), F.col("p.d").alias("d"))
+    pairs = _occurrences(found).join(values, ["text_md5", "at"]).filter(F.size("item_slots") > 0).select(
+        "text_md5", "item", "occ", "at", "item_at", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))).alias("p")) \
+        .select("text_md5", "item", "occ", "at", "item_at", F.col("p.i").alias("i"), F.col("p.d").alias("d"))
     # Each value of the item stands for the value that replaces it most often (ties: the smallest).
-    votes = pairs.groupBy("text_md5", "item", "i", "d").agg(F.count("*").alias("n"))
-    chosen = votes.groupBy("text_md5", "item", "i").agg(F.min(F.struct(-F.col("n"), F.col("d"))).alias("best"))
-    broken = (pairs.join(chosen, ["text_md5", "item", "i"]).filter(F.col("d") != F.col("best.d"))
-              .select("text_md5", "item", "at", "item_at").distinct())
-    kept = found.join(broken, ["text_md5", "item", "at", "item_at"], "left_anti")
-    return (kept.groupBy("text_md5", "item_id", "item", "needed").agg(F.count_distinct("item_at").alias("n_windows"))
+    votes = pairs.groupBy("text_md5", "item", "occ", "i", "d").agg(F.count("*").alias("n"))
+    chosen = votes.groupBy("text_md5", "item", "occ", "i").agg(F.min(F.struct(-F.col("n"), F.col("d"))).alias("best"))
+    broken = (pairs.join(chosen, ["text_md5", "item", "occ", "i"]).filter(F.col("d") != F.col("best.d"))
+              .select("text_md5", "item", "occ", "at", "item_at").distinct())
+    kept = _occurrences(found).join(broken, ["text_md5", "item", "occ", "at", "item_at"], "left_anti")
+    return (kept.groupBy("text_md5", "item_id", "item", "needed", "occ").agg(F.count_distinct("item_at").alias("n_windows"))
             .filter("n_windows >= needed").groupBy("text_md5", "item_id").agg(F.max("n_windows").alias("n_windows")))
 
 

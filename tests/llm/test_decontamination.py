@@ -51,3 +51,17 @@ def test_empty(spark, docs_of):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(spark, none, bench(spark)).count() == 0 and contaminated(spark, some, empty).count() == 0
     assert drop_contaminated(spark, some, empty).count() == 1
+
+
+def test_each_occurrence_has_its_own_values(spark, docs_of):
+    """Several copies of an item with other values, also beside the item itself or with a word more."""
+    said = "Tom had {} coins and Ann gave {} to {} before {} took {} of the {} that {} kept with {} others in town"
+    item = said.format(12, 15, "Maria", "Maria", 12, 15, "Maria", 12)
+    one, two = (said.format(a, b, n, n, a, b, n, a) for a, b, n in ((20, 30, "Zoe"), (7, 9, "Elena")))
+    mixed = said.format(20, 30, "Zoe", "Elena", 7, 9, "Paula", 31)
+    split = [x.replace(" before", " just before") for x in (one, two)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = docs_of([(1, one + " and then " + two), (2, two + " or " + item), (3, one), (4, mixed), (5, " so ".join([one, two, item])),
+                    (6, " and ".join(split))], "doc_id long, text string")
+    got = {r.doc_id for r in contaminated(spark, docs, items).collect()}
+    assert got == {1, 2, 3, 5, 6}
