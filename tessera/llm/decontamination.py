@@ -14,11 +14,15 @@ consistent windows of any occurrence reach ``SHARE`` of the item's windows, or `
 The benchmark's windows are broadcast only below ``BROADCAST_ROWS`` rows; beyond that the join is a
 shuffle whose hot windows Spark can split.
 
+An item that stands in a document word by word, but for case and edge punctuation, contaminates it
+whatever its template: its rarest window of up to ``WINDOW`` lower-cased words is hash-joined and
+the whole item is compared there.
+
 A text's matches depend on the text alone, so they are kept by its digest and copies share them.
 
-Defined cases: null and empty texts, and items without a window of ``MIN_PLAIN`` plain words, match
-nothing. An item or document shorter than a window is one window of all its words, and so is met
-only by a text that is that window. Rows of ``item_id`` that repeat, with equal or other texts,
+Defined cases: null and empty texts, and items of fewer than ``MIN_PLAIN`` words, match nothing.
+Items shorter than a window, or without a window of
+``MIN_PLAIN`` plain words, are met word by word. Rows of ``item_id`` that repeat, with equal or other texts,
 each count as an item text of that id; a null ``item_id`` is kept. Every document row, repeated or
 with a null ``doc_id``, is judged by its own text. Empty tables match nothing. Extra columns are
 ignored by ``contaminated`` and carried through by ``drop_contaminated``.
@@ -83,13 +87,17 @@ def _slots(words: str, at: Column) -> Column:
     return F.transform(F.filter(pair, lambda p: _is_slot(p["t"])), lambda p: F.struct(p["t"].alias("t"), F.lower(p["w"]).alias("w")))
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    """Distinct (``item_id``, ``text``) with ``item``, the digest of both."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("item", _digest(F.concat(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))))
+    return items.dropDuplicates(["item"])
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """One row per countable window of each item: ``h``, ``item_id``, ``item`` (digest of its
     id and text), ``item_at``, ``item_slots`` and ``needed``, the windows that make a match."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .withColumn("item", _digest(F.concat(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))))
-    items = items.dropDuplicates(["item"])
-    rows = with_template(items, "text").select("item_id", "item", "t", "w", F.explode_outer(_starts("t")).alias("item_at")).filter("item_at IS NOT NULL")
+    rows = with_template(_items(benchmark), "text").select("item_id", "item", "t", "w", F.explode_outer(_starts("t")).alias("item_at")).filter("item_at IS NOT NULL")
     cut = F.slice("t", F.col("item_at") + 1, WINDOW)
     rows = rows.select("item_id", "item", "item_at", F.xxhash64(cut).alias("h"), _slots("w", F.col("item_at")).alias("item_slots"),
                        F.size(F.filter(cut, lambda x: ~_is_slot(x))).alias("plain")).filter(F.col("plain") >= MIN_PLAIN).drop("plain")
@@ -109,6 +117,42 @@ def _occurrences(found: DataFrame) -> DataFrame:
     return placed.withColumn("occ", F.explode(F.array(*kinds))).drop("diagonal", "far", "chain")
 
 
+def _words(text: str) -> Column:
+    """The lower-cased words of a text without edge punctuation."""
+    raw = F.filter(F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), WHITE), lambda x: x != "")
+    return F.filter(F.transform(raw, lambda x: F.btrim(x, F.lit(_EDGE))), lambda x: x != "")
+
+
+def _hashes(k: int) -> Column:
+    """Hashes of the windows of ``k`` words of ``l``; none if there are fewer."""
+    return F.when(F.size("l") >= k, F.transform(F.sequence(F.lit(0), F.size("l") - k), lambda i: F.xxhash64(F.lit(k), F.slice("l", i + 1, k))))
+
+
+def verbatim(spark: SparkSession, texts: DataFrame, benchmark: DataFrame, counted: DataFrame) -> DataFrame:
+    """(``text_md5``, ``item_id``, ``n_windows``) of texts that hold all words of an item in a row;
+    ``n_windows`` is that of ``counted`` (by ``item``), at least 1."""
+    items = _items(benchmark).withColumn("l", _words("text")).withColumn("size", F.size("l")).filter(F.col("size") >= MIN_PLAIN)
+    keys = items.withColumn("k", F.least("size", F.lit(WINDOW))).withColumn("hs", F.coalesce(*[F.when(F.col("k") == k, _hashes(k)) for k in range(MIN_PLAIN, WINDOW + 1)]))
+    keys = keys.select("item_id", "item", "k", "size", F.array_join("l", " ").alias("said"), F.posexplode("hs").alias("off", "h"))
+    # The window that the fewest items have stands for the item.
+    shared = keys.groupBy("h").agg(F.count("*").alias("n"))
+    rarest = keys.join(shared, "h").groupBy("item_id", "item", "k", "size", "said").agg(F.min(F.struct("n", "off", "h")).alias("r"))
+    keys = staged(spark, rarest.join(counted, "item", "left").select(
+        "item_id", "k", "size", "said", F.coalesce("n_windows", F.lit(1)).alias("n_windows"), F.col("r.off").alias("off"), F.col("r.h").alias("h")), "verbatim")
+    lengths = sorted(r["k"] for r in keys.select("k").distinct().collect())
+    if not lengths:
+        return spark.createDataFrame([], "text_md5 string, item_id long, n_windows long")
+    joined = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    hashed = texts.withColumn("l", _words("text")).select("text_md5", F.array(*[_hashes(k) for k in lengths]).alias("all"))
+    met = (hashed.select("text_md5", F.explode_outer("all").alias("hs")).select("text_md5", F.posexplode_outer("hs").alias("at", "h"))
+           .join(joined, "h").select("text_md5", "item_id", "size", "said", "n_windows", (F.col("at") - F.col("off")).alias("start"))
+           .filter("start >= 0").distinct())
+    met = staged(spark, met, "met")
+    again = maybe_in(texts, "text_md5", met.select("text_md5")).dropDuplicates(["text_md5"]).select("text_md5", _words("text").alias("l"))
+    whole = F.array_join(F.slice("l", F.col("start") + 1, F.col("size")), " ") == F.col("said")
+    return met.join(again, "text_md5").filter(whole).select("text_md5", "item_id", "n_windows").distinct()
+
+
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per text and item that it contains: ``text_md5``, ``item_id``, ``n_windows``."""
     bench = staged(spark, benchmark_windows(benchmark), "benchmark")
@@ -138,8 +182,10 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     broken = (pairs.join(chosen, ["text_md5", "item", "occ", "i"]).filter(F.col("d") != F.col("best.d"))
               .select("text_md5", "item", "occ", "at", "item_at").distinct())
     kept = _occurrences(found).join(broken, ["text_md5", "item", "occ", "at", "item_at"], "left_anti")
-    return (kept.groupBy("text_md5", "item_id", "item", "needed", "occ").agg(F.count_distinct("item_at").alias("n_windows"))
-            .filter("n_windows >= needed").groupBy("text_md5", "item_id").agg(F.max("n_windows").alias("n_windows")))
+    near = (kept.groupBy("text_md5", "item_id", "item", "needed", "occ").agg(F.count_distinct("item_at").alias("n_windows"))
+            .filter("n_windows >= needed").select("text_md5", "item_id", "n_windows"))
+    same = verbatim(spark, texts, benchmark, bench.groupBy("item").agg(F.count("*").alias("n_windows")))
+    return near.unionByName(same).groupBy("text_md5", "item_id").agg(F.max("n_windows").alias("n_windows"))
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

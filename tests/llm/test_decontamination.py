@@ -65,3 +65,14 @@ def test_each_occurrence_has_its_own_values(spark, docs_of):
                     (6, " and ".join(split))], "doc_id long, text string")
     got = {r.doc_id for r in contaminated(spark, docs, items).collect()}
     assert got == {1, 2, 3, 5, 6}
+
+
+def test_short_and_slot_dense_items_verbatim(spark, docs_of):
+    """Items without a countable window, and names in lower case, are found word by word."""
+    items = [(1, "What is 12 + 15?"), (2, "Add 3 4 5 6 7 8 9 10 11 12 13"), (3, "did Anna Bell Carl Dora Emil Fritz Gerd Hans Ida see Otto Paul Rosa"),
+             (4, "What is 12 + 16?"), (5, "no no no no no yes"), (6, None)]
+    docs = docs_of([(1, "so: what is 12 + 15? tell me"), (2, "first add 3 4 5 6 7 8 9 10 11 12 13 now"), (3, "well " + items[2][1].lower() + " today"),
+                    (4, "what is 12 + 17 then"), (5, "no no no no no no no yes"), (6, "What is 12 + 16"), (7, "what is 12"), (8, None)],
+                   "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in contaminated(spark, docs, bench).collect()) == [(1, 1), (2, 2), (3, 3), (5, 5), (6, 4)]
