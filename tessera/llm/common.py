@@ -14,11 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared work folder and read it back: later uses do not repeat the
     work, and a lost executor costs only what it was writing."""
     path = work_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

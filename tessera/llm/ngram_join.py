@@ -16,8 +16,8 @@ of each of its lists (linear in the postings), and then the pairs whose componen
 A large set of near copies is settled by the first step. Every pair that the filters cannot rule
 out is either verified or already connected, so no link between components is lost.
 
-Rows are numbered by their place in the input, so ``docs`` must be a table read from files (as the
-query's and every pipeline stage's is), which a lost executor re-reads in the same order.
+Rows are numbered once and staged with their numbers; every later job reads that table, so numbers
+stay whatever the splits of ``docs`` are when a job reads it.
 
 Defined cases: a text with fewer than five words is one shingle, its whole word sequence; null,
 empty and white texts have the empty set and link with nothing. Repeated rows and repeated
@@ -280,7 +280,12 @@ def near_rows(spark: SparkSession, docs: DataFrame, percent: int = 80, k: int =
     """(staged rows with ``row``, ``id``, ``text``; one row per document: ``row``, ``id``, ``n``,
     ``component`` as the smallest id of the linked documents)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    numbered = staged(spark, rows.withColumn("row", F.monotonically_increasing_id()), "rows", "zstd")
+    return numbered, _near(spark, numbered, percent, k)
+
+
+def _near(spark: SparkSession, numbered: DataFrame, percent: int, k: int) -> DataFrame:
+    rows = numbered.select("id", "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 << int(np.clip(int(chars // 60).bit_length(), MIN_BUCKETS.bit_length() - 1, MAX_BUCKETS.bit_length() - 1))
     levels = spark.sparkContext.broadcast(shingle_levels(rows, buckets, k))
@@ -296,7 +301,7 @@ def near_rows(spark: SparkSession, docs: DataFrame, percent: int = 80, k: int =
     least = placed.filter("NOT alone").groupBy("label").agg(F.min("id").alias("low"))
     out = placed.filter("NOT alone").join(least, "label").select("row", "id", "n", F.col("low").alias("component"), "label")
     lone = placed.filter("alone").select("row", "id", "n", F.col("id").alias("component"), F.lit(None).cast("long").alias("label"))
-    return numbered, out.unionByName(lone)
+    return out.unionByName(lone)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, percent: int = 80, k: int = SHINGLE_WORDS) -> DataFrame:
@@ -310,9 +315,9 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, percent: int = 80,
     """Pipeline form: of each component the document with the smallest id stays (a null id last;
     of rows that repeat the id, one), columns as given. Documents without words all stay."""
     row = fresh(docs, "row")
-    tagged = docs.withColumn(row, F.monotonically_increasing_id())
-    _, rows = near_rows(spark, docs, percent, k)
-    rows = staged(spark, rows, "near")
+    tagged = staged(spark, docs.withColumn(row, F.monotonically_increasing_id()), "rows", "zstd")
+    numbered = tagged.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.col(row).alias("row"))
+    rows = staged(spark, _near(spark, numbered, percent, k), "near")
     first = rows.filter("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")).select(F.col("first.row").alias("_stay"))
     dropped = rows.filter("label IS NOT NULL").join(first, rows["row"] == first["_stay"], "left_anti").select(F.col("row").alias("_gone"))

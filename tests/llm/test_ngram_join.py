@@ -49,3 +49,24 @@ def test_empty(spark, docs_of):
     docs = docs_of([], "doc_id long, text string")
     assert near_groups(spark, docs).count() == 0
     assert keep_one_per_group(spark, docs).count() == 0
+
+
+def test_other_splits_between_jobs(spark, docs_of, monkeypatch):
+    """Rows keep their numbers when the input is split in another way from job to job."""
+    from tessera.llm import ngram_join
+    key, stage, calls = "spark.sql.files.maxPartitionBytes", ngram_join.staged, []
+
+    def shifting(*args):
+        calls.append(args)
+        out = stage(*args)
+        spark.conf.set(key, "2k" if len(calls) % 2 else "128m")
+        return out
+    monkeypatch.setattr(ngram_join, "staged", shifting)
+    rows = corpus(4, 80)
+    docs = docs_of(rows, "doc_id long, text string")
+    before = spark.conf.get(key)
+    try:
+        kept = sorted(r.doc_id for r in keep_one_per_group(spark, docs).collect())
+    finally:
+        spark.conf.set(key, before)
+    assert kept == sorted({c for _, n, c in brute(rows) if n})
