@@ -2,8 +2,10 @@
 
 A page is parsed into a tree of its elements. Every paragraph of text passes points for its length
 and its commas to its parent and, halved, to its grandparent and so on; a container's points are
-discounted by its link density. The best container and those of its siblings that read like text
-are kept, and their blocks of text, with character references decoded, are joined in page order.
+discounted by its link density. Every element that received points can be the best container; from
+it the choice climbs to the common ancestor while a neighbour holds text, up to the body. It is kept
+with those of its siblings that score near it or read like text (headings, articles, paragraphs, and
+whatever is not mostly links), and their blocks of text, with character references decoded, are joined in page order.
 Elements that are never part of an article (scripts, menus, headers of the page, forms, adverts,
 comments, ...) are left out before the scoring, by tag or by the words of their class and id.
 
@@ -33,6 +35,7 @@ CLOSES_P = BLOCK - {"br", "option", "td", "th", "tr", "tbody", "thead", "tfoot",
 # Elements that an equal (or named) open sibling ends.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "tbody", "thead"}}
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup header".split())
 LIST_ENDS = {"ul", "ol", "dl", "table", "select", "menu"}
 
 # Elements left out: by tag, by ARIA role, and by a word of class or id.
@@ -187,15 +190,25 @@ def main_text(page: str | None) -> str:
         return n.points * (1 - density(n))
     holders = [n for n in nodes if not n.out and n.chars and n.tag in ("article", "main")]
     if not holders:
-        parents = {id(n.parent or n): n.parent or n for n, _ in blocks if not n.out}
-        holders = list(parents.values())
+        owners = {id(n) for n, _ in blocks}  # the page or its body only if it holds text itself
+        holders = [n for n in nodes if not n.out and n.chars and (n.tag in BLOCK - {"body"} or id(n) in owners)]
     best = max(holders, key=lambda n: (score(n), -n.order))
-    keep = {id(best)}
-    if best.parent is not None:
-        for n in nodes:  # siblings that score well or read like paragraphs
-            if n.parent is best.parent and n is not best and not n.out and n.chars:
-                if score(n) >= max(4.0, 0.2 * score(best)) or n.tag == "p" and n.chars > 80 and density(n) < 0.25:
-                    keep.add(id(n))
+    children: dict[int, list[Node]] = {}
+    for n in nodes:
+        if n.parent is not None and not n.out and n.chars:
+            children.setdefault(id(n.parent), []).append(n)
+
+    def beside(at: Node) -> list[Node]:
+        """Siblings that belong to the text."""
+        return [n for n in children.get(id(at.parent), []) if n is not at and density(n) < 0.5
+                and (n.tag in HEADINGS or n.tag in BLOCK and density(n) < 0.25 or score(n) >= 0.2 * score(best))]
+
+    at = best
+    while at.parent is not None and at.tag != "body" and at.parent.tag not in ("body", "html", "#root"):
+        at = at.parent
+        if any(n is not at for n in children[id(at)]) and density(at) < 0.25:
+            best = at
+    keep = {id(best)} | {id(n) for n in beside(best)}
 
     def kept(n: Node | None) -> bool:
         while n is not None:

@@ -63,3 +63,19 @@ def test_rows(spark):
     got = extract(spark.createDataFrame(rows, cols)).collect()
     assert sorted(map(tuple, got), key=str) == [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]
     assert extract(spark.createDataFrame([], cols)).count() == 0
+
+
+P = "Some text, with commas, that goes on, " + "and on " * 23 + "to its end."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div id=content><section><h2>A</h2><p>{P}</p></section><section><h2>B</h2><p>{P}</p></section></div>", f"A {P} B {P}"),
+    (f"<body><div id=content><div><p>{P}</p></div><div><p>{P} {P}</p></div><div><p>Short.</p></div></div><div><a href=x>one two three</a></div>",
+     f"{P} {P} {P} Short."),
+    (f"<main><h1>Head</h1><article><p>{P}</p></article><article><p>Second, short.</p></article></main>", f"Head {P} Second, short."),
+    (f"<div id=content><div><div><section><p>{P} {P}</p></section><section><p>{P}</p></section></div></div><section><p>Last.</p></section></div>",
+     f"{P} {P} {P} Last."),
+    (f"<body>{P}<br><br>{P} {P}<div>Small.</div></body>", f"{P} {P} {P} Small."),
+])
+def test_text_in_several_containers(page, want):
+    assert main_text(page) == want
