@@ -6,16 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.centroids import cluster
 from tessera.llm.chat import digests, format_conversations
 from tessera.llm.common import table
 from tessera.llm.decontamination import contaminated
 from tessera.llm.exact_dedup import exact_groups
+from tessera.llm.fingerprints import fingerprints
 from tessera.llm.html_extract import extract
 from tessera.llm.language_id import identify
 from tessera.llm.lm_scoring import score
 from tessera.llm.ngram_join import near_groups
 from tessera.llm.packing import pack
 from tessera.llm.url_filters import ORACLE as URL_ORACLE, captures_of, judge, list_of, validity
+from tessera.llm.vector_codes import codes
+from tessera.llm.vector_oracles import CENTROIDS as CENTROID_ORACLE, CODES as CODE_ORACLE
 from tessera.llm.warc import read_archives, resolved, write_archives
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,11 +73,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(spark, table(spark, sf_dir, "embeddings")).drop("n_compared")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_lm_scoring, op3_url_filters, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id,
-    op7_html_extraction, op8_warc, op9_benchmark_decontamination, op10_exact_dedup)}
+    op7_html_extraction, op8_warc, op9_benchmark_decontamination, op10_exact_dedup,
+    op11_document_fingerprints, op12_centroid_clustering, op13_vector_codes)}
 
 ORACLES = {
+    "op12_centroid_clustering": CENTROID_ORACLE,
+    "op13_vector_codes": CODE_ORACLE,
     "op3_url_filters": URL_ORACLE,
     "op5_chat_formatting": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
