@@ -384,14 +384,27 @@ class PaymentRun:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def publish(self, bills_table: str, log_table: str, root: str) -> dict:
-        """Publish the rebuilt bills and the extended edit log together: both new versions
-        are written first, then both tables are swapped (``publish_all``). The inputs may be
-        these same tables: the new versions go to new folders, so the job reads the current
-        version while it writes the next one."""
-        from tessera.plans.publish import publish_all
-
-        return publish_all(self._spark, {bills_table: self.bills, log_table: self.edit_log}, root)
+    def publish(self, bills_table: str, log_table: str, root: str, *, base=None,
+                batch: str | None = None) -> dict:
+        """Publish the rebuilt bills and the extended edit log in one commit: both new versions are
+        written first, then one manifest makes both live. The inputs may be these same tables: the
+        new versions go to new folders, so the job reads the current version while it writes the
+        next one.
+
+        ``base``: the ``plans.manifest`` snapshot the inputs were read from (default: the state when
+        this call begins); the commit is refused if either table has changed since. ``batch`` names
+        the batch of payments: if the live tables were made by that batch already (a rerun after a
+        driver that was lost past its commit), nothing is charged again and no version returned."""
+        from tessera.plans.manifest import snapshot
+        from tessera.plans.publish import database_of, publish_all, recover
+
+        head = snapshot(self._spark, root, database_of([bills_table, log_table]))
+        made_by = [head.entry(t).batch if head.entry(t) else None for t in (bills_table, log_table)]
+        if batch is not None and made_by == [batch, batch]:
+            recover(self._spark, root, head.database)
+            return {}
+        return publish_all(self._spark, {bills_table: self.bills, log_table: self.edit_log}, root,
+                           base=base or head, batch=batch)
 
 
 def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,

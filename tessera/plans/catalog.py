@@ -1151,3 +1151,6 @@ def landing_preview(spark, sf_dir):
     """Look at landed files in place before loading (any 3 rows; rows-only)."""
     landing = read_json_documents(spark, SI.land_claim_documents(spark, sf_dir), outer_array=False)
     return preview(landing.select(F.col("raw").cast("string").alias("doc")), 3)
+
+
+from tessera.plans import catalog_state  # noqa: E402, F401 - registers further queries

@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 
 from tessera.operators.drift import SchemaDriftError, check_drift, table_columns
 from tessera.plans import audit as A
-from tessera.plans.publish import ensure_database, stage_version, swap
+from tessera.plans.manifest import snapshot
+from tessera.plans.publish import ensure_database, publish_versions, stage_version
 from tessera.session import error_text
 from tessera.sources.contracts import ColumnSpec, TableContract
 from tessera.sources.readers import DEFAULT_CSV, CsvContract, csv_header, typed_by_name
@@ -105,6 +106,7 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
     # 1. source present?
     try:
         ensure_database(spark, schema, root)
+        base = snapshot(spark, root, schema)  # two loads of one table: the second to commit is refused
         header = csv_header(spark, source_path, fmt)
     except Exception as e:  # noqa: BLE001 - every load error is reported, never raised
         msg = error_text(e)
@@ -158,7 +160,7 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
                                                keep=(LINEAGE,)), contract)
             rej = None
         v = stage_version(good, table, root, expected_rows=expected_rows)
-        swap(spark, v)
+        publish_versions(spark, [v], root, base)
         _audit_files(spark, root, contract.name, v, rej, file_label)
     except Exception as e:  # noqa: BLE001 - every load error is reported, never raised
         msg = error_text(e)

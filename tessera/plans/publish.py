@@ -3,10 +3,13 @@
 A plain ``mode("overwrite")`` (or ``INSERT OVERWRITE``) deletes the old files before the new
 ones are complete, so a failed job leaves the table empty. Here every load writes
 ``<root>/<table>/v=<version>`` and only after the write succeeded and its row count (measured
-by an ``Observation`` on the write itself, no second scan) was checked is the catalog table
-pointed at the new folder (``ALTER TABLE ... SET LOCATION``, a metadata operation). Readers see
-the previous version until that moment. Several tables are published together by writing all
-versions first and swapping only when every write succeeded.
+by an ``Observation`` on the write itself, no second scan) was checked is the version
+committed in the database's manifest (``plans.manifest``: one file, put in place in one step, for
+all tables of a publish) and the catalog table pointed at the new folder (``ALTER TABLE ... SET
+LOCATION``, a metadata operation). Readers see the previous version until that moment. Several
+tables are published together by writing all versions first and committing them in one manifest.
+The manifest decides: a driver lost after the commit leaves catalog tables behind it, and
+``recover`` (or the next publish of the table) brings them up.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.plans.manifest import CommitConflict, Entry, Snapshot, commit, snapshot
+
 
 class PublishError(RuntimeError):
     pass
@@ -55,21 +60,29 @@ def stage_version(df: DataFrame, table: str, root: str, version: str | None = No
     return Version(table, path, rows)
 
 
-def swap(spark: SparkSession, v: Version) -> None:
-    """Point the catalog table at the new version (create it on first publish). The columns of the
-    table must all be in the version: a publish never narrows a table. New columns are added to
-    the table first (they read as NULL until the location changes), then ``SET LOCATION``. Only a
-    type change, or a table partitioned in the catalog (its partitions keep their own folders, so
-    a new table location would not replace them), replaces the external table definition: the new
-    one is created and checked under another name before the old one is dropped."""
-    if not spark.catalog.tableExists(v.table):
-        spark.sql(f"CREATE TABLE {v.table} USING parquet LOCATION '{v.path}'")
-        return
-    have = {f.name.lower(): f for f in spark.table(v.table).schema}
+def _columns(spark: SparkSession, v: Version) -> tuple[dict, dict]:
+    """(columns of the catalog table, columns of the version), by lower-case name. The columns of
+    the table must all be in the version: a publish never narrows a table."""
+    have = ({f.name.lower(): f for f in spark.table(v.table).schema} if spark.catalog.tableExists(v.table) else {})
     want = {f.name.lower(): f for f in spark.read.parquet(v.path).schema}
     lost = sorted(f.name for k, f in have.items() if k not in want)
     if lost:
         raise PublishError(f"{v.table}: the new version lacks column(s) {lost} of the table; not published")
+    return have, want
+
+
+def swap(spark: SparkSession, v: Version) -> None:
+    """Point the catalog table at the new version (create it on first publish). New columns are
+    added to the table first (they read as NULL until the location changes), then ``SET LOCATION``.
+    Only a type change, or a table partitioned in the catalog (its partitions keep their own folders,
+    so a new table location would not replace them), replaces the external table definition: the
+    old one is renamed, the new one takes its name, and the old name comes back if that fails. In
+    between readers of the catalog find no table; readers of the manifest notice nothing, and
+    ``recover`` makes the table again should the driver be lost right there."""
+    if not spark.catalog.tableExists(v.table):
+        spark.sql(f"CREATE TABLE {v.table} USING parquet LOCATION '{v.path}'")
+        return
+    have, want = _columns(spark, v)
     partitioned = any(c.isPartition for c in spark.catalog.listColumns(v.table))
     if not partitioned and all(have[k].dataType == f.dataType for k, f in want.items() if k in have):
         added = [f for k, f in want.items() if k not in have]
@@ -79,18 +92,37 @@ def swap(spark: SparkSession, v: Version) -> None:
         spark.sql(f"ALTER TABLE {v.table} SET LOCATION '{v.path}'")
         spark.sql(f"REFRESH TABLE {v.table}")
         return
-    following = f"{v.table}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    tag = uuid.uuid4().hex[:8]
+    following, replaced = f"{v.table}__next_{tag}", f"{v.table}{REPLACED}{tag}"
     spark.sql(f"CREATE TABLE {following} USING parquet LOCATION '{v.path}'")
-    spark.sql(f"DROP TABLE {v.table}")
-    spark.sql(f"ALTER TABLE {following} RENAME TO {v.table}")
+    spark.sql(f"ALTER TABLE {v.table} RENAME TO {replaced}")
+    try:
+        spark.sql(f"ALTER TABLE {following} RENAME TO {v.table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {replaced} RENAME TO {v.table}")
+        raise
+
+
+#: Catalog definitions that a type change left under another name; ``plans.retention`` drops them.
+REPLACED = "__replaced_"
+
+
+def database_of(names) -> str:
+    databases = {n.rpartition(".")[0] for n in names}
+    if len(databases) != 1 or "" in databases:
+        raise PublishError(f"one commit is of the tables of one database, not of {sorted(databases)}")
+    return databases.pop()
 
 
-def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,
-            expected_rows: int | None = None, version: str | None = None) -> Version:
-    v = stage_version(df, table, root, version, expected_rows)
-    swap(spark, v)
-    return v
+def entry_of(spark: SparkSession, v: Version, batch: str | None = None) -> Entry:
+    return Entry(v.path, v.rows, spark.read.parquet(v.path).schema.json(), batch)
+
+
+def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *, expected_rows: int | None = None,
+            version: str | None = None, base: Snapshot | None = None) -> Version:
+    """One table: ``publish_all`` of it alone."""
+    base = base or snapshot(spark, root, database_of([table]))
+    return publish_versions(spark, [stage_version(df, table, root, version, expected_rows)], root, base)[table]
 
 
 def _sql_text(v: str) -> str:
@@ -163,21 +195,38 @@ def publish_partitions(spark: SparkSession, df: DataFrame, table: str, root: str
 
 
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], root: str, *,
-                expected_rows: dict[str, int] | None = None) -> dict[str, Version]:
-    """All-or-nothing across tables: any failed write leaves every table on its old version.
-    The swaps come after every write succeeded; if one of them fails, the tables already
-    swapped are pointed back at their previous folders (kept, since versions are never
-    deleted here), and tables created by this call are dropped."""
+                expected_rows: dict[str, int] | None = None, base: Snapshot | None = None,
+                reads: tuple[str, ...] = (), batch: str | None = None) -> dict[str, Version]:
+    """All-or-nothing across the tables of a database: every version is written first, then one
+    manifest commits them all. A failed write, or a conflict with another commit since ``base``
+    (default: the state when the call began), leaves every table on its old version."""
+    base = base or snapshot(spark, root, database_of(tables))
     version = new_version_id()
-    staged = {name: stage_version(df, name, root, version, (expected_rows or {}).get(name))
-              for name, df in tables.items()}
-    previous = {name: current_location(spark, name) for name in staged}
+    staged = [stage_version(df, name, root, version, (expected_rows or {}).get(name)) for name, df in tables.items()]
+    return publish_versions(spark, staged, root, base, reads=reads, batch=batch)
+
+
+def publish_versions(spark: SparkSession, staged: list[Version], root: str, base: Snapshot, *,
+                     reads: tuple[str, ...] = (), batch: str | None = None) -> dict[str, Version]:
+    """Commit written versions together, then let the catalog tables follow. If a catalog call
+    fails, a second commit takes the first back (unless somebody has built on it), the tables
+    already swapped are pointed back at their previous folders, and tables created by this call
+    are dropped, so an error ends in the old state."""
+    database_of(v.table for v in staged)
+    for v in staged:
+        _columns(spark, v)
+    previous = {v.table: current_location(spark, v.table) for v in staged}
     done: list[Version] = []
+    after = commit(spark, base, {v.table: entry_of(spark, v, batch) for v in staged}, reads)
     try:
-        for v in staged.values():
+        for v in staged:
             swap(spark, v)
             done.append(v)
     except Exception:
+        try:
+            commit(spark, after, {v.table: base.entry(v.table) for v in staged})
+        except CommitConflict:
+            raise PublishError(f"{base.database}: committed, but the catalog could not follow; call recover()") from None
         for v in reversed(done):
             loc = previous[v.table]
             if loc is None:
@@ -185,7 +234,25 @@ def publish_all(spark: SparkSession, tables: dict[str, DataFrame], root: str, *,
             else:
                 swap(spark, Version(v.table, loc, -1))
         raise
-    return staged
+    return {v.table: v for v in staged}
+
+
+def recover(spark: SparkSession, root: str, database: str) -> list[str]:
+    """Point every catalog table that is behind its manifest (its writer was lost) at its live
+    version, and return their names. Safe to repeat, and to run beside readers of the manifest."""
+    behind = []
+    for name, e in snapshot(spark, root, database).tables.items():
+        table = f"{database}.{name}"
+        at = current_location(spark, table)
+        if at is None or _plain(at) != _plain(e.path):
+            swap(spark, Version(table, e.path, e.rows))
+            behind.append(table)
+    return sorted(behind)
+
+
+def _plain(location: str) -> str:
+    """A location without the different spellings of a local path."""
+    return location.removeprefix("file:").replace("///", "/").rstrip("/")
 
 
 def current_location(spark: SparkSession, table: str) -> str | None:
