@@ -12,9 +12,9 @@ Plan:
    they are folded in order. Bills with at most ``max_fold`` payments: ``aggregate()`` over the
    bill's sorted payment array (JVM higher-order function, bounded array). Bills with more
    ("hot" bills) that are not overdue (rate 0): the balance is max(start - running sum, 0), an
-   exact distributed prefix sum over range partitions. Hot overdue bills: an exact streamed
-   fold in ``mapInPandas`` over rows range-partitioned by bill and sorted by payment order;
-   state is one balance, never the bill's whole payment list.
+   exact distributed prefix sum over range partitions. Hot overdue bills: what follows a
+   certified zero is settled in parallel, and the payments up to there (all of them, if the bill
+   never gets to zero) are folded piece by piece at the same time (``balance_pieces``).
 3. Per-bill result = last payment by order (``max_by``, partial aggregation). Bills are rebuilt
    by a join (Parquet has no MERGE) and the log rows are appended.
 4. Log ids: max(existing id) + global ordinal over (bill, payment order). The rows are
@@ -28,11 +28,11 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import late_fee_rate
+from tessera.operators.balance_pieces import fold_in_pieces, money
 from tessera.session import work_path
 
 # ---------------------------------------------------------------------------------------------
@@ -106,48 +106,17 @@ def _fold_small(valid: DataFrame, bill_key: str, order_cols: list[str],
 
 
 def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols: list[str],
-              n_partitions: int) -> DataFrame:
-    """Exact streamed fold for bills with many payments: range-partition by bill (a bill never
-    spans two tasks), sort by payment order, carry one running balance across Arrow batches.
-    Money crosses into Python as integer cents and the rate as integer thousandths, so the
-    loop is plain integer arithmetic: surcharge = (cents * rate + 500) // 1000 is round half
-    up for non-negative balances. Spark converts back to decimals (exact) afterwards."""
+              n_partitions: int, stage_path: str) -> DataFrame:
+    """Exact fold of bills with many payments, over range pieces of a bill at the same time (see
+    ``balance_pieces``). Money crosses into Python as integer cents and the rate as integer
+    thousandths, so the loop is plain integer arithmetic; Spark converts back to decimals (exact)
+    afterwards."""
     cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
-    src = (valid.select(*cols, (F.col("amount") * 100).cast("bigint").alias("_amount_c"),
-                        (F.col("_start_balance") * 100).cast("bigint").alias("_start_c"),
-                        (F.col("_rate") * 1000).cast("bigint").alias("_rate_m"))
-           .repartitionByRange(n_partitions, bill_key)
-           .sortWithinPartitions(bill_key, *order_cols))
-    out_fields = [f for f in valid.select(*cols).schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
-    schema += ", seq bigint, _surcharge_c bigint, _balance_c bigint"
-
-    def fold(batches):
-        current, bal, seq = None, 0, 0
-        for pdf in batches:
-            surcharges, balances, seqs = [], [], []
-            for key, amount, start, rate in zip(pdf[bill_key].tolist(), pdf["_amount_c"].tolist(),
-                                                pdf["_start_c"].tolist(), pdf["_rate_m"].tolist()):
-                if key != current:
-                    current, bal, seq = key, start, 0
-                s = (bal * rate + 500) // 1000
-                bal = max(bal + s - amount, 0)
-                seq += 1
-                surcharges.append(s)
-                balances.append(bal)
-                seqs.append(seq)
-            out = pdf[cols].copy()
-            out["seq"] = pd.Series(seqs, dtype="int64")
-            out["_surcharge_c"] = pd.Series(surcharges, dtype="int64")
-            out["_balance_c"] = pd.Series(balances, dtype="int64")
-            yield out
-
-    def money(c: str) -> Column:
-        return (F.col(c).cast("decimal(20,0)") / F.lit(100)).cast(BAL)
-
-    return src.mapInPandas(fold, schema).select(
-        *cols, "seq", money("_surcharge_c").alias("surcharge"),
-        money("_balance_c").alias("new_balance"))
+    src = valid.select(*cols, (F.col("amount") * 100).cast("bigint").alias("_amount_c"),
+                       (F.col("_start_balance") * 100).cast("bigint").alias("_start_c"),
+                       (F.col("_rate") * 1000).cast("bigint").alias("_rate_m"))
+    return fold_in_pieces(src, bill_key, order_cols, cols, n_partitions, stage_path).select(
+        *cols, "seq", money("_surcharge_c", BAL).alias("surcharge"), money("_balance_c", BAL).alias("new_balance"))
 
 
 def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Column,
@@ -220,8 +189,8 @@ def _split_hot_overdue(hot: DataFrame, bill_key: str, order_cols: list[str],
     v_m = (1+r) v_(m-1) + 0.005 - a_m, induction gives b_m <= max(v_m, 0); so b_t = 0 from
     the first t where v_t <= 0, i.e. where sum_(m<=t) (1+r)^-m (a_m - 0.005) >= start. That
     discounted running sum is a distributed prefix sum. Payments after the first certified t
-    have surcharge 0 and balance 0; only payments up to t are folded in order. A bill whose
-    payments never certify zero (they only cover the surcharge) keeps the sequential fold.
+    have surcharge 0 and balance 0; only payments up to t are folded. A bill whose payments
+    never certify zero (they only cover the surcharge) is folded whole, in pieces.
     The positions and the cut are staged once, so both branches see the same split."""
     cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
     df = hot.select(*cols, "_start_balance", "_rate").withColumn(
@@ -253,7 +222,7 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     plan. Hot bills that are not overdue use the distributed prefix sum. Hot overdue bills
     (the surcharge compounds on the rounded running balance, a sequential recurrence) are
     split at the first payment after which the balance is certified zero: the rest is settled
-    in parallel, the head is the streamed fold (one task per bill, constant memory)."""
+    in parallel, the head is folded in range pieces (``balance_pieces``)."""
     if not has_hot:
         return _fold_small(valid, bill_key, order_cols, pay_cols)
     spark = valid.sparkSession
@@ -278,7 +247,7 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     if kinds["overdue"]:
         head, settled = _split_hot_overdue(hot.where(F.col("_rate") > 0), bill_key, order_cols,
                                            pay_cols, n, f"{stage}/overdue")
-        out = (out.unionByName(_fold_hot(head, bill_key, order_cols, pay_cols, n))
+        out = (out.unionByName(_fold_hot(head, bill_key, order_cols, pay_cols, n, f"{stage}/head"))
                .unionByName(settled))
     return out
 
