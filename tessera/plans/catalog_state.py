@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.scalars import late_fee_rate
+from tessera.operators.payments import apply_payments
 from tessera.plans import manifest as M
 from tessera.plans import standins as SI
-from tessera.plans.catalog import _BILLS_SELECT, _PAY_SQL_BASE, _apply, _schema_name, query
+from tessera.plans.catalog import _BILLS_SELECT, _LOG_SELECT, _PAY_SQL_BASE, _RATE_SQL, _RUNS, _apply, _schema_name, query
 from tessera.plans.publish import ensure_database, entry_of, publish_all, recover, stage_version
 from tessera.session import work_path
 
@@ -55,3 +57,61 @@ def payments_commit_recovery(spark, sf_dir):
     recover(spark, root, db)
     found.append(_books("3 recovered", spark.table(bill), spark.table(log)))
     return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+# --- a hot bill that never gets to zero -------------------------------------------------------
+# Every credit-card line (a third of all payment rows) becomes two payments on one overdue bill:
+# its surcharge plus, then minus, a few cents. The balance goes down and comes back for ever.
+STEADY_ORDER = ("pay_src", "pay_line", "pay_part", "pay_supplier", "half", "amount", "payment_method")
+
+_STEADY_SQL_BASE = (
+    _PAY_SQL_BASE
+    .replace("pay AS (SELECT l_orderkey AS bill_id,", "pay0 AS (SELECT l_orderkey AS bill_id, l_orderkey AS pay_src,")
+    .replace("chk AS (SELECT pay.*,", f"""late AS (SELECT id, balance, greatest(DATE '{SI.PAYMENTS_AS_OF}' - due_date, 0) AS days FROM b),
+rated AS (SELECT id, balance, {_RATE_SQL.format(d='days', b='balance')} AS rate FROM late),
+hot AS (SELECT id, CAST(round(balance * rate, 2) AS DECIMAL(10,2)) AS s FROM rated WHERE rate > 0
+        ORDER BY CAST(balance * 100 AS BIGINT) * CAST(rate * 1000 AS BIGINT) % 1000, id LIMIT 1),
+pay AS (SELECT *, 0 AS half FROM pay0 WHERE payment_method <> 'credit_card'
+        UNION ALL SELECT hot.id, pay_src, pay_line, pay_part, pay_supplier,
+               CAST(s + (1 - 2 * half) * (pay_part % 5) / CAST(100 AS DECIMAL(5,2)) AS DECIMAL(10,2)),
+               payment_method, edited_by, half
+        FROM pay0, hot, (SELECT unnest([0, 1]) AS half) WHERE payment_method = 'credit_card'),
+chk AS (SELECT pay.*,""")
+    .replace("ORDER BY pay_line, pay_part, pay_supplier, amount, payment_method", f"ORDER BY {', '.join(STEADY_ORDER)}"))
+
+
+def steady_payments(t) -> tuple[DataFrame, int]:
+    """The payments, and the bill that gets all of the credit card (found with one aggregate)."""
+    late = SI.bills(t).withColumn("days", F.greatest(F.datediff(F.lit(SI.PAYMENTS_AS_OF).cast("date"), "due_date"), F.lit(0)))
+    rated = late.withColumn("rate", late_fee_rate("days", "balance")).where("rate > 0")
+    left = (F.col("balance") * 100).cast("bigint") * (F.col("rate") * 1000).cast("bigint") % 1000
+    hot = rated.agg(F.min_by(F.struct("id", F.round(F.col("balance") * F.col("rate"), 2).cast("decimal(10,2)").alias("s")),
+                             F.struct(left.alias("left"), "id")).alias("hot")).first()["hot"]
+    card, cents = F.col("payment_method") == "credit_card", (F.col("pay_part") % 5).cast("decimal(10,2)") / 100
+    pays = SI.payments(t).withColumn("pay_src", F.col("bill_id")).withColumn(
+        "half", F.explode(F.when(card, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return pays.withColumns({
+        "bill_id": F.when(card, F.lit(hot["id"])).otherwise(F.col("bill_id")),
+        "amount": F.when(card, (F.lit(hot["s"]) + F.when(F.col("half") == 0, cents).otherwise(-cents)).cast("decimal(10,2)"))
+        .otherwise(F.col("amount"))}), hot["id"]
+
+
+def _apply_steady(spark, sf_dir):
+    key = (*SI.input_version(spark, sf_dir), "steady")
+    if key not in _RUNS:
+        t = SI.reader(spark, sf_dir)
+        _RUNS[key] = apply_payments(spark, SI.bills(t), steady_payments(t)[0], SI.edit_log(t), as_of=SI.PAYMENTS_AS_OF,
+                                    edited_at=SI.PAYMENTS_EDITED_AT, order_cols=STEADY_ORDER)
+    return _RUNS[key]
+
+
+@query("hot_bill_steady_log", _STEADY_SQL_BASE + _LOG_SELECT)
+def hot_bill_steady_log(spark, sf_dir):
+    """U2 with a hot bill whose balance never reaches zero: every payment's surcharge and balance."""
+    return _apply_steady(spark, sf_dir)["log"]
+
+
+@query("hot_bill_steady_bills", _STEADY_SQL_BASE + _BILLS_SELECT)
+def hot_bill_steady_bills(spark, sf_dir):
+    """U2 with a hot bill whose balance never reaches zero: the bills afterwards."""
+    return _apply_steady(spark, sf_dir)["bills"].select("id", "policy_id", "due_date", "balance", "status", "payment_method")
