@@ -1,13 +1,8 @@
 """Declarative data-quality rules. A rule selects the rows that must NOT exist; zero rows = pass.
 
-Execution plan (``run_rules``):
-* row-level rules of one table (NULL keys, predicates, emptiness, max length) are fused into ONE
-  aggregate per table (``count_if`` per rule): one scan per table instead of one per rule;
-* key-uniqueness rules are one grouped count each (partial aggregation, then one shuffle);
-* orphan rules count child rows per foreign key first (partial aggregation collapses hot keys),
-  then anti-join the distinct parent keys, so a skewed key costs one row per task;
-* all per-rule counts are unioned into one small report DataFrame; offender rows are only
-  materialised for failed rules, and only a bounded, ordered sample of them.
+All row, key and orphan rules are counted in one pass over the tables (``operators.integrity``);
+``run_rules`` adds an ordered sample of the offenders of each failed rule, one lookup each, and
+``integrity.detail`` the same for all rules at once.
 """
 
 from __future__ import annotations
@@ -40,6 +35,11 @@ class Rule:
     # Cheap count form returning one row with column n_offenders (defaults to counting offenders).
     count: Callable[[Tables], DataFrame] | None = None
     order_by: tuple[str, ...] = field(default=())
+    # Columns that a sample of offenders shows.
+    columns: tuple[str, ...] = field(default=())
+    # Forms that ``integrity`` counts together: unique key columns; (foreign key, parent, its key).
+    keys: tuple[str, ...] = field(default=())
+    reference: tuple[tuple[str, ...], str, tuple[str, ...]] | None = None
 
 
 def _any_null(cols) -> Column:
@@ -55,7 +55,7 @@ def row_rule(name: str, table: str, predicate: Callable[[], Column], description
     def offenders(t: Tables) -> DataFrame:
         df = t(table).where(predicate())
         return df.select(*columns) if columns else df
-    return Rule(name, description, table, offenders, predicate=predicate, order_by=order_by)
+    return Rule(name, description, table, offenders, predicate=predicate, order_by=order_by, columns=columns or ())
 
 
 def not_null(table: str, cols: tuple[str, ...], name: str | None = None,
@@ -96,7 +96,7 @@ def unique(table: str, keys: tuple[str, ...], name: str | None = None) -> Rule:
         return (t(table).groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
                 .where(F.col("times") > 1))
     return Rule(name or f"pk_unique[{table}]", f"{table}.{','.join(keys)} must be unique", table,
-                offenders, order_by=keys)
+                offenders, order_by=keys, keys=keys)
 
 
 def no_orphans(child: str, fk: tuple[str, ...], parent: str, pk: tuple[str, ...],
@@ -119,7 +119,7 @@ def no_orphans(child: str, fk: tuple[str, ...], parent: str, pk: tuple[str, ...]
 
     label = name or f"no_orphans[{child}.{','.join(fk)}]"
     return Rule(label, f"{child}.{','.join(fk)} must exist in {parent}.{','.join(pk)}", child,
-                offenders, count=count, order_by=fk)
+                offenders, count=count, order_by=fk, reference=(fk, parent, pk))
 
 
 def source_target_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -199,43 +199,12 @@ def insurance_rules(contracts: dict[str, TableContract]) -> list[Rule]:
 # Runner
 # ----------------------------------------------------------------------------------------------
 
-def _report_row(name: str, n: Column) -> Column:
-    return F.struct(F.lit(name).alias("name"), n.cast("bigint").alias("n_offenders"))
-
-
 def rule_counts(tables: Tables, rules: list[Rule]) -> DataFrame:
-    """Lazy report (name, ok, n_offenders) for all rules, fusing row rules per table."""
-    fused: dict[str, list[Rule]] = {}
-    other: list[Rule] = []
-    for r in rules:
-        if r.predicate is not None or r.on_row_count is not None:
-            fused.setdefault(r.table, []).append(r)
-        else:
-            other.append(r)
-    parts: list[DataFrame] = []
-    for table, rs in fused.items():
-        aggs = [F.count(F.lit(1)).alias("__rows")]
-        for i, r in enumerate(rs):
-            if r.predicate is not None:
-                aggs.append(F.count_if(r.predicate()).alias(f"__r{i}"))
-        agg = tables(table).agg(*aggs)
-        rows = []
-        for i, r in enumerate(rs):
-            n = (F.col(f"__r{i}") if r.predicate is not None
-                 else r.on_row_count(F.col("__rows")))
-            rows.append(_report_row(r.name, n))
-        parts.append(agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-    for r in other:
-        if r.count is not None:
-            c = r.count(tables)
-        else:
-            c = r.offenders(tables).agg(F.count(F.lit(1)).alias("n_offenders"))
-        parts.append(c.select(F.lit(r.name).alias("name"),
-                              F.col("n_offenders").cast("bigint").alias("n_offenders")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("name", (F.col("n_offenders") == 0).alias("ok"), "n_offenders")
+    """Lazy report (name, ok, n_offenders) for all rules: one scan per table and one shuffle for row,
+    key and orphan rules together (``integrity``)."""
+    from tessera.operators import integrity
+
+    return integrity.counts(tables, rules)
 
 
 def _sample_text(df: DataFrame, order_by: tuple[str, ...]) -> str:

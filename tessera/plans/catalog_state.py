@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import late_fee_rate
+from tessera.operators import integrity
 from tessera.operators.payments import apply_payments
 from tessera.plans import manifest as M
 from tessera.plans import standins as SI
-from tessera.plans.catalog import _BILLS_SELECT, _LOG_SELECT, _PAY_SQL_BASE, _RATE_SQL, _RUNS, _apply, _schema_name, query
+from tessera.plans.catalog import (_BILLS_SELECT, _EXTRA_SQL, _LOG_SELECT, _NOT_EMPTY_SQL, _ORPHAN_SQL, _PAY_SQL_BASE,
+                                   _PK_NULL_SQL, _RATE_SQL, _RUNS, _UNIQUE_SQL, _apply, _report_sql, _schema_name, query)
 from tessera.plans.publish import ensure_database, entry_of, publish_all, recover, stage_version
 from tessera.session import work_path
 
@@ -115,3 +117,45 @@ def hot_bill_steady_log(spark, sf_dir):
 def hot_bill_steady_bills(spark, sf_dir):
     """U2 with a hot bill whose balance never reaches zero: the bills afterwards."""
     return _apply_steady(spark, sf_dir)["bills"].select("id", "policy_id", "due_date", "balance", "status", "payment_method")
+
+
+# --- the validation report with its samples ---------------------------------------------------
+
+def _first_sql(rule, rows, shown, order):
+    """The first three of ``rows`` as one text."""
+    text = " || ', ' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in shown)
+    return (f"SELECT '{rule}' AS name, string_agg('(' || {text} || ')', ', ' ORDER BY {order}) AS sample "
+            f"FROM (SELECT * FROM ({rows}) ORDER BY {order} LIMIT 3)")
+
+
+def _detail_sql() -> str:
+    samples = []
+    for t, (pk, _) in SI.KEYS.items():
+        k = ", ".join(pk)
+        samples.append(_first_sql(f"pk_unique[{t}]", f"SELECT {k}, count(*) AS times FROM {t} GROUP BY {k} HAVING count(*) > 1", (*pk, "times"), k))
+        samples.append(_first_sql(f"pk_not_null[{t}]", f"SELECT {k} FROM {t} WHERE {' OR '.join(f'{c} IS NULL' for c in pk)}", pk, k))
+    relations = [(f"no_orphans[{t}.{fk}]", t, fk, parent, key) for t, (_, fks) in SI.KEYS.items() for fk, parent, key in fks]
+    for name, child, fk, parent, key in [*relations, *SI.REVERSE]:
+        own = [c for c in SI.KEYS[child][0] if c != fk]
+        least = f"arg_min({{{', '.join(f'{c}: {c}' for c in own)}}}, ({', '.join([*own, '0'])}))" if own else "NULL"
+        first = [f"(row_of).{c}" for c in own]
+        samples.append(_first_sql(name, f"SELECT {fk}, {least} AS row_of FROM {child} c WHERE {fk} IS NOT NULL AND NOT EXISTS "
+                                        f"(SELECT 1 FROM {parent} p WHERE p.{key} = c.{fk}) GROUP BY {fk}", (*first, fk), fk))
+    samples.append(_first_sql("unique[customer.c_name]", "SELECT min(c_custkey) AS c_custkey, c_name, count(*) AS times FROM customer "
+                              "GROUP BY c_name HAVING count(*) > 1", ("c_custkey", "c_name", "times"), "c_custkey"))
+    samples.append(_first_sql("max_length[customer.c_name]", "SELECT c_name FROM customer WHERE length(c_name) > 20", ("c_name",), "c_name"))
+    samples.append(_first_sql("date_order[lineitem]", "SELECT l_orderkey, l_linenumber, l_shipdate, o_orderdate FROM lineitem JOIN orders "
+                              "ON o_orderkey = l_orderkey WHERE l_shipdate < o_orderdate",
+                              ("l_orderkey", "l_linenumber", "l_shipdate", "o_orderdate"), "l_orderkey, l_linenumber, l_shipdate, o_orderdate"))
+    samples.append(_first_sql("paid_zero_balance[orders]", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE "
+                              "upper(o_orderstatus) = 'F' AND coalesce(o_totalprice, 0) <> 0", ("o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderkey"))
+    return (f"WITH report AS ({_report_sql(_PK_NULL_SQL + _UNIQUE_SQL + _ORPHAN_SQL + _NOT_EMPTY_SQL + _EXTRA_SQL)}),\n"
+            f"samples AS ({' UNION ALL '.join(samples)})\n"
+            "SELECT name, ok, n_offenders, CASE WHEN ok THEN 'no problems' ELSE n_offenders || ' row(s)' || "
+            "coalesce(', e.g.: ' || sample, '') END AS detail FROM report LEFT JOIN samples USING (name)")
+
+
+@query("dq_detail", _detail_sql())
+def dq_detail(spark, sf_dir):
+    """The whole rule set with the first offenders of every failed rule."""
+    return integrity.detail(SI.reader(spark, sf_dir), SI.standin_rules())
