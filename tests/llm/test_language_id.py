@@ -58,3 +58,31 @@ def test_copies_do_not_thin_the_sample(spark, docs_of):
     assert model is not None and sorted(sum(model.families, [])) == ["de", "en", "es"]
     texts = [f"{w} {w} {w}" for ws in words.values() for w in ws]
     assert predict(model, texts)[0] == [lang for lang, ws in words.items() for _ in ws]
+
+
+def test_every_labelled_language_is_learned(spark, docs_of):
+    """150 languages, each with its own way of making words, in 30 groups of related ones."""
+    rng = random.Random(6)
+    group = lambda g: [chr(0x400 + 7 * g + i) for i in range(7)]
+    words = {}
+    for n in range(150):
+        letters = group(n // 5)
+        words[f"l{n:03d}"] = ["".join(rng.choice(letters) for _ in range(4)) for _ in range(12)]
+    rows = [(lang, " ".join(rng.choice(ws) for _ in range(30))) for lang, ws in words.items() for _ in range(12)]
+    docs = docs_of([(None, t, lang) for lang, t in rows], "doc_id long, text string, lang string")
+    model = fit(spark, docs.select("text", "lang"))
+    assert sorted(sum(model.families, [])) == sorted(words) and max(map(len, model.families)) <= 12
+    fresh = [(lang, " ".join(rng.choice(ws) for _ in range(30))) for lang, ws in words.items()]
+    got = predict(model, [t for _, t in fresh])[0]
+    assert sum(g == lang for g, (lang, _) in zip(got, fresh)) >= 147
+
+
+def test_score_decides_in_the_pipeline(spark, docs_of, monkeypatch):
+    import tessera.llm.language_id as L
+    rng = random.Random(2)
+    a, b = ["uno", "dos", "tres", "cuatro"], ["one", "two", "three", "four"]
+    docs = docs_of([(i, " ".join(rng.choice(a if i % 2 else b) for _ in range(30)), "es" if i % 2 else "en") for i in range(80)],
+                   "doc_id long, text string, lang string")
+    assert L.drop_unidentified(spark, docs).count() == 80
+    monkeypatch.setattr(L, "MIN_SCORE", 1.1)
+    assert L.drop_unidentified(spark, docs).count() == 0
