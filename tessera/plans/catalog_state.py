@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import late_fee_rate
-from tessera.operators import integrity
+from tessera.operators import claims_state, integrity
+from tessera.operators.flatten import flatten
 from tessera.operators.payments import apply_payments
 from tessera.plans import manifest as M
 from tessera.plans import standins as SI
@@ -159,3 +160,31 @@ def _detail_sql() -> str:
 def dq_detail(spark, sf_dir):
     """The whole rule set with the first offenders of every failed rule."""
     return integrity.detail(SI.reader(spark, sf_dir), SI.standin_rules())
+
+
+# --- claims per policy, kept up to date -------------------------------------------------------
+
+@query("claims_by_policy_updated", """
+WITH last AS (SELECT max(year(o_orderdate)) AS y FROM orders),
+c AS (SELECT o_orderkey, CASE WHEN year(o_orderdate) < y THEN o_custkey
+                              WHEN o_custkey % 2 = 0 THEN o_custkey + 1 ELSE o_custkey - 1 END AS policy_number,
+             CAST(o_totalprice AS DECIMAL(28,10)) + CASE WHEN year(o_orderdate) < y THEN 0 ELSE 10 END AS damage
+      FROM orders, last)
+SELECT policy_number, c_name AS policy_name, count(*) AS claims,
+       CAST(round(sum(damage), 2) AS DECIMAL(38,2)) AS damage_usd
+FROM c JOIN customer ON c_custkey = policy_number GROUP BY policy_number, c_name""")
+def claims_by_policy_updated(spark, sf_dir):
+    """All claims in a first batch; a second one exports the last year's claims again,
+    under another policy and with another amount. The kept report equals the whole recomputation."""
+    t = SI.reader(spark, sf_dir)
+    root, db = work_path(spark, "claim-state"), _schema_name("claims")
+    staged = flatten(SI.claim_landing_table(spark, sf_dir), SI.ORDER_CLAIM_SPEC, outer=True)
+    last = t("orders").agg(F.max(F.year("o_orderdate"))).first()[0]
+    policy = F.col("policy_number")
+    again = staged.filter(F.year("reported_at") == last).withColumns({
+        "policy_number": F.when(policy % 2 == 0, policy + 1).otherwise(policy - 1),
+        "estimated_damage_usd": F.col("estimated_damage_usd").cast("decimal(28,10)") + 10})
+    claims_state.apply_batch(spark, staged, 1, root, db)
+    state = claims_state.apply_batch(spark, again, 2, root, db).state
+    policies = t("customer").select(F.col("c_custkey").alias("policy_number"), F.col("c_name").alias("policy_name"))
+    return claims_state.claims_by_policy(spark, state, policies, policy_columns=("policy_name",))
