@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import late_fee_rate
 from tessera.operators import claims_state, integrity
 from tessera.operators.flatten import flatten
 from tessera.operators.payments import apply_payments
+from tessera.plans import audit as A
 from tessera.plans import manifest as M
 from tessera.plans import standins as SI
-from tessera.plans.catalog import (_BILLS_SELECT, _EXTRA_SQL, _LOG_SELECT, _NOT_EMPTY_SQL, _ORPHAN_SQL, _PAY_SQL_BASE,
+from tessera.plans.catalog import (ORACLES, _BILLS_SELECT, _EXTRA_SQL, _LOG_SELECT, _NOT_EMPTY_SQL, _ORPHAN_SQL, _PAY_SQL_BASE,
                                    _PK_NULL_SQL, _RATE_SQL, _RUNS, _UNIQUE_SQL, _apply, _report_sql, _schema_name, query)
 from tessera.plans.publish import ensure_database, entry_of, publish_all, recover, stage_version
 from tessera.session import work_path
+from tessera.sources.readers import list_files
+from tessera.streaming import ledger
+from tessera.streaming.ingest import CHILD_TASK, ROOT_TASK
 
 _BILLS_AFTER = _BILLS_SELECT.replace("SELECT b.id,", ", paid AS (SELECT b.id,", 1) + ")"
 
@@ -188,3 +192,88 @@ def claims_by_policy_updated(spark, sf_dir):
     state = claims_state.apply_batch(spark, again, 2, root, db).state
     policies = t("customer").select(F.col("c_custkey").alias("policy_number"), F.col("c_name").alias("policy_name"))
     return claims_state.claims_by_policy(spark, state, policies, policy_columns=("policy_name",))
+
+
+# --- landing with a ledger --------------------------------------------------------------------
+
+def _file_system(spark, path):
+    fs, p = M.file_system(spark, path)
+    return fs, p, spark._jvm.org.apache.hadoop.fs.Path
+
+
+def _ledger_runs(spark, sf_dir):
+    """Four runs over one folder: all claims but the last year's; a landed file rewritten, and the
+    last year's claims, one of whose files is very old; a malformed file beside a good one; and
+    the same again without the malformed one."""
+    t = SI.reader(spark, sf_dir)
+    root, db = work_path(spark, "ledger"), _schema_name("raw_json")
+    o, li = t("orders"), t("lineitem")
+    last = o.agg(F.max(F.year("o_orderdate"))).first()[0]
+
+    def documents(name, orders):
+        items = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+        SI.claim_documents(orders, items).write.text(f"{root}/src/{name}")
+
+    def listing(glob="part-*"):
+        return lambda: list_files(spark, f"{root}/src", glob)
+
+    def run(found):
+        return ledger.run(spark, found, root, db, rebuild=lambda landing: flatten(landing, SI.ORDER_CLAIM_SPEC, outer=True))
+
+    runs = []
+    documents("week1", o.filter(F.year("o_orderdate") < last))
+    runs.append(run(listing()))
+    first = list_files(spark, f"{root}/src/week1", "part-*").agg(F.min("path")).first()[0]
+    fs, path, _ = _file_system(spark, first)
+    out = fs.create(path, True)
+    out.write(bytearray(b'{"claim_id": -1}\n'))
+    out.close()
+    documents("week2", o.filter(F.year("o_orderdate") == last))
+    old = list_files(spark, f"{root}/src/week2", "part-*").agg(F.max("path")).first()[0]
+    fs.setTimes(_file_system(spark, old)[1], 1000, -1)
+    runs.append(run(listing()))
+    before = M.snapshot(spark, root, db)
+    fs, path, _ = _file_system(spark, f"{root}/src/week3/part-bad.txt")
+    out = fs.create(path, True)
+    out.write(bytearray(b'{"claim_id": 5}\n{"claim_id": \n'))
+    out.close()
+    runs.append(run(listing()))
+    if M.snapshot(spark, root, db) != before:
+        raise RuntimeError("a malformed file has changed landing or ledger")
+    runs.append(run(listing("part-0*")))
+    return root, db, runs
+
+
+@query("ledger_ingest", ORACLES["incremental_ingest"])
+def ledger_ingest(spark, sf_dir):
+    """S20/W1/W2/W5 with a ledger of landed files: staging after the four runs."""
+    root, db, _ = _ledger_runs(spark, sf_dir)
+    rows = ledger.read(spark, M.snapshot(spark, root, db), ledger.STAGING)
+    return rows.select("claim_id", "item_part", "item_line", "batch_id")
+
+
+@query("ledger_runs", """
+WITH y AS (SELECT max(year(o_orderdate)) AS last FROM orders),
+n AS (SELECT count(*) FILTER (year(o_orderdate) < last) AS old, count(*) FILTER (year(o_orderdate) = last) AS new FROM orders, y),
+h AS (SELECT * FROM (VALUES (1, true), (2, true), (3, false), (4, true)) t(run, ok))
+SELECT CAST(run AS INTEGER) AS run, ok, CAST(CASE run WHEN 1 THEN old WHEN 2 THEN new ELSE 0 END AS BIGINT) AS claims_landed,
+       CASE WHEN ok THEN 'SUCCEEDED' ELSE 'FAILED' END AS root_state, CASE WHEN ok THEN 'SUCCEEDED' END AS child_state
+FROM h, n""")
+def ledger_runs(spark, sf_dir):
+    """W4/W5/F-20: what each of the four runs landed, and the states of its two steps in the run
+    history (the third fails at its malformed file, lands nothing and starts no dependent step)."""
+    root, db, runs = _ledger_runs(spark, sf_dir)
+    landed = ledger.read(spark, M.snapshot(spark, root, db), ledger.LANDING)
+    claims = landed.select((F.col("batch_id") + 1).cast("int").alias("run"), F.variant_get("raw", "$.claim_id", "bigint").alias("c")) \
+        .groupBy("run").agg(F.count_distinct("c").alias("claims"))
+    history = A.run_history(spark, root, hours=24, limit=100).withColumn("at", F.row_number().over(
+        Window.partitionBy("name").orderBy("scheduled_time")))
+    told = spark.createDataFrame([(n + 1, r.ok) for n, r in enumerate(runs)], "run int, ok boolean")
+    child_at = F.count_if("ok").over(Window.orderBy("run"))  # one row per run of this query
+    told = told.withColumn("child_at", F.when(F.col("ok"), child_at))
+
+    def state(name, alias):
+        return history.filter(F.col("name") == name).select(F.col("at").alias(f"{alias}_at"), F.col("state").alias(alias))
+    return (told.join(claims, "run", "left").join(state(ROOT_TASK, "root_state"), F.col("run") == F.col("root_state_at"), "left")
+            .join(state(CHILD_TASK, "child_state"), F.col("child_at") == F.col("child_state_at"), "left")
+            .select("run", "ok", F.coalesce("claims", F.lit(0)).alias("claims_landed"), "root_state", "child_state"))
