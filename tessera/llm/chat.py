@@ -77,22 +77,33 @@ def parsed_turns(formatted: Column) -> Column:
 def prefix_target_examples(conversations: DataFrame, materialise: bool = False) -> DataFrame:
     """One row per assistant turn of formatted conversations: ``conv_id``, ``example`` (from 0),
     ``context_turns``, ``loss_start``, ``loss_chars`` and the masked ``target`` as it stands in the
-    output; with ``materialise`` also ``context``."""
-    rows = conversations.select("conv_id", "formatted", F.posexplode("examples").alias("example", "e"))
-    target = F.substring(F.col("formatted"), (F.col("e.loss_start") + 1).cast("int"), F.col("e.loss_chars").cast("int"))
-    out = rows.select("conv_id", "example", "e.context_turns", "e.loss_start", "e.loss_chars", target.alias("target"),
-                      F.substring(F.col("formatted"), F.lit(1), F.col("e.loss_start").cast("int")).alias("context"))
-    return out if materialise else out.drop("context")
+    output; with ``materialise`` also ``context``. Without it the formatted text is read before the
+    expansion and does not travel with every example."""
+    text = F.col("formatted")
+
+    def masked(e: Column) -> Column:
+        return F.substring(text, (e["loss_start"] + 1).cast("int"), e["loss_chars"].cast("int"))
+    spans = F.transform("examples", lambda e: F.struct(e["context_turns"].alias("context_turns"), e["loss_start"].alias("loss_start"),
+                                                       e["loss_chars"].alias("loss_chars"), masked(e).alias("target")))
+    rows = conversations.select("conv_id", *(["formatted"] if materialise else []), F.posexplode(spans).alias("example", "e"))
+    out = rows.select("conv_id", "example", "e.*", *(["formatted"] if materialise else []))
+    if not materialise:
+        return out
+    return out.withColumn("context", F.substring(text, F.lit(1), F.col("loss_start").cast("int"))).drop("formatted")
 
 
 def digests(conversations: DataFrame) -> DataFrame:
     """Per formatted conversation what reading it back gives: number and digest of its turns, and
-    the characters and digest of the text under the loss masks."""
+    the characters and digest of the text under the loss masks. That text is read from the expanded
+    examples, one for each reply, and put together in their order; conversation and examples meet by
+    the key the conversations are already dealt out by."""
+    loss = (prefix_target_examples(conversations).groupBy(F.col("conv_id").alias("_conv"))
+            .agg(F.array_sort(F.collect_list(F.struct("example", unescaped(F.col("target")).alias("text")))).alias("parts"))
+            .select("_conv", F.array_join("parts.text", "").alias("loss")))
     turns = conversations.withColumn("turns", parsed_turns(F.col("formatted")))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.transform("examples", lambda e: F.get(F.col("turns"), e["context_turns"])["text"])
-    return turns.select("conv_id", "formatted", F.size("turns").cast("long").alias("n_turns"),
-                        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
-                        F.array_join(masked, "").alias("loss")).select(
-        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+    read = turns.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+                        F.length("formatted").cast("long").alias("formatted_chars"))
+    whole = read.join(loss, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
+    return whole.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
+                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")

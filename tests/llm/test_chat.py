@@ -52,6 +52,25 @@ def unescaped_col():
     return unescaped(F.col("target"))
 
 
+def test_a_wrong_mask_shows(spark):
+    """The loss columns are what stands under the masks: a shifted, short or missing mask changes them."""
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, 0, "user", "question"), (1, 1, "assistant", "the answer"), (1, 2, "assistant", "more")],
+                               "conv_id long, turn long, role string, text string")
+    conv = format_conversations(df)
+    right = digests(conv).first()
+    assert (right.loss_chars, right.loss_sha256) == (14, sha("the answermore"))
+
+    def changed(**by):
+        spans = F.transform("examples", lambda e: F.struct(*[(e[c] + by.get(c, 0)).alias(c) for c in ("context_turns", "loss_start", "loss_chars")]))
+        return digests(conv.withColumn("examples", spans)).first()
+    assert changed() == right
+    for by in ({"loss_start": 1}, {"loss_start": -1}, {"loss_chars": -1}, {"loss_chars": 1}):
+        wrong = changed(**by)
+        assert wrong.loss_sha256 != right.loss_sha256 and wrong.turns_sha256 == right.turns_sha256
+    assert digests(conv.withColumn("examples", F.slice("examples", 1, 1))).first().loss_chars == 10
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     conv = format_conversations(empty)
