@@ -62,7 +62,8 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolved(spark, read_archives(write_archives(spark, table(spark, sf_dir, "pages"))))
+    manifest = write_archives(spark, table(spark, sf_dir, "pages"))
+    return resolved(spark, read_archives(manifest), manifest)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,12 @@ repeated attempts do no harm.
 The reader cuts the files into byte ranges. A task scans its range for the gzip magic, takes a
 candidate for a member only if it decodes to a WARC header, and owns the records that start inside
 its range, reading beyond its end where the last one does. No index is needed and no file goes
-through one task.
+through one task. No record is lost in silence: a member that begins like a WARC record and cannot
+be read to its end, or whatever else stands where the next member should begin, is an error, and
+``resolved`` compares the records read of each file with the number its writer noted.
+
+Archives are opened with pyarrow's file systems: local folders, ``hdfs://``, ``s3://`` (``s3a://`` is
+read as such) and ``gs://``.
 
 Defined cases: a null html is an empty payload. A null ``page_id`` sorts after every other and is
 read back as null; a null url has no target header. Rows that repeat the smallest ``page_id`` of a
@@ -36,11 +41,20 @@ from tessera.session import work_path
 REVISIT_BYTES = 100
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 32 << 20
+MAX_TASKS = 100_000
 _READ = 1 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC = b"\x1f\x8b\x08"
 
 
+class ArchiveError(RuntimeError):
+    """An archive that does not hold the records it should."""
+
+
+def file_system(uri: str) -> tuple[FileSystem, str]:
+    return FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 # --- writing -----------------------------------------------------------------------------------
 
 def _record_id(page_id, digest: str) -> str:
@@ -56,7 +70,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
             ("WARC-Date", date), ("Content-Type", "application/http; msgtype=response"),
             ("WARC-Payload-Digest", f"sha256:{digest}")]
     if url is not None:
-        head.append(("WARC-Target-URI", quote(url, safe=":/?#[]@!$&'()*+,;=-._~%")))
+        head.append(("WARC-Target-URI", quote(url, safe=":/?#[]@!$&'()*+,;=-._~")))
     if page_id is not None:
         head.append(("Page-ID", str(page_id)))
     if revisit:
@@ -97,7 +111,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, date: str = "2024-01-0
     folder = work_path(spark, "llm-warc")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = FileSystem.from_uri(folder)
+        fs, base = file_system(folder)
         fs.create_dir(base, recursive=True)
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
@@ -177,27 +191,36 @@ def records_in(handle, size: int, start: int, end: int) -> Iterator[dict]:
             if at >= end:
                 return
         try:
-            if Member(handle, at, size).decode(7)[:7] != b"WARC/1.":
-                raise zlib.error("no WARC header")
-            member = Member(handle, at, size)
-            found = parse_record(member.decode())
+            begins = Member(handle, at, size).decode(7)[:7] == b"WARC/1."
         except zlib.error:
-            found = None
-        if found is None:
-            at, sure = at + 1, False
+            begins = False
+        if not begins:
+            if sure:
+                raise ArchiveError(f"no record at byte {at}, where the one before ends")
+            at += 1
             continue
+        member = Member(handle, at, size)
+        try:
+            found = parse_record(member.decode())
+        except zlib.error as e:
+            raise ArchiveError(f"the record at byte {at} cannot be read: {e}") from e
+        if found is None:
+            raise ArchiveError(f"the record at byte {at} is not whole")
         yield found
         at, sure = member.at, True
 
 
-_FIELDS = [("page_id", pa.int64()), ("record_type", pa.string()), ("url", pa.string()), ("payload_digest", pa.string()),
+_FIELDS = [("path", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("url", pa.string()), ("payload_digest", pa.string()),
            ("refers_to", pa.int64()), ("payload", pa.binary())]
 
 
 def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """One row per record: ``page_id``, ``record_type``, ``url``, ``payload_digest`` (as its header
-    says), ``refers_to``, ``payload`` (null for revisits)."""
+    """One row per record: ``path`` (its file), ``page_id``, ``record_type``, ``url``,
+    ``payload_digest`` (as its header says), ``refers_to``, ``payload`` (null for revisits). There are
+    as many partitions as byte ranges, up to ``MAX_TASKS``; the number is given, so that small
+    manifest rows are not put together in one task."""
     schema = pa.schema(_FIELDS)
+    tasks = manifest.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / F.lit(split_bytes))), F.lit(0))).first()[0]
     splits = manifest.filter("bytes > 0").select("path", "bytes", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
 
@@ -206,12 +229,14 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
             return None if x is None else int(x)
         for batch in batches:
             for path, size, start in zip(*(c.to_pylist() for c in batch.columns)):
-                fs, name = FileSystem.from_uri(path)
+                fs, name = file_system(path)
                 with fs.open_input_file(name) as handle:
+                    if handle.size() != size:
+                        raise ArchiveError(f"{path} has {handle.size()} bytes, its writer noted {size}")
                     rows, held = [], 0
                     for r in records_in(handle, size, start, start + split_bytes):
                         url = r.get("warc-target-uri")
-                        rows.append((number(r.get("page-id")), r.get("warc-type"), None if url is None else unquote(url),
+                        rows.append((path, number(r.get("page-id")), r.get("warc-type"), None if url is None else unquote(url),
                                      r.get("warc-payload-digest", "").rpartition(":")[2], number(r.get("refers-to-page-id")), r["payload"]))
                         held += len(r["payload"] or b"")
                         if held > 8 << 20:
@@ -220,17 +245,27 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return splits.repartition("path", "start").mapInArrow(
-        read, "page_id long, record_type string, url string, payload_digest string, refers_to long, payload binary")
+    return splits.repartition(max(1, min(int(tasks), MAX_TASKS))).mapInArrow(
+        read, "path string, page_id long, record_type string, url string, payload_digest string, refers_to long, payload binary")
+
+
+def counted(records: DataFrame, manifest: DataFrame) -> None:
+    """Raise unless every file of the manifest gave as many records as its writer noted."""
+    read = records.groupBy("path").agg(F.count("*").alias("read"))
+    off = manifest.join(read, "path", "left").filter(F.col("records") != F.coalesce("read", F.lit(0))).limit(5).collect()
+    if off:
+        raise ArchiveError("; ".join(f"{r['path']}: {r['read'] or 0} records read, {r['records']} written" for r in off))
 
 
-def resolved(spark: SparkSession, records: DataFrame) -> DataFrame:
+def resolved(spark: SparkSession, records: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """Per record ``page_id``, ``payload_bytes``, ``payload_digest`` (bare hex), ``record_type``,
     ``refers_to``; digests and sizes are those of the payloads as read, a revisit's from the
-    response that it names."""
+    response that it names. With ``manifest`` the records of each file are counted first."""
     narrow = staged(spark, records.select(
-        "page_id", "record_type", "refers_to", F.col("payload_digest").alias("named"),
+        "path", "page_id", "record_type", "refers_to", F.col("payload_digest").alias("named"),
         F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest")), "records")
+    if manifest is not None:
+        counted(narrow, manifest)
     full = narrow.filter("record_type = 'response'")
     target = (full.filter(F.col("payload_bytes") >= REVISIT_BYTES)
               .select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).distinct())

@@ -2,8 +2,9 @@ import hashlib
 import random
 
 import pyarrow as pa
+import pytest
 
-from tessera.llm.warc import read_archives, record, records_in, resolved, write_archives
+from tessera.llm.warc import ArchiveError, read_archives, record, records_in, resolved, write_archives
 
 
 def rows():
@@ -51,3 +52,51 @@ def test_every_cut_owns_each_record_once():
     for step in (37, 100, 1000, 5000, len(data)):
         seen = [r["page-id"] for s in range(0, len(data), step) for r in records_in(handle, len(data), s, s + step)]
         assert seen == [str(i) for i in range(12)]
+
+
+def archive(spark, file_bytes=256 << 20):
+    rng = random.Random(4)
+    pages = spark.createDataFrame([(i, "http://h/a%20b%2Fc d", "".join(chr(rng.randrange(32, 1000)) for _ in range(3000))) for i in range(40)],
+                                  "page_id long, url string, html string").coalesce(1)
+    manifest = write_archives(spark, pages, file_bytes=file_bytes)
+    return manifest, [r.path.removeprefix("file:") for r in manifest.collect()]
+
+
+def read_all(spark, manifest, split):
+    return resolved(spark, read_archives(manifest, split), manifest).count()
+
+
+def test_escaped_urls_come_back(spark):
+    manifest, _ = archive(spark)
+    assert {r.url for r in read_archives(manifest).collect()} == {"http://h/a%20b%2Fc d"}
+
+
+@pytest.mark.parametrize("split", [1 << 30, 5_000])
+@pytest.mark.parametrize("at", [0.0, 0.3, 0.5, 0.9])
+def test_a_flipped_byte_is_an_error(spark, split, at):
+    manifest, (path,) = archive(spark)
+    data = bytearray(open(path, "rb").read())
+    data[int(at * len(data))] ^= 0x55
+    open(path, "wb").write(data)
+    with pytest.raises(Exception, match="ArchiveError|records read"):
+        read_all(spark, manifest, split)
+
+
+def test_truncated_and_missing_records_are_errors(spark):
+    manifest, (path,) = archive(spark)
+    whole = open(path, "rb").read()
+    open(path, "wb").write(whole[:-100])
+    with pytest.raises(Exception, match="its writer noted"):
+        read_all(spark, manifest, 1 << 30)
+    open(path, "wb").write(whole)
+    more = manifest.withColumn("records", manifest["records"] + 1)
+    with pytest.raises(ArchiveError, match="40 records read, 41 written"):
+        read_all(spark, more, 5_000)
+    assert read_all(spark, manifest, 5_000) == 40
+
+
+def test_many_tasks_read(spark):
+    from pyspark.sql import functions as F
+    manifest, paths = archive(spark, file_bytes=20_000)
+    records = read_archives(manifest, 10_000).withColumn("task", F.spark_partition_id())
+    assert len(paths) > 3 and records.select("task").distinct().count() >= len(paths) and records.count() == 40
