@@ -7,11 +7,15 @@ it the choice climbs to the common ancestor while a neighbour holds text, up to
 with those of its siblings that score near it or read like text (headings, articles, paragraphs, and
 whatever is not mostly links), and their blocks of text, with character references decoded, are joined in page order.
 Elements that are never part of an article (scripts, menus, headers of the page, forms, adverts,
-comments, ...) are left out before the scoring, by tag or by the words of their class and id.
+comments, ...) are left out before the scoring, by tag, or by a class or id all of whose words are of
+that kind (``sidebar``, ``post-comments``) or say nothing (``box``, ``left``). One with such a word
+beside others (``share-price``, ``login-guide``) is a suspect: outside an article element its place
+agrees and it goes, inside one it goes only if it is mostly links.
 
 Defined cases: a null or empty page, or one without text outside such elements, gives the empty
 text. Unclosed and misnested elements are closed as browsers close paragraphs, list items and table
-cells. Every row is extracted by itself, so repeated rows and null ids stay. Extra columns are
+cells. A quote that is left open in a tag ends with the tag, and a tag without an end ends before the
+next one. The work grows with the length of the page, however deep or broken it is. Every row is extracted by itself, so repeated rows and null ids stay. Extra columns are
 ignored. An empty table gives an empty result.
 """
 
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,10 +55,21 @@ OUT_WORDS = set("ad ads advert adverts advertisement advertising adsense sponsor
 WEAK_WORDS = set("banner menu aside header notice overlay social related recommended recommendations widget replies "
                  "reply respond tags copyright legal disclaimer hidden promotion".split())
 KEEP_WORDS = set("article body content main post story entry text".split())
+# Words of a class or id that say nothing about what an element holds.
+PLAIN_WORDS = set("bar block bottom box btn button buttons col column container form global group icon icons inner item items "
+                  "js left links list module outer page panel post primary right row secondary section site slot sticky sub "
+                  "the thread title top unit web wrap wrapper area".split())
+
+# A quoted value that holds < or > counts as one only if its end looks like one (no = before it, a space
+# or the tag's end after it); any other quote in a tag is a plain character.
+_QUOTED = r"""{0}[^{0}<>]*+{0}|{0}[^{0}]*+(?<!=){0}(?=[\s/>])"""
+SUSPECT_LINKS = 0.3
+#: Points are halved from parent to parent; beyond some forty they no longer count.
+LEAST_SHARE = 2.0**-40
 
 _TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?",
-    re.S)
+    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/><]*)(?P<attrs>(?>[^>\"'<]+|"
+    + _QUOTED.format('"') + "|" + _QUOTED.format("'") + r"|[\"'])*+)(?:>|(?=<)|\Z)|<[!?/][^>]*>?", re.S)
 _ATTR = re.compile(r"(?:^|[\s/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>]|$)", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -62,33 +78,46 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "points", "chars", "linked", "order")
+    """An element: whether it is left out or a suspect, stands in an article or a link, its nearest
+    block element, and what it holds."""
+
+    __slots__ = ("tag", "parent", "out", "suspect", "inside", "link", "block", "points", "chars", "linked", "order")
 
-    def __init__(self, tag: str, parent: "Node | None", out: bool, order: int):
-        self.tag, self.parent, self.out, self.order = tag, parent, out, order
+    def __init__(self, tag: str, parent: "Node | None", out: bool, suspect: bool, order: int):
+        self.tag, self.parent, self.out, self.suspect, self.order = tag, parent, out, suspect, order
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.link = tag == "a" or parent is not None and parent.link
+        self.block = self if tag in BLOCK or parent is None else parent.block
         self.points, self.chars, self.linked = 0.0, 0, 0
 
 
-def _left_out(tag: str, attrs: str, in_article: bool) -> bool:
+def _left_out(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """(left out, suspect)."""
     if tag in OUT_TAGS or tag == "header" and not in_article:
-        return True
+        return True, False
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
-    words: set[str] = set()
+        return False, False
+    names: list[set[str]] = []
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value) \
                 or name == "role" and value.lower() in OUT_ROLES:
-            return True
+            return True, False
         if name in ("class", "id"):
-            words.update(w.lower() for w in _WORD.findall(value))
-    return bool(words & OUT_WORDS) or bool(words & WEAK_WORDS) and not words & KEEP_WORDS
+            names += [{w.lower() for w in _WORD.findall(one)} for one in value.split()]
+    weak = set() if any(n & KEEP_WORDS for n in names) else WEAK_WORDS
+    said = [n for n in names if n & OUT_WORDS or n & weak]
+    if not said:
+        return False, False
+    sure = any(n <= OUT_WORDS | WEAK_WORDS | PLAIN_WORDS for n in said)
+    return sure or not in_article, not sure
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """The elements in page order, and the blocks of text as (element, text)."""
-    root = Node("#root", None, False, 0)
+    root = Node("#root", None, False, False, 0)
     nodes, blocks, stack = [root], [], [root]
+    is_open: Counter[str] = Counter()  # by tag, how many elements on the stack
     run: list[str] = []  # text of the block being read
     owner, linked = root, 0
 
@@ -108,15 +137,20 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if at.out or not text:
             return
         if not run:
-            owner = next(n for n in reversed(stack) if n.tag in BLOCK or n.parent is None)
+            owner = at.block
         text = html.unescape(text)
         run.append(text)
-        if any(n.tag == "a" for n in stack[-4:]):
+        if at.link:
             linked += len(text.strip())
 
+    def depth_of(tag: str) -> int:
+        """The place of the innermost open element of a tag, or 0: all above it is about to be closed."""
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag) if is_open[tag] else 0
+
     def close(upto: int) -> None:
         if any(n.tag in BLOCK for n in stack[upto:]):
             flush()
+        is_open.subtract(n.tag for n in stack[upto:])
         del stack[upto:]
 
     at = 0
@@ -130,7 +164,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if not tag:
             continue
         if m["end"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = depth_of(tag)
             if depth:
                 close(depth)
             elif tag in ("p", "br"):
@@ -138,10 +172,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         attrs = m["attrs"] or ""
         if tag in CLOSES_P:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
+            depth = depth_of("p")
             if depth:
                 close(depth)
-        if tag in ENDED_BY:
+        if any(is_open[t] for t in ENDED_BY.get(tag, ())):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in ENDED_BY[tag]:
                     close(i)
@@ -153,35 +187,55 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if tag in VOID or attrs.endswith("/") and tag in ("svg", "path"):
             continue
         parent = stack[-1]
-        inside = any(n.tag in ("article", "main") for n in stack)
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
-        node = Node(tag, parent, parent.out or _left_out(tag, attrs, inside), len(nodes))
+        out, suspect = (True, False) if parent.out else _left_out(tag, attrs, parent.inside)
+        node = Node(tag, parent, out, suspect, len(nodes))
         nodes.append(node)
         stack.append(node)
+        is_open[tag] += 1
     flush()
     return nodes, blocks
 
 
+def _gather(nodes: list[Node]) -> None:
+    """Add what elements hold up to their parents; children come after their parents."""
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+
+
+def _drop_suspects(nodes: list[Node], blocks: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """The blocks without those of suspects that are mostly links."""
+    own = [(n.chars, n.linked) for n in nodes]
+    _gather(nodes)
+    for node in nodes:
+        node.out = node.out or node.parent is not None and node.parent.out or \
+            node.suspect and node.chars > 0 and node.linked >= SUSPECT_LINKS * node.chars
+    for node, (chars, linked) in zip(nodes, own):
+        node.chars, node.linked = (0, 0) if node.out else (chars, linked)
+    return [(node, text) for node, text in blocks if not node.out]
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     nodes, blocks = parse(page)
+    if any(n.suspect and not n.out for n in nodes):
+        blocks = _drop_suspects(nodes, blocks)
     if not blocks:
         return ""
     for node, text in blocks:
         points = 1 + text.count(",") + min(3.0, len(text) / 100)
         up, share = node, 1.0
-        while up is not None:
+        while up is not None and share > LEAST_SHARE:
             up.points += points * share
             share /= 2
             up = up.parent
-    for node in reversed(nodes):  # children come after their parents
-        if node.parent is not None:
-            node.parent.chars += node.chars
-            node.parent.linked += node.linked
+    _gather(nodes)
 
     def density(n: Node) -> float:
         return n.linked / n.chars if n.chars else 0.0
@@ -209,14 +263,10 @@ def main_text(page: str | None) -> str:
         if any(n is not at for n in children[id(at)]) and density(at) < 0.25:
             best = at
     keep = {id(best)} | {id(n) for n in beside(best)}
-
-    def kept(n: Node | None) -> bool:
-        while n is not None:
-            if id(n) in keep:
-                return True
-            n = n.parent
-        return False
-    return " ".join(text for node, text in blocks if kept(node))
+    for n in nodes:  # parents first: all that is inside a kept element is kept
+        if n.parent is not None and id(n.parent) in keep:
+            keep.add(id(n))
+    return " ".join(text for node, text in blocks if id(node) in keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -57,6 +57,43 @@ def test_cases(page, want):
     assert main_text(page) == want
 
 
+LONG = "A paragraph of the article, with commas, and enough words to read like text."
+
+
+@pytest.mark.parametrize("page, want", [
+    # link text counts however deep it stands
+    (f"<body><div><p>{LONG}</p><p>{LONG}</p></div><ul>" + "".join(
+        f"<li><a href=x><span><b><i><em>Related story {i}, with a title</em></i></b></span></a></li>" for i in range(5)) + "</ul></body>",
+     f"{LONG} {LONG}"),
+    # a quote left open ends with its tag
+    ('<article><p>x <a href="foo>bar</a> y</p><p class="c">z</p></article>', "x bar y z"),
+    ('<article><p>x <a href="foo>bar</a> said "hello" to</p></article>', 'x bar said "hello" to'),
+    ("<article><p title=it's>It's a 'quoted' word</p></article>", "It's a 'quoted' word"),
+    ('<article><p title="a > b">x</p><p title="a < b" class=c>y</p></article>', "x y"),
+    ("<article><p>x <b y <i>z</i></p></article>", "x z"),
+    # a word of class or id decides alone only if no other word stands beside it
+    (f"<article><p>{LONG}</p><p class='share-price'>Shares rose.</p><section id='login-guide'><p>How to log in.</p></section>"
+     f"<div class='comment-free'>No remarks.</div></article>", f"{LONG} Shares rose. How to log in. No remarks."),
+    (f"<article><p>{LONG}</p><div class='share-buttons'>Share it</div><div class='post-comments'><p>First, I say, no</p></div>"
+     f"<div id='sidebar-left'>Side</div></article>", LONG),
+    (f"<article><p>{LONG}</p><div class='share-price'><a href=x>Price list</a> <a href=y>Orders</a></div></article>", LONG),
+    (f"<body><div class='cookie-policy-hint'>We use cookies, many.</div><div><p>{LONG}</p></div></body>", LONG),
+])
+def test_broken_and_doubtful_markup(page, want):
+    assert main_text(page) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "x", "<b>" * 200_000 + "x", '<b "' * 150_000, "<b '" * 150_000, "<b " * 200_000, "<p>" + "<i>a</i>" * 80_000,
+    "<div>a" * 60_000, "<ul>" + "<li><div>" * 60_000, "<a href=\"" + "x<y>" * 150_000, "</p>" * 150_000, "<!-- " * 120_000,
+    "<div class='share-price'>a" * 25_000, "&amp" * 150_000, "<" * 600_000, "<td>" * 150_000, "<p 'a\"b>" * 60_000])
+def test_time_grows_with_the_page(page):
+    import time
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 12
+
+
 def test_rows(spark):
     cols = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", "<p>a</p>", "x", "y")] * 2 + [(None, None, None, None, None)]
