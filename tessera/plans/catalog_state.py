@@ -10,7 +10,7 @@ from tessera.operators import claims_state, integrity
 from tessera.operators.flatten import flatten
 from tessera.operators.payments import apply_payments
 from tessera.plans import audit as A
-from tessera.plans import manifest as M
+from tessera.plans import manifest as M, retention
 from tessera.plans import standins as SI
 from tessera.plans.catalog import (ORACLES, _BILLS_SELECT, _EXTRA_SQL, _LOG_SELECT, _NOT_EMPTY_SQL, _ORPHAN_SQL, _PAY_SQL_BASE,
                                    _PK_NULL_SQL, _RATE_SQL, _RUNS, _UNIQUE_SQL, _apply, _report_sql, _schema_name, query)
@@ -277,3 +277,18 @@ def ledger_runs(spark, sf_dir):
     return (told.join(claims, "run", "left").join(state(ROOT_TASK, "root_state"), F.col("run") == F.col("root_state_at"), "left")
             .join(state(CHILD_TASK, "child_state"), F.col("child_at") == F.col("child_state_at"), "left")
             .select("run", "ok", F.coalesce("claims", F.lit(0)).alias("claims_landed"), "root_state", "child_state"))
+
+
+@query("versions_swept", """
+SELECT CAST(2 AS BIGINT) AS manifests, CAST(2 AS BIGINT) AS versions, o_orderstatus AS status, count(*) AS rows FROM orders GROUP BY o_orderstatus""")
+def versions_swept(spark, sf_dir):
+    """Five reloads of a table and a sweep that keeps two states; the live rows are whole."""
+    t = SI.reader(spark, sf_dir)
+    root, db = work_path(spark, "sweep"), _schema_name("swept")
+    ensure_database(spark, db, root)
+    for _ in range(5):
+        publish_all(spark, {f"{db}.orders": t("orders")}, root)
+    retention.sweep(spark, root, db, keep=2)
+    left = len(M.numbers(spark, root, db)), len(retention._version_folders(spark, root, db))
+    rows = M.snapshot(spark, root, db).table(spark, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("rows"))
+    return rows.select(F.lit(left[0]).cast("long").alias("manifests"), F.lit(left[1]).cast("long").alias("versions"), "status", "rows")
