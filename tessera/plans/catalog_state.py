@@ -13,10 +13,13 @@ from tessera.plans import audit as A
 from tessera.plans import manifest as M, retention
 from tessera.plans import standins as SI
 from tessera.plans.catalog import (ORACLES, _BILLS_SELECT, _EXTRA_SQL, _LOG_SELECT, _NOT_EMPTY_SQL, _ORPHAN_SQL, _PAY_SQL_BASE,
-                                   _PK_NULL_SQL, _RATE_SQL, _RUNS, _UNIQUE_SQL, _apply, _report_sql, _schema_name, query)
+                                   _PK_NULL_SQL, _RATE_SQL, _RUNS, _UNIQUE_SQL, _apply, _corrupt_low_priority, _report_sql, _schema_name, query)
 from tessera.plans.publish import ensure_database, entry_of, publish_all, recover, stage_version
+from tessera.plans.load import load_table
 from tessera.session import work_path
+from tessera.sources.contracts import contract_from_schema
 from tessera.sources.readers import list_files
+from tessera.sources.sinks import to_csv_strings
 from tessera.streaming import ledger
 from tessera.streaming.ingest import CHILD_TASK, ROOT_TASK
 
@@ -292,3 +295,29 @@ def versions_swept(spark, sf_dir):
     left = len(M.numbers(spark, root, db)), len(retention._version_folders(spark, root, db))
     rows = M.snapshot(spark, root, db).table(spark, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("rows"))
     return rows.select(F.lit(left[0]).cast("long").alias("manifests"), F.lit(left[1]).cast("long").alias("versions"), "status", "rows")
+
+
+# --- the first error of a file ----------------------------------------------------------------
+
+@query("first_load_errors", """
+WITH f AS (SELECT *, year(o_orderdate) AS file_year, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) + 1 AS line FROM orders),
+bad AS (SELECT * FROM f WHERE o_orderpriority = '5-LOW' QUALIFY row_number() OVER (PARTITION BY file_year ORDER BY line) = 1)
+SELECT 'PARTIALLY_LOADED' AS status, n.rows, (SELECT count(*) FROM f WHERE f.file_year = bad.file_year AND o_orderpriority = '5-LOW')
+       || ' row(s) rejected; first error: line ' || line || ': o_totalprice: cannot convert ''USD ' || CAST(o_totalprice AS VARCHAR)
+       || ''' to double' AS error
+FROM bad JOIN (SELECT file_year, count(*) FILTER (o_orderpriority <> '5-LOW') AS rows FROM f GROUP BY 1) n USING (file_year)""")
+def first_load_errors(spark, sf_dir):
+    """One file for each year, sorted by claim, low-priority rows damaged; the audit names
+    the first bad line of every file."""
+    t = SI.reader(spark, sf_dir)
+    root, db = work_path(spark, "first-errors"), _schema_name()
+    orders = t("orders")
+    c = contract_from_schema("orders", orders.schema, ("o_orderkey",))
+    text = to_csv_strings(_corrupt_low_priority(orders)).withColumn("y", F.year("o_orderdate"))
+    for year in [r[0] for r in text.select("y").distinct().collect()]:  # a write each: file names differ
+        (text.filter(F.col("y") == year).drop("y").repartition(1).sortWithinPartitions(F.col("o_orderkey").cast("long"))
+         .write.option("header", True).option("nullValue", "").option("emptyValue", '""').csv(f"{root}/extract/y{year}"))
+    res = load_table(spark, c, f"{root}/extract/y*", root, schema=db, on_error="continue")
+    if not res.ok:
+        raise RuntimeError(res.error)
+    return A.read_audit(spark, root).select("status", "rows", "error")

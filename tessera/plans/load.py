@@ -9,15 +9,18 @@ catalog swap -> audit rows per source file. Any error before the swap leaves the
 version readable.
 
 ``on_error="abort"`` (default): one bad row aborts the table. ``on_error="continue"``: rows
-that do not convert go to a rejects folder with the column, raw value and reason; the rest
-loads and the files with rejects are audited as PARTIALLY_LOADED.
+that do not convert go to a rejects folder with the line, column, raw value and reason; the rest
+loads and the files with rejects are audited as PARTIALLY_LOADED with their first error by position.
+The rows are numbered where they are read: a task knows the place of a row in its byte range, and the
+rows of the ranges before it in the same file (one count for each range) are added. A line is a
+record of the file, the header being line 1; blank lines are not records.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +28,14 @@ from tessera.operators.drift import SchemaDriftError, check_drift, table_columns
 from tessera.plans import audit as A
 from tessera.plans.manifest import snapshot
 from tessera.plans.publish import ensure_database, publish_versions, stage_version
-from tessera.session import error_text
+from tessera.session import error_text, work_path
 from tessera.sources.contracts import ColumnSpec, TableContract
 from tessera.sources.readers import DEFAULT_CSV, CsvContract, csv_header, typed_by_name
 
 LINEAGE = "_source_file"
 CORRUPT = "_corrupt_record"
+#: Where a row was read: file, byte range, and a number that ascends within the range.
+PLACE = ("_path", "_block", "_at")
 
 
 @dataclass(frozen=True)
@@ -95,6 +100,22 @@ def _rejects_of(raw: DataFrame, contract: TableContract, names: dict[str, str])
     return reason, column
 
 
+def with_place(raw: DataFrame) -> DataFrame:
+    return raw.select("*", F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.file_block_start").alias(PLACE[1]),
+                      F.monotonically_increasing_id().alias(PLACE[2]))
+
+
+def with_line(rows: DataFrame, all_rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``line`` in the file. ``all_rows`` are all rows read, staged with their
+    places, so that both sides speak of the same read. The counts, one for each byte range, are
+    summed up within each file."""
+    path, block, at = PLACE
+    ranges = all_rows.groupBy(path, block).agg(F.count("*").alias("_n"), F.min(at).alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(path).orderBy(block).rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.select(path, block, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.join(ranges, [path, block]).withColumn("line", F.col("_before") + F.col(at) - F.col("_first") + 2).drop("_before", "_first")
+
+
 def load_table(spark: SparkSession, contract: TableContract, source_path: str, root: str, *,
                schema: str = "raw", on_error: str = "abort", fmt: CsvContract | None = None,
                allow_missing: bool = False, expected_rows: int | None = None) -> LoadResult:
@@ -140,20 +161,22 @@ def load_table(spark: SparkSession, contract: TableContract, source_path: str, r
         else:
             raw = fmt.reader(spark, "FAILFAST").load(source_path)
         raw = raw.withColumn(LINEAGE, F.col("_metadata.file_name"))
+        own = [c for c in raw.columns if c not in (LINEAGE, CORRUPT)]
         names = {c.strip().lower(): c for c in raw.columns if c != CORRUPT}
         for name in sorted(added):  # a source without an added column loads it as NULL
             if name.lower() not in names and allow_missing:
                 raw = raw.withColumn(name, F.lit(None).cast("string"))
         if on_error == "continue":
             reason, column = _rejects_of(raw, contract, names)
-            marked = raw.withColumn("_reason", reason).withColumn("_column", column)
+            place = work_path(spark, "marked")
+            with_place(raw.withColumn("_reason", reason).withColumn("_column", column)).write.parquet(place)
+            marked = spark.read.parquet(place)
             good = typed_by_name(marked.where(F.col("_reason").isNull()), contract,
                                  allow_missing=allow_missing, keep=(LINEAGE,))
-            bad = marked.where(F.col("_reason").isNotNull()).select(
-                F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[
-                    F.col(f"`{c}`") for c in raw.columns if c not in (LINEAGE, CORRUPT)])))
+            bad = with_line(marked.where(F.col("_reason").isNotNull()), marked).select(
+                F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[F.col(f"`{c}`") for c in own])))
                 .alias("raw"), F.col("_column").alias("column"), F.col(LINEAGE).alias("file"),
-                F.col("_reason").alias("reason"))
+                F.col("_reason").alias("reason"), "line")
             rej = stage_version(bad, f"{schema}.{contract.name}__rejects", root)
         else:
             good = _length_guard(typed_by_name(raw, contract, allow_missing=allow_missing,
@@ -183,7 +206,8 @@ def _audit_files(spark: SparkSession, root: str, name: str, v, rej, file_label:
     if rej and rej.rows:
         rejected = (spark.read.parquet(rej.path).groupBy("file")
                     .agg(F.count(F.lit(1)).alias("rejected"),
-                         F.min(F.concat_ws(": ", "column", "reason")).alias("first_error")))
+                         F.min_by(F.format_string("line %d: %s", F.col("line"), F.concat_ws(": ", "column", "reason")),
+                                  "line").alias("first_error")))
         per_file = loaded.join(rejected, "file", "full")
     else:
         per_file = (loaded.withColumn("rejected", F.lit(None).cast("bigint"))

@@ -225,3 +225,27 @@ def test_newest_version_of_a_claim_is_one_row(spark):
                                    "claim_id string, policy_number string, estimated_damage_usd double, _loaded_at int")
     pol = spark.createDataFrame([("POL-1",), ("POL-2",)], "policy_number string")
     assert [(r[0], r[1], str(r[2])) for r in claims_by_policy(staged, pol).collect()] == [("POL-1", 3, "99.01")]
+
+
+def test_first_error_is_the_first_line(spark, tmp_path):
+    """Two files read in many byte ranges: the line of every bad row, and the first one in the audit."""
+    from tessera.plans import audit as A
+
+    root, folder = str(tmp_path / "store"), tmp_path / "src"
+    bad = {"a.csv": [(700, "zzz"), (1203, "aaa"), (1999, "mmm")], "b.csv": [(2, "x"), (900, "b")]}
+    for name, wrong in bad.items():
+        rows = [ROWS[0]] * 2000
+        for line, text in wrong:
+            rows[line - 2] = ROWS[0].replace(ROWS[0].split(",")[0], text, 1)
+        write(folder / name, HEADER, rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        r = load_table(spark, BILL, str(folder), root, schema="raw_line", on_error="continue")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert r.ok and r.rejects == 5 and r.rows == 3995
+    rej = spark.read.parquet(f"{root}/raw_line/bill__rejects/*")
+    assert sorted((x["file"], x["line"]) for x in rej.collect()) == sorted((n, line) for n, w in bad.items() for line, _ in w)
+    told = {x["file"]: x["error"] for x in A.read_audit(spark, root).collect()}
+    assert "first error: line 700: id: cannot convert 'zzz'" in told["a.csv"] and "line 2: id: cannot convert 'x'" in told["b.csv"]
