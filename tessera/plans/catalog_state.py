@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import late_fee_rate
-from tessera.operators import claims_state, integrity
+from tessera.operators import claims_state, integrity, variant_drift
 from tessera.operators.flatten import flatten
 from tessera.operators.payments import apply_payments
 from tessera.plans import audit as A
@@ -321,3 +321,44 @@ def first_load_errors(spark, sf_dir):
     if not res.ok:
         raise RuntimeError(res.error)
     return A.read_audit(spark, root).select("status", "rows", "error")
+
+
+# --- drift of schema-on-read documents --------------------------------------------------------
+
+_ITEM_TYPES = {"part": "BIGINT", "supplier": "BIGINT", "line": "BIGINT", "quantity": "DECIMAL", "price": "DECIMAL",
+               "discount": "DECIMAL", "tax": "DECIMAL", "return_flag": "STRING", "line_status": "STRING", "shipped_at": "STRING"}
+_CLAIM_TYPES = {"claim_id": "BIGINT", "policy_number": "BIGINT", "status": "STRING", "estimated_damage_usd": "DECIMAL",
+                "reported_at": "STRING", "incident_type": "STRING", "items": "ARRAY"}
+
+
+@query("variant_profile", f"""
+WITH o AS (SELECT count(*) AS docs, count(*) FILTER (EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)) AS full_docs FROM orders),
+p AS (SELECT '$' AS path, 'OBJECT' AS type, false AS item
+      UNION ALL SELECT * FROM (VALUES {', '.join(f"('$.{k}', '{v}', false)" for k, v in _CLAIM_TYPES.items())})
+      UNION ALL SELECT '$.items[]', 'OBJECT', true
+      UNION ALL SELECT * FROM (VALUES {', '.join(f"('$.items[].{k}', '{v}', true)" for k, v in _ITEM_TYPES.items())}))
+SELECT path, type, CASE WHEN item THEN full_docs ELSE docs END AS docs FROM p, o""")
+def variant_profile(spark, sf_dir):
+    """D10/F-19: every path of the landed claim documents with its type and the documents that have it."""
+    landing = SI.claim_landing_table(spark, sf_dir).withColumn("batch_id", F.lit(0))
+    return variant_drift.profile(landing).select("path", "type", "docs")
+
+
+@query("variant_drift", """
+WITH n AS (SELECT event_id % 3 AS batch, count(*) AS docs, count(*) FILTER (value > 50) AS large FROM events GROUP BY 1),
+s AS (SELECT batch, large / docs AS share FROM n)
+SELECT 1 AS batch, '$.channel' AS path, 'added' AS kind, NULL AS old_type, 'STRING' AS new_type, CAST(NULL AS DOUBLE) AS old_share, 1.0::DOUBLE AS new_share
+UNION ALL SELECT 1, '$.k', 'widened', 'BIGINT', 'DECIMAL', 1.0, 1.0
+UNION ALL SELECT 2, '$.channel', 'gone', 'STRING', NULL, 1.0, NULL
+UNION ALL SELECT 2, '$.k', 'changed', 'DECIMAL', 'STRING', 1.0, 1.0
+UNION ALL SELECT 2, '$.' || k, 'added', NULL, t, NULL, share
+FROM s, (VALUES ('extra', 'ARRAY'), ('extra[]', 'OBJECT'), ('extra[].v', 'STRING')) x(k, t) WHERE s.batch = 2""")
+def variant_drift_key(spark, sf_dir):
+    """The events' documents in three batches; the second has a new key and fractions for whole
+    numbers, the third loses the key, holds texts for numbers and, of large values, a nested list."""
+    e, batch = SI.reader(spark, sf_dir)("events"), (F.col("event_id") % 3).cast("int")
+    k = F.get_json_object("props", "$.k")
+    text = (F.when(batch == 0, F.col("props")).when(batch == 1, F.concat(F.lit('{"k": '), k, F.lit('.5, "channel": "'), F.col("event_type"), F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"k": "'), k, F.lit('"'), F.when(F.col("value") > 50, F.concat(
+                F.lit(', "extra": [{"v": "'), F.col("event_type"), F.lit('"}]'))).otherwise(F.lit("")), F.lit("}"))))
+    return variant_drift.drift(variant_drift.profile(e.select(batch.alias("batch_id"), F.parse_json(text).alias("raw"))))
