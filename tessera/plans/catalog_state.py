@@ -15,6 +15,7 @@ from tessera.plans import standins as SI
 from tessera.plans.catalog import (ORACLES, _BILLS_SELECT, _EXTRA_SQL, _LOG_SELECT, _NOT_EMPTY_SQL, _ORPHAN_SQL, _PAY_SQL_BASE,
                                    _PK_NULL_SQL, _RATE_SQL, _RUNS, _UNIQUE_SQL, _apply, _corrupt_low_priority, _report_sql, _schema_name, query)
 from tessera.plans.publish import ensure_database, entry_of, publish_all, recover, stage_version
+from tessera.plans.layout import publish_bucketed
 from tessera.plans.load import load_table
 from tessera.session import work_path
 from tessera.sources.contracts import contract_from_schema
@@ -362,3 +363,34 @@ def variant_drift_key(spark, sf_dir):
             .otherwise(F.concat(F.lit('{"k": "'), k, F.lit('"'), F.when(F.col("value") > 50, F.concat(
                 F.lit(', "extra": [{"v": "'), F.col("event_type"), F.lit('"}]'))).otherwise(F.lit("")), F.lit("}"))))
     return variant_drift.drift(variant_drift.profile(e.select(batch.alias("batch_id"), F.parse_json(text).alias("raw"))))
+
+
+# --- access paths with a layout behind them ---------------------------------------------------
+
+BUCKETS = 16
+
+
+@query("bills_of_policy_bucketed", ORACLES["bills_of_policy"])
+def bills_of_policy_bucketed(spark, sf_dir, policy_id: int = 7):
+    """The bills of one policy from a table in buckets of the policy, sorted by due date: the
+    lookup reads one bucket's file (``tests/test_layout.py`` counts)."""
+    t = SI.reader(spark, sf_dir)
+    root, db = work_path(spark, "bucketed"), _schema_name("lookup")
+    ensure_database(spark, db, root)
+    publish_bucketed(spark, SI.bills(t), f"{db}.bill", root, "policy_id", buckets=BUCKETS, sort=("due_date", "id"))
+    return (spark.table(f"{db}.bill").where(F.col("policy_id") == policy_id)
+            .select("id", "policy_id", "due_date", "balance").orderBy("due_date", "id"))
+
+
+@query("bucketed_join", """
+SELECT o_orderpriority AS priority, count(*) AS items, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS quantity
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY o_orderpriority""")
+def bucketed_join(spark, sf_dir):
+    """Child and parent in equal buckets of the shared key are joined without moving either."""
+    t = SI.reader(spark, sf_dir)
+    root, db = work_path(spark, "bucketed"), _schema_name("lookup")
+    ensure_database(spark, db, root)
+    publish_bucketed(spark, t("orders").select(F.col("o_orderkey").alias("claim"), "o_orderpriority"), f"{db}.claim", root, "claim", buckets=BUCKETS)
+    publish_bucketed(spark, t("lineitem").select(F.col("l_orderkey").alias("claim"), "l_quantity"), f"{db}.item", root, "claim", buckets=BUCKETS)
+    return (spark.table(f"{db}.item").join(spark.table(f"{db}.claim"), "claim").groupBy(F.col("o_orderpriority").alias("priority"))
+            .agg(F.count("*").alias("items"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(28,2)").alias("quantity")))
