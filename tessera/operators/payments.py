@@ -377,16 +377,17 @@ class PaymentRun:
 
 
 def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
-                   edit_log: DataFrame, *, as_of: _dt.date | str,
+                   edit_log: DataFrame, *, as_of: _dt.date | str | None = None,
                    edited_at: _dt.datetime | str | None = None,
                    order_cols: tuple[str, ...] = ("payment_id",), bill_key: str = "bill_id",
                    set_paid_date: bool = False, max_fold: int = DEFAULT_MAX_FOLD,
                    hot_partitions: int | None = None,
                    stage_path: str | None = None) -> PaymentRun:
     """Apply a batch of payments. Returns a ``PaymentRun`` with ``bills`` (rebuilt bills),
-    ``log`` (new edit-log rows), ``edit_log`` (old + new), ``rejects`` and ``applied``."""
+    ``log`` (new edit-log rows), ``edit_log`` (old + new), ``rejects`` and ``applied``. ``as_of``:
+    the day to which lateness is counted, today by default."""
     stage = stage_path or work_path(spark, "payments")
-    as_of_col = F.lit(str(as_of)).cast("date")
+    as_of_col = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     edited = (F.lit(str(edited_at)).cast("timestamp_ntz") if edited_at is not None
               else F.current_timestamp().cast("timestamp_ntz"))
     # Hot bills are counted on the payments themselves and tagged before the validation join.
