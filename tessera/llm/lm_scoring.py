@@ -35,7 +35,8 @@ from tessera.llm.words import batch_words, mix
 HEAD, BUCKETS = 768, 256
 UNITS = HEAD + BUCKETS
 START = UNITS  # the unit before a document
-#: Commonest tokens whose counts are broadcast (12 bytes each); rarer ones are joined by shuffle.
+#: At most so many of the commonest tokens have their counts broadcast (16 bytes each); rarer ones are
+#: joined by shuffle.
 TABLE = 1 << 18
 SIZE = 24
 ROUNDS = 2
@@ -130,10 +131,27 @@ class Vocabulary:
         return np.where(self.table[at] == h, self.table_count[at], 0)
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` of the commonest tokens: all whose count reaches the least power of 2**(1/8) that
+    no more tokens reach. The counts of counts, some hundreds of rows, tell it, so that no task sorts
+    or sends more than its share."""
+    step = F.floor(F.log2("c") * 8).cast("int")
+    sizes = sorted(((r["step"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, seen = None, 0
+    for at, n in sizes:
+        seen += n
+        if seen > most:
+            break
+        least = at
+    return counts.filter(step >= F.lit(least)) if least is not None else counts.limit(0)
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    top = counts.orderBy(F.desc("c"), "h").limit(TABLE).select("h", "c").toPandas()
+    first = counts.orderBy(F.desc("c"), "h").limit(HEAD).select("h", "c").toPandas()
+    top = pd.concat([first, frequent(counts, TABLE).select("h", "c").toPandas()]).drop_duplicates("h")
     h, c = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
-    head = np.concatenate([np.array([END], np.uint64), h[h != END][:HEAD - 1]])
+    head = np.concatenate([np.array([END], np.uint64), first["h"].to_numpy().view(np.uint64)])
+    head = head[np.sort(np.unique(head, return_index=True)[1])][:HEAD]
     spot = np.argsort(head)
     order = np.argsort(h)
     is_head = F.col("h").isin([int(x) for x in head.view(np.int64)])

@@ -58,6 +58,52 @@ def test_nothing_to_learn_from(spark, docs_of):
     assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0) and np.isfinite(r.score)
 
 
+def test_frequent_tokens_are_bounded(spark):
+    rng = np.random.default_rng(1)
+    counts = spark.createDataFrame([(i, int(c)) for i, c in enumerate(rng.zipf(1.5, 3000) % 10**6 + 1)], "h long, c long")
+    for most in (0, 1, 10, 500, 3000):
+        got = {r.h: r.c for r in L.frequent(counts, most).collect()}
+        assert len(got) <= most
+        rest = [r.c for r in counts.collect() if r.h not in got]
+        assert not got or not rest or min(got.values()) > max(rest)
+    assert len(L.frequent(counts, 3000).collect()) == 3000
+
+
+def test_training_beats_the_untrained_network(spark, monkeypatch):
+    """Log-probability per held-out token: the trained network against the same one untrained."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    trained = [r for r in L.score(spark, docs).collect() if r.held_out]
+    monkeypatch.setattr(L, "train", lambda spark, docs, vocab: L.initial(vocab.unigram))
+    untrained = [r for r in L.score(spark, docs).collect() if r.held_out]
+    n = sum(r.n_tokens for r in trained)
+    gain = (sum(r.score for r in trained) - sum(r.score for r in untrained)) / n
+    assert gain > 0.05
+
+
+def test_score_by_hand(spark, docs_of):
+    """The model's score recomputed token by token from its parameters and the counts."""
+    words = "the quick brown fox jumps over a lazy dog and runs far away from it".split()
+    rows = [(i, " ".join(words[(i * k) % len(words)] for k in range(12)) + f" rare{i}x") for i in range(60)]
+    docs = docs_of(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in L.score(spark, docs).collect()}
+    training = docs.filter(~L.held_out(docs["doc_id"]))
+    counts = L.token_counts(training)
+    known = {np.uint64(np.int64(r.h)): r.c for r in counts.collect()}
+    vocab = L.vocabulary(counts)
+    r, c, q, b = L.train(spark, training, vocab)
+    for i, text in rows[:20]:
+        h, bucket, _, _ = next(L.token_batches([text]))
+        units, total = vocab.units(h, bucket), 0.0
+        for n, u in enumerate(units):
+            one, two = (units[n - 1] if n else L.START), (units[n - 2] if n > 1 else L.START)
+            s = (r[one] * c[0] + r[two] * c[1]) @ q.T + b
+            total += float(s[u] - s.max() - np.log(np.exp(s - s.max()).sum())) / math.log(10)
+            if u >= L.HEAD:
+                unseen, own = vocab.unseen[u - L.HEAD], known.get(h[n], 0)
+                total += math.log10((1 - unseen) * own / vocab.bucket_total[u - L.HEAD]) if own else math.log10(unseen)
+        assert got[i] == pytest.approx(total, rel=1e-3)
+
+
 def test_units_sum_to_one(spark):
     params = L.initial(np.full(L.UNITS, 1 / L.UNITS))
     z = L.normalisers(spark, params)
