@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import fresh
+from tessera.llm.common import fresh, staged
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 _SEGMENT = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]+)"
@@ -37,7 +37,7 @@ def patterns(url: Column) -> Column:
     specific. Null without a host."""
     host = host_of(url)
     segment = F.regexp_extract(url, _SEGMENT, 1)
-    domain = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+    domain = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)  # the last two labels, whatever registry they belong to
     def entry(rank: int, pattern: Column, given: Column) -> Column:  # noqa: E306
         return F.when(given, F.struct(F.lit(rank).alias("rank"), pattern.alias("pattern")))
     found = F.array(entry(1, F.concat(F.lit("domain:"), domain), domain != ""),
@@ -60,7 +60,8 @@ def judge(captures: DataFrame, intervals: DataFrame, url: str = "url", fetched_o
     """Adds ``verdict`` (``block`` or ``allow``), ``pattern``, ``category`` and ``valid_from`` of
     the deciding entry (null if none was active)."""
     row = fresh(captures, "row")
-    tagged = captures.withColumn(row, F.monotonically_increasing_id())
+    # Numbered once and staged: the numbers are read twice, and a task that is run again must not give others.
+    tagged = staged(captures.sparkSession, captures.withColumn(row, F.monotonically_increasing_id()), "captures")
     tries = tagged.select(row, F.col(fetched_on).alias("_day"), F.explode(patterns(F.col(url))).alias("_p")) \
         .select(row, "_day", "_p.rank", F.col("_p.pattern").alias("_pattern"), F.trunc("_day", "month").alias("_month"))
     last = captures.agg(F.max(fetched_on)).first()[0]  # open intervals need not reach beyond it
