@@ -4,8 +4,13 @@ Tokens are lower-cased words and one end per document. The model predicts *units
 ``HEAD`` commonest tokens stand for themselves, all others for one of ``BUCKETS`` units by their
 last two bytes. A unit's score is the product of its vector with the position-weighted sum of the
 vectors of the two units before it, plus a bias; batched matrix products over all unit pairs give
-the normalisers, so log-probabilities are exact. A token within a bucket gets its share of the
-bucket's training count; a Good-Turing share is left to tokens that training never saw.
+the normalisers, so log-probabilities are exact. Within a bucket a second level tells the tokens apart:
+every token with at least ``MIN_COUNT`` occurrences (the ``MEMBERS`` commonest, a bound on what is
+broadcast) has a vector of its own, all others of the bucket share one slot. A slot's score is the
+product of its vector with that of the context, plus the logarithm of its share of the bucket's count,
+and a softmax over the bucket's slots normalises it exactly. So the vocabulary with vectors grows with
+the corpus. In the shared slot a token gets its share of the slot's count; a Good-Turing share is left
+to tokens that training never saw.
 
 Training is noise-contrastive estimation in numpy over all training documents: in every round each
 partition takes steps on its share of the documents from the common parameters, and the partitions'
@@ -41,6 +46,10 @@ TABLE = 1 << 18
 SIZE = 24
 ROUNDS = 2
 NOISE, BATCH, RATE = 64, 4096, 0.15
+MIN_COUNT, MEMBERS = 20, 1 << 16
+SLOT_NOISE, SLOT_RATE = 5, 0.05
+#: Parameters are added up in pieces of so many numbers, each in tasks of its own.
+PIECE = 1 << 16
 END = np.uint64(1)  # the hash of the end token
 
 
@@ -119,11 +128,23 @@ class Vocabulary:
     unigram: np.ndarray  # probability of each unit
     bucket_total: np.ndarray
     unseen: np.ndarray  # share of each bucket that is left to unseen tokens
+    member: np.ndarray  # sorted hashes of the tokens with a slot
+    member_slot: np.ndarray
+    slot_end: np.ndarray  # a bucket's slots end here; the last one is shared
+    slot_share: np.ndarray  # share of the slot in its bucket
 
     def units(self, h: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
         return np.where(self.head[at] == h, self.head_unit[at], HEAD + bucket)
 
+    def slots(self, h: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The slot of each token of a bucket."""
+        shared = self.slot_end[place] - 1
+        if not len(self.member):
+            return shared
+        at = np.minimum(np.searchsorted(self.member, h), len(self.member) - 1)
+        return np.where(self.member[at] == h, self.member_slot[at], shared)
+
     def counts(self, h: np.ndarray) -> np.ndarray:
         if not len(self.table):
             return np.zeros(len(h), np.int64)
@@ -165,8 +186,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     known = dict(zip(h.tolist(), c.tolist()))
     by_head[:len(head)] = [known.get(x, 0) for x in head.tolist()]
     unigram = np.concatenate([by_head, bucket_total]) + 0.5
+    own = frequent(counts.filter(~is_head & (F.col("c") >= MIN_COUNT)), MEMBERS).toPandas().sort_values(["bucket", "h"])
+    sizes = np.bincount(own["bucket"].to_numpy(), minlength=BUCKETS) + 1  # and the shared slot
+    slot_end = np.cumsum(sizes)
+    slot = np.arange(len(own)) + own["bucket"].to_numpy()
+    share = np.zeros(slot_end[-1])
+    b = own["bucket"].to_numpy()
+    share[slot] = (1 - unseen[b]) * own["c"].to_numpy() / np.maximum(bucket_total[b], 1)
+    share[slot_end - 1] = 1 - np.bincount(b, share[slot], BUCKETS)
+    member = own["h"].to_numpy().view(np.uint64)
+    by_hash = np.argsort(member)
     return Vocabulary(int(total), int(types), head[spot], spot.astype(np.int64), h[order], c[order],
-                      unigram / unigram.sum(), bucket_total, unseen)
+                      unigram / unigram.sum(), bucket_total, unseen, member[by_hash], slot[by_hash].astype(np.int64), slot_end, share)
 
 
 # --- the model ---------------------------------------------------------------------------------
@@ -186,6 +217,37 @@ def _scatter(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class SlotTrainer:
+    """Noise-contrastive steps for the slots of buckets: the noise of a token is drawn from its bucket,
+    and only the vectors that a batch touches move. The contexts' vectors are taken as they are."""
+
+    def __init__(self, vectors: np.ndarray, vocab: Vocabulary, rng: np.random.Generator):
+        self.vectors, self.vocab, self.rng = vectors.copy(), vocab, rng
+        self.squares = np.full(vectors.shape, 1e-8, np.float32)
+        start = np.concatenate([[0], vocab.slot_end[:-1]])
+        place = np.repeat(np.arange(BUCKETS), vocab.slot_end - start)
+        upto = np.cumsum(vocab.slot_share)
+        self.cumulative = place + upto - (upto - vocab.slot_share)[start][place]  # bucket b: from b to b + 1
+
+    def step(self, p: np.ndarray, slot: np.ndarray, place: np.ndarray, n: int) -> None:
+        if not len(slot):
+            return
+        drawn = np.searchsorted(self.cumulative, place[:, None] + self.rng.random((len(slot), SLOT_NOISE)), side="right")
+        start = np.where(place > 0, self.vocab.slot_end[place - 1], 0)
+        drawn = np.clip(drawn, start[:, None], self.vocab.slot_end[place][:, None] - 1)
+        all_of = np.concatenate([slot[:, None], drawn], 1)
+        score = np.einsum("ij,ikj->ik", p, self.vectors[all_of]) - np.float32(np.log(SLOT_NOISE))
+        side = -1 / (1 + np.exp(np.clip(-score, -30, 30)))
+        side[:, 0] += 1
+        grads = (side[:, :, None] * p[:, None, :] / n).reshape(-1, p.shape[1]).astype(np.float32)
+        flat = all_of.ravel()
+        order = np.argsort(flat, kind="stable")
+        own, first = np.unique(flat[order], return_index=True)
+        g = np.add.reduceat(grads[order], first, axis=0)
+        self.squares[own] += g * g
+        self.vectors[own] += SLOT_RATE * g / np.sqrt(self.squares[own])
+
+
 class Trainer:
     """Noise-contrastive steps with per-weight rates; the noise of a batch is shared."""
 
@@ -228,8 +290,9 @@ def contexts(units: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary) -> list[np.ndarray]:
-    """Parameters after ``ROUNDS`` rounds that together see every document of ``docs`` once."""
-    params = initial(vocab.unigram)
+    """Parameters after ``ROUNDS`` rounds that together see every document of ``docs`` once; the last
+    are the vectors of the slots."""
+    params = [*initial(vocab.unigram), np.zeros((len(vocab.slot_share), SIZE), np.float32)]
     shapes = [p.shape for p in params]
     if not vocab.total:
         return params
@@ -239,31 +302,38 @@ def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary) -> list[np.nd
 
         def run(batches: Iterator[pa.RecordBatch], turn=turn, now=now) -> Iterator[pd.DataFrame]:
             part = TaskContext.get().partitionId()
-            trainer, seen = Trainer(now.value, shared.value.unigram, 1000 * turn + part), 0
+            vocab = shared.value
+            trainer, seen = Trainer(now.value[:4], vocab.unigram, 1000 * turn + part), 0
+            inner = SlotTrainer(now.value[4], vocab, trainer.rng)
             for batch in batches:
                 for h, bucket, doc, _ in token_batches(batch.column(0).to_pylist()):
-                    units = shared.value.units(h, bucket)
+                    units = vocab.units(h, bucket)
                     one, two = contexts(units, doc)
                     order = trainer.rng.permutation(len(units))
                     for at in range(0, len(order), BATCH):
                         pick = order[at:at + BATCH]
                         trainer.step(one[pick], two[pick], units[pick])
+                        low = pick[units[pick] >= HEAD]
+                        r, c, _, _ = trainer.params
+                        place = units[low] - HEAD
+                        inner.step(r[one[low]] * c[0] + r[two[low]] * c[1], vocab.slots(h[low], place), place, len(pick))
                     seen += len(units)
             if seen:
-                flat = np.concatenate([p.ravel() for p in trainer.params]) * np.float32(seen / 1e6)
-                yield pa.RecordBatch.from_arrays([pa.array([part % 32], pa.int32()), pa.array([seen / 1e6]), pa.array([flat.astype("<f4").tobytes()], pa.binary())],
-                                                 names=["part", "weight", "flat"])
+                flat = (np.concatenate([p.ravel() for p in [*trainer.params, inner.vectors]]) * np.float32(seen / 1e6)).astype("<f4")
+                for piece, at in enumerate(range(0, len(flat), PIECE)):
+                    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part % 32], pa.int32()), pa.array([seen / 1e6]),
+                                                      pa.array([flat[at:at + PIECE].tobytes()], pa.binary())], names=["piece", "part", "weight", "flat"])
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
             total = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in pdf["flat"])
-            return pd.DataFrame({"part": [0], "weight": [pdf["weight"].sum()], "flat": [total.astype("<f4").tobytes()]})
+            return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "part": [0], "weight": [pdf["weight"].sum()], "flat": [total.astype("<f4").tobytes()]})
 
-        kind = "part int, weight double, flat binary"
+        kind = "piece int, part int, weight double, flat binary"
         share = docs.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn).select("text")
-        parts = share.mapInArrow(run, kind).groupBy("part").applyInPandas(add, kind)  # one row per part: all say 0
-        sums = parts.groupBy("part").applyInPandas(add, kind).collect()
+        parts = share.mapInArrow(run, kind).groupBy("piece", "part").applyInPandas(add, kind)  # one row per part: all say 0
+        sums = sorted(parts.groupBy("piece").applyInPandas(add, kind).collect())
         if sums:
-            flat = np.frombuffer(sums[0]["flat"], "<f4") / np.float32(sums[0]["weight"])
+            flat = np.concatenate([np.frombuffer(x["flat"], "<f4") for x in sums]) / np.float32(sums[0]["weight"])
             cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
             params = [x.reshape(s).copy() for x, s in zip(np.split(flat, cuts), shapes)]
     return params
@@ -272,10 +342,10 @@ def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary) -> list[np.nd
 def normalisers(spark: SparkSession, params: list[np.ndarray]) -> np.ndarray:
     """log Z for every pair (unit before, unit before that), by batched matrix products in tasks;
     the result has a fixed size."""
-    shared = spark.sparkContext.broadcast(params)
+    shared = spark.sparkContext.broadcast(params[:4])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r, c, q, b = shared.value
+        r, c, q, b = shared.value[:4]
         for pdf in batches:
             for one in pdf["id"]:
                 s = (r[one] * c[0] + r * c[1]) @ q.T + b
@@ -290,6 +360,21 @@ def normalisers(spark: SparkSession, params: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def slot_scores(p: np.ndarray, slot: np.ndarray, place: np.ndarray, vectors: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    """Log-probability of each token's slot among those of its bucket."""
+    out = np.empty(len(slot))
+    order = np.argsort(place, kind="stable")
+    own, first = np.unique(place[order], return_index=True)
+    log_share = np.log(np.maximum(vocab.slot_share, 1e-12)).astype(np.float32)
+    for b, at, end in zip(own, first, [*first[1:], len(order)]):
+        rows = order[at:end]
+        start, stop = (vocab.slot_end[b - 1] if b else 0), vocab.slot_end[b]
+        s = p[rows] @ vectors[start:stop].T + log_share[start:stop]
+        top = s.max(1)
+        out[rows] = s[np.arange(len(rows)), slot[rows] - start] - top - np.log(np.exp(s - top[:, None]).sum(1))
+    return out
+
+
 # --- scoring -----------------------------------------------------------------------------------
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -300,12 +385,14 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     counts = staged(spark, token_counts(training), "counts")
     vocab = vocabulary(counts)
     params = train(spark, training, vocab)
-    shared = spark.sparkContext.broadcast((vocab, params, normalisers(spark, params)))
+    vectors = params[4] if len(params) > 4 else np.zeros((len(vocab.slot_share), SIZE), np.float32)
+    shared = spark.sparkContext.broadcast((vocab, params[:4], vectors, normalisers(spark, params)))
     floor = np.log10(vocab.total + 0.5 * (vocab.types + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, (r, c, q, b), z = shared.value
+        vocab, (r, c, q, b), vectors, z = shared.value
         with np.errstate(divide="ignore"):
+            left = np.log10(np.maximum(vocab.slot_share[vocab.slot_end - 1], 1e-12))
             unseen, rest = np.log10(vocab.unseen), np.log10((1 - vocab.unseen) / np.maximum(vocab.bucket_total, 1))
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -314,15 +401,19 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 units = vocab.units(h, bucket)
                 one, two = contexts(units, doc)
                 logp = np.empty(len(units))
-                for s in range(0, len(units), 65_536):
-                    e = slice(s, s + 65_536)
+                in_bucket = units >= HEAD
+                place = np.where(in_bucket, units - HEAD, 0)
+                slot = vocab.slots(h, place)
+                for s in range(0, len(units), 131_072):
+                    e = slice(s, s + 131_072)
                     p = r[one[e]] * c[0] + r[two[e]] * c[1]
                     logp[e] = (p * q[units[e]]).sum(1) + b[units[e]] - z[one[e], two[e]]
+                    low = np.flatnonzero(in_bucket[e])
+                    logp[s + low] += slot_scores(p[low], slot[s + low], place[s + low], vectors, vocab)
                 logp /= np.log(10)
                 found = vocab.counts(h)
-                in_bucket = units >= HEAD
-                place = np.where(in_bucket, units - HEAD, 0)
-                logp += np.where(in_bucket, np.where(found > 0, rest[place] + np.log10(np.maximum(found, 1)), unseen[place]), 0)
+                shares = in_bucket & (slot == vocab.slot_end[place] - 1)
+                logp += np.where(shares, np.where(found > 0, rest[place] + np.log10(np.maximum(found, 1)), unseen[place]) - left[place], 0)
                 base = np.log10(found + 0.5) - floor
                 # Tokens beyond the table: counted as unseen here, put right by the join.
                 tail = np.flatnonzero(found == 0)

@@ -80,8 +80,11 @@ def test_training_beats_the_untrained_network(spark, monkeypatch):
     assert gain > 0.05
 
 
-def test_score_by_hand(spark, docs_of):
-    """The model's score recomputed token by token from its parameters and the counts."""
+@pytest.mark.parametrize("least", [1, 3])
+def test_score_by_hand(spark, docs_of, monkeypatch, least):
+    """The model's score recomputed token by token from its parameters and the counts, with few words
+    for themselves so that buckets have slots."""
+    monkeypatch.setattr(L, "MIN_COUNT", least)
     words = "the quick brown fox jumps over a lazy dog and runs far away from it".split()
     rows = [(i, " ".join(words[(i * k) % len(words)] for k in range(12)) + f" rare{i}x") for i in range(60)]
     docs = docs_of(rows, "doc_id long, text string")
@@ -90,7 +93,7 @@ def test_score_by_hand(spark, docs_of):
     counts = L.token_counts(training)
     known = {np.uint64(np.int64(r.h)): r.c for r in counts.collect()}
     vocab = L.vocabulary(counts)
-    r, c, q, b = L.train(spark, training, vocab)
+    r, c, q, b, vectors = L.train(spark, training, vocab)
     for i, text in rows[:20]:
         h, bucket, _, _ = next(L.token_batches([text]))
         units, total = vocab.units(h, bucket), 0.0
@@ -99,11 +102,32 @@ def test_score_by_hand(spark, docs_of):
             s = (r[one] * c[0] + r[two] * c[1]) @ q.T + b
             total += float(s[u] - s.max() - np.log(np.exp(s - s.max()).sum())) / math.log(10)
             if u >= L.HEAD:
-                unseen, own = vocab.unseen[u - L.HEAD], known.get(h[n], 0)
-                total += math.log10((1 - unseen) * own / vocab.bucket_total[u - L.HEAD]) if own else math.log10(unseen)
+                k = u - L.HEAD
+                first, end = (vocab.slot_end[k - 1] if k else 0), vocab.slot_end[k]
+                inner = np.log(vocab.slot_share[first:end]) + vectors[first:end] @ (r[one] * c[0] + r[two] * c[1])
+                slot = int(vocab.slots(h[n:n + 1], np.array([k]))[0]) - first
+                total += float(inner[slot] - inner.max() - np.log(np.exp(inner - inner.max()).sum())) / math.log(10)
+                if slot == end - first - 1:
+                    unseen, own = vocab.unseen[k], known.get(h[n], 0)
+                    share = (1 - unseen) * own / vocab.bucket_total[k] if own else unseen
+                    total += math.log10(share / vocab.slot_share[end - 1])
         assert got[i] == pytest.approx(total, rel=1e-3)
 
 
+def test_slots_grow_with_the_corpus(spark):
+    """The tokens with a vector of their own are all above the count, and every bucket's shares are one."""
+    sizes = []
+    for sf in ("0.001", "0.01"):
+        counts = L.token_counts(spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("text"))
+        vocab = L.vocabulary(counts)
+        common = counts.filter(f"c >= {L.MIN_COUNT}").count()
+        sizes.append(len(vocab.member))
+        assert len(vocab.member) == max(0, common - L.HEAD) or common <= L.HEAD + len(vocab.member)
+        start = np.concatenate([[0], vocab.slot_end[:-1]])
+        assert np.add.reduceat(vocab.slot_share, start) == pytest.approx(1)
+    assert sizes[1] > sizes[0]
+
+
 def test_units_sum_to_one(spark):
     params = L.initial(np.full(L.UNITS, 1 / L.UNITS))
     z = L.normalisers(spark, params)
