@@ -15,10 +15,10 @@ each task before the shuffle.
 
 ``findings`` are the offending keys and marks (rule, number, order, text); ``counts`` adds them up.
 ``detail`` also shows the first offenders of each rule. Of an orphan rule these are the smallest
-offending keys, each with its smallest child row; of a uniqueness rule, keys and how often they occur;
-both come with the findings of the one pass. Of a row rule they are its first rows: one more job
-reads the tables of all row rules that failed, and hands on at most ``SAMPLE_ROWS`` rows for each rule
-and task (a grouped limit before the shuffle). Rules of any other form keep their own counting job.
+offending keys, each with its smallest child row; of a uniqueness rule, keys and how often they occur; of a row
+rule, its first rows. One more job reads the tables of the rules that failed, and hands on at most
+``SAMPLE_ROWS`` rows for each rule and task (a grouped limit before the shuffle). Rules of any other
+form keep their own counting job.
 """
 
 from __future__ import annotations
@@ -87,8 +87,8 @@ class Plan:
     columns in a domain; a composite foreign key is a side of its own that leaves out rows with a
     NULL part (no relation), as a uniqueness rule counts those."""
 
-    def __init__(self, tables: Tables, rules):
-        self.tables = tables
+    def __init__(self, tables: Tables, rules, names: dict[str, tuple] | None = None):
+        self.tables, self.names = tables, names or {}
         # references first: a key that others point to is marked once, in their domain
         self.rules = sorted(rules, key=lambda r: r.reference is None)
         self.spark = tables(self.rules[0].table).sparkSession
@@ -96,16 +96,19 @@ class Plan:
         self.sides: list[dict[tuple, int]] = []
         self.kinds: list[list[T.DataType]] = []
         self.at: list[tuple | None] = []
+        self.shown: set[tuple] = set()  # sides whose rows a sample shows
         for n, r in enumerate(self.rules):
             if r.reference:
                 fk, parent, pk = r.reference
                 child, parent = (r.table, tuple(fk), len(fk) > 1), (parent, tuple(pk), False)
                 d = self._domain([parent, child], parent)
                 self.at.append((d, self._side(d, child), self._side(d, parent)))
+                self.shown.add((d, child))
             elif r.keys:
                 own = (r.table, tuple(r.keys), False)
                 d = self._domain([own], own)
                 self.at.append((d, self._side(d, own)))
+                self.shown.add((d, own))
             else:
                 self.marks.setdefault(r.table, []).append(("rule", n))
                 self.at.append(None)
@@ -133,7 +136,7 @@ class Plan:
 
     def identity(self, table: str, columns) -> list[str]:
         """The columns that name a row in a sample: its table's unique key, where a rule gives one."""
-        key = next((r.keys for r in self.rules if r.keys and r.table == table), ())
+        key = self.names.get(table) or next((r.keys for r in self.rules if r.keys and r.table == table), ())
         return [*[c for c in key if c not in columns], *columns]
 
 
@@ -153,18 +156,20 @@ def _marks(plan: Plan, sampled: bool) -> DataFrame:
             _, columns, related = side[0]
             num, txt = _key(columns, plan.kinds[n])
             shown = plan.identity(table, columns)
+            seen = (n, side[0]) in plan.shown
             mark = F.struct(F.lit(n).alias("domain"), num.alias("num"), txt.alias("txt"), F.lit(plan.sides[n][side[0]]).alias("side"),
-                            *([order_text(df, shown).alias("ord"), row_text(shown).alias("shown")] if sampled else []))
+                            *([(order_text(df, shown) if seen else null).alias("ord"),
+                                (row_text(shown) if seen else null).alias("shown")] if sampled else []))
             made.append(F.when(_all_known(columns), mark) if related else mark)
         rows = df.select(F.explode(F.array(*made)).alias("m")).filter(F.col("m").isNotNull()).select("m.*")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def findings(tables: Tables, rules, sampled: bool = False) -> DataFrame:
+def findings(tables: Tables, rules, sampled: bool = False, names: dict[str, tuple] | None = None) -> DataFrame:
     """(``rule``, ``n``, ``ord``, ``shown``): every offending key of the key rules, the number of
     offending rows of each row rule, and for an emptiness rule the rows of its table."""
-    plan = Plan(tables, rules)
+    plan = Plan(tables, rules, names)
     width = max([len(s) for s in plan.sides], default=1)
     sides = [F.count_if(F.col("side") == i).alias(f"n{i}") for i in range(width)]
     least = [F.min(F.when(F.col("side") == i, F.struct("ord", "shown"))).alias(f"m{i}") for i in range(width if sampled else 0)]
@@ -236,6 +241,13 @@ def _first_rows(tables: Tables, rules) -> DataFrame:
     return out
 
 
+def _key_samples(tables: Tables, rules, failed) -> DataFrame:
+    """(``rule``, ``ord``, ``shown``) of the failed key rules. Rows are named by the unique keys that all
+    ``rules`` give their tables."""
+    names = {r.table: r.keys for r in reversed(rules) if r.keys}
+    return findings(tables, failed, sampled=True, names=names).select("rule", "ord", "shown")
+
+
 def detail(tables: Tables, rules) -> DataFrame:
     """(``name``, ``ok``, ``n_offenders``, ``detail``): the counts and the first offenders of each rule.
     The report has a row for each rule; it is staged, to know which row rules failed."""
@@ -247,14 +259,12 @@ def detail(tables: Tables, rules) -> DataFrame:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    fused = [r for r in rules if _fused(r)]
-    found = staged(findings(tables, fused, sampled=True), "findings") if fused else None
-    report = staged(counts(tables, rules, found), "rule-counts")
+    text = F.col("n_offenders").cast("string")
+    report = staged(counts(tables, rules), "rule-counts")
     failed = {r["name"] for r in report.filter("NOT ok").select("name").collect()}
+    keyed = [r for r in rules if r.name in failed and (r.reference or r.keys)]
     rows = [r for r in rules if r.name in failed and not (r.reference or r.keys or r.on_row_count)]
-    parts = [x for x in (found.filter("shown IS NOT NULL").select("rule", "ord", "shown") if fused else None,
-                         _first_rows(tables, rows) if rows else None) if x is not None]
-    text = F.col("n_offenders").cast("string")
+    parts = [x for x in (_key_samples(tables, rules, keyed) if keyed else None, _first_rows(tables, rows) if rows else None) if x is not None]
     if not parts:
         return report.withColumn("detail", F.when(F.col("ok"), F.lit("no problems")).otherwise(F.concat(text, F.lit(" row(s)"))))
     each = Window.partitionBy("rule").orderBy("ord", "shown")
