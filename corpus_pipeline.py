@@ -2,7 +2,14 @@
 
 Each stage is a function of (spark, docs, sf_dir). ``run`` writes every stage's rows as Parquet
 under the shared work folder and reads them back as the next stage's documents. All stages but the
-last return the columns of ``documents``; the last returns one row per packed piece.
+last return the columns of ``documents``, extra ones included whatever their names; the last returns
+one row per packed piece.
+
+Defined cases: a null or empty text, or one without a letter, goes at the first stage, as do all
+documents if no row is labelled with a language. Of rows with equal texts the one with the smallest
+doc_id stays, a null one only if there is no other; rows that repeat id and text are one. A document
+of fewer than five words is near to none but its equals, which are gone by then. Without benchmark
+items nothing is contaminated. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +26,8 @@ from tessera.llm.packing import pack
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go."""
+    """Documents go whose language cannot be told (no letter), or is told with a score below
+    ``language_id.MIN_SCORE``."""
     return drop_unidentified(spark, docs)
 
 

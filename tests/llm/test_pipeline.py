@@ -69,3 +69,35 @@ def test_packing(stages):
 def test_run(spark, stages):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").drop("ids").collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, stages[5].drop("ids").collect()))
+
+
+def through(spark, docs):
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        out.append(docs)
+    return out
+
+
+def test_defined_cases(spark, docs_of):
+    prose = "once upon a time there was a river that ran slowly past the old mill and on to the sea"
+    rows = [(i, f"{prose} number {i} of many {'so it goes ' * i}", "en", "web", 1) for i in range(12)]
+    rows += [(100, None, "en", None, None), (101, "", "en", None, None), (102, "12 % --", "en", None, None), (103, "two words", None, None, None),
+             (104, rows[3][1], "en", None, None), (3, rows[3][1], "en", "web", 1), (None, rows[5][1], "en", None, None), (None, "no id here", None, None, None),
+             (105, "word " * 30_000, "en", None, None)]
+    wide = "doc_id long, text string, lang string, source string, n_chars long, sha string, _bucket int, row string"
+    docs = docs_of([(*r, "x", 7, "y") for r in rows], wide)
+    stages = through(spark, docs)
+    assert all(df.columns == docs.columns for df in stages[:-1])
+    ids = [sorted((r.doc_id for r in df.select("doc_id").collect()), key=str) for df in stages[:-1]]
+    assert ids[0] == sorted([*range(12), 103, 104, 3, None, None, 105], key=str)
+    assert ids[1] == sorted([*range(12), 103, None, 105], key=str)  # equal texts, and the row that repeats, are one
+    assert set(ids[2]) <= set(ids[1]) and {103, None, 105} <= set(ids[2]) and ids[3] == ids[2]
+    assert {r.doc_id for r in stages[4].select("doc_id").collect()} == set(ids[3])
+
+
+def test_empty_table(spark, docs_of):
+    empty = docs_of([], "doc_id long, text string, lang string, source string, n_chars long, sha string")
+    assert [df.count() for df in through(spark, empty)] == [0] * 5
+    unlabelled = docs_of([(1, "some text", None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.language_id(spark, unlabelled, "/root/testdata/sf0.001").count() == 0
