@@ -47,7 +47,7 @@ SIZE = 24
 ROUNDS = 2
 NOISE, BATCH, RATE = 64, 4096, 0.15
 MIN_COUNT, MEMBERS = 20, 1 << 16
-SLOT_NOISE, SLOT_RATE = 5, 0.05
+SLOT_NOISE, SLOT_RATE = 4, 0.03
 #: Parameters are added up in pieces of so many numbers, each in tasks of its own.
 PIECE = 1 << 16
 END = np.uint64(1)  # the hash of the end token
@@ -244,8 +244,9 @@ class SlotTrainer:
         order = np.argsort(flat, kind="stable")
         own, first = np.unique(flat[order], return_index=True)
         g = np.add.reduceat(grads[order], first, axis=0)
-        self.squares[own] += g * g
-        self.vectors[own] += SLOT_RATE * g / np.sqrt(self.squares[own])
+        squares = self.squares[own] + g * g
+        self.squares[own] = squares
+        self.vectors[own] += SLOT_RATE * g / np.sqrt(squares)
 
 
 class Trainer:
@@ -304,7 +305,7 @@ def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary) -> list[np.nd
             part = TaskContext.get().partitionId()
             vocab = shared.value
             trainer, seen = Trainer(now.value[:4], vocab.unigram, 1000 * turn + part), 0
-            inner = SlotTrainer(now.value[4], vocab, trainer.rng)
+            inner = SlotTrainer(now.value[4], vocab, np.random.default_rng(1000 * turn + part + 500))
             for batch in batches:
                 for h, bucket, doc, _ in token_batches(batch.column(0).to_pylist()):
                     units = vocab.units(h, bucket)
