@@ -46,7 +46,7 @@ TABLE = 1 << 18
 SIZE = 24
 ROUNDS = 2
 NOISE, BATCH, RATE = 64, 4096, 0.15
-MIN_COUNT, MEMBERS = 20, 1 << 16
+MIN_COUNT, MEMBERS = 20, 1 << 12
 SLOT_NOISE, SLOT_RATE = 4, 0.03
 #: Parameters are added up in pieces of so many numbers, each in tasks of its own.
 PIECE = 1 << 16
