@@ -777,7 +777,7 @@ def backfill_dimension(spark, sf_dir):
 def stage_listing(spark, sf_dir):
     """Staged files with size and modification time (rows-only: sizes are not SQL)."""
     path = SI.land_claim_documents(spark, sf_dir)
-    return list_files(spark, path, "*.txt").select("name", "size", "last_modified")
+    return list_files(spark, path, "part-*").select("name", "size", "last_modified")
 
 
 @query("variant_schema_report")
@@ -1106,7 +1106,7 @@ def policy_lookup(spark, sf_dir, policy_number: str = "Customer#000000007"):
 def _repair_landing(spark, sf_dir):
     t = SI.reader(spark, sf_dir)
     path = work_path(spark, "repair")
-    SI.repair_documents(t("orders"), t("lineitem")).write.text(path)
+    SI.write_documents(SI.repair_documents(t("orders"), t("lineitem")), path)
     return read_json_documents(spark, path, outer_array=False)
 
 
