@@ -1,6 +1,6 @@
 """The paths of schema-on-read documents, their types, and how both change from batch to batch.
 
-``paths`` lists every path of every document of a VARIANT column, level by level: the keys of an
+``paths`` lists the paths of every document of a VARIANT column, level by level: the keys of an
 object, and ``[]`` for the elements of an array. ``profile`` counts, for each batch and path, the
 documents that have it and the types seen there. Types form a lattice: VOID (a JSON null) is below
 every type, BIGINT below DECIMAL below DOUBLE, and anything else together is VARIANT; the type of a
@@ -8,8 +8,8 @@ path is the least one above all that were seen, so profiles of parts of a batch
 compares each batch with the one before: paths that are new, gone, or of another type, and the share
 of documents that has them.
 
-A document meets itself only within its task: exploded elements are reduced to one row for each
-document and path before anything is counted, and path and type counts are partial per task.
+A document's paths are listed and made distinct within its own row, so what is moved are counts per
+task of (batch, path, type), however many documents and elements there are.
 """
 
 from __future__ import annotations
@@ -36,32 +36,44 @@ def least_above(types: Column) -> Column:
             .when(F.size(F.array_except(said, numbers)) == 0, highest).otherwise(F.lit("VARIANT")))
 
 
+def _value(path: Column, value: Column) -> Column:
+    return F.struct(path.alias("path"), value.alias("v"), base_type(value).alias("kind"))
+
+
+def _children(x: Column) -> Column:
+    """The values right below one value."""
+    keys = F.map_entries(F.try_variant_get(x["v"], "$", "map<string,variant>"))
+    below = F.concat(x["path"], F.lit("[]"))
+    return (F.when(x["kind"] == "OBJECT", F.transform(keys, lambda e: _value(F.concat(x["path"], F.lit("."), e["key"]), e["value"])))
+            .otherwise(F.transform(F.try_variant_get(x["v"], "$", "array<variant>"), lambda e: _value(below, e))))
+
+
 def paths(documents: DataFrame, column: str, batch: str) -> DataFrame:
-    """(``batch``, ``_doc``, ``path``, ``type``) of every value in every document. The loop over
-    levels ends at the first one without an object or array, however deep that is."""
-    spark = documents.sparkSession
-    level = documents.select(F.col(batch).alias("batch"), F.monotonically_increasing_id().alias("_doc"), F.lit("$").alias("path"),
-                             F.col(column).alias("v")).filter(F.col("v").isNotNull())
-    out = None
-    while True:
-        here = level.select("batch", "_doc", "path", base_type(F.col("v")).alias("type"))
-        out = here if out is None else out.unionByName(here)
-        inner = level.filter(base_type(F.col("v")).isin("OBJECT", "ARRAY"))
-        if inner.isEmpty():
-            return out
-        inner.createOrReplaceTempView("_variant_level")
-        level = spark.sql("""SELECT batch, _doc, CASE WHEN e.key IS NULL THEN path || '[]' ELSE path || '.' || e.key END AS path, e.value AS v
-                             FROM _variant_level, LATERAL variant_explode(v) AS e""")
+    """(``batch``, ``path``, ``type``): a row for each document, path and type, and one without a type
+    for each document and path. The loop over levels ends at the first one without an object or array,
+    however deep that is."""
+    df = documents.filter(F.col(column).isNotNull()).select(F.col(batch).alias("batch"), F.array(_value(F.lit("$"), F.col(column))).alias("level"))
+    levels = []
+    while True:  # type|path: texts are made distinct by hash
+        inner = F.filter("level", lambda x: x["kind"].isin("OBJECT", "ARRAY"))
+        levels.append(f"said{len(levels)}")
+        df = df.withColumn(levels[-1], F.array_distinct(F.transform("level", lambda x: F.concat(x["kind"], F.lit("|"), x["path"]))))
+        if df.filter(F.size(inner) > 0).isEmpty():
+            break
+        df = df.withColumn("level", F.flatten(F.transform(inner, _children)))
+    said = df.select("batch", F.concat(*levels).alias("said"))
+    each = F.concat("said", F.array_distinct(F.transform("said", lambda t: F.substr(t, F.position(F.lit("|"), t)))))
+    one = said.select("batch", F.explode(each).alias("one"))
+    return one.select("batch", F.expr("substr(one, instr(one, '|') + 1)").alias("path"),
+                      F.expr("nullif(substring_index(one, '|', 1), '')").alias("type"))
 
 
 def profile(documents: DataFrame, column: str = "raw", batch: str = "batch_id") -> DataFrame:
     """``batch``, ``path``, ``type``, ``docs`` (documents that have the path), ``share`` of the batch."""
-    each = paths(documents, column, batch).groupBy("batch", "_doc", "path").agg(F.collect_set("type").alias("types"))
+    counts = paths(documents, column, batch).groupBy("batch", "path", "type").agg(F.count("*").alias("n"))
     # A document's types at a path are few; of a batch's they are merged as sets.
-    whole = each.select("batch", "path", "_doc", F.explode("types").alias("type")).groupBy("batch", "path", "type").agg(F.count("*").alias("n"))
-    docs = each.groupBy("batch", "path").agg(F.count("*").alias("docs"))
-    types = whole.groupBy("batch", "path").agg(least_above(F.collect_set("type")).alias("type"))
-    out = docs.join(types, ["batch", "path"])
+    out = counts.groupBy("batch", "path").agg(F.max(F.when(F.col("type").isNull(), F.col("n"))).alias("docs"),
+                                              least_above(F.collect_set("type")).alias("type"))
     total = out.filter("path = '$'").select("batch", F.col("docs").alias("_all"))
     return out.join(total, "batch").select("batch", "path", "type", "docs", (F.col("docs") / F.col("_all")).alias("share"))
 

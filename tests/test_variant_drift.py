@@ -41,3 +41,13 @@ def test_drift_between_batches(spark):
 
 def test_nothing(spark):
     assert V.profile(documents(spark, [[]])).count() == 0 and V.drift(V.profile(documents(spark, [[{"a": 1}]]))).count() == 0
+
+
+def test_documents_are_not_moved(spark):
+    """Only counts are shuffled: no row of a shuffle names a document."""
+    df = V.profile(documents(spark, [[{"a": [{"b": n}, {"b": "x"}]} for n in range(50)], [{"a|b": None, "c": {"d": []}}]]))
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "_doc" not in plan and "partial_count" in plan
+    assert sorted(tuple(r)[:4] for r in df.collect()) == [
+        (0, "$", "OBJECT", 50), (0, "$.a", "ARRAY", 50), (0, "$.a[]", "OBJECT", 50), (0, "$.a[].b", "VARIANT", 50),
+        (1, "$", "OBJECT", 1), (1, "$.a|b", "VOID", 1), (1, "$.c", "OBJECT", 1), (1, "$.c.d", "ARRAY", 1)]
