@@ -926,13 +926,11 @@ def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
     o, li = t("orders"), t("lineitem")
     last = o.agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
 
-    def documents(orders):
-        # Only the items of these claims are grouped into documents (same documents).
-        items = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey",
-                        "left_semi")
-        return SI.claim_documents(orders, items)
+    def documents(orders, name):
+        # Items meet their claims where they are grouped, so items of other claims need no join before.
+        SI.write_documents(SI.claim_documents(orders, li), f"{root}/src/{name}")
 
-    documents(o.where(F.year("o_orderdate") < last)).write.text(f"{root}/src/run1")
+    documents(o.where(F.year("o_orderdate") < last), "run1")
     schema = _schema_name("raw_json")
     from tessera.plans.publish import ensure_database
     ensure_database(spark, schema, root)
@@ -945,7 +943,7 @@ def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
     glob = f"{root}/src/*/"
     r1 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging,
                     incremental=incremental)
-    documents(o.where(F.year("o_orderdate") == last)).write.text(f"{root}/src/run2")
+    documents(o.where(F.year("o_orderdate") == last), "run2")
     r2 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging,
                     incremental=incremental)
     if extra_empty_run:

@@ -215,8 +215,7 @@ def _ledger_runs(spark, sf_dir):
     last = o.agg(F.max(F.year("o_orderdate"))).first()[0]
 
     def documents(name, orders):
-        items = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-        SI.claim_documents(orders, items).write.text(f"{root}/src/{name}")
+        SI.write_documents(SI.claim_documents(orders, li), f"{root}/src/{name}")
 
     def listing(glob="part-*"):
         return lambda: list_files(spark, f"{root}/src", glob)

@@ -53,3 +53,14 @@ def test_join_lists_keeps_every_parent_and_item(spark):
         assert all(r["items"] for r in got if r["name"] in "abe")  # no empty chunk of a claim with items
         assert [r["items"] for r in got if r["name"] in "cd"] == [None, None]
         assert max(len(r["items"] or []) for r in got) == 7 if most == 100 else len(got) > 5
+
+
+def test_array_and_run_landings_are_compressed(spark):
+    from tessera.plans import catalog, catalog_more
+
+    files = catalog_more._array_landing(spark, SF).inputFiles()
+    runs = -(-SI.reader(spark, SF)("orders").count() // catalog_more.ARRAY_CLAIMS)
+    assert len(files) == runs and all(f.endswith(".txt.lz4") for f in files)
+    root, _ = catalog._two_runs(spark, SF, incremental=True)
+    names = [r["name"] for r in list_files(spark, f"{root}/src", "part-*").collect()]
+    assert names and all(n.endswith(".txt.lz4") for n in names)
