@@ -19,6 +19,11 @@ The pieces of a bill are then followed in order, one lookup or short fold each,
 piece its incoming balance; with it all pieces are folded at the same time. A task holds the amounts
 of one piece, or the summaries of one bill, whatever the bill's payments do: settle it early, never,
 or only cover its surcharges.
+
+A payment after which the balance would not fit its column is refused, and the balance stays. That
+can only happen in pieces whose incoming balance is above ``high``. Such a piece refuses all of its
+payments if the balance would outgrow the column even with the largest of them; else that one piece
+is folded by a job of its own before its bill is followed further.
 """
 
 from __future__ import annotations
@@ -40,6 +45,12 @@ def step(balance, rate: int, amount: int):
     return surcharge, max(balance + surcharge - amount, 0)
 
 
+def step_or_refuse(balance, rate: int, amount: int, largest: int):
+    """(surcharge, new balance, refused): a payment that leaves more than ``largest`` changes nothing."""
+    surcharge, after = step(balance, rate, amount)
+    return (surcharge, balance, True) if after > largest else (surcharge, after, False)
+
+
 def largest_before(after: int, rate: int) -> int:
     """The largest balance that with its surcharge is at most ``after``."""
     return (1000 * after + 499) // (1000 + rate)
@@ -59,9 +70,9 @@ def widest(rate: int) -> int:
     return max(256, 4 * (1000 // max(rate, 1) + 1))
 
 
-def summary(amounts: list[int], rate: int) -> tuple[int, int, list[int] | None, list[int] | None]:
+def summary(amounts: list[int], rate: int, largest: int = LARGEST) -> tuple[int, int, list[int] | None, list[int] | None]:
     """(low, high, balances after the stretch of low + 1 .. high, or else the amounts)."""
-    low, high = bounds(amounts, rate)
+    low, high = bounds(amounts, rate, largest)
     if high - low > widest(rate):
         return low, high, None, amounts
     b = np.arange(low + 1, high + 1, dtype=np.int64)
@@ -83,6 +94,13 @@ def follow(balance: int, low: int, high: int, outs: list[int] | None, amounts: l
     return balance
 
 
+def end_with_refusals(balance: int, amounts, rate: int, largest: int) -> int:
+    """The balance after a stretch of payments of which some may be refused."""
+    for a in amounts:
+        _, balance, _ = step_or_refuse(balance, rate, int(a), largest)
+    return balance
+
+
 def _runs(keys: list[np.ndarray]) -> list[tuple[int, int]]:
     """(first, end) of every run of equal keys."""
     n = len(keys[0])
@@ -95,8 +113,9 @@ def _runs(keys: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def fold_in_pieces(rows: DataFrame, bill_key: str, order_cols: list[str], cols: list[str], n_partitions: int,
-                   stage_path: str) -> DataFrame:
-    """``cols`` of ``rows`` with ``seq``, ``_surcharge_c``, ``_balance_c``. ``rows`` also has
+                   stage_path: str, largest: int = LARGEST) -> DataFrame:
+    """``cols`` of ``rows`` with ``seq``, ``_surcharge_c``, ``_balance_c`` and ``_refused`` (the new
+    balance would be above ``largest`` cents). ``rows`` also has
     ``_amount_c``, ``_start_c`` (cents) and ``_rate_m`` (thousandths); rates and starts are of the
     bill. Pieces, like their summaries, are staged: a lost task repeats its own piece only."""
     spark, piece = rows.sparkSession, [bill_key, "_pid"]
@@ -105,49 +124,84 @@ def fold_in_pieces(rows: DataFrame, bill_key: str, order_cols: list[str], cols:
     pieces = spark.read.parquet(f"{stage_path}/pieces")
     kind = dict(rows.dtypes)[bill_key]
 
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, amounts, start, rate = None, [], 0, 0
-
-        def done() -> tuple:
-            low, high, outs, kept = summary(amounts, rate)
-            return (*key, len(amounts), start, rate, low, high, outs, kept)
-
-        names = [bill_key, "_pid", "n", "start", "rate", "low", "high", "outs", "amounts"]
+    def by_piece(batches: Iterator[pd.DataFrame], done, names: list[str], last: str) -> Iterator[pd.DataFrame]:
+        """``done(key, amounts, last, rate)`` of each piece's amounts in order."""
+        key, amounts, of_bill, rate = None, [], 0, 0
         for pdf in batches:
             out = []
             bill, pid = pdf[bill_key].to_numpy(), pdf["_pid"].to_numpy()
             for first, end in _runs([bill, pid]):
                 if key != (bill[first], pid[first]):
-                    out += [done()] if key is not None else []
+                    out += [done(key, amounts, of_bill, rate)] if key is not None else []
                     key, amounts = (bill[first], pid[first]), []
-                    start, rate = int(pdf["_start_c"].iloc[first]), int(pdf["_rate_m"].iloc[first])
+                    of_bill, rate = int(pdf[last].iloc[first]), int(pdf["_rate_m"].iloc[first])
                 amounts += pdf["_amount_c"].iloc[first:end].tolist()
             yield pd.DataFrame(out, columns=names)
         if key is not None:
-            yield pd.DataFrame([done()], columns=names)
+            yield pd.DataFrame([done(key, amounts, of_bill, rate)], columns=names)
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(key, amounts, start, rate) -> tuple:
+            low, high, outs, kept = summary(amounts, rate, largest)
+            return (*key, len(amounts), start, rate, low, high, max(amounts), outs, kept)
+
+        return by_piece(batches, done, [bill_key, "_pid", "n", "start", "rate", "low", "high", "most", "outs", "amounts"], "_start_c")
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(key, amounts, balance, rate) -> tuple:
+            return (*key, end_with_refusals(balance, amounts, rate, largest))
+
+        return by_piece(batches, done, [bill_key, "_pid", "end"], "_in")
 
     def incoming(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_pid")
         balance, before, out = None, 0, []
         for r in pdf.itertuples(index=False):
             balance = int(r.start) if balance is None else balance
-            out.append((r[0], r[1], balance, before))
+            rate, above = int(r.rate), balance > int(r.high)
+            stuck = above and balance > largest_before(largest + int(r.most), rate)
+            open_ = above and not stuck and r.amounts is None and pd.isna(r.end)
+            out.append((r[0], r[1], balance, before, open_))
+            if open_:
+                break
             before += int(r.n)
-            balance = follow(balance, int(r.low), int(r.high), r.outs, r.amounts, int(r.rate))
-        return pd.DataFrame(out, columns=[bill_key, "_pid", "_in", "_before"])
-
-    sums = (pieces.select(*piece, *[c for c in order_cols if c not in piece], "_amount_c", "_start_c", "_rate_m")
-            .repartition(n_partitions, *piece).sortWithinPartitions(*piece, *order_cols)
-            .mapInPandas(summarise, f"`{bill_key}` {kind}, _pid int, n long, start long, rate long, low long, high long, "
-                                    "outs array<long>, amounts array<long>"))
-    (sums.groupBy(bill_key).applyInPandas(incoming, f"`{bill_key}` {kind}, _pid int, _in long, _before long")
-     .write.mode("overwrite").parquet(f"{stage_path}/incoming"))
-    begun = pieces.join(spark.read.parquet(f"{stage_path}/incoming"), piece)
+            if not above:
+                balance = follow(balance, int(r.low), int(r.high), r.outs, r.amounts, rate)
+            elif not stuck:
+                balance = int(r.end) if r.amounts is None else end_with_refusals(balance, r.amounts, rate, largest)
+        return pd.DataFrame(out, columns=[bill_key, "_pid", "_in", "_before", "_open"])
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.repartition(n_partitions, *piece).sortWithinPartitions(*piece, *order_cols)
+
+    needed = [*piece, *[c for c in order_cols if c not in piece], "_amount_c", "_start_c", "_rate_m"]
+    (in_order(pieces.select(*needed)).mapInPandas(
+        summarise, f"`{bill_key}` {kind}, _pid int, n long, start long, rate long, low long, high long, most long, "
+                   "outs array<long>, amounts array<long>")
+     .write.mode("overwrite").parquet(f"{stage_path}/sums"))
+    sums = spark.read.parquet(f"{stage_path}/sums")
+    ended = sums.select(*piece, F.lit(None).cast("long").alias("end")).where(F.lit(False))
+    found: list[str] = []
+    while True:
+        path = f"{stage_path}/incoming-{len(found)}"
+        (sums.join(ended, piece, "left").groupBy(bill_key)
+         .applyInPandas(incoming, f"`{bill_key}` {kind}, _pid int, _in long, _before long, _open boolean")
+         .write.mode("overwrite").parquet(path))
+        begins = spark.read.parquet(path)
+        to_fold = begins.where("_open").select(*piece, "_in")
+        if to_fold.isEmpty():
+            break
+        # Rare: one piece of each bill that goes on above ``high`` and is not refused whole.
+        found.append(f"{stage_path}/ends-{len(found)}")
+        (in_order(pieces.select(*needed).join(to_fold, piece)).mapInPandas(ends, f"`{bill_key}` {kind}, _pid int, end long")
+         .write.mode("overwrite").parquet(found[-1]))
+        ended = spark.read.schema(ended.schema).parquet(*found)
+    begun = pieces.join(begins.drop("_open"), piece)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, balance, seq = None, 0, 0
         for pdf in batches:
-            surcharges, balances, seqs = [], [], []
+            surcharges, balances, seqs, refusals = [], [], [], []
             bill, pid = pdf[bill_key].to_numpy(), pdf["_pid"].to_numpy()
             for first, end in _runs([bill, pid]):
                 if key != (bill[first], pid[first]):
@@ -155,18 +209,19 @@ def fold_in_pieces(rows: DataFrame, bill_key: str, order_cols: list[str], cols:
                     balance, seq = int(pdf["_in"].iloc[first]), int(pdf["_before"].iloc[first])
                 rate = int(pdf["_rate_m"].iloc[first])
                 for a in pdf["_amount_c"].iloc[first:end].tolist():
-                    s, balance = step(balance, rate, a)
+                    s, balance, refused = step_or_refuse(balance, rate, a, largest)
                     seq += 1
+                    refusals.append(refused)
                     surcharges.append(s)
                     balances.append(balance)
                     seqs.append(seq)
             yield pdf[cols].assign(seq=pd.Series(seqs, dtype="int64", index=pdf.index),
                                    _surcharge_c=pd.Series(surcharges, dtype="int64", index=pdf.index),
-                                   _balance_c=pd.Series(balances, dtype="int64", index=pdf.index))
+                                   _balance_c=pd.Series(balances, dtype="int64", index=pdf.index),
+                                   _refused=pd.Series(refusals, dtype="bool", index=pdf.index))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*cols).schema.fields)
-    return (begun.repartition(n_partitions, *piece).sortWithinPartitions(*piece, *order_cols)
-            .mapInPandas(fold, f"{fields}, seq bigint, _surcharge_c bigint, _balance_c bigint"))
+    return in_order(begun).mapInPandas(fold, f"{fields}, seq bigint, _surcharge_c bigint, _balance_c bigint, _refused boolean")
 
 
 def money(cents: str, kind: str) -> Column:

@@ -8,6 +8,8 @@ edit-log row with the next id and a formatted text is appended.
 Plan:
 1. payments LEFT JOIN bills on the bill id (one shuffle; AQE splits a skewed bill). Unknown
    bill, amount <= 0, NULL or negative balance, or a method longer than 20 characters -> rejects.
+   So does, in the fold, a payment after which the balance would not fit its column (the bill keeps
+   the balance it had, as where each payment is a call of its own that fails).
 2. Payments of one bill depend on each other (the surcharge applies to the running balance), so
    they are folded in order. Bills with at most ``max_fold`` payments: ``aggregate()`` over the
    bill's sorted payment array (JVM higher-order function, bounded array). Bills with more
@@ -30,9 +32,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.scalars import late_fee_rate
-from tessera.operators.balance_pieces import fold_in_pieces, money
+from tessera.operators.balance_pieces import LARGEST, fold_in_pieces, money
 from tessera.session import work_path
 
 # ---------------------------------------------------------------------------------------------
@@ -45,6 +48,12 @@ METHOD_MAX_LENGTH = 20
 
 BAL = "decimal(12,2)"
 DEFAULT_MAX_FOLD = 1000
+REFUSED = "_refused"
+
+
+def largest_balance(kind: T.DataType) -> int:
+    """The largest balance in cents that a column of this type takes, and the fold can hold."""
+    return min(10 ** (kind.precision - kind.scale + 2) - 1, LARGEST) if isinstance(kind, T.DecimalType) else LARGEST
 
 
 def _dec(c: Column) -> Column:
@@ -79,22 +88,24 @@ def validate(payments: DataFrame, bills: DataFrame, *, bill_key: str = "bill_id"
 
 
 def _fold_small(valid: DataFrame, bill_key: str, order_cols: list[str],
-                pay_cols: list[str]) -> DataFrame:
+                pay_cols: list[str], largest: int = LARGEST) -> DataFrame:
     """aggregate() over the sorted payment array of each bill -> one row per payment."""
     item = F.struct(*[F.col(c) for c in order_cols + [c for c in pay_cols if c not in order_cols]])
     grouped = valid.groupBy(bill_key).agg(
         F.array_sort(F.collect_list(item)).alias("_ps"),
         F.max("_start_balance").alias("_start_balance"),
         F.max("_rate").alias("_rate"))
-    step_type = f"array<struct<surcharge:{BAL},new_balance:{BAL}>>"
+    step_type = f"array<struct<surcharge:{BAL},new_balance:{BAL},{REFUSED}:boolean>>"
     init = F.struct(_dec(F.col("_start_balance")).alias("bal"),
                     F.array().cast(step_type).alias("out"))
 
     def merge(acc, p):
         s = _dec(F.round(acc["bal"] * F.col("_rate"), 2))
-        nb = _dec(F.greatest(acc["bal"] + s - p["amount"], F.lit(0)))
+        after = F.greatest(acc["bal"] + s - p["amount"], F.lit(0))
+        refused = after > F.lit(Decimal(largest) / 100)
+        nb = _dec(F.when(refused, acc["bal"]).otherwise(after))
         return F.struct(nb.alias("bal"), F.concat(acc["out"], F.array(F.struct(
-            s.alias("surcharge"), nb.alias("new_balance")))).alias("out"))
+            s.alias("surcharge"), nb.alias("new_balance"), refused.alias(REFUSED)))).alias("out"))
 
     folded = grouped.select(bill_key, "_ps", F.aggregate("_ps", init, merge)["out"].alias("_out"))
     z = folded.select(bill_key, F.posexplode(F.arrays_zip("_ps", "_out")).alias("pos", "z"))
@@ -102,11 +113,11 @@ def _fold_small(valid: DataFrame, bill_key: str, order_cols: list[str],
                     *[F.col("z._ps")[c].alias(c) for c in order_cols
                       + [c for c in pay_cols if c not in order_cols]],
                     F.col("z._out.surcharge").alias("surcharge"),
-                    F.col("z._out.new_balance").alias("new_balance"))
+                    F.col("z._out.new_balance").alias("new_balance"), F.col(f"z._out.{REFUSED}").alias(REFUSED))
 
 
 def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols: list[str],
-              n_partitions: int, stage_path: str) -> DataFrame:
+              n_partitions: int, stage_path: str, largest: int = LARGEST) -> DataFrame:
     """Exact fold of bills with many payments, over range pieces of a bill at the same time (see
     ``balance_pieces``). Money crosses into Python as integer cents and the rate as integer
     thousandths, so the loop is plain integer arithmetic; Spark converts back to decimals (exact)
@@ -115,8 +126,8 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
     src = valid.select(*cols, (F.col("amount") * 100).cast("bigint").alias("_amount_c"),
                        (F.col("_start_balance") * 100).cast("bigint").alias("_start_c"),
                        (F.col("_rate") * 1000).cast("bigint").alias("_rate_m"))
-    return fold_in_pieces(src, bill_key, order_cols, cols, n_partitions, stage_path).select(
-        *cols, "seq", money("_surcharge_c", BAL).alias("surcharge"), money("_balance_c", BAL).alias("new_balance"))
+    return fold_in_pieces(src, bill_key, order_cols, cols, n_partitions, stage_path, largest).select(
+        *cols, "seq", money("_surcharge_c", BAL).alias("surcharge"), money("_balance_c", BAL).alias("new_balance"), REFUSED)
 
 
 def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Column,
@@ -169,7 +180,7 @@ def _fold_hot_prefix(valid: DataFrame, bill_key: str, order_cols: list[str],
                        F.col("amount"), n_partitions, stage_path)
     return pos.select(*cols, "seq", F.lit(0).cast(BAL).alias("surcharge"),
                       _dec(F.greatest(_dec(F.col("_start_balance")) - F.col("_run"), F.lit(0)))
-                      .alias("new_balance"))
+                      .alias("new_balance"), F.lit(False).alias(REFUSED))
 
 
 # Soundness margin of the zero certificate (relative and absolute). Its terms are positive
@@ -185,7 +196,8 @@ def _split_hot_overdue(hot: DataFrame, bill_key: str, order_cols: list[str],
     """Hot overdue bills: (rows that need the sequential fold, rows settled in parallel).
 
     One step is b -> max(b + round(b*r, 2) - a, 0). It is monotone in b, and 0 stays 0 (the
-    surcharge on 0 is 0 and every valid amount is positive). With v_0 = start and
+    surcharge on 0 is 0 and every valid amount is positive; a refused payment leaves b below what
+    the step would give, so the bound holds). With v_0 = start and
     v_m = (1+r) v_(m-1) + 0.005 - a_m, induction gives b_m <= max(v_m, 0); so b_t = 0 from
     the first t where v_t <= 0, i.e. where sum_(m<=t) (1+r)^-m (a_m - 0.005) >= start. That
     discounted running sum is a distributed prefix sum. Payments after the first certified t
@@ -209,22 +221,24 @@ def _split_hot_overdue(hot: DataFrame, bill_key: str, order_cols: list[str],
     staged = hot.sparkSession.read.parquet(f"{stage_path}/split")
     sequential = staged.where(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut")))
     settled = staged.where(F.col("seq") > F.col("_cut")).select(
-        *cols, "seq", F.lit(0).cast(BAL).alias("surcharge"), F.lit(0).cast(BAL).alias("new_balance"))
+        *cols, "seq", F.lit(0).cast(BAL).alias("surcharge"), F.lit(0).cast(BAL).alias("new_balance"),
+        F.lit(False).alias(REFUSED))
     return sequential.drop("seq", "_cut"), settled
 
 
 def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
                   pay_cols: list[str], max_fold: int = DEFAULT_MAX_FOLD,
                   hot_partitions: int | None = None, has_hot: bool = True,
-                  stage_path: str | None = None) -> DataFrame:
-    """One row per valid payment with seq, surcharge and new_balance (all paths exact).
+                  stage_path: str | None = None, largest: int = LARGEST) -> DataFrame:
+    """One row per valid payment with seq, surcharge, new_balance and whether it is refused, as the
+    new balance would be above ``largest`` cents (all paths exact).
     ``has_hot=False`` (no bill above ``max_fold`` payments) leaves the hot paths out of the
     plan. Hot bills that are not overdue use the distributed prefix sum. Hot overdue bills
     (the surcharge compounds on the rounded running balance, a sequential recurrence) are
     split at the first payment after which the balance is certified zero: the rest is settled
     in parallel, the head is folded in range pieces (``balance_pieces``)."""
     if not has_hot:
-        return _fold_small(valid, bill_key, order_cols, pay_cols)
+        return _fold_small(valid, bill_key, order_cols, pay_cols, largest)
     spark = valid.sparkSession
     if HOT not in valid.columns:
         valid = valid.join(hot_bills(valid, bill_key, max_fold), bill_key, "left")
@@ -234,7 +248,7 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     # validation join, and no grouping by bill stands directly on that join.
     valid.write.mode("overwrite").parquet(f"{stage}/rows")
     staged = spark.read.parquet(f"{stage}/rows")
-    small = _fold_small(staged.where(F.col(HOT).isNull()), bill_key, order_cols, pay_cols)
+    small = _fold_small(staged.where(F.col(HOT).isNull()), bill_key, order_cols, pay_cols, largest)
     hot = staged.where(F.col(HOT)).drop(HOT)
     # Which hot branches have rows (one small aggregate over the staged rows): an empty
     # branch would still run its own staging jobs.
@@ -247,7 +261,7 @@ def fold_payments(valid: DataFrame, *, bill_key: str, order_cols: list[str],
     if kinds["overdue"]:
         head, settled = _split_hot_overdue(hot.where(F.col("_rate") > 0), bill_key, order_cols,
                                            pay_cols, n, f"{stage}/overdue")
-        out = (out.unionByName(_fold_hot(head, bill_key, order_cols, pay_cols, n, f"{stage}/head"))
+        out = (out.unionByName(_fold_hot(head, bill_key, order_cols, pay_cols, n, f"{stage}/head", largest))
                .unionByName(settled))
     return out
 
@@ -408,8 +422,12 @@ def apply_payments(spark: SparkSession, bills: DataFrame, payments: DataFrame,
     pay_cols = [c for c in payments.columns if c != bill_key] + ["policy_id", "days_late"]
     applied = fold_payments(valid, bill_key=bill_key, order_cols=order, pay_cols=pay_cols,
                             max_fold=max_fold, hot_partitions=hot_partitions, has_hot=hot,
-                            stage_path=f"{stage}/hot")
+                            stage_path=f"{stage}/hot", largest=largest_balance(bills.schema["balance"].dataType))
     applied.write.mode("overwrite").parquet(f"{stage}/applied")
-    applied = spark.read.parquet(f"{stage}/applied")
+    folded = spark.read.parquet(f"{stage}/applied")
+    applied = folded.where(~F.col(REFUSED)).drop(REFUSED)
+    rejects = rejects.unionByName(folded.where(REFUSED).select(
+        *[F.col(c).cast(payments.schema[c].dataType).alias(c) for c in payments.columns],
+        F.lit("new balance does not fit the balance column").alias("reject_reason")))
     return PaymentRun(spark, bills, payments, edit_log, rejects, applied, bill_key, order,
                       as_of_col, edited, set_paid_date, stage)

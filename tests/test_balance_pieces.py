@@ -87,3 +87,31 @@ def test_hot_bills_equal_the_plain_fold(spark, tmp_path, pieces):
             want[bill, i] = (seq, Decimal(s) / 100, Decimal(balance) / 100)
     assert got == want
     assert run.applied.where("bill_id = 1").agg(F.min("new_balance")).first()[0] > 0
+
+
+@pytest.mark.parametrize("pieces", [2, 40])
+def test_payments_that_outgrow_the_column_are_refused(spark, tmp_path, pieces):
+    """One long overdue bill whose payments stay below the surcharges, with two large payments in
+    between, a long one whose payments just cover them and a short one: a payment that leaves more than
+    decimal(10,2) holds goes to the rejects, the bill keeps its balance, and the batch goes on."""
+    bills, largest = [(1, 5_000_000), (2, 4_000_000), (3, 9_500_000_000)], 10**10 - 1
+    amounts = {1: [499_000 + i % 7 for i in range(9000)], 2: [400_000] * 200, 3: [100, 960_000_000, 1]}
+    amounts[1][2500] = amounts[1][4100] = 9_900_000_000
+    rng, pays, want, refused = random.Random(5), [], {}, set()
+    for bill, balance in bills:
+        for i, a in enumerate(amounts[bill]):
+            pays.append((i, bill, Decimal(a) / 100, "cash", "c"))
+            s, balance, no = B.step_or_refuse(balance, 100, a, largest)
+            refused |= {(bill, i)} if no else set()
+            want |= {} if no else {(bill, i): (Decimal(s) / 100, Decimal(balance) / 100)}
+    rng.shuffle(pays)
+    assert {b for b, _ in refused} == {1, 3} and {i for b, i in want if b == 1 and i > 2400} >= {2500, 4100}
+    b = spark.createDataFrame([(i, 10, dt.date(2026, 1, 1), Decimal(x) / 100, "Pending", None) for i, x in bills], BILLS)
+    p = spark.createDataFrame(pays, "payment_id bigint, bill_id bigint, amount decimal(10,2), payment_method string, edited_by string").repartition(5)
+    run = apply_payments(spark, b, p, spark.createDataFrame([], LOG), as_of="2026-08-08", edited_at="2026-08-08 09:00:00",
+                         max_fold=50, hot_partitions=pieces, stage_path=str(tmp_path / "stage"))
+    assert {(r["bill_id"], r["payment_id"]): (r["surcharge"], r["new_balance"]) for r in run.applied.collect()} == want
+    assert {(r["bill_id"], r["payment_id"]) for r in run.rejects.collect()} == refused
+    last = {bill: want[max(k for k in want if k[0] == bill)][1] for bill, _ in bills}
+    assert {r["id"]: r["balance"] for r in run.bills.collect()} == last
+    assert run.log.count() == len(want)
