@@ -131,10 +131,9 @@ def _fold_hot(valid: DataFrame, bill_key: str, order_cols: list[str], pay_cols:
 
 
 def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Column,
-                 n_partitions: int, stage_path: str, base: str | None = None) -> DataFrame:
+                 n_partitions: int, stage_path: str) -> DataFrame:
     """Adds ``seq`` (1-based position of each row in its bill's payment order) and ``_run``
-    (running sum of ``value`` up to the row; with ``base``, the term at position m is weighted
-    by base^-m). Rows are range-partitioned by (bill, payment order), so a hot bill spreads
+    (running sum of ``value`` up to the row). Rows are range-partitioned by (bill, payment order), so a hot bill spreads
     over many tasks: positions and sums are taken inside each (bill, partition) piece, then
     shifted by the totals of the bill's earlier pieces (one row per piece). The piece id is
     staged with the rows: the rows and the piece totals are two branches, and two separately
@@ -146,29 +145,17 @@ def _bill_prefix(df: DataFrame, bill_key: str, order_cols: list[str], value: Col
     ranged = df.sparkSession.read.parquet(stage_path)
     piece = Window.partitionBy(bill_key, "_pid").orderBy(*order_cols)
     local = ranged.withColumn("_lrn", F.row_number().over(piece).cast("bigint"))
-    term = F.col("_v") if base is None else F.col("_v") * F.pow(F.col(base), -F.col("_lrn"))
-    local = local.withColumn("_lsum", F.sum(term).over(
+    local = local.withColumn("_lsum", F.sum("_v").over(
         piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     totals = local.groupBy(bill_key, "_pid").agg(
-        F.max("_lrn").alias("_pcnt"), F.max_by("_lsum", "_lrn").alias("_psum"),
-        *([F.max(base).alias(base)] if base else []))
+        F.max("_lrn").alias("_pcnt"), F.max_by("_lsum", "_lrn").alias("_psum"))
     before = Window.partitionBy(bill_key).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_ocnt", F.coalesce(F.sum("_pcnt").over(before), F.lit(0)))
-    shifted = (F.col("_psum") if base is None
-               else F.col("_psum") * F.pow(F.col(base), -F.col("_ocnt")))
-    offsets = offsets.withColumn("_osum", F.coalesce(F.sum(shifted).over(before), F.lit(0)))
+    offsets = (totals.withColumn("_ocnt", F.coalesce(F.sum("_pcnt").over(before), F.lit(0)))
+               .withColumn("_osum", F.coalesce(F.sum("_psum").over(before), F.lit(0))))
     j = local.join(offsets.select(bill_key, "_pid", "_ocnt", "_osum"), [bill_key, "_pid"])
-    run = F.col("_osum") + (F.col("_lsum") if base is None
-                            else F.col("_lsum") * F.pow(F.col(base), -F.col("_ocnt")))
-    return j.select(*df.columns, "_pid",
-                    (F.col("_ocnt") + F.col("_lrn")).cast("bigint").alias("seq"),
-                    run.alias("_run"))
-
-
-def _pieces(positioned: DataFrame, bill_key: str) -> DataFrame:
-    """One row per (bill, piece) of a ``_bill_prefix`` result (partial aggregation)."""
-    return positioned.groupBy(bill_key, "_pid").agg(F.count(F.lit(1)).alias("_rows"))
+    return j.select(*df.columns, (F.col("_ocnt") + F.col("_lrn")).cast("bigint").alias("seq"),
+                    (F.col("_osum") + F.col("_lsum")).alias("_run"))
 
 
 def _fold_hot_prefix(valid: DataFrame, bill_key: str, order_cols: list[str],
@@ -200,27 +187,52 @@ def _split_hot_overdue(hot: DataFrame, bill_key: str, order_cols: list[str],
     the step would give, so the bound holds). With v_0 = start and
     v_m = (1+r) v_(m-1) + 0.005 - a_m, induction gives b_m <= max(v_m, 0); so b_t = 0 from
     the first t where v_t <= 0, i.e. where sum_(m<=t) (1+r)^-m (a_m - 0.005) >= start. That
-    discounted running sum is a distributed prefix sum. Payments after the first certified t
-    have surcharge 0 and balance 0; only payments up to t are folded. A bill whose payments
+    discounted running sum grows with every payment, so the sums of whole range pieces tell the
+    piece of the first certified t, and only the rows of that piece need running sums. Payments
+    after t have surcharge 0 and balance 0; only payments up to t are folded. A bill whose payments
     never certify zero (they only cover the surcharge) is folded whole, in pieces.
-    The positions and the cut are staged once, so both branches see the same split."""
+    Rows are staged in order with their place in their partition, and meet what is known of their
+    piece (one row a piece: at most one for each ``max_fold`` payments and one a partition) by a
+    broadcast, so they are moved once. Both branches read the same staged rows and cuts."""
     cols = [bill_key] + order_cols + [c for c in pay_cols if c not in order_cols]
-    df = hot.select(*cols, "_start_balance", "_rate").withColumn(
-        "_base", (F.lit(1) + F.col("_rate")).cast("double"))
-    pos = _bill_prefix(df, bill_key, order_cols,
-                       (F.col("amount") - F.lit(Decimal("0.005"))).cast("double"),
-                       n_partitions, f"{stage_path}/ranged", base="_base")
-    certified = (F.col("_run") >= F.col("_start_balance").cast("double") * (1 + ZERO_CERT_REL)
-                 + ZERO_CERT_ABS)
-    cut = pos.where(certified).groupBy(bill_key).agg(F.min("seq").alias("_cut"))
-    # The cut goes to the pieces (one row each), and rows meet it on (bill, piece): the rows
-    # are already partitioned that way, so a hot bill is not gathered into one task here.
-    piece_cut = _pieces(pos, bill_key).join(cut, bill_key, "left").drop("_rows")
-    (pos.drop("_run", "_base").join(piece_cut, [bill_key, "_pid"], "left").drop("_pid")
-     .write.mode("overwrite").parquet(f"{stage_path}/split"))
-    staged = hot.sparkSession.read.parquet(f"{stage_path}/split")
-    sequential = staged.where(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut")))
-    settled = staged.where(F.col("seq") > F.col("_cut")).select(
+    spark, piece = hot.sparkSession, [bill_key, "_pid"]
+    (hot.select(*cols, "_start_balance", "_rate").repartitionByRange(n_partitions, bill_key, *order_cols)
+     .sortWithinPartitions(bill_key, *order_cols).withColumn("_mid", F.monotonically_increasing_id())
+     .withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_at", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+     .drop("_mid").write.mode("overwrite").parquet(f"{stage_path}/ranged"))
+    ranged = spark.read.parquet(f"{stage_path}/ranged")
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{stage_path}/{name}")
+        return spark.read.parquet(f"{stage_path}/{name}")
+
+    # Discounted by the place in the piece; the pieces before it discount the whole piece once more.
+    term = (F.col("amount") - F.lit(Decimal("0.005"))).cast("double") * F.pow(F.col("_base"), F.col("_first") - F.col("_at") - 1)
+    begins = staged(ranged.groupBy(*piece).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"), F.max("_start_balance").cast("double").alias("_start"),
+        (F.lit(1) + F.max("_rate")).cast("double").alias("_base")), "begins")
+    sums = ranged.select(*piece, "_at", "amount").join(F.broadcast(begins), piece).groupBy(*piece).agg(F.sum(term).alias("_psum"))
+    before = Window.partitionBy(bill_key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.pow(F.col("_base"), -F.col("_ocnt"))
+    enough = F.col("_start") * (1 + ZERO_CERT_REL) + ZERO_CERT_ABS
+    pieces = staged(
+        begins.join(sums, piece).withColumn("_ocnt", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .withColumn("_osum", F.coalesce(F.sum(F.col("_psum") * shift).over(before), F.lit(0.0)))
+        .withColumn("_certified", F.col("_osum") + F.col("_psum") * shift >= enough)
+        .withColumn("_cut_pid", F.min(F.when(F.col("_certified"), F.col("_pid"))).over(Window.partitionBy(bill_key))), "pieces")
+    cut_pieces = pieces.where(F.col("_pid") == F.col("_cut_pid"))
+    running = F.sum(term).over(Window.partitionBy(*piece).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seq = (F.col("_ocnt") + F.col("_at") - F.col("_first") + 1).cast("bigint")
+    first = (ranged.select(*piece, "_at", "amount").join(F.broadcast(cut_pieces), piece)
+             .withColumn("_run", F.col("_osum") + running * shift).where(F.col("_run") >= enough)
+             .groupBy(bill_key).agg(F.min(seq).alias("_cut")))
+    # A piece that is certified by its sum is so at its last payment at the latest.
+    cuts = staged(cut_pieces.select(bill_key, (F.col("_ocnt") + F.col("_rows")).alias("_end")).join(first, bill_key, "left")
+                  .select(bill_key, F.coalesce("_cut", "_end").alias("_cut")), "cuts")
+    known = pieces.join(cuts, bill_key, "left").select(*piece, "_first", "_ocnt", "_cut")
+    split = ranged.join(F.broadcast(known), piece).withColumn("seq", seq).drop("_pid", "_at", "_first", "_ocnt")
+    sequential = split.where(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut")))
+    settled = split.where(F.col("seq") > F.col("_cut")).select(
         *cols, "seq", F.lit(0).cast(BAL).alias("surcharge"), F.lit(0).cast(BAL).alias("new_balance"),
         F.lit(False).alias(REFUSED))
     return sequential.drop("seq", "_cut"), settled
@@ -345,15 +357,18 @@ class PaymentRun:
     def log_with_keys(self) -> DataFrame:
         if self._log is None:
             k = self._bill_key
-            rows = self.applied.select(
+            # Typed columns are moved and staged, which are small; the texts are made after that.
+            rows = self.applied.select(k, "seq", "policy_id", "amount", "payment_method", "surcharge",
+                                       "days_late", "new_balance", "edited_by")
+            base = self._edit_log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+            numbered = assign_ids(self._spark, rows, [k, "seq"], int(base),
+                                  stage_path=f"{self._stage}/log")
+            self._log = numbered.select(
                 F.col(k), F.col("seq"), F.col("policy_id"),
                 F.lit(LOG_TABLE_NAME).alias("edited_table_name"), self._edited.alias("edited_date"),
                 _log_text(F.col("amount"), F.col("payment_method"), F.col("surcharge"),
                           F.col("days_late"), F.col("new_balance")).alias("additional_info"),
-                F.col("edited_by"))
-            base = self._edit_log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-            self._log = assign_ids(self._spark, rows, [k, "seq"], int(base),
-                                   stage_path=f"{self._stage}/log")
+                F.col("edited_by"), F.col("id"))
         return self._log
 
     @property

@@ -160,3 +160,23 @@ def test_publish_bills_and_log_from_their_own_tables(spark, tmp_path):
     bills = {b["id"]: (b["balance"], b["status"]) for b in spark.table("pay_pub.bill").collect()}
     assert bills == {141: (d("234.88"), "Pending"), 142: (d("0.00"), "Paid")}
     assert sorted(x["id"] for x in spark.table("pay_pub.policy_edit_log").collect()) == [63, 64, 65]
+
+
+def test_overdue_split_moves_rows_once(spark, tmp_path):
+    """The rows of a hot overdue bill are moved once, to be put in order; the cut, found by the sums of
+    pieces, is the first payment at which the discounted sum reaches the start."""
+    from tessera.operators.payments import _split_hot_overdue
+
+    amounts = [Decimal("0.50") + Decimal(i % 9) / 100 for i in range(2000)]
+    rows = spark.createDataFrame([(1, i, a, Decimal("20.00"), Decimal("0.020")) for i, a in enumerate(amounts)]
+                                 + [(2, i, Decimal("0.30"), Decimal("20.00"), Decimal("0.020")) for i in range(2000)],
+                                 "bill_id bigint, n int, amount decimal(12,2), _start_balance decimal(12,2), _rate decimal(4,3)")
+    head, settled = _split_hot_overdue(rows.repartition(3), "bill_id", ["n"], ["amount"], 5, str(tmp_path / "s"))
+    for df in (head, settled):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    run, cut = 0.0, 0
+    while run < 20 * (1 + 1e-6) + 1e-6:
+        cut += 1
+        run += (float(amounts[cut - 1]) - 0.005) * 1.02 ** -cut
+    assert sorted((r["bill_id"], r["n"]) for r in head.collect()) == [(1, i) for i in range(cut)] + [(2, i) for i in range(2000)]
+    assert sorted((r["n"], r["seq"]) for r in settled.collect()) == [(i, i + 1) for i in range(cut, 2000)]
