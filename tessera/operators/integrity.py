@@ -16,7 +16,9 @@ each task before the shuffle.
 ``findings`` are the offending keys and marks (rule, number, order, text); ``counts`` adds them up.
 ``detail`` also shows the first offenders of each rule. Of an orphan rule these are the smallest
 offending keys, each with its smallest child row; of a uniqueness rule, keys and how often they occur; of a row
-rule, its first rows. One more job reads the tables of the rules that failed, and hands on at most
+rule, its first rows. The offending keys are staged with their counts; where the order of the samples
+is that of the keys (integers), the first keys of each rule are taken from there and one more job over
+the tables of the failed rules keeps the marks of these few keys only. Of other rules it hands on at most
 ``SAMPLE_ROWS`` rows for each rule and task (a grouped limit before the shuffle). Rules of any other
 form keep their own counting job.
 """
@@ -24,6 +26,7 @@ form keep their own counting job.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -60,11 +63,23 @@ def _key(columns, kinds) -> tuple[Column, Column]:
     if len(columns) == 1 and isinstance(kinds[0], T.LongType):
         return F.col(columns[0]).cast("long"), F.lit(None).cast("string")
     parts = [F.col(c).cast(k).cast("string") for c, k in zip(columns, kinds)]
+    if len(parts) > 1 and _integers(kinds):
+        return F.lit(None).cast("long"), F.concat_ws(",", *[F.coalesce(p, F.lit("~")) for p in parts])
     if len(parts) == 1:
         return F.lit(None).cast("long"), parts[0]
     return F.lit(None).cast("long"), F.concat(*[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("~")) for p in parts])
 
 
+def _integers(kinds) -> bool:
+    return all(isinstance(k, T.LongType) for k in kinds)
+
+
+def _key_order() -> list[Column]:
+    """The order of integer keys (``num``, ``txt``), as that of their ``order_text``."""
+    parts = F.transform(F.split("txt", ","), lambda p: sortable(F.nullif(p, F.lit("~")).cast("long"), T.LongType()))
+    return [F.col("num").asc_nulls_first(), F.array_join(parts, "\x01")]
+
+
 def _all_known(columns) -> Column:
     out = F.lit(True)
     for c in columns:
@@ -139,6 +154,11 @@ class Plan:
         key = self.names.get(table) or next((r.keys for r in self.rules if r.keys and r.table == table), ())
         return [*[c for c in key if c not in columns], *columns]
 
+    def ordered_by_key(self, r, at) -> bool:
+        """Whether a key rule's samples come in the order of its (integer) keys."""
+        kinds = self.kinds[at[0]]
+        return _integers(kinds) and (len(kinds) == 1 if r.reference else self.identity(r.table, r.keys) == list(r.keys))
+
 
 def _marks(plan: Plan, sampled: bool) -> DataFrame:
     """(domain, key, side, order, text) of every table's rows, one scan each. The marks of row rules
@@ -166,14 +186,22 @@ def _marks(plan: Plan, sampled: bool) -> DataFrame:
     return out
 
 
-def findings(tables: Tables, rules, sampled: bool = False, names: dict[str, tuple] | None = None) -> DataFrame:
-    """(``rule``, ``n``, ``ord``, ``shown``): every offending key of the key rules, the number of
-    offending rows of each row rule, and for an emptiness rule the rows of its table."""
+def findings(tables: Tables, rules, sampled: bool = False, names: dict[str, tuple] | None = None,
+             only: DataFrame | None = None) -> DataFrame:
+    """(``rule``, ``n``, ``ord``, ``shown``, ``num``, ``txt``): every offending key of the key rules, the
+    number of offending rows of each row rule, and for an emptiness rule the rows of its table.
+    ``only``: a few (rule, num, txt) to look at."""
     plan = Plan(tables, rules, names)
     width = max([len(s) for s in plan.sides], default=1)
     sides = [F.count_if(F.col("side") == i).alias(f"n{i}") for i in range(width)]
     least = [F.min(F.when(F.col("side") == i, F.struct("ord", "shown"))).alias(f"m{i}") for i in range(width if sampled else 0)]
-    keyed = _marks(plan, sampled).groupBy("domain", "num", "txt").agg(*sides, *least)
+    marks = _marks(plan, sampled)
+    if only is not None:
+        domain = F.create_map(*[F.lit(x) for r, at in zip(plan.rules, plan.at) for x in (r.name, at[0])])
+        few = F.broadcast(only.select(domain[F.col("rule")].alias("_domain"), F.col("num").alias("_num"), F.col("txt").alias("_txt")))
+        marks = marks.join(few, (F.col("domain") == F.col("_domain")) & F.col("num").eqNullSafe(F.col("_num"))
+                           & F.col("txt").eqNullSafe(F.col("_txt")), "left_semi")
+    keyed = marks.groupBy("domain", "num", "txt").agg(*sides, *least)
     null = F.lit(None).cast("string")
     by_domain: dict[int, list[Column]] = {}
     for n, (r, at) in enumerate(zip(plan.rules, plan.at)):
@@ -194,7 +222,8 @@ def findings(tables: Tables, rules, sampled: bool = False, names: dict[str, tupl
         else:
             d, bad, number = -1 - n, F.lit(True), F.col("n0")
         by_domain.setdefault(d, []).append(F.when(bad, F.struct(
-            F.lit(r.name).alias("rule"), number.cast("long").alias("n"), order.alias("ord"), text.alias("shown"))))
+            F.lit(r.name).alias("rule"), number.cast("long").alias("n"), order.alias("ord"), text.alias("shown"),
+            F.col("num"), F.col("txt"))))
     found = None
     for d, of_domain in by_domain.items():  # a key meets the rules of its own domain only
         here = F.array(*of_domain)
@@ -241,11 +270,25 @@ def _first_rows(tables: Tables, rules) -> DataFrame:
     return out
 
 
-def _key_samples(tables: Tables, rules, failed) -> DataFrame:
-    """(``rule``, ``ord``, ``shown``) of the failed key rules. Rows are named by the unique keys that all
-    ``rules`` give their tables."""
-    names = {r.table: r.keys for r in reversed(rules) if r.keys}
-    return findings(tables, failed, sampled=True, names=names).select("rule", "ord", "shown")
+def _names(rules) -> dict[str, tuple]:
+    """Rows are named by the unique keys that all ``rules`` give their tables."""
+    return {r.table: r.keys for r in reversed(rules) if r.keys}
+
+
+def _key_samples(tables: Tables, rules, failed, found: DataFrame) -> list[DataFrame]:
+    """(``rule``, ``ord``, ``shown``) of the failed key rules; the first keys of those whose samples come
+    in the order of their keys are known from what was ``found``."""
+    names, plan = _names(rules), Plan(tables, [r for r in rules if _fused(r)], _names(rules))
+    known = {r.name for r, at in zip(plan.rules, plan.at) if at and plan.ordered_by_key(r, at)}
+    by_key, others, out = [r for r in failed if r.name in known], [r for r in failed if r.name not in known], []
+    if by_key:
+        at = F.row_number().over(Window.partitionBy("rule").orderBy(*_key_order()))
+        first = found.filter(F.col("rule").isin([r.name for r in by_key])).withColumn("at", at).filter(F.col("at") <= SAMPLE_ROWS)
+        # The marks of a domain are of all its rules: a key that is the first of one rule may offend another.
+        out.append(findings(tables, by_key, sampled=True, names=names, only=first.select("rule", "num", "txt")))
+    if others:
+        out.append(findings(tables, others, sampled=True, names=names))
+    return [x.select("rule", "ord", "shown") for x in out]
 
 
 def detail(tables: Tables, rules) -> DataFrame:
@@ -260,15 +303,17 @@ def detail(tables: Tables, rules) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
 
     text = F.col("n_offenders").cast("string")
-    report = staged(counts(tables, rules), "rule-counts")
+    fused = [r for r in rules if _fused(r)]
+    found = staged(findings(tables, fused).select("rule", "n", "num", "txt"), "rule-findings") if fused else None
+    report = staged(counts(tables, rules, found), "rule-counts")
     failed = {r["name"] for r in report.filter("NOT ok").select("name").collect()}
     keyed = [r for r in rules if r.name in failed and (r.reference or r.keys)]
     rows = [r for r in rules if r.name in failed and not (r.reference or r.keys or r.on_row_count)]
-    parts = [x for x in (_key_samples(tables, rules, keyed) if keyed else None, _first_rows(tables, rows) if rows else None) if x is not None]
+    parts = [*(_key_samples(tables, rules, keyed, found) if keyed else []), *([_first_rows(tables, rows)] if rows else [])]
     if not parts:
         return report.withColumn("detail", F.when(F.col("ok"), F.lit("no problems")).otherwise(F.concat(text, F.lit(" row(s)"))))
     each = Window.partitionBy("rule").orderBy("ord", "shown")
-    first = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).withColumn("at", F.row_number().over(each)) \
+    first = reduce(DataFrame.unionByName, parts).withColumn("at", F.row_number().over(each)) \
         .filter(F.col("at") <= SAMPLE_ROWS)
     sample = first.groupBy(F.col("rule").alias("name")).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("at", "shown"))), lambda x: x["shown"]), ", ").alias("sample"))

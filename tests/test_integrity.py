@@ -75,3 +75,22 @@ def test_sortable_orders_like_the_values(spark):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     got = [r["v"] for r in df.orderBy(I.sortable(df["v"], df.schema["v"].dataType)).collect()]
     assert got == [None, *values[:-1]]
+
+
+def test_samples_look_at_the_first_offending_keys_only(spark):
+    """Where samples come in the order of integer keys (also negative ones, NULL and composite ones), no
+    sorted aggregation of all marks finds them; other rules are sampled as before."""
+    p = spark.createDataFrame([(i,) for i in range(-20, 20)], "id long")
+    c = spark.createDataFrame([(i - 30, i % 4 or None, str(i % 5)) for i in range(100)] * 2, "fk long, line int, name string")
+    t = {"p": p, "c": c}
+    rules = [Q.unique("p", ("id",)), Q.unique("c", ("fk", "line")), Q.no_orphans("c", ("fk",), "p", ("id",)),
+             Q.unique("c", ("name",), name="unique[c.name]")]
+    got = {r["name"]: (r["n_offenders"], r["detail"]) for r in I.detail(t.__getitem__, rules).collect()}
+    assert got["unique[c.name]"][0] == 5 and got["unique[c.name]"][1].startswith("5 row(s), e.g.: (-30, NULL, 0, 40)")
+    keyed = [(n, d.split("e.g.: ")[1]) for n, d in got.values() if "(-30, NULL, 2), (-29, 1, 2), (-28, 2, 2)" in d]
+    assert keyed == [(100, "(-30, NULL, 2), (-29, 1, 2), (-28, 2, 2)")]
+    orphans = [v for k, v in got.items() if k.startswith("no_orphans")]
+    assert orphans == [(120, "120 row(s), e.g.: (NULL, -30), (1, -29), (2, -28)")]
+    found = I.findings(t.__getitem__, rules[:3]).select("rule", "n", "num", "txt")
+    parts = I._key_samples(t.__getitem__, rules, rules[:3], found)
+    assert len(parts) == 1 and "LeftSemi" in parts[0]._jdf.queryExecution().optimizedPlan().toString()
