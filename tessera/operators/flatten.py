@@ -3,10 +3,16 @@
 ``flatten`` is a projection plus a generator (``explode``/``explode_outer``) inside one stage: no
 shuffle, and only the referenced variant paths are read. The outer form keeps one row of NULL
 item fields for an empty, absent or JSON-null array, so landing and staging reconcile.
+
+All fields are taken directly from the document's column, below the generator: document fields once
+a document, and the items as one typed array, which a Parquet landing reads from its columns. Only
+where the typed item has a NULL is the path looked up in the item's VARIANT, which tells an absent
+value from one of the wrong type and takes items that are no objects.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,6 +81,21 @@ def _get(v: Column, f: Field, strict: bool) -> Column:
     return fn(v, f.path, f.type).alias(f.name)
 
 
+def _key(f: Field) -> str | None:
+    """The item's own key that the path names, if it is no deeper path."""
+    simple = re.fullmatch(r"\$\.([A-Za-z_]\w*)", f.path)
+    return simple[1] if simple else None
+
+
+def _typed_fields(fields: tuple[Field, ...]) -> list[Field]:
+    """Fields that one typed reading of an item can give: scalars under a key of its own, one for each key."""
+    first: dict[str, Field] = {}
+    for f in fields:
+        if _key(f) and "<" not in f.type and f.type != "variant":
+            first.setdefault(_key(f).lower(), f)
+    return list(first.values())
+
+
 def project_document(landing: DataFrame, spec: DocumentSpec, column: str = "raw",
                      strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Document-level typed columns (one row per document). Absent paths give NULL; a value of
@@ -87,13 +108,26 @@ def flatten(landing: DataFrame, spec: DocumentSpec, *, column: str = "raw", oute
             strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (document, array item). ``outer`` keeps documents with no items."""
     v = F.col(column)
-    items = F.variant_get(v, spec.array_path, "array<variant>")
-    gen = F.explode_outer(items) if outer else F.explode(items)
-    exploded = landing.select(*[_get(v, f, strict) for f in spec.doc_fields], *keep,
-                              gen.alias("_item"))
-    item = F.col("_item")
-    return exploded.select(*[f.name for f in spec.doc_fields], *keep,
-                           *[_get(item, f, strict) for f in spec.item_fields])
+    explode = F.explode_outer if outer else F.explode
+    docs = [_get(v, f, strict) for f in spec.doc_fields]
+    names = [f.name for f in spec.doc_fields]
+    # An inner flatten looks only at the fields of documents that have items.
+    below, carried, above = (docs, names, names) if outer else ([v], [column], docs)
+    typed = _typed_fields(spec.item_fields)
+    item_type = ", ".join(f"`{_key(f)}`: {f.type}" for f in typed) or "_none: boolean"
+    items = F.variant_get(v, spec.array_path, "array<variant>").alias("_raw")
+    values = F.try_variant_get(v, spec.array_path, f"array<struct<{item_type}>>").alias("_typed")
+    # The zip pads the shorter array: there is a row for each item, whatever its typed reading gave.
+    pairs = F.arrays_zip("_raw", F.coalesce("_typed", F.array().cast(f"array<struct<{item_type}>>")).alias("_typed"))
+    exploded = (landing.select(*below, *keep, items, values)
+                .select(*carried, *keep, explode(pairs).alias("_item")))
+    raw, value = F.col("_item")["_raw"], F.col("_item")["_typed"]
+
+    def field(f: Field) -> Column:
+        looked_up = _get(raw, f, strict)
+        return F.coalesce(value[_key(f)], looked_up).alias(f.name) if f in typed else looked_up
+
+    return exploded.select(*above, *keep, *[field(f) for f in spec.item_fields])
 
 
 def with_flattened_at(staged: DataFrame) -> DataFrame:

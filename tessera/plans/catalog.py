@@ -917,6 +917,7 @@ def masked_view_session_role(spark, sf_dir):
 # ----------------------------------------------------------------------------------------------
 from tessera.streaming.ingest import read_landing, run_ingest  # noqa: E402
 from tessera.plans.audit import run_history as _run_history  # noqa: E402
+from tessera.plans.manifest import file_system  # noqa: E402
 
 
 def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
@@ -926,11 +927,20 @@ def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
     o, li = t("orders"), t("lineitem")
     last = o.agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
 
-    def documents(orders, name):
-        # Items meet their claims where they are grouped, so items of other claims need no join before.
-        SI.write_documents(SI.claim_documents(orders, li), f"{root}/src/{name}")
+    # The documents of both runs are made in one pass, in a folder for each run that becomes its source
+    # when the run begins.
+    run = F.when(F.year("o_orderdate") < last, "run1").when(F.year("o_orderdate") == last, "run2")
+    claims = o.withColumn("run", run).where(F.col("run").isNotNull())
+    SI.write_documents(SI.claim_documents(claims, li, keep=("run",)), f"{root}/made", by="run")
 
-    documents(o.where(F.year("o_orderdate") < last), "run1")
+    def documents(name):
+        fs, made = file_system(spark, f"{root}/made/run={name}")
+        _, source = file_system(spark, f"{root}/src/{name}")
+        fs.mkdirs(source.getParent())
+        if fs.exists(made) and not fs.rename(made, source):
+            raise RuntimeError(f"the documents of {name} could not be put into the source folder")
+
+    documents("run1")
     schema = _schema_name("raw_json")
     from tessera.plans.publish import ensure_database
     ensure_database(spark, schema, root)
@@ -943,7 +953,7 @@ def _two_runs(spark, sf_dir, extra_empty_run=False, incremental=False):
     glob = f"{root}/src/*/"
     r1 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging,
                     incremental=incremental)
-    documents(o.where(F.year("o_orderdate") == last), "run2")
+    documents("run2")
     r2 = run_ingest(spark, glob, root, rebuild=rebuild, staging_table=staging,
                     incremental=incremental)
     if extra_empty_run:

@@ -100,9 +100,9 @@ def join_lists(parents: DataFrame, parent_key: str, rows: DataFrame, key: str, i
 
 
 def claim_documents(orders: DataFrame, lineitem: DataFrame,
-                    max_items: int = MAX_ITEMS_PER_DOCUMENT) -> DataFrame:
+                    max_items: int = MAX_ITEMS_PER_DOCUMENT, keep: tuple[str, ...] = ()) -> DataFrame:
     """One JSON text per (claim, item chunk); claims without items get one document with an
-    empty array."""
+    empty array. ``keep``: columns of ``orders`` that go along beside the text."""
     item = F.struct(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"),
                     F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity"),
                     F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"),
@@ -117,7 +117,7 @@ def claim_documents(orders: DataFrame, lineitem: DataFrame,
         F.col("o_orderdate").alias("reported_at"),
         F.col("o_orderpriority").alias("incident_type"),
         F.coalesce(F.col("items"), F.array().cast(docs.schema["items"].dataType)).alias("items"))
-    return docs.select(F.to_json(doc, JSON_OPTIONS).alias("value"))
+    return docs.select(F.to_json(doc, JSON_OPTIONS).alias("value"), *keep)
 
 
 def input_version(spark: SparkSession, sf_dir: str) -> tuple:
