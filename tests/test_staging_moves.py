@@ -30,6 +30,25 @@ def test_items_are_moved_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_tasks_follow_the_items_not_the_setting(spark, monkeypatch):
+    """However few the shuffle partitions, no task groups many more than ``ITEMS_PER_TASK`` items."""
+    t, most, threshold = SI.reader(spark, SF), 300, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    lists = SI.chunked_lists(t("lineitem"), "l_orderkey", F.lit(1))
+    whole = sorted(r[0] for r in lists.select(F.size("items")).collect())
+    monkeypatch.setattr(SI, "ITEMS_PER_TASK", most, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = SI.claim_documents(t("orders"), t("lineitem"))
+        assert exchanges_of(docs, "_item") + exchanges_of(docs, "items") == 1
+        lists = SI.chunked_lists(t("lineitem"), "l_orderkey", F.lit(1))
+        assert sorted(r[0] for r in lists.select(F.size("items")).collect()) == whole
+        for df, items in (lists, F.size("items")), (docs, F.size(F.split("value", '"part":')) - 1):
+            tasks = df.groupBy(F.spark_partition_id()).agg(F.sum(items).alias("items")).collect()
+            assert sum(r["items"] for r in tasks) == sum(whole) and max(r["items"] for r in tasks) < 2 * most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_landed_documents_are_compressed_and_whole(spark):
     t, plain, path = SI.reader(spark, SF), work_path(spark, "plain"), SI.land_claim_documents(spark, SF)
     SI.claim_documents(t("orders"), t("lineitem")).write.text(plain)
