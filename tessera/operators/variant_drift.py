@@ -1,32 +1,46 @@
 """The paths of schema-on-read documents, their types, and how both change from batch to batch.
 
-``paths`` lists the paths of every document of a VARIANT column, level by level: the keys of an
-object, and ``[]`` for the elements of an array. ``profile`` counts, for each batch and path, the
-documents that have it and the types seen there. Types form a lattice: VOID (a JSON null) is below
+``paths`` lists the paths of every document of a VARIANT column: the keys of an object, and ``[]`` for
+the elements of an array. ``profile`` counts, for each batch and path, the documents that have it and
+the types seen there. Types form a lattice: VOID (a JSON null) is below
 every type, BIGINT below DECIMAL below DOUBLE, and anything else together is VARIANT; the type of a
 path is the least one above all that were seen, so profiles of parts of a batch merge. ``drift``
 compares each batch with the one before: paths that are new, gone, or of another type, and the share
 of documents that has them.
 
 A document's paths are listed and made distinct within its own row, so what is moved are counts per
-task of (batch, path, type), however many documents and elements there are.
+task of (batch, path, type), however many documents and elements there are. They are read off the text
+of ``schema_of_variant``, each different text once per Arrow batch. That text merges the elements of
+an array; where this could hide what they were (``_hidden``) the document itself is walked.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Python workers get these functions with the job: they need not find this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Number types, lowest first.
 NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE")
+#: Of an array, in a schema text: types that may come of merging others, and elements that are all null, or none.
+_MERGED = ("VARIANT", "DOUBLE", "FLOAT", "TIMESTAMP", "ARRAY<VOID>")
+_KIND = re.compile(r"([A-Z_ ]+)(?:\(\d+,\d+\))?<?")
+_NAME = re.compile(r"(?:, )?(?:`((?:[^`]|``)*)`|([^`:]+)): ")
+#: Of the binary encoding; a UUID is a STRING to Spark.
+_PRIMITIVES = {0: "VOID", 1: "BOOLEAN", 2: "BOOLEAN", 3: "BIGINT", 4: "BIGINT", 5: "BIGINT", 6: "BIGINT", 7: "DOUBLE", 8: "DECIMAL", 9: "DECIMAL",
+               10: "DECIMAL", 11: "DATE", 12: "TIMESTAMP", 13: "TIMESTAMP_NTZ", 14: "FLOAT", 15: "BINARY", 16: "STRING", 20: "STRING"}
 ADDED, GONE, WIDENED, NARROWED, CHANGED = "added", "gone", "widened", "narrowed", "changed"
 
 
-def base_type(value: Column) -> Column:
-    """OBJECT, ARRAY, VOID, or the name of a scalar type without its parameters."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z_ ]+", 0)
-
-
 def least_above(types: Column) -> Column:
     """The least type above an array of types."""
     said = F.array_except(types, F.array(F.lit("VOID")))
@@ -36,45 +50,113 @@ def least_above(types: Column) -> Column:
             .when(F.size(F.array_except(said, numbers)) == 0, highest).otherwise(F.lit("VARIANT")))
 
 
-def _value(path: Column, value: Column) -> Column:
-    return F.struct(path.alias("path"), value.alias("v"), base_type(value).alias("kind"))
-
-
-def _children(x: Column) -> Column:
-    """The values right below one value."""
-    keys = F.map_entries(F.try_variant_get(x["v"], "$", "map<string,variant>"))
-    below = F.concat(x["path"], F.lit("[]"))
-    return (F.when(x["kind"] == "OBJECT", F.transform(keys, lambda e: _value(F.concat(x["path"], F.lit("."), e["key"]), e["value"])))
-            .otherwise(F.transform(F.try_variant_get(x["v"], "$", "array<variant>"), lambda e: _value(below, e))))
+def _merged(types: set[str]) -> str:
+    """``least_above`` of the types of one document at a path."""
+    said = types - {"VOID"} or {"VOID"}
+    if len(said) == 1:
+        return min(said)
+    return max(said, key=NUMBERS.index) if said <= set(NUMBERS) else "VARIANT"
+
+
+def _hidden(schema: Column) -> Column:
+    """Whether a schema text may say less of the elements of an array than there is to say."""
+    inner = F.substr(schema, F.instr(schema, "ARRAY<"))
+    told = [F.contains(inner, F.lit(t)) for t in _MERGED]
+    return F.contains(schema, F.lit("ARRAY<")) & reduce(Column.__or__, told)
+
+
+def paths_in_schema(schema: str) -> set[tuple[str, str]]:
+    """(path, type) of a text of ``schema_of_variant``."""
+    said, open_, path, at = set(), [], "$", 0
+    while True:
+        kind = _KIND.match(schema, at)
+        said.add((path, kind[1]))
+        at = kind.end()
+        if kind[1] == "ARRAY":
+            open_.append(path)
+            path += "[]"
+            continue
+        if kind[1] == "OBJECT":
+            open_.append(path)
+        while open_ and schema[at] == ">":
+            open_.pop()
+            at += 1
+        if not open_:
+            return said
+        name = _NAME.match(schema, at)
+        path = f"{open_[-1]}.{name[2] or name[1].replace('``', '`')}"
+        at = name.end()
+
+
+def paths_in_document(value: bytes, metadata: bytes) -> set[tuple[str, str]]:
+    """(path, type) of a document in the binary encoding of VARIANT, all types of a path."""
+    def number(of: bytes, at: int, size: int) -> int:
+        return int.from_bytes(of[at:at + size], "little")
+
+    size = (metadata[0] >> 6) + 1
+    n = number(metadata, 1, size)
+    texts = 1 + size * (n + 2)
+    ends = [texts + number(metadata, 1 + size * (i + 1), size) for i in range(n + 1)]
+    names = [metadata[b:e].decode() for b, e in zip(ends, ends[1:])]
+    said, left = set(), [(0, "$")]
+    while left:
+        at, path = left.pop()
+        basic, info = value[at] & 3, value[at] >> 2
+        if basic < 2:
+            said.add((path, "STRING" if basic else _PRIMITIVES[info]))
+            continue
+        # Header: bytes of a count, of an offset and, of objects, of a key's number.
+        is_object, size = basic == 2, (info & 3) + 1
+        said.add((path, "OBJECT" if is_object else "ARRAY"))
+        wide = 4 if info & (16 if is_object else 4) else 1
+        key = (info >> 2 & 3) + 1 if is_object else 0
+        n, keys = number(value, at + 1, wide), at + 1 + wide
+        offsets = keys + n * key
+        data = offsets + (n + 1) * size
+        for i in range(n):
+            below = f"{path}.{names[number(value, keys + i * key, key)]}" if is_object else f"{path}[]"
+            left.append((data + number(value, offsets + i * size, size), below))
+    return said
+
+
+def _rows(said: set[tuple[str, str]]) -> list[dict]:
+    """A row for each path, with the type of the document there."""
+    types: dict[str, set[str]] = {}
+    for path, type_ in said:
+        types.setdefault(path, set()).add(type_)
+    return [{"path": p, "type": _merged(t)} for p, t in types.items()]
+
+
+def _said(schema: pa.Array, hidden: pa.Array) -> pa.Array:
+    """The rows of each document, by its schema text or, where given, by the document itself."""
+    texts = pc.dictionary_encode(schema)
+    walked = hidden.is_valid()
+    # Texts of documents that are walked are not read.
+    read = set(pc.unique(texts.indices.filter(pc.invert(walked))).to_pylist())
+    lists = [_rows(paths_in_schema(t)) if i in read else [] for i, t in enumerate(texts.dictionary.to_pylist())]
+    at = pc.if_else(walked, pc.add(pc.cumulative_sum(walked.cast("int32")), len(lists) - 1), texts.indices)
+    lists += [_rows(paths_in_document(d["value"], d["metadata"])) for d in hidden.filter(walked).to_pylist()]
+    return pa.array(lists, pa.list_(pa.struct([("path", pa.string()), ("type", pa.string())]))).take(at)
 
 
 def paths(documents: DataFrame, column: str, batch: str) -> DataFrame:
-    """(``batch``, ``path``, ``type``): a row for each document, path and type, and one without a type
-    for each document and path. The loop over levels ends at the first one without an object or array,
-    however deep that is."""
-    df = documents.filter(F.col(column).isNotNull()).select(F.col(batch).alias("batch"), F.array(_value(F.lit("$"), F.col(column))).alias("level"))
-    levels = []
-    while True:  # type|path: texts are made distinct by hash
-        inner = F.filter("level", lambda x: x["kind"].isin("OBJECT", "ARRAY"))
-        levels.append(f"said{len(levels)}")
-        df = df.withColumn(levels[-1], F.array_distinct(F.transform("level", lambda x: F.concat(x["kind"], F.lit("|"), x["path"]))))
-        if df.filter(F.size(inner) > 0).isEmpty():
-            break
-        df = df.withColumn("level", F.flatten(F.transform(inner, _children)))
-    said = df.select("batch", F.concat(*levels).alias("said"))
-    each = F.concat("said", F.array_distinct(F.transform("said", lambda t: F.substr(t, F.position(F.lit("|"), t)))))
-    one = said.select("batch", F.explode(each).alias("one"))
-    return one.select("batch", F.expr("substr(one, instr(one, '|') + 1)").alias("path"),
-                      F.expr("nullif(substring_index(one, '|', 1), '')").alias("type"))
+    """(``batch``, ``path``, ``type``): a row for each document and path, with the least type above those
+    that the document has there. Documents are read once, however deep they are."""
+    df = documents.filter(F.col(column).isNotNull()).select(F.col(batch).alias("batch"), F.col(column).alias("_raw"), F.schema_of_variant(column).alias("_schema"))
+    rows = F.arrow_udf(_said, "array<struct<path: string, type: string>>")
+    said = df.select("batch", rows("_schema", F.when(_hidden(F.col("_schema")), F.col("_raw"))).alias("said"))
+    # No list is empty. Of a plain inline Spark filters the lists first, and makes each of them twice for that.
+    return said.select("batch", F.inline_outer("said"))
 
 
 def profile(documents: DataFrame, column: str = "raw", batch: str = "batch_id") -> DataFrame:
     """``batch``, ``path``, ``type``, ``docs`` (documents that have the path), ``share`` of the batch."""
     counts = paths(documents, column, batch).groupBy("batch", "path", "type").agg(F.count("*").alias("n"))
-    # A document's types at a path are few; of a batch's they are merged as sets.
-    out = counts.groupBy("batch", "path").agg(F.max(F.when(F.col("type").isNull(), F.col("n"))).alias("docs"),
-                                              least_above(F.collect_set("type")).alias("type"))
-    total = out.filter("path = '$'").select("batch", F.col("docs").alias("_all"))
+    # The types at a path are few: they are merged as sets.
+    out = counts.groupBy("batch", "path").agg(F.sum("n").alias("docs"), least_above(F.collect_set("type")).alias("type")).filter("docs > 0")
+    # Documents are read once for both: the filters, which every row passes, keep Spark from dropping the counts on one side
+    # when they are not asked for, and so from counting twice; one for '$' would be pushed below the counts.
+    total = out.groupBy("batch").agg(F.max(F.when(F.col("path") == "$", F.col("docs"))).alias("_all")).filter("_all > 0")
     return out.join(total, "batch").select("batch", "path", "type", "docs", (F.col("docs") / F.col("_all")).alias("share"))
 
 

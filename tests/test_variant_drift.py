@@ -51,3 +51,50 @@ def test_documents_are_not_moved(spark):
     assert sorted(tuple(r)[:4] for r in df.collect()) == [
         (0, "$", "OBJECT", 50), (0, "$.a", "ARRAY", 50), (0, "$.a[]", "OBJECT", 50), (0, "$.a[].b", "VARIANT", 50),
         (1, "$", "OBJECT", 1), (1, "$.a|b", "VOID", 1), (1, "$.c", "OBJECT", 1), (1, "$.c.d", "ARRAY", 1)]
+
+
+def test_documents_are_read_once_however_deep(spark):
+    """No job runs before the profile itself, and that reads each document once, for counts and shares alike."""
+    deep = {"a": 1}
+    for _ in range(40):
+        deep = {"a": [deep, deep["a"]]} if len(json.dumps(deep)) < 500 else {"a": deep}
+    docs, read = documents(spark, [[deep, {"a": []}, {"a": [[None]]}], [deep]]), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    spark.sparkContext.setJobGroup("profile", "profile")
+    try:
+        df = V.profile(docs.mapInArrow(counted, docs.schema))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("profile")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for n, asked in enumerate((df, df.select("path"), df.select("path", "type", "docs"), df.select("share"))):
+        assert len(asked.collect()) > 40 and read.value == 4 * (n + 1)
+    assert df.count() > 40 and read.value == 20
+
+
+def test_types_that_merging_the_elements_of_an_array_hides(spark):
+    """Texts of schema_of_variant merge elements: to VARIANT without their paths, to DOUBLE or TIMESTAMP of other types, of null and none alike."""
+    texts = ['{"a": [{"b": [1]}, [true], 2]}', '{"a": []}', '{"a": [null]}', '{"d": [0.00000000000000000000000000000000001, 9223372036854775807]}',
+             '{"d": [], "e": [[], []]}', '{"e": [[], [null]]}', '{"x`y": {"ARRAY<VOID>: ": 1, "": 2, "c, d": 1.5, "k.l": 1}, "x`y.k": {"l": "s"}}']
+    cast = spark.sql("SELECT to_variant_object(named_struct('f', array(CAST(1 AS VARIANT), CAST(CAST(1 AS FLOAT) AS VARIANT)), "
+                     "'t', array(CAST(DATE'2020-01-01' AS VARIANT), CAST(TIMESTAMP'2020-01-01 00:00:00' AS VARIANT)))) AS raw")
+    raw = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("raw")).unionByName(cast)
+    got = {r["path"]: (r["type"], r["docs"]) for r in V.profile(raw.withColumn("batch_id", F.lit(0))).collect()}
+    assert got == {
+        "$": ("OBJECT", 8), "$.a": ("ARRAY", 3), "$.a[]": ("VARIANT", 2), "$.a[].b": ("ARRAY", 1), "$.a[].b[]": ("BIGINT", 1), "$.a[][]": ("BOOLEAN", 1),
+        "$.d": ("ARRAY", 2), "$.d[]": ("DECIMAL", 1), "$.e": ("ARRAY", 2), "$.e[]": ("ARRAY", 2), "$.e[][]": ("VOID", 1),
+        "$.x`y": ("OBJECT", 1), "$.x`y.ARRAY<VOID>: ": ("BIGINT", 1), "$.x`y.": ("BIGINT", 1), "$.x`y.c, d": ("DECIMAL", 1),
+        "$.x`y.k": ("OBJECT", 1), "$.x`y.k.l": ("VARIANT", 1), "$.f": ("ARRAY", 1), "$.f[]": ("VARIANT", 1), "$.t": ("ARRAY", 1), "$.t[]": ("VARIANT", 1)}
+
+
+def test_a_document_and_its_schema_text_say_the_same(spark):
+    """Where nothing is hidden: counts and offsets of each width, texts of each length."""
+    items = [{"n": i, "s": "x" * i, "p": i / 4, "z": None, "t": bool(i % 2)} for i in range(300)]
+    texts = [json.dumps(d) for d in (1, None, "x" * 100, {}, {"a": {}}, {"k": items}, {f"k{i}": [i, -i * 10**9] for i in range(300)}, [[{}], [{"o": 1.5}]])]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("raw"), F.schema_of_variant(F.parse_json("t")).alias("s"))
+    for r in df.withColumn("hidden", V._hidden(F.col("s"))).collect():
+        said = V._rows(V.paths_in_document(r["raw"].value, r["raw"].metadata))
+        assert not r["hidden"] and sorted(map(str, said)) == sorted(map(str, V._rows(V.paths_in_schema(r["s"]))))
