@@ -17,8 +17,10 @@ an array; where this could hide what they were (``_hidden``) the document itself
 from __future__ import annotations
 
 import re
+import struct
 import sys
 from functools import reduce
+from itertools import repeat
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +40,8 @@ _NAME = re.compile(r"(?:, )?(?:`((?:[^`]|``)*)`|([^`:]+)): ")
 #: Of the binary encoding; a UUID is a STRING to Spark.
 _PRIMITIVES = {0: "VOID", 1: "BOOLEAN", 2: "BOOLEAN", 3: "BIGINT", 4: "BIGINT", 5: "BIGINT", 6: "BIGINT", 7: "DOUBLE", 8: "DECIMAL", 9: "DECIMAL",
                10: "DECIMAL", 11: "DATE", 12: "TIMESTAMP", 13: "TIMESTAMP_NTZ", 14: "FLOAT", 15: "BINARY", 16: "STRING", 20: "STRING"}
+#: By a value's first byte.
+_TYPES = {info << 2: t for info, t in _PRIMITIVES.items()} | {h: ("STRING", "OBJECT", "ARRAY")[(h & 3) - 1] for h in range(256) if h & 3}
 ADDED, GONE, WIDENED, NARROWED, CHANGED = "added", "gone", "widened", "narrowed", "changed"
 
 
@@ -88,38 +92,49 @@ def paths_in_schema(schema: str) -> set[tuple[str, str]]:
         at = name.end()
 
 
-def paths_in_document(value: bytes, metadata: bytes) -> set[tuple[str, str]]:
-    """(path, type) of a document in the binary encoding of VARIANT, all types of a path."""
-    def number(of: bytes, at: int, size: int) -> int:
-        return int.from_bytes(of[at:at + size], "little")
+def _numbers(of: bytes, at: int, n: int, size: int):
+    """``n`` little-endian numbers of ``size`` bytes."""
+    if size == 1:
+        return of[at:at + n]
+    if size == 3:
+        return [int.from_bytes(of[i:i + 3], "little") for i in range(at, at + 3 * n, 3)]
+    return struct.unpack_from(f"<{n}{'H' if size == 2 else 'I'}", of, at)
+
 
+def keys_in_metadata(metadata: bytes) -> list[str]:
+    """The keys of a document in the binary encoding of VARIANT, by number."""
     size = (metadata[0] >> 6) + 1
-    n = number(metadata, 1, size)
+    n = int.from_bytes(metadata[1:1 + size], "little")
     texts = 1 + size * (n + 2)
-    ends = [texts + number(metadata, 1 + size * (i + 1), size) for i in range(n + 1)]
-    names = [metadata[b:e].decode() for b, e in zip(ends, ends[1:])]
-    said, left = set(), [(0, "$")]
+    ends = [texts + e for e in _numbers(metadata, 1 + size, n + 1, size)]
+    return [metadata[b:e].decode() for b, e in zip(ends, ends[1:])]
+
+
+def paths_in_document(value: bytes, keys: list[str]) -> set[tuple[str, str]]:
+    """(path, type) of a document in the binary encoding of VARIANT, all types of a path."""
+    said, left = {("$", _TYPES[value[0]])}, [(0, "$")] if value[0] & 2 else []
     while left:
         at, path = left.pop()
-        basic, info = value[at] & 3, value[at] >> 2
-        if basic < 2:
-            said.add((path, "STRING" if basic else _PRIMITIVES[info]))
-            continue
+        is_array, info = value[at] & 1, value[at] >> 2
         # Header: bytes of a count, of an offset and, of objects, of a key's number.
-        is_object, size = basic == 2, (info & 3) + 1
-        said.add((path, "OBJECT" if is_object else "ARRAY"))
-        wide = 4 if info & (16 if is_object else 4) else 1
-        key = (info >> 2 & 3) + 1 if is_object else 0
-        n, keys = number(value, at + 1, wide), at + 1 + wide
-        offsets = keys + n * key
+        size, wide = (info & 3) + 1, 4 if info & (4 if is_array else 16) else 1
+        n, offsets = int.from_bytes(value[at + 1:at + 1 + wide], "little"), at + 1 + wide
+        if is_array:
+            below = repeat(f"{path}[]")
+        else:
+            key = (info >> 2 & 3) + 1
+            below = [f"{path}.{keys[k]}" for k in _numbers(value, offsets, n, key)]
+            offsets += n * key
         data = offsets + (n + 1) * size
-        for i in range(n):
-            below = f"{path}.{names[number(value, keys + i * key, key)]}" if is_object else f"{path}[]"
-            left.append((data + number(value, offsets + i * size, size), below))
+        for offset, inner in zip(_numbers(value, offsets, n, size), below):
+            header = value[data + offset]
+            said.add((inner, _TYPES[header]))
+            if header & 2:
+                left.append((data + offset, inner))
     return said
 
 
-def _rows(said: set[tuple[str, str]]) -> list[dict]:
+def _rows(said: set[tuple[str, str]] | frozenset[tuple[str, str]]) -> list[dict]:
     """A row for each path, with the type of the document there."""
     types: dict[str, set[str]] = {}
     for path, type_ in said:
@@ -134,8 +149,16 @@ def _said(schema: pa.Array, hidden: pa.Array) -> pa.Array:
     # Texts of documents that are walked are not read.
     read = set(pc.unique(texts.indices.filter(pc.invert(walked))).to_pylist())
     lists = [_rows(paths_in_schema(t)) if i in read else [] for i, t in enumerate(texts.dictionary.to_pylist())]
-    at = pc.if_else(walked, pc.add(pc.cumulative_sum(walked.cast("int32")), len(lists) - 1), texts.indices)
-    lists += [_rows(paths_in_document(d["value"], d["metadata"])) for d in hidden.filter(walked).to_pylist()]
+    keys: dict[bytes, list[str]] = {}
+    places: dict[frozenset, int] = {}
+    at = []
+    for d in hidden.filter(walked).to_pylist():
+        value, metadata = d["value"], d["metadata"]
+        if metadata not in keys:
+            keys[metadata] = keys_in_metadata(metadata)
+        at.append(places.setdefault(frozenset(paths_in_document(value, keys[metadata])), len(lists) + len(places)))
+    at = pc.replace_with_mask(texts.indices, walked, pa.array(at, texts.indices.type))
+    lists += [_rows(said) for said in places]
     return pa.array(lists, pa.list_(pa.struct([("path", pa.string()), ("type", pa.string())]))).take(at)
 
 
